@@ -88,6 +88,18 @@ def repeated_in_block(block: np.ndarray, starts: np.ndarray, width: int = WIDTH)
     return out
 
 
+def _anchors(text: str, width: int) -> np.ndarray:
+    """The anchor grams, once per place in the text: those that are the least in some string around them."""
+    data = np.frombuffer(text.encode("utf-8"), np.uint8)
+    if len(data) < width:
+        return np.empty(0, np.uint64)
+    span = width - GRAM + 1
+    grams = mixed(run_hashes(CODES[data], GRAM))
+    least = np.zeros(len(grams) + span - 1, np.uint64)
+    least[span - 1 : len(grams)] = sliding_min(grams, span)
+    return grams[grams == ~sliding_min(~least, span)]
+
+
 def _contexts(text: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The text's bytes; anchor, first start and last start of each run of strings with one anchor."""
     data = np.frombuffer(text.encode("utf-8"), np.uint8)
@@ -117,7 +129,7 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_
 
     def anchors(part: pd.DataFrame) -> Iterator[np.ndarray]:
         for text in part["text"]:
-            yield _contexts(text, width)[1]
+            yield _anchors(text, width)
 
     bits = repeated_bits(frame.select("text"), anchors, width_for(text_bytes(frame) / 80))
 
