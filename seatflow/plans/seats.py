@@ -59,8 +59,8 @@ def dedup_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", dedup.dedup_key(F.lit("-")).alias("dedup_key"), state.alias("dedup_state"), "newest")
 
 
-@query(f"""WITH {ROUNDS}, d AS (SELECT church, region, role_key, round, count(DISTINCT department) AS named, count(*) FILTER (WHERE department IS NULL) AS silent, max(department) AS single FROM rounds GROUP BY ALL)
-    SELECT id, named > 1 AND silent > 0 AS held, coalesce(department, CASE WHEN named = 1 THEN single END, '-') AS slot FROM rounds JOIN d USING (church, region, role_key, round)""")
+@query(f"""WITH {ROUNDS}, d AS (SELECT church, region, role_key, round, count(DISTINCT department) AS n_named, count(*) FILTER (WHERE department IS NULL) AS silent, max(department) AS single FROM rounds GROUP BY ALL)
+    SELECT id, n_named > 1 AND silent > 0 AS held, coalesce(department, CASE WHEN n_named = 1 THEN single END, '-') AS slot FROM rounds JOIN d USING (church, region, role_key, round)""")
 def dedup_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.with_department(dedup.with_rounds(members(spark, sf_dir))).select("id", "held", "slot")
 
