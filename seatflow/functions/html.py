@@ -21,6 +21,11 @@ KEPT = {"href", "src", "alt", "colspan", "rowspan"}
 DROPPED = {"script", "style", "noscript", "iframe"}
 DECORATIVE = {"span", "font", "b", "i", "u", "em", "strong"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: What a start tag ends by itself, up to the element that it can't reach past.
+ENDS = {
+    "p": ({"p"}, {"div", "td", "th", "li", "table", "body"}), "li": ({"li"}, {"ul", "ol"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+    "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
+}
 NOT_FILES = ("mailto:", "tel:", "sms:", "javascript:")
 SCRIPTS = (".php", ".asp", ".aspx", ".jsp", ".do", ".cgi", ".html", ".htm")
 FILE_NAME = re.compile(r"\.[A-Za-z0-9]{2,5}$")
@@ -83,8 +88,14 @@ class _Builder(HTMLParser):
         self.root = self.at = Node("", {}, None)
 
     def handle_starttag(self, tag, attrs):  # noqa: ANN001, ANN201
-        if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and self.at.tag == tag:
-            self.at = self.at.parent
+        ends, within = ENDS.get(tag, (set(), set()))
+        up, last = self.at, None
+        while up is not None and up.tag not in within:
+            if up.tag in ends:
+                last = up
+            up = up.parent
+        if last is not None:
+            self.at = last.parent
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.operators import health, ledger
-from seatflow.plans.registry import query, table
+from seatflow.plans.registry import day, query, table
 
-CUTOFF = F.to_date(F.lit("2000-06-01"))
+CUTOFF = "2000-06-01"
 
 
 @query("""SELECT source_key, external_id, title, posted_on FROM {raw} r
@@ -19,7 +19,7 @@ def ledger_new_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _planned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.page_plan(ledger.first_seen(table(spark, sf_dir, "listing")), table(spark, sf_dir, "ledger"), CUTOFF)
+    return ledger.page_plan(ledger.first_seen(table(spark, sf_dir, "listing")), table(spark, sf_dir, "ledger"), day(CUTOFF))
 
 
 PLANNED = """
@@ -73,7 +73,7 @@ def daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     runs = events.groupBy((F.col("user_id") % 50).alias("board_group"), F.col("ts").cast("date").alias("d")).agg(
         F.max("ts").alias("started_at"), F.max("ts").alias("finished_at"), F.count_if(F.col("event_type") == "error").alias("sources_failed"))
-    return health.daily_window(runs, F.to_date(F.lit("2024-02-03")))
+    return health.daily_window(runs, day("2024-02-03"))
 
 
 FOLD = """
@@ -99,7 +99,7 @@ def health_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {FOLD} SELECT source_key, concat_ws(',', CASE WHEN failures >= 2 THEN 'failing' END, CASE WHEN empty_runs >= 2 THEN 'empty' END,
         CASE WHEN coalesce(date_diff('day', newest, DATE '2024-03-24') >= 60, true) THEN 'quiet' END) AS alerts FROM folded""")
 def health_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.alerts(_folded(spark, sf_dir), F.to_date(F.lit("2024-03-24"))).select("source_key", F.array_join("alerts", ",").alias("alerts"))
+    return health.alerts(_folded(spark, sf_dir), day("2024-03-24")).select("source_key", F.array_join("alerts", ",").alias("alerts"))
 
 
 @query("""SELECT (SELECT count(*) FROM {raw} WHERE structured_at IS NULL AND structure_attempts < 3) AS unstructured, (SELECT count(*) FROM {raw} WHERE structured_at IS NULL AND structure_attempts >= 3) AS given_up,

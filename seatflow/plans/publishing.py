@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.operators import publish
-from seatflow.plans.registry import query, table
+from seatflow.plans.registry import day, query, table
 
-TODAY = F.to_date(F.lit("2001-06-01"))
+TODAY = "2001-06-01"
 OURS = "ours AS (SELECT DISTINCT published_job_id AS job_id FROM {draft} WHERE published_job_id IS NOT NULL)"
 
 
@@ -25,7 +25,7 @@ def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {OURS} SELECT job_id, posted_at, deadline FROM {{job}} WHERE status = 'OPEN' AND CASE WHEN deadline IS NOT NULL THEN deadline >= DATE '2001-06-01' ELSE posted_at + 90 >= DATE '2001-06-01' END
     AND job_id NOT IN (SELECT job_id FROM ours)""")
 def anchor_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.anchors(table(spark, sf_dir, "job"), _ours(spark, sf_dir), TODAY).select("job_id", "posted_at", "deadline")
+    return publish.anchors(table(spark, sf_dir, "job"), _ours(spark, sf_dir), day(TODAY)).select("job_id", "posted_at", "deadline")
 
 
 @query("""SELECT id, concat_ws(',', CASE WHEN region IS NULL THEN 'region' END, CASE WHEN mailbox IS NULL AND address IS NULL THEN 'contact' END) AS lacks
@@ -52,7 +52,7 @@ def publish_release(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {OURS} SELECT job_id FROM {{job}} WHERE status = 'OPEN' AND church_id IS NULL AND deadline < DATE '2001-06-01' AND job_id IN (SELECT job_id FROM ours)""")
 def expired_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.expired(table(spark, sf_dir, "job"), _ours(spark, sf_dir), TODAY)
+    return publish.expired(table(spark, sf_dir, "job"), _ours(spark, sf_dir), day(TODAY))
 
 
 @query("""WITH targets AS (SELECT id, source_key, external_id FROM {raw} WHERE posted_on >= DATE '1998-01-01'),

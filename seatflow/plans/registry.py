@@ -9,10 +9,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-TODAY = "DATE '2001-06-01'"
 
 VIEWS = {
     # postings as read from boards
@@ -73,6 +73,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name], **inputs)
 
 
+def day(text: str) -> Column:
+    return F.lit(text).cast("date")
+
+
 def oracle(sql: str) -> str:
     """The query with the views that it names in front."""
     order: list[str] = []

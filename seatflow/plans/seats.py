@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from seatflow.functions import text as T
 from seatflow.operators import dedup
-from seatflow.plans.registry import query, table
+from seatflow.plans.registry import day, query, table
 
-TODAY = F.to_date(F.lit("2001-06-01"))
+TODAY = "2001-06-01"
 
 
 def drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,13 +129,13 @@ def dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SEATED}, c AS (SELECT *, max(CASE WHEN deadline < DATE '2001-06-01' THEN deadline END) OVER (PARTITION BY church, region, role_key) AS closed_on FROM member)
     SELECT id, closed_on, closed_on IS NULL OR coalesce(deadline >= DATE '2001-06-01', false) OR (deadline IS NULL AND (posted_on > closed_on OR is_owned)) AS open FROM c""")
 def dedup_still_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.still_open(members(spark, sf_dir), TODAY).select("id", "closed_on", "open")
+    return dedup.still_open(members(spark, sf_dir), day(TODAY)).select("id", "closed_on", "open")
 
 
 @query()
 def dedup_full_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules together; place splits hang on order, so tests hold it against permutation and repetition."""
-    return dedup.planned(drafts(spark, sf_dir), TODAY)
+    return dedup.planned(drafts(spark, sf_dir), day(TODAY))
 
 
 @query(f"""WITH {ROUNDS}, m AS (SELECT *, row_number() OVER (PARTITION BY church, region, role_key, round ORDER BY is_owned DESC, (confidence = 'high') DESC, completeness DESC, named DESC, posted_on DESC, id DESC) = 1 AS is_master,

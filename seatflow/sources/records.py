@@ -30,8 +30,9 @@ def require_columns(frame: DataFrame, schema: t.StructType) -> DataFrame:
 def json_records(spark: SparkSession, path: str, schema: t.StructType) -> tuple[DataFrame, DataFrame]:
     """(good rows, corrupt lines) of a file with one record a line."""
     full = t.StructType([*schema.fields, t.StructField("_corrupt", t.StringType())])
-    rows = spark.read.schema(full).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return rows.where("_corrupt is null").drop("_corrupt"), rows.where("_corrupt is not null").select("_corrupt")
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    rows = lines.select("value", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    return rows.where("r._corrupt is null").select("r.*").drop("_corrupt"), rows.where("r._corrupt is not null").select(F.col("value").alias("line"))
 
 
 def board_rules() -> dict[str, Column]:
