@@ -60,6 +60,8 @@ LABELLED = [
     (60, 0.0, 120, 0.05, 90, 0.0, 1, 0, 1), (90, 0.0, 3, 0.0, 75, 0.0, 1, 0, 1), (30, 0.1, 1, 0.0, 20, 0.0, 1, 0, 1), (45, 0.0, 25, 0.0, 0, 0.0, 1, 0, 1),
     (80, 0.0, 200, 0.02, 4, 0.0, 1, 0, 1), (50, 0.0, 35, 0.3, 60, 0.0, 1, 0, 1), (20, 0.0, 6, 0.5, 30, 0.0, 1, 0, 1), (15, 0.0, 9, 1.0, 40, 0.0, 1, 0, 1),
     (25, 0.0, 2, 1.0, 2, 1.0, 1, 0, 1), (400, 0.0, 600, 0.0, 300, 0.0, 1, 0, 1), (5, 0.0, 2, 0.0, 7, 0.0, 1, 0, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 0, 1),
+    (50, 0.05, 2, 0.0, 2, 1.0, 1, 0, 1), (2, 0.0, 2, 0.0, 0, 0.0, 1, 0, 1), (0, 0.0, 2, 0.0, 2, 0.0, 1, 0, 1), (2, 0.0, 2, 1.0, 30, 0.0, 1, 0, 1), (30, 0.0, 3, 0.0, 4, 0.0, 1, 0, 1), (4, 0.0, 3, 0.0, 3, 0.0, 1, 0, 1),
+    (0, 0.0, 3, 0.0, 0, 0.0, 1, 0, 1), (6, 0.0, 5, 0.0, 5, 0.0, 1, 0, 1), (8, 0.0, 3, 0.0, 1, 1.0, 1, 0, 1), (1, 1.0, 3, 0.0, 0, 0.0, 1, 0, 1), (2, 1.0, 4, 0.0, 6, 0.0, 1, 0, 1), (0, 0.0, 2, 1.0, 0, 0.0, 1, 0, 1),
     # furniture inside and outside articles, of any length and link density
     (0, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0), (1, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0), (2, 1.0, 3, 1.0, 10, 0.0, 0, 1, 0), (1, 1.0, 8, 0.0, 8, 0.0, 0, 1, 0),
     (40, 0.0, 9, 0.0, 0, 0.0, 0, 1, 0), (70, 0.0, 15, 0.2, 0, 0.0, 0, 1, 0), (50, 0.0, 60, 0.0, 45, 0.0, 0, 1, 0), (30, 0.0, 120, 0.0, 90, 0.0, 0, 1, 0),
@@ -72,6 +74,9 @@ LABELLED = [
     (60, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0), (1, 1.0, 4, 0.8, 40, 0.0, 0, 0, 0), (50, 0.0, 12, 0.9, 8, 1.0, 0, 0, 0), (3, 1.0, 20, 0.7, 2, 1.0, 0, 0, 0),
     (2, 1.0, 6, 0.0, 1, 1.0, 0, 0, 0), (40, 0.0, 6, 0.0, 0, 0.0, 0, 0, 0), (5, 0.6, 7, 0.0, 4, 0.0, 0, 0, 0), (2, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0),
     (70, 0.0, 30, 0.6, 25, 0.5, 0, 0, 0), (0, 0.0, 40, 0.9, 30, 0.8, 0, 0, 0), (10, 1.0, 5, 0.0, 6, 0.0, 0, 0, 0), (9, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0),
+    (0, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1), (0, 0.0, 25, 0.0, 0, 0.0, 0, 0, 1), (0, 0.0, 250, 0.0, 0, 0.0, 0, 0, 1), (40, 0.0, 60, 0.0, 2, 1.0, 0, 0, 1), (1, 1.0, 40, 0.0, 60, 0.0, 0, 0, 1),
+    (1, 1.0, 45, 0.0, 2, 1.0, 0, 0, 1), (2, 1.0, 120, 0.0, 0, 0.0, 0, 0, 1), (3, 0.0, 80, 0.0, 3, 0.0, 0, 0, 1), (1, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0),
+    (1, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0), (40, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0), (60, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0), (120, 0.0, 40, 0.1, 8, 0.0, 0, 0, 1), (0, 0.0, 1, 1.0, 50, 0.0, 0, 0, 0),
 ]
 
 
