@@ -88,7 +88,7 @@ def test_html(spark):
     markup = H.structure_of(root.first("div.v"))
     assert "<script" not in markup and "class" not in markup and "<b>" not in markup and "data:elided" in markup and "deco" in markup and "no" not in markup.split("four")[1][:12]
     assert H.images_of(root, "https://h/x/y")[0] == "https://h/i.png"
-    assert H.attachments_of(root.first("ul.files"), "https://h/") == [("plan.hwp", "https://h/dl.php?f=a%20b.hwp"), ("view_image.php", "https://h/data/p.jpg"), ("c.pdf", "https://h/down.do?file=c.pdf")]
+    assert H.attachments_of(root.first("ul.files"), "https://h/") == [("plan.hwp", "https://h/dl.php?f=a%20b.hwp"), ("/data/p.jpg", "https://h/data/p.jpg"), ("c.pdf", "https://h/down.do?file=c.pdf")]
     assert H.mail_of("zz") is None and H.mail_of("1a7b") is None
     check(spark, [("1a7b5a7834796f", "a@b.cu"), ("zz", None), ("1a7b", None), (None, None)], H.unmasked(F.col("v")))
     assert each(spark, [(None,), ("",)], H.normalized_text(F.col("v"))) == ["", ""]
