@@ -177,6 +177,22 @@ def test_boards(spark):
     assert one["raw_text"] == "text" and one["image_urls"] == ["https://h/a.png"] and one["attachments"][0]["url"] == "https://h/f.pdf" and two["error"] == "no body"
 
 
+def test_board_irregularities(spark):
+    spec = boards.Spec(rows="li", link="a", date=None, locked=".lock", empty="p.none", encoded_body=True, body="textarea", files="div.f", script_files=r"down\('([^']+)','([^']+)'\)")
+    assert boards.read_list("<p class=none>nothing</p>", "https://h", spec) == ([], None)
+    rows, error = boards.read_list("<li><a href='?no=1'>a</a><li class=x><i class=lock></i><a href='?no=2'>b</a>", "https://h/", spec)
+    assert [r["external_id"] for r in rows] == ["1"] and error is None
+    assert boards.read_list("<li><a href='?no=1'>a</a><li><a href='?no=1'>b</a>", "https://h/", spec)[1] == "an id comes twice"
+    page = "<textarea>&lt;p&gt;inner &lt;b&gt;text&lt;/b&gt;&lt;/p&gt;</textarea><div class=f><a onclick=\"down('/f/1','plan.pdf')\">x</a></div>"
+    got = boards.details(spark.createDataFrame([("X", "https://h/v", page)], "source_key string, url string, html string"), {"X": spec}).first()
+    assert got["raw_text"] == "inner text" and got["attachments"][0]["name"] == "plan.pdf" and got["attachments"][0]["url"] == "https://h/f/1"
+    answers_ = spark.createDataFrame([("J", 1, '{"code": "0", "data": {"list": [{"no": 5, "t": "a", "d": "20260102", "who": "secret", "v": "None"}, {"no": 6, "t": " ", "d": "x", "v": "7"}]}}'), ("J", 2, '{"code": "9", "data": {"list": []}}'), ("J", 3, "<html>")], "source_key string, page int, body string")
+    found = boards.json_listing(answers_, boards.JsonSpec("data.list", "no", "t", "d", keep=("v",), code="code", ok=("0",))).orderBy("page", "pos").collect()
+    assert [(r["external_id"], r["title"], r["meta"], r["error"]) for r in found] == [("5", "a", {}, None), ("6", None, {"v": "7"}, None), (None, None, found[2]["meta"], "the answer says no"), (None, None, found[3]["meta"], "not JSON")]
+    urls = boards.page_addresses(spark.createDataFrame([("K", "https://h/l?a=1", "offset", 0, 50)], "source_key string, list_url string, param string, first_page int, page_step int"), 3)
+    assert [r["url"] for r in urls.orderBy("page").collect()] == ["https://h/l?a=1", "https://h/l?a=1&offset=50", "https://h/l?a=1&offset=100"]
+
+
 def test_robots(spark):
     body = "User-agent: *\nCrawl-delay: 2.5\n\nUser-agent: other\nUser-agent: ourbot # us\nCrawl-delay: 7\nUser-agent: x\nCrawl-delay: 99"
     rows = spark.createDataFrame([("a", body), ("b", "User-agent: *\nCrawl-delay: 3"), ("c", None), ("d", "User-agent: z\nCrawl-delay: 4")], "host string, body string")
