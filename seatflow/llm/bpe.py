@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Pieces and pairs that a worker remembers; past this the memory starts anew.
-MEMORY = 400_000
+MEMORY = 300_000
 _CODERS: dict[tuple, BytePairs] = {}
 
 
@@ -33,56 +34,102 @@ class BytePairs:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {i: token for token, i in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self._fits: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self._reach: dict[bytes, int] = {}  # the longest token with these last three bytes (of two or three bytes: itself)
+        self.length_of = {i: len(token) for token, i in ranks.items()}
+        self._automaton = ahocorasick.Automaton()
+        for token, i in ranks.items():
+            self._automaton.add_word(token.decode("latin-1"), i)
+        self._automaton.make_automaton()
+        for token in ranks:
+            self._reach[token[-3:]] = max(len(token), self._reach.get(token[-3:], 2))
         self._pieces: dict[str, tuple[int, ...]] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """Merges by lowest rank, leftmost first; used on one or two tokens' bytes only."""
+    def merged(self, data: bytes, parts_left: int = 1) -> list[bytes]:
+        """Merges by lowest rank, leftmost first, down to so many parts; used on one token's bytes only."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > parts_left:
             rank, at = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if rank == 1 << 60:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a byte, and for one that no merges lead to."""
+        found = self._halves.get(token, 0)
+        if found == 0:
+            parts = self.merged(self.bytes_of[token], 2)
+            found = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+            self._halves[token] = found
+        return found
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens together encode to just these two."""
-        found = self._fits.get((left, right))
-        if found is None:
-            if len(self._fits) >= 4 * MEMORY:
-                self._fits.clear()
-            found = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-            self._fits[left, right] = found
+        """Whether the bytes of two tokens together encode to just these two.
+
+        Looks back in time at the tokens on either side of the boundary: while both stood there, a
+        merge of the two would have come first if its rank is below that of the merge which ended
+        this. Of equal ranks the leftmost merge comes first.
+        """
+        pair = left << 32 | right
+        found = self._fits.get(pair)
+        if found is not None:
+            return found
+        if len(self._fits) >= 2 * MEMORY:
+            self._fits.clear()
+        a, b, until, found = left, right, 1 << 60, True
+        while True:
+            if self.ranks.get(self.bytes_of[a] + self.bytes_of[b], 1 << 60) < until:
+                found = False
+                break
+            ha, hb = self.halves(a), self.halves(b)
+            if ha is None and hb is None:
+                break
+            if hb is None or (ha is not None and a > b):
+                until, a = a, ha[1]
+            else:  # the merge on the right comes after one at the boundary of the same rank
+                until, b = b + 1, hb[0]
+        self._fits[pair] = found
         return found
 
     def whole(self, token: int) -> bool:
         """Whether the merges of a token's bytes lead to the token."""
-        if token not in self._whole:
-            self._whole[token] = self.merged(self.bytes_of[token]) == [token]
-        return self._whole[token]
+        return len(self.bytes_of[token]) == 1 or self.halves(token) is not None
 
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
         """The token that ends the encoding of data[:end], given those of all shorter prefixes."""
-        for start in range(max(0, end - self.longest), end):
-            token = self.ranks.get(data[start:end])
-            if token is not None and (self.fits(last[start], token) if start else self.whole(token)):
+        ranks, fits = self.ranks.get, self.fits
+        for start in range(max(0, end - self._reach.get(data[max(0, end - 3) : end], 2)), end):
+            token = ranks(data[start:end])
+            if token is not None and (fits(last[start], token) if start else self.whole(token)):
                 return token
         raise ValueError("a byte has no token in this vocabulary")
 
-    def last_tokens(self, data: bytes, last: list[int] | None = None) -> list[int]:
-        """last[i] is the token that ends data[:i]; entries that are given are kept (an append)."""
-        last = [-1] if last is None else last
-        for end in range(len(last), len(data) + 1):
-            last.append(self.last_token(data, end, last))
+    def last_tokens(self, data: bytes) -> list[int]:
+        """last[i] is the token that ends data[:i]; an automaton tells the tokens that end at each byte."""
+        last, known, fits, length = [-1], self._fits.get, self.fits, self.length_of
+        for end, token in self._automaton.iter(data.decode("latin-1")):
+            if len(last) != end + 1:
+                continue  # this prefix has its token already
+            start = end + 1 - length[token]
+            if start:
+                ok = known(last[start] << 32 | token)
+                if ok is None:
+                    ok = fits(last[start], token)
+            else:
+                ok = self.whole(token)
+            if ok:
+                last.append(token)
+        if len(last) != len(data) + 1:
+            raise ValueError("a byte has no token in this vocabulary")
         return last
 
     def read_back(self, last: list[int]) -> tuple[int, ...]:
         out, at = [], len(last) - 1
         while at > 0:
             out.append(last[at])
-            at -= len(self.bytes_of[last[at]])
+            at -= self.length_of[last[at]]
         return tuple(reversed(out))
 
     def piece(self, piece: str) -> tuple[int, ...]:
