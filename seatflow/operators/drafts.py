@@ -59,6 +59,30 @@ def grounded(value: Column, sources: Column) -> Column:
     return F.coalesce((bare != "") & F.exists(sources, lambda s: F.contains(squeeze(s), bare)), F.lit(False))
 
 
+def digits_grounded(value: Column, sources: Column) -> Column:
+    """Each phone number of a value stands, by its digits, within one source."""
+    bare = lambda c: F.regexp_replace(c, "[^0-9]", "")
+    numbers = F.filter(F.transform(F.regexp_extract_all(value, F.lit(r"[0-9][0-9()\s.-]{5,}[0-9]"), F.lit(0)), bare), lambda n: n != "")
+    return (F.size(numbers) > 0) & F.forall(numbers, lambda n: F.exists(sources, lambda s: F.contains(bare(s), n)))
+
+
+def choices_grounded(chosen: Column, evidence: Column, sources: Column) -> Column:
+    """The choices whose evidence, by position, stands in a source; a choice without evidence goes."""
+    pairs = F.arrays_zip(chosen.alias("c"), evidence.alias("e"))
+    return F.transform(F.filter(pairs, lambda p: p["c"].isNotNull() & grounded(p["e"], sources)), lambda p: p["c"])
+
+
+def supported(value: Column, evidence: Column, words: dict[str, list[str]], against: dict[str, list[str]]) -> Column:
+    """Whether the evidence has a word that speaks for the value and none that speaks against it; values without words are taken as they are."""
+    out = F.lit(True)
+    for name, good in words.items():
+        bare = F.coalesce(squeeze(evidence), F.lit(""))
+        yes = bare.rlike("|".join(good))
+        bad = against.get(name)
+        out = F.when(value == name, yes & ~bare.rlike("|".join(bad)) if bad else yes).otherwise(out)
+    return out
+
+
 def verified(answers: DataFrame, fields: list[str], sources: Column, media_sent: Column) -> DataFrame:
     """Ungrounded values are emptied and named in ``scrubbed``; where media were sent they stay and are named in ``unchecked``."""
     bad = {f: _filled(F.col(f)) & ~grounded(F.col(f), sources) for f in fields}
@@ -129,6 +153,15 @@ def confirmed(stated: Column, lines: Column, aliases: list[tuple[str, str]], req
     return F.when(one, F.when(F.size(borne) > 0, F.get(borne, F.lit(0))).when(F.size(lines) == 0, F.element_at(found, -1)))
 
 
+def screen_evidence(entry: Column, ruled_by: Column, field: Column, region: Column) -> Column:
+    """What is told to the reviewer, in four parts."""
+    return F.concat_ws(" · ", entry, ruled_by, field, F.coalesce(region, F.lit("지역 미상")))
+
+
+def reject_reason(screen: Column, closed: Column) -> Column:
+    return F.when(screen == "conclusive", "HERESY").when(closed, "CLOSED")
+
+
 # --- constraints -------------------------------------------------------------------------
 
 

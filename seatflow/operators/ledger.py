@@ -63,3 +63,15 @@ def requeue(rows: DataFrame, drafts: DataFrame) -> tuple[DataFrame, DataFrame]:
         "requeued": cleared, "structured_at": F.when(~cleared, F.col("structured_at")), "structure_attempts": F.when(cleared, 0).otherwise(F.col("structure_attempts")),
     }).drop("_back")
     return out, drafts.join(state, drafts["source_data_id"] == state["_back"], "left_anti")
+
+
+def unstructured(rows: DataFrame, limit: int | None = None, board: str | None = None, most: int = 3) -> DataFrame:
+    """Rows still to be judged, oldest first (a top-k if a limit is given): no verdict and attempts left."""
+    out = rows.where(F.col("structured_at").isNull() & (F.col("structure_attempts") < most))
+    out = out.where(F.col("source_key") == board) if board else out
+    return out.orderBy("posted_on", "id").limit(limit) if limit else out
+
+
+def has_evidence(text, images, attachments, meta_lines):  # noqa: ANN001, ANN201
+    """A text, an image or a file, or at least one line of meta that says something."""
+    return F.coalesce(squeeze(text) != "", F.lit(False)) | (F.size(images) > 0) | (F.size(attachments) > 0) | (F.size(meta_lines) > 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatflow.functions.urls import worth_fetching
@@ -29,3 +29,9 @@ def sniffed(data: Column) -> Column:
 
 def poster_path(source_key: Column, row_id: Column, index: Column, extension: Column) -> Column:
     return F.concat_ws("/", source_key, row_id, F.concat_ws(".", index.cast("string"), extension))
+
+
+def within_budget(media: DataFrame, most: int = 15_000_000) -> DataFrame:
+    """media(id, pos, n_bytes): those of a row, in order, whose running sum stays within the budget."""
+    total = F.sum("n_bytes").over(Window.partitionBy("id").orderBy("pos"))
+    return media.withColumn("_total", total).where(F.col("_total") <= most).drop("_total")

@@ -41,6 +41,38 @@ def with_updates(rows: DataFrame, updates: DataFrame, key: str) -> tuple[DataFra
     return out.drop("_key", *[f"_{c}" for c in columns]), updates.join(rows.select(key), key, "left_anti")
 
 
+def state_updated(rows: DataFrame, updates: DataFrame) -> DataFrame:
+    """updates(id, structured_at, structure_attempts, structure_error) on rows: evidence stays, a verdict is never
+    taken back and attempts never fall. ``refused`` says which rule an update broke; its row stays as it was."""
+    names = ["structured_at", "structure_attempts", "structure_error"]
+    u = updates.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in names])
+    out = rows.join(u, rows["id"] == u["_id"], "left")
+    refused = F.when(F.col("_id").isNull(), None).when(F.col("structured_at").isNotNull() & F.col("_structured_at").isNull(), "the verdict would be lost").when(F.col("_structure_attempts") < F.col("structure_attempts"), "attempts would fall")
+    out = out.withColumn("refused", refused.cast("string"))
+    take = F.col("_id").isNotNull() & F.col("refused").isNull()
+    return out.withColumns({c: F.when(take, F.col(f"_{c}")).otherwise(F.col(c)) for c in names}).drop("_id", *[f"_{c}" for c in names])
+
+
+def attempted(attempts: Column, error: Column, at: Column) -> Column:
+    """struct of the next state: success sets the time and clears the error; either way one attempt more."""
+    return F.struct(F.when(error.isNull(), at).alias("structured_at"), (attempts + 1).alias("structure_attempts"), error.alias("structure_error"))
+
+
+def linked(drafts: DataFrame, wanted: DataFrame, taken_back: DataFrame) -> DataFrame:
+    """wanted(id, job_id) sets a link only where there is none; taken_back(id, job_id) clears one only if it is still that job's."""
+    w = wanted.select(F.col("id").alias("_w"), F.col("job_id").alias("_new"))
+    b = taken_back.select(F.col("id").alias("_b"), F.col("job_id").alias("_old"))
+    out = drafts.join(w, drafts["id"] == w["_w"], "left").join(b, drafts["id"] == b["_b"], "left")
+    link = F.col("published_job_id")
+    return out.withColumn("published_job_id", F.when(link.isNull(), F.col("_new")).when(link.eqNullSafe(F.col("_old")), None).otherwise(link)).drop("_w", "_new", "_b", "_old")
+
+
+def preview(rows: DataFrame, volatile: list[str]) -> DataFrame:
+    """Without what changes from run to run, columns by name and rows in order, for a diff."""
+    kept = sorted(c for c in rows.columns if c not in volatile)
+    return rows.select(*kept).orderBy(*kept)
+
+
 def compared(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """(key, field, left_value, right_value) for each differing field of shared keys, and rows that only one side has."""
     fields = [c for c in one.columns if c != key]
