@@ -86,8 +86,8 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL = {
     "op2_substring_dedup": r"""
         WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
-        at AS (SELECT doc_id, words, unnest(range(len(words) - 49)) AS p FROM docs WHERE len(words) >= 50),
-        windows AS (SELECT doc_id, p, md5(array_to_string(words[p + 1 : p + 50], ' ')) AS w FROM at),
+        starts AS (SELECT doc_id, words, unnest(range(len(words) - 49)) AS p FROM docs WHERE len(words) >= 50),
+        windows AS (SELECT doc_id, p, md5(array_to_string(words[p + 1 : p + 50], ' ')) AS w FROM starts),
         firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
         gone AS (SELECT DISTINCT doc_id, unnest(range(p + 1, p + 51)) AS i FROM windows JOIN firsts USING (w) WHERE doc_id > first),
         lost AS (SELECT doc_id, count(*) AS lost FROM gone GROUP BY doc_id),
@@ -96,6 +96,20 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(lost, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM docs LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op4_suffix_array_dedup": r"""
+        WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        starts AS (SELECT doc_id, h, unnest(range(len(h) // 2 - 199)) AS p FROM docs WHERE len(h) >= 400),
+        strings AS (SELECT doc_id, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), 400)) AS m FROM starts),
+        twice AS (SELECT m FROM strings GROUP BY m HAVING count(*) > 1),
+        marked AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM strings SEMI JOIN twice USING (m)),
+        runs AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p - before > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + 200 AS b FROM runs GROUP BY doc_id, run),
+        gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS free FROM spans),
+        cut AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS ends,
+            string_agg(substr(h, CAST(2 * free + 1 AS BIGINT), CAST(2 * (a - free) AS BIGINT)), '' ORDER BY a) AS head FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+            sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(ends, 0) + 1 AS BIGINT)))) AS kept_sha256 FROM docs LEFT JOIN cut USING (doc_id)
+    """,
     "op8_mixing": r"""
         WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
         dealt AS (SELECT *, length(bin(size)) * 16 + (size >> greatest(length(bin(size)) - 4, 0)) AS cls,
