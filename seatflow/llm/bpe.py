@@ -22,8 +22,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seatflow.llm.common import lean
+
 #: Pieces and pairs that a worker remembers; past this the memory starts anew.
-MEMORY = 300_000
+MEMORY = 200_000
 _CODERS: dict[tuple, BytePairs] = {}
 
 
@@ -233,9 +235,12 @@ def _coder(shared: Broadcast) -> BytePairs:
     return _CODERS[key]
 
 
-def encode(documents: DataFrame, shared: Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) for each row, in tasks that see only these two columns."""
-    frame = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def encode(documents: DataFrame, shared: Broadcast, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) for each row, in tasks that see only these two columns.
+
+    decoded: also the bytes that the ids decode to, by the same worker; decode() does it for ids at hand.
+    """
+    frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
@@ -243,9 +248,13 @@ def encode(documents: DataFrame, shared: Broadcast, id_col: str = "doc_id", text
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = [coder.encode(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                columns = {"doc_id": part.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))}
+                if decoded:
+                    columns["decoded"] = pa.array([coder.decode(x) for x in ids], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    kind = frame.schema["doc_id"].dataType.simpleString()
+    return frame.mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, shared: Broadcast, ids_col: str = "ids") -> DataFrame:
@@ -253,7 +262,7 @@ def decode(encoded: DataFrame, shared: Broadcast, ids_col: str = "ids") -> DataF
 
     @F.pandas_udf("binary")
     def decoded(ids):  # noqa: ANN001, ANN202
-        coder = _coder(shared)
-        return ids.map(lambda x: b"" if x is None else coder.decode(x.tolist()))
+        bytes_of = {i: token for token, i in shared.value[2].items()}
+        return ids.map(lambda x: b"" if x is None else b"".join([bytes_of[i] for i in x.tolist()]))
 
     return encoded.withColumn("decoded", decoded(F.col(ids_col)))

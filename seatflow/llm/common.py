@@ -20,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Texts to an Arrow batch at most: whole texts are long, and a Python worker holds a batch several times over.
+BATCH_ROWS = 1_000
+
+
+def lean(frame: DataFrame) -> DataFrame:
+    """The same frame; lowers its session's Arrow batch size to BATCH_ROWS, so that workers stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(frame.sparkSession.conf.get(key)) > BATCH_ROWS:
+        frame.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return frame
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or (as in tests) one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -133,6 +145,14 @@ def run_hashes(values: np.ndarray, width: int, doubled: dict[int, np.ndarray] |
     return out
 
 
+def span_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of values, of any length."""
+    up, down = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return mixed((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of each run of `width` values, by doubling."""
     n = len(values) - width + 1

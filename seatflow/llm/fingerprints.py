@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatflow.llm.common import lean
 from seatflow.llm.minhash import fingerprint, likeness
 
 LEAST_ID = -(1 << 63)
@@ -41,7 +42,7 @@ def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comes last. One row is its own next; an empty table gives an empty result.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID))
-    frame = documents.select(F.col(id_col).alias("doc_id"), key.alias("place"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    frame = lean(documents).select(F.col(id_col).alias("doc_id"), key.alias("place"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     rows = documents.count()

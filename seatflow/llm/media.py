@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatflow.llm.common import lean
 from seatflow.llm.matroska import FRAME, parsed, samples, written
 
 
@@ -19,7 +20,7 @@ def payload_of(text: str | None) -> bytes:
 
 def stored_media(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, media binary): each text's payload as the samples of a Matroska file."""
-    frame = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     @F.pandas_udf("binary")
     def media(texts: pd.Series) -> pd.Series:

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatflow.llm.common import lean
 from seatflow.llm.trees import Tree, classified, walk
 
 # Kinds of HTML elements.
@@ -219,6 +220,6 @@ def extracted(pages: DataFrame, html_col: str = "html", out: str = "text") -> Da
     def text(htmls: pd.Series) -> pd.Series:
         return htmls.map(lambda h: main_text(h, tree))
 
-    return pages.withColumn(out, text(F.col(html_col)))
+    return lean(pages).withColumn(out, text(F.col(html_col)))
 
 

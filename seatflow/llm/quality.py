@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import WORD, held_out, stored
+from seatflow.llm.common import WORD, held_out, lean, stored
 from seatflow.llm.trees import boosted
 
 #: About how many labelled rows the trees learn from at most.
@@ -57,7 +57,7 @@ def statistics(text: str | None) -> list[float]:
 
 def document_statistics(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, features array<double>) for each row."""
-    frame = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -106,4 +106,4 @@ def accepted(documents: DataFrame, model: Broadcast, text_col: str = "text", lea
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series(model.value.score(np.array([statistics(t) for t in texts], dtype=float).reshape(-1, len(FEATURES))))
 
-    return documents.where(score(F.col(text_col)) >= least)
+    return lean(documents).where(score(F.col(text_col)) >= least)

@@ -37,7 +37,7 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = bpe.shared_coder(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), coder), coder)
+    out = bpe.encode(table(spark, sf_dir, "documents"), coder, decoded=True)
     ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), sha256("decoded").alias("decoded_sha256"))
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import WORD, checkpoint
+from seatflow.llm.common import WORD, checkpoint, lean
 from seatflow.llm.components import connected_components
 
 HALF = 32
@@ -42,7 +42,7 @@ def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp long: the 64 bits as a signed number) for each row; null and empty texts have 0."""
-    frame = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:

@@ -16,6 +16,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatflow.llm.common import lean
+
 BLOCK = 1 << 16
 ROWS = 2
 #: Counters in a row: at least LEAST; at most MOST, at which the broadcast bits take 2 * 2**29 / 8 bytes = 128 MB.
@@ -83,7 +85,7 @@ def repeated_bits(frame: DataFrame, keys_of: Callable[[pd.DataFrame], Iterator[n
         if at is not None:
             yield bits()
 
-    counted = frame.mapInPandas(count, "block long, once binary, more binary")
+    counted = lean(frame).mapInPandas(count, "block long, once binary, more binary")
     merged = counted.repartition("block").sortWithinPartitions("block").mapInPandas(merge, "block long, bits binary")
     full = bytearray(ROWS * width // 8)
     for row in merged.toLocalIterator():  # of a fixed size: ROWS * width bits
