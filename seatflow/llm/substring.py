@@ -3,8 +3,14 @@
 A window is a number of consecutive words of one document. The sketch counts, once per document,
 the least hash among the 16-word grams inside each window (its anchor). Equal windows have equal
 anchors, so the estimate is never below the number of documents that hold the window, and a
-document adds one key for about 18 windows. The second pass groups, by a 128-bit hash of the
-whole window, only windows whose anchor is estimated to repeat; none that repeats is lost.
+document adds one key for about 18 windows. The second pass groups only windows whose anchor is
+estimated to repeat; none that repeats is lost.
+
+It groups in two steps. Windows of one anchor in a row are a run. Runs are grouped first, by the
+hash of all their words: where an earlier document has the same run, all its windows repeat. The
+windows of each run's first document are then grouped one by one, by anchor and hash (128 bits); the
+first document of a window is always the first of the run that holds it there, so none is missed.
+Copies and the inside of common passages so cost a row a run.
 """
 
 from __future__ import annotations
@@ -13,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import CODES2, WORD, mixed, row_tag, run_hashes, sliding_min, word_hashes
+from seatflow.llm.common import CODES2, WORD, mixed, row_tag, run_hashes, sliding_min, span_hashes, stored, word_hashes
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WINDOW, GRAM = 50, 16
@@ -33,9 +40,9 @@ def _anchors(words: np.ndarray, window: int) -> np.ndarray:
 
 
 def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tag): the starts of windows whose words also start in a document of a smaller id.
+    """(doc_id, tag, n): n windows in a row whose words also start in a document of a smaller id.
 
-    tag holds the start in its low 40 bits and 24 bits of the text's hash above. Null ids neither
+    tag holds the first start in its low 40 bits and 24 bits of the text's hash above. Null ids neither
     lose words nor count as smaller.
     """
     frame = documents.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -49,23 +56,46 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
     bytes_in = text_bytes(frame)
     bits = repeated_bits(frame.select("text"), anchors, width_for(bytes_in / 100))  # about 18 words of 6 bytes a key
 
-    def candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for doc_id, text, tag in zip(part["doc_id"], part["text"], part["tag"]):
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, tags = batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            owner, out = [], [[] for _ in range(6)]
+            for i, text in enumerate(texts):
                 data = _words(text)
                 words = word_hashes(data)
-                at = np.flatnonzero(repeated(bits.value, _anchors(words, window)))
-                if not len(at):
+                anchor = _anchors(words, window)
+                begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.empty(0, np.int64)
+                lengths = np.diff(np.append(begins, len(anchor)))
+                kept = repeated(bits.value, anchor[begins])
+                if not kept.any():
                     continue
-                one = run_hashes(words, window)[at].view(np.int64)
-                two = run_hashes(word_hashes(data, CODES2), window)[at].view(np.int64)
-                yield pd.DataFrame({"one": one, "two": two, "doc_id": doc_id, "tag": tag + at})
+                begins, lengths = begins[kept], lengths[kept]
+                ends = begins + lengths + window - 1
+                owner.append(np.full(len(begins), i))
+                windows = run_hashes(words, window)[np.repeat(begins, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)]
+                for column, values in zip(out, (span_hashes(words, begins, ends), span_hashes(word_hashes(data, CODES2), begins, ends) >> np.uint64(32), anchor[begins], tags[i] + begins, lengths, windows)):
+                    column.append(values)
+            if not owner:
+                continue
+            one, two, anchor, tag, n, windows = (np.concatenate(x) for x in out)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(windows.view(np.int64)))
+            doc_id = batch.column(0).take(pa.array(np.concatenate(owner)))
+            columns = [pa.array(one.view(np.int64)), pa.array(two.astype(np.int64)), pa.array(anchor.view(np.int64)), doc_id, pa.array(tag.astype(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["one", "two", "anchor", "doc_id", "tag", "hashes"])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    rows = frame.withColumn("tag", row_tag(F.col("text"))).mapInPandas(candidates, f"one long, two long, doc_id {kind}, tag long")
-    firsts = rows.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    firsts = firsts.where("first < last").drop("last")
-    return rows.join(firsts, ["one", "two"]).where("doc_id > first").select("doc_id", "tag")
+    rows = frame.withColumn("tag", row_tag(F.col("text"))).mapInArrow(runs, f"one long, two long, anchor long, doc_id {kind}, tag long, hashes array<long>")
+    firsts = rows.groupBy("one", "two").agg(F.min("doc_id").alias("first"))
+    earlier = F.col("doc_id") > F.col("first")
+    told = rows.join(firsts, ["one", "two"]).select("doc_id", "tag", F.size("hashes").cast("long").alias("n"), earlier.alias("earlier"), F.when(~earlier, F.col("anchor")).alias("anchor"), F.when(~earlier, F.col("hashes")).alias("hashes"))
+    told = stored(told)
+    whole = told.where("earlier").select("doc_id", "tag", "n")
+
+    each = told.where("not earlier").select("anchor", "doc_id", "tag", F.posexplode("hashes").alias("at", "hash"))
+    each = each.select("anchor", "hash", "doc_id", (F.col("tag") + F.col("at")).alias("tag"))
+    firsts = each.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
+    single = each.join(firsts, ["anchor", "hash"]).where("doc_id > first").select("doc_id", "tag", F.lit(1).cast("long").alias("n"))
+    return whole.unionAll(single)
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,7 +107,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "d
     """
     names = documents.columns
     starts = repeated_windows(documents, window, id_col, text_col)
-    starts = starts.select("doc_id", F.expr("tag & ~1099511627775L").alias("mark"), F.expr("tag & 1099511627775L").alias("at"))
+    starts = starts.select("doc_id", F.expr("tag & ~1099511627775L").alias("mark"), F.struct(F.expr("tag & 1099511627775L").alias("at"), "n").alias("at"))
     # per document, so a list is never longer than a text
     starts = starts.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("at").alias("_at"))
     rows = documents.withColumn("_row", F.struct(*names)).select("_row", F.col(id_col).alias("_own"), row_tag(F.col(text_col)).alias("_tag"))
@@ -91,9 +121,9 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "d
             n = len(words)
             if found is not None and len(found):
                 edge = np.zeros(n + 1, np.int64)
-                starts = np.unique(found)
-                edge[starts] += 1
-                edge[starts + window] -= 1
+                for start in found:
+                    edge[start["at"]] += 1
+                    edge[start["at"] + start["n"] + window - 1] -= 1
                 words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:n]) == 0)]
             out.append((n, n - len(words), b" ".join(words).decode("utf-8")))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
