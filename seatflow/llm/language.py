@@ -2,33 +2,40 @@
 
 Tokens are lower-cased words and one end per text. Counts are exact over all training texts. The
 lowest order is add-half over the words seen and one class for all unseen ones. Higher orders keep
-an n-gram if its count is at least a share of all training tokens (so there can be only so many,
-at any size of corpus), discount it by a constant, and give the rest to the shorter history. Kept histories
-are states, kept n-grams are arcs, and each state has a failure arc to its longest kept
-suffix that carries the backoff weight. A text is read once from left to right: a token with no arc follows
-failure arcs and adds their weights. Words too rare for the automaton leave it at its root; their
-unigram is looked up by an equality join, so no vocabulary is sent to tasks whole.
+every n-gram that occurs twice, at any size of corpus, discount it by a constant, and give the rest
+to the shorter history. Kept histories are states, kept n-grams are arcs, and each state has a failure
+arc to its longest kept suffix that carries the backoff weight.
+
+States and arcs are tables, keyed by 64-bit hashes. Each arc holds how its weight differs from that of
+the failure path beside it, so a path's weight is a sum over the words, bigrams and trigrams of its
+text. Texts are dealt into blocks; a block asks for each n-gram once, gets the weights by an equality
+join and sums them text by text. built() and traverse() are the same automaton held in memory.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from seatflow.llm.common import WORD, held_out, lean, stored
+from seatflow.llm.common import held_out, lean, mixed, stored, word_hashes
 
-SPACE = r"[\x20\x09-\x0D]+"
-#: Shares of the training tokens that a word (2e-6: at most 500,000) and an n-gram (2e-5: at most 50,000 an order) of the automaton has at least.
-WORD_SHARE, GRAM_SHARE = 2e-6, 2e-5
-LEAST_COUNT, ORDER, DISCOUNT = 2, 3, 0.5
+LEAST_COUNT, DISCOUNT = 2, 0.5
 #: N-grams that a task counts before it sends them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 21
+#: Hashes in the place of words: of a text's start and end.
+START, END = np.uint64(0x53D1C0FFEE5EED01), np.uint64(0x2E0D0FAB1E0DDE77)
+#: Code points of text to a block, and the least blocks.
+BLOCK_CHARS, LEAST_BLOCKS = 24_000_000, 12
+#: The filter of kept bigrams has at most so many bits (128 MB); past that it passes more trigrams on and loses none.
+FILTER_BITS, SLICE_BITS = 1 << 30, 1 << 23
 
 
 class Automaton(NamedTuple):
@@ -44,64 +51,97 @@ class Automaton(NamedTuple):
     fail: list[tuple[int, float]]
 
 
-def lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of a pair of hashes."""
+    return mixed(mixed(left) * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
-def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, c) over all texts."""
-    words = texts.select(F.explode(F.split(lower(F.col(text_col)), SPACE)).alias("word")).where("word <> ''")
-    return words.groupBy("word").agg(F.count("*").alias("c"))
+@F.pandas_udf(LongType())
+def joined_key(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series(joined(left.to_numpy(np.int64).view(np.uint64), right.to_numpy(np.int64).view(np.uint64)).view(np.int64))
 
 
-def ids_of(text: str | None, words: dict[bytes, int], end: int) -> tuple[list[int], list[bytes]]:
-    """Ids of a text's tokens with the end, -1 for words outside; and those words."""
-    tokens = WORD.findall((text or "").encode("utf-8").lower())
-    get = words.get
-    ids = [get(t, -1) for t in tokens]
-    return [*ids, end], [t for t, i in zip(tokens, ids) if i < 0]
+def hashes_of(text: str) -> np.ndarray:
+    """Hashes of a text's words, between its start and its end."""
+    data = np.frombuffer(text.encode("utf-8").lower(), np.uint8)
+    return np.concatenate(([START], word_hashes(data), [END])).astype(np.uint64)
 
 
-def gram_counts(texts: DataFrame, words, end: int, kept: set[int] | None, n: int, least: int, text_col: str = "text") -> dict[int, int]:  # noqa: ANN001
-    """Counts of n-grams of known ids (2 or 3), those of at least `least`; a text begins with id end + 1.
+def single_words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    words = hashes_of(text)[1:-1]
+    return words, words
+
+
+def word_pairs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    words = hashes_of(text)
+    return words[:-1], words[1:]
+
+
+def pairs_of_pairs(kept: Broadcast) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """Trigrams as their two bigrams, where the filter passes both: a trigram is never more frequent than they."""
+
+    def of(text: str) -> tuple[np.ndarray, np.ndarray]:
+        words = hashes_of(text)
+        pairs = joined(words[:-1], words[1:])
+        passed = in_filter(pairs, kept.value)
+        both = passed[:-1] & passed[1:]
+        return pairs[:-1][both], pairs[1:][both]
+
+    return of
 
-    An n-gram's key is its ids in base end + 2. kept: keys of the (n-1)-grams that both ends must be among.
-    """
-    base = end + 2
-    shared = texts.sparkSession.sparkContext.broadcast(None if kept is None else np.array(sorted(kept), np.int64))
+
+def gram_counts(texts: DataFrame, grams: Callable[[str], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(a, b, c): exact counts of the n-grams of all texts, each as a pair of hashes."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, known, held, size = words.value, shared.value, [], 0
+        left, right, size = [], [], 0
 
         def counted() -> pd.DataFrame:
-            keys, c = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"key": keys, "c": c.astype(np.int64)})
+            a, b = np.concatenate(left), np.concatenate(right)
+            _, at, c = np.unique(joined(a, b), return_index=True, return_counts=True)
+            return pd.DataFrame({"a": a[at].view(np.int64), "b": b[at].view(np.int64), "c": c.astype(np.int64)})
 
         for part in parts:
             for text in part["text"]:
-                ids = np.array([end + 1, *ids_of(text, table, end)[0]], np.int64)
-                keys = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * base + ids[1:], -1)
-                if known is not None:
-                    keys = keys if n == 2 else np.where(isin_sorted(keys, known), keys, -1)
-                    keys = np.where((keys[:-1] >= 0) & (keys[1:] >= 0), keys[:-1] * base + ids[2:], -1)
-                keys = keys[keys >= 0]
-                held.append(keys)
-                size += len(keys)
-            if size >= FLUSH:
-                yield counted()
-                held, size = [], 0
-        if held:
+                a, b = grams(text)
+                left.append(a)
+                right.append(b)
+                size += len(a)
+                if size >= FLUSH:
+                    yield counted()
+                    left, right, size = [], [], 0
+        if size:
             yield counted()
 
-    counts = texts.select(F.col(text_col).alias("text")).mapInPandas(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    return {r["key"]: r["c"] for r in counts.where(F.col("c") >= least).toLocalIterator()}  # at most 1 / GRAM_SHARE rows
+    return texts.select("text").mapInPandas(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def in_filter(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(8 * len(bits) - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
 
+def key_filter(keys: DataFrame, rows: int) -> np.ndarray:
+    """A bit for each key (column key) by its lower bits; each slice of the bits is made by one task."""
+    size = max(1 << 16, min(FILTER_BITS, 1 << (8 * max(rows, 1)).bit_length()))
+    each = min(size, SLICE_BITS)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slices: dict[int, np.ndarray] = {}
+        for part in parts:
+            at = part["key"].to_numpy(np.int64) & (size - 1)
+            for s in np.unique(at // each).tolist():
+                own = at[at // each == s] % each
+                bits = slices.setdefault(s, np.zeros(each // 8, np.uint8))
+                np.bitwise_or.at(bits, own >> 3, np.left_shift(1, own & 7).astype(np.uint8))
+        for s, bits in slices.items():
+            yield pd.DataFrame({"slice": [s], "bits": [bits.tobytes()]})
 
-def isin_sorted(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return known[at] == keys
+    dealt = keys.select("key").repartition(size // each, F.shiftright(F.col("key").bitwiseAND(size - 1), each.bit_length() - 1))
+    out = np.zeros(size // 8, np.uint8)
+    for r in dealt.mapInPandas(run, "slice long, bits binary").toLocalIterator():
+        out[r["slice"] * each // 8 : (r["slice"] + 1) * each // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def built(words: dict[bytes, int], counts: np.ndarray, texts: int, total: int, distinct: int, grams: list[dict[int, int]]) -> Automaton:
@@ -173,6 +213,47 @@ def traverse(automaton: Automaton, ids: list[int]) -> float:
     return total
 
 
+def weights(words: DataFrame, train: DataFrame, texts: int, room: float) -> DataFrame:
+    """The automaton of the texts as (key, unigram, more): log10 probabilities of words, and what a word, bigram or trigram adds.
+
+    A history's weight is added with its last word or bigram, whatever follows. A kept n-gram adds the
+    rest up to its own probability. words: (a, c), each with its count.
+    """
+    spark = words.sparkSession
+    known = words.unionByName(spark.createDataFrame([(int(x.view(np.int64)), texts) for x in (START, END)], "a long, c long"))
+    known = known.select("a", F.col("c").alias("seen"), ((F.col("c") + 0.5) / F.lit(room)).alias("p1"))
+
+    def backoff(left: str, below: str) -> Column:
+        return F.log10(F.when(F.col(below) > 1e-12, F.col(left) / F.col(below)).otherwise(1.0))
+
+    two = stored(gram_counts(train, word_pairs).where(F.col("c") >= LEAST_COUNT).withColumn("key", joined_key("a", "b")))
+    two = two.join(known.select(F.col("a").alias("b"), "p1"), "b").join(known.select("a", "seen"), "a")
+    two = stored(two.select("key", "a", "c", "p1", ((F.col("c") - DISCOUNT) / F.col("seen")).alias("p2")))
+    after = two.groupBy("a").agg((1 - F.sum("p2")).alias("left"), (1 - F.sum("p1")).alias("below")).select("a", backoff("left", "below").alias("w1"))
+    after = stored(after)
+
+    kept = spark.sparkContext.broadcast(key_filter(two, two.count()))
+    three = gram_counts(train, pairs_of_pairs(kept)).where(F.col("c") >= LEAST_COUNT)
+    three = three.join(two.select(F.col("key").alias("b"), "p2"), "b").join(two.select(F.col("key").alias("a"), F.col("c").alias("seen")), "a")
+    three = stored(three.select("a", "b", "p2", ((F.col("c") - DISCOUNT) / F.col("seen")).alias("p3")))
+    later = three.groupBy("a").agg((1 - F.sum("p3")).alias("left"), (1 - F.sum("p2")).alias("below")).select("a", backoff("left", "below").alias("w2"))
+    later = stored(later)
+
+    none = F.lit(0.0)
+    one = known.join(after, "a", "left").select(F.col("a").alias("key"), F.log10("p1").alias("unigram"), F.coalesce("w1", none).alias("more"))
+    arcs = two.join(after, "a").select("key", (F.log10("p2") - F.log10("p1") - F.col("w1")).alias("d"))
+    arcs = arcs.join(later.withColumnRenamed("a", "key"), "key", "left").select("key", none.alias("unigram"), (F.col("d") + F.coalesce("w2", none)).alias("more"))
+    longer = three.join(later, "a").select(joined_key("a", "b").alias("key"), none.alias("unigram"), (F.log10("p3") - F.log10("p2") - F.col("w2")).alias("more"))
+    return stored(one.unionByName(arcs).unionByName(longer))
+
+
+def keys_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a text's words, and of its start, end, bigrams and trigrams."""
+    words = hashes_of(text)
+    pairs = joined(words[:-1], words[1:])
+    return words[1:-1], np.concatenate((words[:1], words[-1:], pairs, joined(pairs[:-1], pairs[1:])))
+
+
 def scored(documents: DataFrame, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row.
 
@@ -182,47 +263,53 @@ def scored(documents: DataFrame, remainder: int = 1, id_col: str = "doc_id", tex
     """
     spark = documents.sparkSession
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    frame = frame.withColumns({"held_out": held_out(F.col("doc_id"), remainder), "text_hash": F.xxhash64("text")})
+    frame = frame.withColumn("held_out", held_out(F.col("doc_id"), remainder))
     train = frame.where(~F.col("held_out"))
-    texts = train.count()
-    counts = stored(word_counts(train))
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    sizes = frame.agg(F.count(F.when(~F.col("held_out"), 1)).alias("texts"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    texts, blocks = sizes["texts"], max(LEAST_BLOCKS, -(-sizes["chars"] // BLOCK_CHARS))
+    words = stored(gram_counts(train, single_words).select("a", "c"))
+    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + texts, sums["v"] + (texts > 0)
     room = total + 0.5 * (distinct + 1)
+    unseen = math.log10(0.5 / room)
+    model = weights(words, train, texts, room)
 
-    common = max(LEAST_COUNT, math.ceil(WORD_SHARE * total))
-    top = [(r["word"].encode("utf-8"), r["c"]) for r in counts.where(F.col("c") >= common).toLocalIterator()]  # at most 1 / WORD_SHARE
-    top.sort(key=lambda x: (-x[1], x[0]))
-    words, c = {w: i for i, (w, _) in enumerate(top)}, np.array([n for _, n in top], np.int64)
-    least = max(LEAST_COUNT, math.ceil(GRAM_SHARE * total))
-    # an n-gram is never more frequent than its words, so only words of that count can be in one
-    able = spark.sparkContext.broadcast({w: i for i, (w, n) in enumerate(top) if n >= least})
-    grams: list[dict[int, int]] = []
-    for n in range(2, ORDER + 1):
-        grams.append(gram_counts(train, able, len(top), set(grams[-1]) if grams else None, n, least))
-    model = spark.sparkContext.broadcast((built(words, c, texts, total, distinct, grams), np.log10((np.append(c, texts) + 0.5) / room)))
-    kind = frame.schema["doc_id"].dataType.simpleString()
+    frame = frame.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    kept = spark.sparkContext.broadcast(key_filter(model, model.count()))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton, unigram = model.value
+    def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, np.ndarray] = {}
         for part in parts:
-            out = []
-            for doc_id, text, held, digest in zip(part["doc_id"], part["text"], part["held_out"], part["text_hash"]):
-                ids, rare = ids_of(text, automaton.words, automaton.end)
-                known = np.array(ids, np.int64)
-                known = known[known >= 0]
-                out.append((doc_id, held, digest, len(ids), len(known) - (texts == 0), float(unigram[known].sum()), traverse(automaton, ids), [t.decode("utf-8") for t in rare]))
-            yield pd.DataFrame(out, columns=["doc_id", "held_out", "text_hash", "n_tokens", "n_known", "base_score", "score", "rare"])
-
-    read = frame.mapInPandas(run, f"doc_id {kind}, held_out boolean, text_hash long, n_tokens long, n_known long, base_score double, score double, rare array<string>")
-    read = stored(read)
-    # the rest of each score: rare words by their counts, unseen ones as the one class for all of them
-    rare = read.select("doc_id", "text_hash", F.explode("rare").alias("word")).join(counts, "word", "left")
-    rest = rare.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(room))).alias("_rest"), F.count("c").alias("_known"))
-    times = Window.partitionBy("doc_id", "text_hash")  # rows alike in id and text were summed together
-    out = read.drop("rare").withColumn("_times", F.count("*").over(times))
-    out = out.join(rest, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    more, seen = F.coalesce(F.col("_rest") / F.col("_times"), F.lit(0.0)), F.coalesce((F.col("_known") / F.col("_times")).cast("long"), F.lit(0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + seen).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                      (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+            for block, own in part.groupby("block")["text"]:
+                keys = np.unique(np.concatenate([np.concatenate(keys_of(t)) for t in own]))
+                held[block] = np.union1d(held.get(block, keys[:0]), keys[in_filter(keys, kept.value)])
+            if sum(map(len, held.values())) >= FLUSH:
+                yield from (pd.DataFrame({"block": b, "key": k.view(np.int64)}) for b, k in held.items())
+                held = {}
+        yield from (pd.DataFrame({"block": b, "key": k.view(np.int64)}) for b, k in held.items())
+
+    dealt = frame.select("block", "text").repartition(int(blocks), "block")
+    answers = dealt.mapInPandas(asked, "block long, key long").join(model, "key")
+    kind = frame.schema["doc_id"].dataType.simpleString()
+
+    def summed(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        found = found.drop_duplicates("key")  # a block may have asked twice
+        keys = found["key"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        keys, unigram, more = keys[order], found["unigram"].to_numpy(float)[order], found["more"].to_numpy(float)[order]
+
+        def places(wanted: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(keys, wanted)
+            at, wanted = at[at < len(keys)], wanted[at < len(keys)]
+            return at[keys[at] == wanted]
+
+        out = []
+        for doc_id, text, held in zip(rows["doc_id"], rows["text"], rows["held_out"]):
+            own, other = keys_of(text)
+            at, beside = places(own), places(other)
+            base = unigram[at].sum() + unseen * (len(own) - len(at)) + math.log10((texts + 0.5) / room)
+            out.append((doc_id, held, len(own) + 1, len(at) + (texts > 0), float(base), float(base + more[at].sum() + more[beside].sum())))
+        return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]).astype({"doc_id": rows["doc_id"].dtype})
+
+    out = frame.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(summed, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

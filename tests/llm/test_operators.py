@@ -1,5 +1,6 @@
 """Each operator against brute force on a small fixture, and its edge cases."""
 
+import collections
 import hashlib
 import math
 import re
@@ -429,3 +430,26 @@ def test_language_edges(nothing, awkward):
     assert len(rows) == 8
     twice = [r for r in rows if r["doc_id"] == 4 and r["n_tokens"] == 7]
     assert len(twice) == 2 and twice[0]["n_known"] == twice[1]["n_known"] == 7
+
+
+def test_language_keeps_every_repeated_gram_at_any_size(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.zipf(1.3, 400), 3000))) for i in range(400)]
+    rows += [(1000 + i, f"rare{i // 2} pair{i // 2} of{i // 2}") for i in range(40)]
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    learned = [t.encode().split() for i, t in rows if not held[i]]
+    counts = collections.Counter(w for t in learned for w in t)
+    ids = {w: i for i, w in enumerate(sorted(counts))}
+    end, base, grams = len(ids), len(ids) + 2, [collections.Counter(), collections.Counter()]
+    for t in learned:
+        seq = [end + 1, *[ids[w] for w in t], end]
+        grams[0].update(a * base + b for a, b in zip(seq, seq[1:]))
+        grams[1].update((a * base + b) * base + c for a, b, c in zip(seq, seq[1:], seq[2:]))
+    total = sum(counts.values()) + len(learned)
+    assert total > 100_000
+    m = language.built(ids, np.array([counts[w] for w in ids]), len(learned), total, len(ids) + 1, [{k: c for k, c in g.items() if c >= 2} for g in grams])
+    unseen = math.log10(0.5 / (total + 0.5 * (len(ids) + 2)))
+    got = {r["doc_id"]: r["score"] for r in language.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        seq = [ids.get(w, -1) for w in t.encode().split()]
+        assert math.isclose(got[i], language.traverse(m, [*seq, end]) + unseen * seq.count(-1), rel_tol=1e-9)
