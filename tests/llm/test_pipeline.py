@@ -2,6 +2,7 @@
 
 import collections
 import importlib
+import random
 import sys
 
 import pytest
@@ -107,3 +108,21 @@ def test_the_entry_works_without_the_operators(monkeypatch):
         assert "pipeline" in importlib.reload(__spark_entry__).queries()
 
 
+def test_near_duplicate_stage_links_at_four_fifths(spark, folder):
+    rng, texts = random.Random(11), {}
+    for g in range(60):
+        base = [f"{rng.choice('bcdfg')}{rng.randint(0, 4000)}" for _ in range(rng.choice([5, 9, 40, 120, 400]))]
+        for k in range(4):
+            copy = list(base)
+            for _ in range(k * len(base) // 90 + (k > 2)):
+                copy[rng.randrange(len(copy))] = f"new{rng.randint(0, 9999)}"
+            texts[10 * g + k] = " ".join(copy)
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, w in ((i, t.split()) for i, t in texts.items())}
+    root = {i: i for i in sets}
+    pairs = [(i, j) for i in sets for j in sets if i // 10 == j // 10 and i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for _ in range(4):
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    assert 60 < len(set(root.values())) < len(texts)
+    assert {r[0] for r in rows(P.drop_near_duplicates(spark, docs, folder))} == set(root.values())
