@@ -6,10 +6,10 @@ Words are maximal runs of bytes other than space and 0x09-0x0D in the UTF-8 text
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +33,19 @@ def lean(frame: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or (as in tests) one of our own."""
+    """The folder that all executors share, as spark.checkpoint.dir names it; without one nothing can be stored."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="seatflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+#: Removes a statement's shuffle files once it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpoint(frame: DataFrame) -> DataFrame:
     """Cuts lineage with a reliable checkpoint in the shared folder."""
     shared_dir(frame.sparkSession)
@@ -50,10 +53,19 @@ def checkpoint(frame: DataFrame) -> DataFrame:
 
 
 def stored(frame: DataFrame) -> DataFrame:
-    """Writes a frame as Parquet in the shared folder and reads it back: compressed, and pruned by column."""
+    """Writes a frame as Parquet in the shared folder and reads it back: compressed, and pruned by column.
+
+    The shuffle files that made it are removed when it is written; if a reader loses an executor, the
+    table is still there.
+    """
     spark = frame.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/seatflow-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -100,26 +112,43 @@ def byte_codes(seed: int) -> np.ndarray:
 
 
 CODES = byte_codes(1)
-CODES2 = byte_codes(77)
+#: The low bytes of eight that a part of a word fills, by its length.
+LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Words longer than this are hashed one by one.
+LONG_WORD = 256
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words in an array of bytes."""
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
-    edge = np.diff(inside)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+_SPACE = np.zeros(256, np.int8)
+_SPACE[[32, 9, 10, 11, 12, 13]] = 1
 
 
-def word_hashes(data: np.ndarray, codes: np.ndarray = CODES) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial over byte codes, taken from prefix sums."""
-    starts, ends = word_spans(data)
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * up[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in an array of bytes."""
+    space = np.ones(len(data) + 2, np.int8)
+    np.take(_SPACE, data, out=space[1:-1])
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    return edge[::2], edge[1::2]
+
+
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word in an array of bytes: eight bytes at a time are mixed in, after the word's length."""
+    return span_word_hashes(data, *word_spans(data))
+
+
+def span_word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words that lie between these starts and ends."""
+    lengths = ends - starts
+    out = mixed(lengths.astype(np.uint64) + np.uint64(_MULTIPLIER))
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    on, at = np.flatnonzero(lengths <= LONG_WORD), 0
+    while len(on):
+        part = eight[starts[on] + at] & LOW[np.minimum(lengths[on] - at, 8)]
+        out[on] = mixed((out[on] ^ part) * np.uint64(_MULTIPLIER))
+        at += 8
+        on = on[lengths[on] > at]
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
 
 
 def run_hashes(values: np.ndarray, width: int, doubled: dict[int, np.ndarray] | None = None) -> np.ndarray:

@@ -1,54 +1,102 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Tokens are lower-cased words and one end per text. Counts are exact over all training texts. The
-lowest order is add-half over the words seen and one class for all unseen ones. Higher orders keep
-every n-gram that occurs twice, at any size of corpus, discount it by a constant, and give the rest
-to the shorter history. Kept histories are states, kept n-grams are arcs, and each state has a failure
-arc to its longest kept suffix that carries the backoff weight.
-
-States and arcs are tables, keyed by 64-bit hashes. Each arc holds how its weight differs from that of
-the failure path beside it, so a path's weight is a sum over the words, bigrams and trigrams of its
-text. Texts are dealt into blocks; a block asks for each n-gram once, gets the weights by an equality
-join and sums them text by text. built() and traverse() are the same automaton held in memory.
+Tokens are lower-cased words and one end per text. The lowest order is add-half over the tokens seen
+and one class for all unseen ones. Above it, every n-gram that occurs twice in training is kept, at
+any size of corpus, up to order 3: a history with kept followers is a state, a kept n-gram is an arc out
+of its history's state, and a state's failure arc leads to its suffix. With c the exact counts,
+
+    p(w | h) = (c(hw) - D) / c(h) + weight(h) * p(w | suffix of h)    if hw is kept
+             = weight(h) * p(w | suffix of h)                         else, along the failure arc
+
+where weight(h) = 1 - (sum of c - D over the kept followers) / c(h), and 1 where h isn't a state.
+
+Nothing of the model is held in one place. Texts are packed into blocks, stored once. From the highest
+order down, each block asks for its distinct n-grams: keys are 64-bit hashes, dealt to parts by
+their upper bits, sorted and packed. A part sums the blocks' counts and answers in the order asked,
+so an answer is a few bits a key; of the blocks that asked for a kept n-gram it names one as its
+owner. Owners add up their kept n-grams' counts by history and send these sums along when they ask for
+the next lower order. With all answers a block builds the automaton of its own n-grams and walks it
+over its texts.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from seatflow.llm.common import held_out, lean, mixed, stored, word_hashes
+from seatflow.llm.common import held_out, lean, mixed, span_word_hashes, stored, word_spans
 
-LEAST_COUNT, DISCOUNT = 2, 0.5
-#: N-grams that a task counts before it sends them on.
-FLUSH = 1 << 21
+ORDER, LEAST_COUNT, DISCOUNT = 3, 2, 0.5
 #: Hashes in the place of words: of a text's start and end.
 START, END = np.uint64(0x53D1C0FFEE5EED01), np.uint64(0x2E0D0FAB1E0DDE77)
-#: Code points of text to a block, and the least blocks.
-BLOCK_CHARS, LEAST_BLOCKS = 24_000_000, 12
-#: The filter of kept bigrams has at most so many bits (128 MB); past that it passes more trigrams on and loses none.
-FILTER_BITS, SLICE_BITS = 1 << 30, 1 << 23
+#: Bytes of text to a block at least, and to a part of the keys.
+BLOCK_BYTES, PART_BYTES = 12_000_000, 16_000_000
+LEAST_PARTS = 12
 
 
-class Automaton(NamedTuple):
-    """words: the known ids; arc: state * len(words) + id to (log10 probability, next state); fail: state to (suffix state, log10 weight).
+# --- packing --------------------------------------------------------------------------------
 
-    The last id is the end. State 0 is the root; start is the state before a text.
-    """
 
-    words: dict[bytes, int]
-    end: int
-    start: int
-    arc: dict[int, tuple[float, int]]
-    fail: list[tuple[int, float]]
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes: byte by byte of all values, compressed, so that upper bytes of zero take no room."""
+    planes = np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw), dtype=np.uint64)
+
+
+def text_blocks(frame: DataFrame) -> DataFrame:
+    """(block, doc_id, held, lengths, texts): lists of rows, and their lower-cased texts in one compressed value."""
+    kind = frame.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, held, texts, size = [], [], [], 0
+
+        def done() -> pa.RecordBatch:
+            own = pa.concat_arrays(ids)
+            row = [pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), pa.array([held], pa.list_(pa.bool_())),
+                   pa.array([[len(t) for t in texts]], pa.list_(pa.int32())), pa.array([zstandard.compress(b"\n".join(texts), 3)], pa.binary())]
+            return pa.RecordBatch.from_arrays(row, ["doc_id", "held", "lengths", "texts"])
+
+        for batch in batches:
+            at = 0
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                texts.append(text.encode("utf-8").lower())
+                size += len(texts[-1]) + 1
+                if size >= BLOCK_BYTES:
+                    ids.append(batch.column(0).slice(at, i + 1 - at))
+                    held += batch.column(1).slice(at, i + 1 - at).to_pylist()
+                    yield done()
+                    ids, held, texts, size, at = [], [], [], 0, i + 1
+            if at < batch.num_rows:
+                ids.append(batch.column(0).slice(at))
+                held += batch.column(1).slice(at).to_pylist()
+        if texts:
+            yield done()
+
+    rows = frame.select("doc_id", "held", "text").mapInArrow(run, f"doc_id array<{kind}>, held array<boolean>, lengths array<int>, texts binary")
+    return stored(rows.select(F.monotonically_increasing_id().alias("block"), "*"))
+
+
+# --- a block's n-grams ----------------------------------------------------------------------
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -56,202 +104,230 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(mixed(left) * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
-@F.pandas_udf(LongType())
-def joined_key(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(joined(left.to_numpy(np.int64).view(np.uint64), right.to_numpy(np.int64).view(np.uint64)).view(np.int64))
+class Grams(NamedTuple):
+    """The distinct n-grams of a block in the order of their keys.
 
+    place: where each one first starts; of: which one starts at each place, -1 for none.
+    """
 
-def hashes_of(text: str) -> np.ndarray:
-    """Hashes of a text's words, between its start and its end."""
-    data = np.frombuffer(text.encode("utf-8").lower(), np.uint8)
-    return np.concatenate(([START], word_hashes(data), [END])).astype(np.uint64)
+    keys: np.ndarray
+    place: np.ndarray
+    of: np.ndarray
 
 
-def single_words(text: str) -> tuple[np.ndarray, np.ndarray]:
-    words = hashes_of(text)[1:-1]
-    return words, words
+class Block(NamedTuple):
+    """The tokens of all texts, each between its start and its end, and the text that each is of."""
 
+    tokens: np.ndarray
+    owner: np.ndarray
 
-def word_pairs(text: str) -> tuple[np.ndarray, np.ndarray]:
-    words = hashes_of(text)
-    return words[:-1], words[1:]
+    def grams(self, order: int) -> Grams:
+        """Distinct n-grams; none goes on after an end."""
+        tokens, n = self.tokens, len(self.tokens) - order + 1
+        keys = tokens[: max(n, 0)]
+        for k in range(1, order):
+            keys = joined(keys, tokens[k : k + n])
+        on = np.ones(len(keys), bool)
+        for k in range(order - 1):
+            on &= tokens[k : k + n] != END
+        at = np.flatnonzero(on)
+        keys = keys[at]
+        by = np.argsort(keys)
+        ordered = keys[by]
+        new = np.ones(len(keys), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        of = np.full(len(tokens), -1, np.int64)
+        of[at[by]] = np.cumsum(new) - 1
+        return Grams(ordered[new], at[by[new]], of)
 
 
-def pairs_of_pairs(kept: Broadcast) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
-    """Trigrams as their two bigrams, where the filter passes both: a trigram is never more frequent than they."""
+def block_of(lengths: np.ndarray, texts: bytes) -> Block:
+    data = np.frombuffer(zstandard.decompress(texts), np.uint8)
+    starts, ends = word_spans(data)
+    text_ends = np.cumsum(lengths + 1)
+    of = np.searchsorted(text_ends, starts, side="right")
+    n = np.bincount(of, minlength=len(lengths))
+    tokens, begin = np.empty(len(starts) + 2 * len(lengths), np.uint64), np.cumsum(n + 2) - n - 2
+    tokens[begin], tokens[begin + n + 1] = START, END
+    tokens[np.arange(len(starts)) + 2 * of + 1] = span_word_hashes(data, starts, ends)
+    return Block(tokens, np.repeat(np.arange(len(lengths)), n + 2))
 
-    def of(text: str) -> tuple[np.ndarray, np.ndarray]:
-        words = hashes_of(text)
-        pairs = joined(words[:-1], words[1:])
-        passed = in_filter(pairs, kept.value)
-        both = passed[:-1] & passed[1:]
-        return pairs[:-1][both], pairs[1:][both]
 
-    return of
+def per_gram(grams: Grams, weights: np.ndarray) -> np.ndarray:
+    """The sum of the places' weights for each n-gram."""
+    on = np.flatnonzero(grams.of >= 0)
+    return np.bincount(grams.of[on], weights[on], len(grams.keys))
 
 
-def gram_counts(texts: DataFrame, grams: Callable[[str], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(a, b, c): exact counts of the n-grams of all texts, each as a pair of hashes."""
+# --- asking and answering -------------------------------------------------------------------
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left, right, size = [], [], 0
+ASK = "part int, block long, keys binary, c binary, m binary, n binary"
+ANSWER = "order int, block long, part int, c binary, own binary, m binary, n binary, tokens long, kinds long"
+LISTS = ("doc_id", "held", "lengths", "texts")
 
-        def counted() -> pd.DataFrame:
-            a, b = np.concatenate(left), np.concatenate(right)
-            _, at, c = np.unique(joined(a, b), return_index=True, return_counts=True)
-            return pd.DataFrame({"a": a[at].view(np.int64), "b": b[at].view(np.int64), "c": c.astype(np.int64)})
 
-        for part in parts:
-            for text in part["text"]:
-                a, b = grams(text)
-                left.append(a)
-                right.append(b)
-                size += len(a)
-                if size >= FLUSH:
-                    yield counted()
-                    left, right, size = [], [], 0
-        if size:
-            yield counted()
+class Answers(NamedTuple):
+    """For each n-gram of a block: its count (0 if it isn't kept), whether this block owns it, and of its kept followers the counts' sum and the number."""
 
-    return texts.select("text").mapInPandas(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+    c: np.ndarray
+    own: np.ndarray
+    m: np.ndarray
+    n: np.ndarray
 
 
-def in_filter(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(8 * len(bits) - 1)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+def answers_in(rows: list[dict], order: int) -> Answers:
+    """One order's answers of all parts; parts go by the keys' upper bits, so they are in the order of the keys."""
+    of = sorted((r for r in rows if r["order"] == order), key=lambda r: r["part"])
+    return Answers(*[np.concatenate([unpacked(r[k]) for r in of] or [np.empty(0, np.uint64)]).astype(float) for k in ("c", "own", "m", "n")])
 
 
-def key_filter(keys: DataFrame, rows: int) -> np.ndarray:
-    """A bit for each key (column key) by its lower bits; each slice of the bits is made by one task."""
-    size = max(1 << 16, min(FILTER_BITS, 1 << (8 * max(rows, 1)).bit_length()))
-    each = min(size, SLICE_BITS)
+def gathered(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """Blocks and the answers to them, as rows of one frame to be grouped by block."""
+    out = blocks
+    for frame in answers:
+        out = out.unionByName(frame.where("block is not null").drop("tokens", "kinds"), allowMissingColumns=True)
+    return out
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slices: dict[int, np.ndarray] = {}
-        for part in parts:
-            at = part["key"].to_numpy(np.int64) & (size - 1)
-            for s in np.unique(at // each).tolist():
-                own = at[at // each == s] % each
-                bits = slices.setdefault(s, np.zeros(each // 8, np.uint8))
-                np.bitwise_or.at(bits, own >> 3, np.left_shift(1, own & 7).astype(np.uint8))
-        for s, bits in slices.items():
-            yield pd.DataFrame({"slice": [s], "bits": [bits.tobytes()]})
 
-    dealt = keys.select("key").repartition(size // each, F.shiftright(F.col("key").bitwiseAND(size - 1), each.bit_length() - 1))
-    out = np.zeros(size // 8, np.uint8)
-    for r in dealt.mapInPandas(run, "slice long, bits binary").toLocalIterator():
-        out[r["slice"] * each // 8 : (r["slice"] + 1) * each // 8] = np.frombuffer(r["bits"], np.uint8)
-    return out
+def opened(rows: pa.Table) -> tuple[dict, list[dict]]:
+    """A group's one block and its answers."""
+    kept = [c for c in rows.column_names if c not in LISTS]
+    answers = rows.select(kept).to_pylist()
+    (at,) = [i for i, x in enumerate(rows.column("texts")) if x.is_valid]
+    row = {k: rows.column(k)[at] for k in LISTS}
+    block = {"block": answers[at]["block"], "doc_id": row["doc_id"].values, "held": np.array(row["held"].values), "lengths": np.array(row["lengths"].values, np.int64), "texts": row["texts"].as_py()}
+    return block, [r for i, r in enumerate(answers) if i != at]
+
+
+def asked(row: dict, higher: list[dict], order: int, parts: int) -> Iterator[dict]:
+    """One block's questions of an order to all parts."""
+    block = block_of(row["lengths"], row["texts"])
+    grams = block.grams(order)
+    train = ~row["held"][block.owner] if len(block.owner) else np.zeros(0, bool)
+    sums = [per_gram(grams, train)]
+    if higher:
+        longer, found = block.grams(order + 1), answers_in(higher, order + 1)
+        mine = np.flatnonzero(found.own > 0)
+        history = grams.of[longer.place[mine]]
+        sums += [np.bincount(history, found.c[mine], len(grams.keys)), np.bincount(history, minlength=len(grams.keys))]
+    else:
+        sums += [np.zeros(len(grams.keys))] * 2
+    part = ((grams.keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    cuts = np.searchsorted(part, np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(cuts)):
+        own = slice(cuts[p], cuts[p + 1])
+        yield {"part": int(p), "block": row["block"], "keys": packed_keys(grams.keys[own]), **dict(zip("cmn", (packed(s[own]) for s in sums)))}
+
+
+def answered(asks: DataFrame, order: int) -> DataFrame:
+    """Each part's answers to all blocks, stored. For words also, without a block, the training tokens and how many differ."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.to_pylist()
+        each = [unpacked_keys(r["keys"]) for r in rows]
+        keys = np.concatenate(each)
+        by = np.argsort(keys)
+        ordered = keys[by]
+        new = np.ones(len(keys), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        of = np.empty(len(keys), np.int64)
+        of[by] = np.cumsum(new) - 1
+        c, m, n = (np.bincount(of, np.concatenate([unpacked(r[k]) for r in rows])) for k in "cmn")
+        if order > 1:
+            c[c < LEAST_COUNT] = 0
+        own = np.zeros(len(keys), bool)
+        own[by[new]] = c > 0
+        out, at = [], 0
+        for r, k in zip(rows, each):
+            mine = of[at : at + len(k)]
+            told = (c[mine], own[at : at + len(k)], m[mine], n[mine])
+            out.append({"order": order, "block": r["block"], "part": r["part"], **dict(zip(("c", "own", "m", "n"), map(packed, told)))})
+            at += len(k)
+        if order == 1:
+            words = c[ordered[new] != START]
+            out.append({"order": 1, "part": rows[0]["part"], "tokens": int(words.sum()), "kinds": int((words > 0).sum())})
+        return pa.Table.from_pylist(out, ANSWER_ARROW)
+
+    return stored(asks.groupBy("part").applyInArrow(run, ANSWER))
+
+
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))])
+
+
+ASK_ARROW, ANSWER_ARROW = _arrow(ASK), _arrow(ANSWER)
+
+
+def asks_of(blocks: DataFrame, higher: DataFrame | None, order: int, parts: int) -> DataFrame:
+    """All blocks' questions of an order; higher: the answers of the order above."""
+    if higher is None:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    row, _ = opened(pa.Table.from_batches([batch.slice(i, 1)]))
+                    yield from pa.Table.from_pylist(list(asked(row, [], order, parts)), ASK_ARROW).to_batches()
+
+        return blocks.mapInArrow(run, ASK)
+
+    def grouped(rows: pa.Table) -> pa.Table:
+        row, answers = opened(rows)
+        return pa.Table.from_pylist(list(asked(row, answers, order, parts)), ASK_ARROW)
+
+    return gathered(blocks, [higher]).groupBy("block").applyInArrow(grouped, ASK)
+
+
+# --- the automaton --------------------------------------------------------------------------
 
 
-def built(words: dict[bytes, int], counts: np.ndarray, texts: int, total: int, distinct: int, grams: list[dict[int, int]]) -> Automaton:
-    """The automaton from counts of ids (the end last) and of kept bigrams and trigrams.
+class Automaton(NamedTuple):
+    """A block's share of the automaton, as arrays over its distinct words, pairs and triples.
 
-    A history's count is that of its own n-gram; after an end nothing follows.
+    one, two, three: the probability on reaching the word, or the last word of the pair or triple, from
+    the state of what stands before it; where that state has no such arc, along its failure arc.
     """
-    end, base = len(words), len(words) + 2
-    room = total + 0.5 * (distinct + 1)
-    unigram = (np.append(counts, texts) + 0.5) / room
-    histories = {}  # tuple of ids to its kept followers and their counts
-    for n, table in enumerate(grams, 2):
-        for key, c in table.items():
-            ids = []
-            for _ in range(n):
-                key, r = divmod(key, base)
-                ids.append(r)
-            ids.reverse()
-            histories.setdefault(tuple(ids[:-1]), {})[ids[-1]] = c
-    state = {(): 0} | {h: i for i, h in enumerate(sorted(histories, key=lambda h: (len(h), h)), 1)}
-
-    def suffix(h: tuple) -> tuple:
-        while h not in state:
-            h = h[1:]
-        return h
-
-    def probability(h: tuple, w: int) -> float:
-        if not h:
-            return float(unigram[w])
-        c = histories[h].get(w)
-        if c is not None:
-            return (c - DISCOUNT) / seen[h]
-        return weight[h] * probability(suffix(h[1:]), w)
-
-    arc, fail, seen, weight, size = {}, [(0, 0.0)] * len(state), {}, {}, end + 1
-    for w in range(size):
-        arc[w] = (math.log10(unigram[w]), state[suffix((w,))])
-    for h, i in state.items():  # shorter ones first
-        if not h:
-            continue
-        seen[h] = max((texts if h[0] == end + 1 else int(counts[h[0]])) if len(h) == 1 else grams[0][h[0] * base + h[1]], sum(histories[h].values()))
-        back = suffix(h[1:])
-        left = 1.0 - sum((c - DISCOUNT) / seen[h] for c in histories[h].values())
-        below = 1.0 - sum(probability(back, w) for w in histories[h])
-        weight[h] = left / below if below > 1e-12 else 1.0
-        fail[i] = (state[back], math.log10(weight[h]))
-        for w in histories[h]:
-            arc[i * size + w] = (math.log10(probability(h, w)), state[suffix((*h, w))])
-    return Automaton(words, end, state.get((end + 1,), 0), arc, fail)
-
-
-def traverse(automaton: Automaton, ids: list[int]) -> float:
-    """The log10 probability of the ids without the unigrams of those outside (-1)."""
-    arc, fail, size = automaton.arc, automaton.fail, automaton.end + 1
-    state, total = automaton.start, 0.0
-    for i in ids:
-        if i < 0:
-            while state:
-                state, w = fail[state]
-                total += w
-            continue
-        found = arc.get(state * size + i)
-        while found is None:
-            state, w = fail[state]
-            total += w
-            found = arc.get(state * size + i)
-        total += found[0]
-        state = found[1]
-    return total
-
-
-def weights(words: DataFrame, train: DataFrame, texts: int, room: float) -> DataFrame:
-    """The automaton of the texts as (key, unigram, more): log10 probabilities of words, and what a word, bigram or trigram adds.
-
-    A history's weight is added with its last word or bigram, whatever follows. A kept n-gram adds the
-    rest up to its own probability. words: (a, c), each with its count.
-    """
-    spark = words.sparkSession
-    known = words.unionByName(spark.createDataFrame([(int(x.view(np.int64)), texts) for x in (START, END)], "a long, c long"))
-    known = known.select("a", F.col("c").alias("seen"), ((F.col("c") + 0.5) / F.lit(room)).alias("p1"))
 
-    def backoff(left: str, below: str) -> Column:
-        return F.log10(F.when(F.col(below) > 1e-12, F.col(left) / F.col(below)).otherwise(1.0))
+    words: Grams
+    pairs: Grams
+    triples: Grams
+    one: np.ndarray
+    two: np.ndarray
+    three: np.ndarray
+    known: np.ndarray
+
 
-    two = stored(gram_counts(train, word_pairs).where(F.col("c") >= LEAST_COUNT).withColumn("key", joined_key("a", "b")))
-    two = two.join(known.select(F.col("a").alias("b"), "p1"), "b").join(known.select("a", "seen"), "a")
-    two = stored(two.select("key", "a", "c", "p1", ((F.col("c") - DISCOUNT) / F.col("seen")).alias("p2")))
-    after = two.groupBy("a").agg((1 - F.sum("p2")).alias("left"), (1 - F.sum("p1")).alias("below")).select("a", backoff("left", "below").alias("w1"))
-    after = stored(after)
+def failure(a: Answers) -> np.ndarray:
+    """The weight of each history's failure arc; 1 where it has no kept followers and isn't a state."""
+    return np.where(a.n > 0, 1 - (a.m - DISCOUNT * a.n) / np.maximum(a.c, 1), 1.0)
 
-    kept = spark.sparkContext.broadcast(key_filter(two, two.count()))
-    three = gram_counts(train, pairs_of_pairs(kept)).where(F.col("c") >= LEAST_COUNT)
-    three = three.join(two.select(F.col("key").alias("b"), "p2"), "b").join(two.select(F.col("key").alias("a"), F.col("c").alias("seen")), "a")
-    three = stored(three.select("a", "b", "p2", ((F.col("c") - DISCOUNT) / F.col("seen")).alias("p3")))
-    later = three.groupBy("a").agg((1 - F.sum("p3")).alias("left"), (1 - F.sum("p2")).alias("below")).select("a", backoff("left", "below").alias("w2"))
-    later = stored(later)
 
-    none = F.lit(0.0)
-    one = known.join(after, "a", "left").select(F.col("a").alias("key"), F.log10("p1").alias("unigram"), F.coalesce("w1", none).alias("more"))
-    arcs = two.join(after, "a").select("key", (F.log10("p2") - F.log10("p1") - F.col("w1")).alias("d"))
-    arcs = arcs.join(later.withColumnRenamed("a", "key"), "key", "left").select("key", none.alias("unigram"), (F.col("d") + F.coalesce("w2", none)).alias("more"))
-    longer = three.join(later, "a").select(joined_key("a", "b").alias("key"), none.alias("unigram"), (F.log10("p3") - F.log10("p2") - F.col("w2")).alias("more"))
-    return stored(one.unionByName(arcs).unionByName(longer))
+def arcs(kept: Answers, above: Answers, history: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Probabilities of n-grams from the counts of their histories and the probabilities of their suffixes."""
+    return np.where(kept.c > 0, (kept.c - DISCOUNT) / np.maximum(above.c[history], 1), 0.0) + failure(above)[history] * below
 
 
-def keys_of(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a text's words, and of its start, end, bigrams and trigrams."""
-    words = hashes_of(text)
-    pairs = joined(words[:-1], words[1:])
-    return words[1:-1], np.concatenate((words[:1], words[-1:], pairs, joined(pairs[:-1], pairs[1:])))
+def automaton(block: Block, found: dict[int, Answers], room: float) -> Automaton:
+    words, pairs, triples = block.grams(1), block.grams(2), block.grams(3)
+    one = (found[1].c + 0.5) / room
+    two = arcs(found[2], found[1], words.of[pairs.place], one[words.of[pairs.place + 1]])
+    three = arcs(found[3], found[2], pairs.of[triples.place], two[pairs.of[triples.place + 1]])
+    return Automaton(words, pairs, triples, one, two, three, found[1].c > 0)
+
+
+def walked(block: Block, a: Automaton, texts: int) -> tuple[np.ndarray, ...]:
+    """Tokens, known tokens, and log10 probability by words alone and along the path, of each text.
+
+    The walk enters a text at its start's state. The state after a token is that of the last pair, so the
+    arc from place to place is the triple that ends there, and after the start the pair.
+    """
+    at = np.flatnonzero(block.tokens != START)
+    owner, word = block.owner[at], a.words.of[at]
+    path = np.log10(a.two)[a.pairs.of[at - 1]]
+    inside = np.flatnonzero(block.tokens[at - 1] != START)
+    path[inside] = np.log10(a.three)[a.triples.of[at[inside] - 2]]
+    base = np.log10(a.one)[word]
+    return np.bincount(owner, minlength=texts), np.bincount(owner, a.known[word], texts), np.bincount(owner, base, texts), np.bincount(owner, path, texts)
 
 
 def scored(documents: DataFrame, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,57 +335,29 @@ def scored(documents: DataFrame, remainder: int = 1, id_col: str = "doc_id", tex
 
     Learned from the rows whose id's crc32 as text mod 5 isn't `remainder` (null ids are learned
     from). Null and empty texts are an end alone. Repeated rows count as often as they come, and
-    are scored alike. With nothing to learn from, every token has probability 1.
+    are scored alike. With nothing to learn from, every token has probability 1. An empty table gives
+    an empty result.
     """
-    spark = documents.sparkSession
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    frame = frame.withColumn("held_out", held_out(F.col("doc_id"), remainder))
-    train = frame.where(~F.col("held_out"))
-    sizes = frame.agg(F.count(F.when(~F.col("held_out"), 1)).alias("texts"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    texts, blocks = sizes["texts"], max(LEAST_BLOCKS, -(-sizes["chars"] // BLOCK_CHARS))
-    words = stored(gram_counts(train, single_words).select("a", "c"))
-    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    total, distinct = sums["n"] + texts, sums["v"] + (texts > 0)
-    room = total + 0.5 * (distinct + 1)
-    unseen = math.log10(0.5 / room)
-    model = weights(words, train, texts, room)
-
-    frame = frame.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    kept = spark.sparkContext.broadcast(key_filter(model, model.count()))
-
-    def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, np.ndarray] = {}
-        for part in parts:
-            for block, own in part.groupby("block")["text"]:
-                keys = np.unique(np.concatenate([np.concatenate(keys_of(t)) for t in own]))
-                held[block] = np.union1d(held.get(block, keys[:0]), keys[in_filter(keys, kept.value)])
-            if sum(map(len, held.values())) >= FLUSH:
-                yield from (pd.DataFrame({"block": b, "key": k.view(np.int64)}) for b, k in held.items())
-                held = {}
-        yield from (pd.DataFrame({"block": b, "key": k.view(np.int64)}) for b, k in held.items())
-
-    dealt = frame.select("block", "text").repartition(int(blocks), "block")
-    answers = dealt.mapInPandas(asked, "block long, key long").join(model, "key")
+    frame = frame.withColumn("held", held_out(F.col("doc_id"), remainder))
     kind = frame.schema["doc_id"].dataType.simpleString()
-
-    def summed(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        found = found.drop_duplicates("key")  # a block may have asked twice
-        keys = found["key"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        keys, unigram, more = keys[order], found["unigram"].to_numpy(float)[order], found["more"].to_numpy(float)[order]
-
-        def places(wanted: np.ndarray) -> np.ndarray:
-            at = np.searchsorted(keys, wanted)
-            at, wanted = at[at < len(keys)], wanted[at < len(keys)]
-            return at[keys[at] == wanted]
-
-        out = []
-        for doc_id, text, held in zip(rows["doc_id"], rows["text"], rows["held_out"]):
-            own, other = keys_of(text)
-            at, beside = places(own), places(other)
-            base = unigram[at].sum() + unseen * (len(own) - len(at)) + math.log10((texts + 0.5) / room)
-            out.append((doc_id, held, len(own) + 1, len(at) + (texts > 0), float(base), float(base + more[at].sum() + more[beside].sum())))
-        return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]).astype({"doc_id": rows["doc_id"].dtype})
-
-    out = frame.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(summed, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    size = frame.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(LEAST_PARTS, -(-size // PART_BYTES))
+    blocks = text_blocks(frame)
+    answers: list[DataFrame] = []
+    for order in range(ORDER, 0, -1):
+        answers.append(answered(asks_of(blocks, answers[-1] if answers else None, order, parts), order))
+    sums = answers[-1].where("block is null").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    total, room = sums[0], sums[0] + 0.5 * (sums[1] + 1)
+
+    def scores(rows: pa.Table) -> pa.Table:
+        row, told = opened(rows)
+        block = block_of(row["lengths"], row["texts"])
+        model = automaton(block, {k: answers_in(told, k) for k in range(1, ORDER + 1)}, room)
+        n, known, base, path = walked(block, model, len(row["lengths"]))
+        columns = [row["doc_id"], pa.array(row["held"], pa.bool_()), pa.array(n, pa.int64()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(path)]
+        return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    out = gathered(blocks, answers).groupBy("block").applyInArrow(scores, schema)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

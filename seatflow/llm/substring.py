@@ -7,14 +7,16 @@ document adds one key for about 18 windows. The second pass groups only windows
 estimated to repeat; none that repeats is lost.
 
 It groups in two steps. Windows of one anchor in a row are a run. Runs are grouped first, by the
-hash of all their words: where an earlier document has the same run, all its windows repeat. The
-windows of each run's first document are then grouped one by one, by anchor and hash (128 bits); the
-first document of a window is always the first of the run that holds it there, so none is missed.
-Copies and the inside of common passages so cost a row a run.
+BLAKE2 digest (128 bits) of all their words: where an earlier document has the same run, all its
+windows repeat. The windows of each run's first document are then grouped one by one, by their own
+digests; the first document of a window is always the first of the run that holds it there, so none
+is missed. Copies and the inside of common passages so cost a row a run. Both groupings are stored
+before rows are joined to them, so that Spark can split the rows of a passage that many documents have.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import CODES2, WORD, mixed, row_tag, run_hashes, sliding_min, span_hashes, stored, word_hashes
+from seatflow.llm.common import WORD, mixed, row_tag, run_hashes, sliding_min, stored, word_hashes
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WINDOW, GRAM = 50, 16
+#: Bytes of a digest.
+DIGEST = 16
 
 
 def _words(text: str) -> np.ndarray:
@@ -57,44 +61,43 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
     bits = repeated_bits(frame.select("text"), anchors, width_for(bytes_in / 100))  # about 18 words of 6 bytes a key
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blake = hashlib.blake2b
         for batch in batches:
             texts, tags = batch.column(1).to_pylist(), batch.column(2).to_numpy()
-            owner, out = [], [[] for _ in range(6)]
+            owner, run, tag, n, windows = [], [], [], [], []
             for i, text in enumerate(texts):
                 data = _words(text)
-                words = word_hashes(data)
-                anchor = _anchors(words, window)
+                anchor = _anchors(word_hashes(data), window)
                 begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.empty(0, np.int64)
-                lengths = np.diff(np.append(begins, len(anchor)))
                 kept = repeated(bits.value, anchor[begins])
                 if not kept.any():
                     continue
-                begins, lengths = begins[kept], lengths[kept]
-                ends = begins + lengths + window - 1
-                owner.append(np.full(len(begins), i))
-                windows = run_hashes(words, window)[np.repeat(begins, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)]
-                for column, values in zip(out, (span_hashes(words, begins, ends), span_hashes(word_hashes(data, CODES2), begins, ends) >> np.uint64(32), anchor[begins], tags[i] + begins, lengths, windows)):
-                    column.append(values)
-            if not owner:
-                continue
-            one, two, anchor, tag, n, windows = (np.concatenate(x) for x in out)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(windows.view(np.int64)))
-            doc_id = batch.column(0).take(pa.array(np.concatenate(owner)))
-            columns = [pa.array(one.view(np.int64)), pa.array(two.astype(np.int64)), pa.array(anchor.view(np.int64)), doc_id, pa.array(tag.astype(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["one", "two", "anchor", "doc_id", "tag", "hashes"])
+                lengths = np.diff(np.append(begins, len(anchor)))[kept].tolist()
+                begins = begins[kept].tolist()
+                words = text.encode("utf-8").split()
+                joined = memoryview(b" ".join(words))
+                at = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]  # where each word begins
+                for first, many in zip(begins, lengths):
+                    run.append(blake(joined[at[first] : at[first + many + window - 1] - 1], digest_size=DIGEST).digest())
+                    windows.append(b"".join([blake(joined[at[k] : at[k + window] - 1], digest_size=DIGEST).digest() for k in range(first, first + many)]))
+                owner += [i] * len(begins)
+                tag.append(tags[i] + np.array(begins))
+                n += lengths
+            if owner:
+                columns = [pa.array(run, pa.binary()), batch.column(0).take(pa.array(owner)), pa.array(np.concatenate(tag).astype(np.int64)), pa.array(n, pa.int64()), pa.array(windows, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["run", "doc_id", "tag", "n", "windows"])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    rows = frame.withColumn("tag", row_tag(F.col("text"))).mapInArrow(runs, f"one long, two long, anchor long, doc_id {kind}, tag long, hashes array<long>")
-    firsts = rows.groupBy("one", "two").agg(F.min("doc_id").alias("first"))
-    earlier = F.col("doc_id") > F.col("first")
-    told = rows.join(firsts, ["one", "two"]).select("doc_id", "tag", F.size("hashes").cast("long").alias("n"), earlier.alias("earlier"), F.when(~earlier, F.col("anchor")).alias("anchor"), F.when(~earlier, F.col("hashes")).alias("hashes"))
-    told = stored(told)
+    rows = stored(frame.withColumn("tag", row_tag(F.col("text"))).mapInArrow(runs, f"run binary, doc_id {kind}, tag long, n long, windows binary"))
+    firsts = stored(rows.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
+    told = rows.join(firsts, "run", "left").withColumn("earlier", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
+    told = stored(told.select("doc_id", "tag", "n", "earlier", F.when(~F.col("earlier"), F.col("windows")).alias("windows")))
     whole = told.where("earlier").select("doc_id", "tag", "n")
 
-    each = told.where("not earlier").select("anchor", "doc_id", "tag", F.posexplode("hashes").alias("at", "hash"))
-    each = each.select("anchor", "hash", "doc_id", (F.col("tag") + F.col("at")).alias("tag"))
-    firsts = each.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
-    single = each.join(firsts, ["anchor", "hash"]).where("doc_id > first").select("doc_id", "tag", F.lit(1).cast("long").alias("n"))
+    each = told.where("not earlier").select("doc_id", "tag", F.posexplode(F.expr(f"transform(sequence(0, cast(n as int) - 1), i -> substring(windows, i * {DIGEST} + 1, {DIGEST}))")).alias("at", "window"))
+    each = each.select("window", "doc_id", (F.col("tag") + F.col("at")).alias("tag"))
+    firsts = stored(each.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
+    single = each.join(firsts, "window").where("doc_id > first").select("doc_id", "tag", F.lit(1).cast("long").alias("n"))
     return whole.unionAll(single)
 
 

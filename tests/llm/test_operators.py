@@ -93,6 +93,30 @@ def test_substring_dedup(documents, texts):
     assert sum(x[1] > 0 for x in got.values()) > 8
 
 
+def opposite_words(n):
+    """Two words of n letters that a polynomial hash mod a power of two can't tell apart: Thue-Morse and its complement."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [8, 64, 1024, 2048])
+def test_substring_compares_long_words(spark, n):
+    shared, (one, other) = " ".join(f"w{i}" for i in range(49)), opposite_words(n)
+    rows = spark.createDataFrame([(1, f"{shared} {one}"), (2, f"{shared} {other}"), (3, f"x\t{shared}  {one}")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring.without_repeats(rows).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+    assert minhash.likeness(minhash.fingerprint(one), minhash.fingerprint(other)) < 0.1
+
+
+def test_substring_of_words_in_opposite_orders(spark):
+    one, other = opposite_words(2048)
+    rows = [(i, " ".join({"a": "ab", "b": "ba"}[c] for c in word)) for i, word in enumerate((one, other))]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_substring(rows)
+
+
 def test_substring_edges(nothing, awkward):
     assert substring.without_repeats(nothing).collect() == []
     got = {(r["doc_id"], r["text"]): r["n_removed"] for r in substring.without_repeats(awkward).collect()}
@@ -383,45 +407,69 @@ def test_media_edges(nothing, awkward, spark):
 # --- 10 -----------------------------------------------------------------------------------
 
 
-def test_language_scores(documents, texts, monkeypatch):
-    got = {r["doc_id"]: r for r in language.scored(documents).collect()}
-    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in texts}
-    tokens = {i: [*SPLIT.findall((t or "").encode().lower()), b" end"] for i, t in texts}
-    counts = {}
-    for i, ts in tokens.items():
-        for t in ts if not held[i] else ():
-            counts[t] = counts.get(t, 0) + 1
-    total, room = sum(counts.values()), sum(counts.values()) + 0.5 * (len(counts) + 1)
-    for i, ts in tokens.items():
-        r = got[i]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(ts), sum(t in counts for t in ts), total)
-        assert math.isclose(r["base_score"], sum(math.log10((counts.get(t, 0) + 0.5) / room) for t in ts), rel_tol=1e-9)
-    assert sum(r["score"] - r["base_score"] for r in got.values()) > 0
-
-
-def test_automaton_is_a_distribution_and_agrees_with_recursion():
-    rng = np.random.default_rng(8)
-    texts = [rng.choice(6, 30, p=[0.4, 0.2, 0.2, 0.1, 0.05, 0.05]).tolist() for _ in range(60)]
-    end, base = 6, 8
-    unigrams, bi, tri = np.zeros(6, int), {}, {}
-    for t in texts:
-        ids = [end + 1, *t, end]
-        for x in t:
-            unigrams[x] += 1
-        for a, b in zip(ids, ids[1:]):
-            bi[a * base + b] = bi.get(a * base + b, 0) + 1
-        for a, b, c in zip(ids, ids[1:], ids[2:]):
-            tri[(a * base + b) * base + c] = tri.get((a * base + b) * base + c, 0) + 1
-    bi = {k: c for k, c in bi.items() if c >= 5}
-    tri = {k: c for k, c in tri.items() if c >= 5 and k // base in bi}
-    total, distinct = int(unigrams.sum()) + 60, 7
-    m = language.built({bytes([97 + i]): i for i in range(6)}, unigrams, 60, total, distinct, [bi, tri])
-    unseen = 0.5 / (total + 0.5 * (distinct + 1))
-    for history in ([], [0], [1, 0], [0, 1, 2], [5, 5], [3, 0, 0]):
-        so_far = language.traverse(m, history)
-        each = sum(10 ** (language.traverse(m, [*history, w]) - so_far) for w in range(7))
-        rest = 10 ** (language.traverse(m, [*history, -1]) - so_far) * unseen
-        assert math.isclose(each + rest, 1.0, rel_tol=1e-9)
+def brute_language(rows):
+    """Tokens, known tokens, base and score of each text by plain recursion over dictionaries of counts."""
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    tokens = [(i, [b" start", *words((t or "").encode().lower().decode()), b" end"]) for i, t in rows]
+    count = collections.Counter(tuple(ts[p : p + n]) for i, ts in tokens if not held[i] for n in (1, 2, 3) for p in range(len(ts) - n + 1))
+    kept = {g: c for g, c in count.items() if len(g) == 1 or c >= 2}
+    after = collections.defaultdict(list)
+    for g, c in kept.items():
+        after[g[:-1]].append(c)
+    total = sum(c for g, c in count.items() if len(g) == 1 and g != (b" start",))
+    room = total + 0.5 * (sum(len(g) == 1 and g != (b" start",) for g in count) + 1)
+
+    def p(g):
+        if len(g) == 1:
+            return (count[g] + 0.5) / room
+        h = g[:-1]
+        if h not in after:
+            return p(g[1:])
+        weight = 1 - sum(c - 0.5 for c in after[h]) / count[h]
+        return (kept[g] - 0.5 if g in kept else 0) / count[h] + weight * p(g[1:])
+
+    out = {}
+    for i, ts in tokens:
+        base = sum(math.log10(p((t,))) for t in ts[1:])
+        score = sum(math.log10(p(tuple(ts[max(0, k - 2) : k + 1]))) for k in range(1, len(ts)))
+        out[i] = (held[i], len(ts) - 1, sum((t,) in count for t in ts[1:]), total, base, score)
+    return out, p, count
+
+
+def same_scores(got, want):
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:4]
+        assert math.isclose(r["base_score"], w[4], rel_tol=1e-9) and math.isclose(r["score"], w[5], rel_tol=1e-9)
+
+
+def test_language_scores(documents, texts):
+    want, _, _ = brute_language(texts)
+    got = language.scored(documents).collect()
+    same_scores(got, want)
+    assert sum(r["score"] - r["base_score"] for r in got) > 0
+
+
+def test_language_over_many_blocks_and_parts(spark, documents, texts, monkeypatch):
+    """Small blocks and parts: n-grams meet across blocks, and each has one owner."""
+    monkeypatch.setattr(language, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(language, "PART_BYTES", 2000)
+    same_scores(language.scored(documents).collect(), brute_language(texts)[0])
+
+
+def test_language_is_a_distribution(texts):
+    _, p, count = brute_language(texts)
+    seen = [g for g in count if len(g) == 1 and g != (b" start",)]
+    histories = [(), *[g for g in count if len(g) == 1 and g != (b" end",)][:8], *[g for g in count if len(g) == 2 and g[1] != b" end"][:60]]
+    for h in histories:
+        assert math.isclose(sum(p((*h, *w)) for w in seen) + p((*h, b"not seen")), 1.0, rel_tol=1e-9)
+
+
+def test_language_packing():
+    rng = np.random.default_rng(2)
+    for keys in (np.sort(rng.integers(0, 1 << 64, 500, dtype=np.uint64)), np.empty(0, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)):
+        assert (language.unpacked_keys(language.packed_keys(keys)) == keys).all() and (language.unpacked(language.packed(keys)) == keys).all()
 
 
 def test_language_edges(nothing, awkward):
@@ -432,24 +480,15 @@ def test_language_edges(nothing, awkward):
     assert len(twice) == 2 and twice[0]["n_known"] == twice[1]["n_known"] == 7
 
 
-def test_language_keeps_every_repeated_gram_at_any_size(spark):
+def test_language_tells_texts_that_occur_twice_apart(spark):
+    """What is gained over words alone is more for copies of which two were learned, held out or not, than for texts that occur once."""
     rng = np.random.default_rng(3)
-    rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.zipf(1.3, 400), 3000))) for i in range(400)]
-    rows += [(1000 + i, f"rare{i // 2} pair{i // 2} of{i // 2}") for i in range(40)]
-    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
-    learned = [t.encode().split() for i, t in rows if not held[i]]
-    counts = collections.Counter(w for t in learned for w in t)
-    ids = {w: i for i, w in enumerate(sorted(counts))}
-    end, base, grams = len(ids), len(ids) + 2, [collections.Counter(), collections.Counter()]
-    for t in learned:
-        seq = [end + 1, *[ids[w] for w in t], end]
-        grams[0].update(a * base + b for a, b in zip(seq, seq[1:]))
-        grams[1].update((a * base + b) * base + c for a, b, c in zip(seq, seq[1:], seq[2:]))
-    total = sum(counts.values()) + len(learned)
-    assert total > 100_000
-    m = language.built(ids, np.array([counts[w] for w in ids]), len(learned), total, len(ids) + 1, [{k: c for k, c in g.items() if c >= 2} for g in grams])
-    unseen = math.log10(0.5 / (total + 0.5 * (len(ids) + 2)))
-    got = {r["doc_id"]: r["score"] for r in language.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    for i, t in rows:
-        seq = [ids.get(w, -1) for w in t.encode().split()]
-        assert math.isclose(got[i], language.traverse(m, [*seq, end]) + unseen * seq.count(-1), rel_tol=1e-9)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.zipf(1.3, 60), 3000))) for i in range(300)]
+    rows += [(1000 + i, rows[i // 2][1]) for i in range(80)]
+    want, _, _ = brute_language(rows)
+    got = language.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same_scores(got, want)
+    gain = {r["doc_id"]: (r["score"] - r["base_score"]) / r["n_tokens"] for r in got}
+    learned = collections.Counter(t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1)
+    twice, once = [i for i, t in rows if learned[t] >= 2], [i for i in range(40, 300)]
+    assert len(twice) > 60 and min(gain[i] for i in twice) > max(gain[i] for i in once)
