@@ -6,13 +6,17 @@ start of t may stand before t (their bytes together encode to just the two). So
 add entries, and after an edit the entries are recomputed until they agree with the old ones again.
 
 Texts are cut by the tokenizer's pattern first; pieces never merge. A piece that is itself a token
-is that token. Null and empty texts encode to no tokens.
+is that token. A text whose white space is single spaces and line feeds is first cut into words at
+these, since the pattern always cuts before them (CUTS_AT_SPACES); a word's tokens are remembered. Null
+and empty texts encode to no tokens, repeated rows alike, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -24,29 +28,57 @@ from pyspark.sql import functions as F
 
 from seatflow.llm.common import lean
 
-#: Pieces and pairs that a worker remembers; past this the memory starts anew.
-MEMORY = 200_000
+#: Words, pieces and pairs that a worker remembers at most, in two generations each.
+MEMORY = 400_000
+#: Bytes of a piece whose prefixes are remembered for others too; a longer one has a table of its own.
+SHORT = 64
+#: Bytes at its end by which a prefix's longest possible last token is known.
+TAIL = 5
+#: The pattern of the public tokenizers. It takes a space along with what follows, or by itself; and a line feed by itself.
+CUTS_AT_SPACES = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
+OTHER_SPACE = re.compile(r"[^\S \n]")
 _CODERS: dict[tuple, BytePairs] = {}
 
 
+class Remembered(dict):
+    """Results by key; what wasn't asked for in the last half of the memory is forgotten."""
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):  # noqa: ANN001, ANN204
+        if 2 * len(self) >= MEMORY:
+            self.old = dict(self)
+            self.clear()
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+
 class BytePairs:
     """Ranks of a byte-level BPE vocabulary: encodes pieces and texts, decodes ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {i: token for token, i in ranks.items()}
+        self.cuts_at_spaces = pattern in CUTS_AT_SPACES
         self.longest = max(map(len, ranks), default=0)
-        self._fits: dict[int, bool] = {}
+        self._fits = Remembered(self._fit)
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._reach: dict[bytes, int] = {}  # the longest token with these last three bytes (of two or three bytes: itself)
+        self._reach: dict[bytes, int] = {}  # the longest token with these last TAIL bytes
+        self._prefixes = Remembered(self._prefix)
         self.length_of = {i: len(token) for token, i in ranks.items()}
         self._automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
             self._automaton.add_word(token.decode("latin-1"), i)
         self._automaton.make_automaton()
         for token in ranks:
-            self._reach[token[-3:]] = max(len(token), self._reach.get(token[-3:], 2))
-        self._pieces: dict[str, tuple[int, ...]] = {}
+            if len(token) >= TAIL:
+                self._reach[token[-TAIL:]] = max(len(token), self._reach.get(token[-TAIL:], TAIL))
+        self._first, self._next = Remembered(self._ids), Remembered(lambda word: self._ids(" " + word))
 
     def merged(self, data: bytes, parts_left: int = 1) -> list[bytes]:
         """Merges by lowest rank, leftmost first, down to so many parts; used on one token's bytes only."""
@@ -68,32 +100,25 @@ class BytePairs:
         return found
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens together encode to just these two.
+        """Whether the bytes of two tokens together encode to just these two."""
+        return self._fits[left << 32 | right]
 
-        Looks back in time at the tokens on either side of the boundary: while both stood there, a
+    def _fit(self, pair: int) -> bool:
+        """Looks back in time at the tokens on either side of the boundary: while both stood there, a
         merge of the two would have come first if its rank is below that of the merge which ended
         this. Of equal ranks the leftmost merge comes first.
         """
-        pair = left << 32 | right
-        found = self._fits.get(pair)
-        if found is not None:
-            return found
-        if len(self._fits) >= 2 * MEMORY:
-            self._fits.clear()
-        a, b, until, found = left, right, 1 << 60, True
+        a, b, until = pair >> 32, pair & 0xFFFFFFFF, 1 << 60
         while True:
             if self.ranks.get(self.bytes_of[a] + self.bytes_of[b], 1 << 60) < until:
-                found = False
-                break
+                return False
             ha, hb = self.halves(a), self.halves(b)
             if ha is None and hb is None:
-                break
+                return True
             if hb is None or (ha is not None and a > b):
                 until, a = a, ha[1]
             else:  # the merge on the right comes after one at the boundary of the same rank
                 until, b = b + 1, hb[0]
-        self._fits[pair] = found
-        return found
 
     def whole(self, token: int) -> bool:
         """Whether the merges of a token's bytes lead to the token."""
@@ -102,26 +127,37 @@ class BytePairs:
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
         """The token that ends the encoding of data[:end], given those of all shorter prefixes."""
         ranks, fits = self.ranks.get, self.fits
-        for start in range(max(0, end - self._reach.get(data[max(0, end - 3) : end], 2)), end):
+        for start in range(max(0, end - self._reach.get(data[max(0, end - TAIL) : end], TAIL - 1)), end):
             token = ranks(data[start:end])
             if token is not None and (fits(last[start], token) if start else self.whole(token)):
                 return token
         raise ValueError("a byte has no token in this vocabulary")
 
+    def _prefix(self, data: bytes) -> int:
+        """The token that ends the encoding of a prefix; pieces share their prefixes, and only those that a piece needs are filled."""
+        ranks, fits, prefixes, end = self.ranks.get, self._fits, self._prefixes, len(data)
+        for start in range(max(0, end - self._reach.get(data[-TAIL:], TAIL - 1)), end):
+            token = ranks(data[start:])
+            if token is not None and (fits[prefixes[data[:start]] << 32 | token] if start else self.whole(token)):
+                return token
+        raise ValueError("a byte has no token in this vocabulary")
+
+    def _short(self, data: bytes) -> tuple[int, ...]:
+        """The ids of a piece of few bytes, read back from the prefix table."""
+        out: list[int] = []
+        while data:
+            out.append(self._prefixes[data])
+            data = data[: -self.length_of[out[-1]]]
+        return tuple(reversed(out))
+
     def last_tokens(self, data: bytes) -> list[int]:
         """last[i] is the token that ends data[:i]; an automaton tells the tokens that end at each byte."""
-        last, known, fits, length = [-1], self._fits.get, self.fits, self.length_of
+        last, fits, length = [-1], self._fits, self.length_of
         for end, token in self._automaton.iter(data.decode("latin-1")):
             if len(last) != end + 1:
                 continue  # this prefix has its token already
             start = end + 1 - length[token]
-            if start:
-                ok = known(last[start] << 32 | token)
-                if ok is None:
-                    ok = fits(last[start], token)
-            else:
-                ok = self.whole(token)
-            if ok:
+            if fits[last[start] << 32 | token] if start else self.whole(token):
                 last.append(token)
         if len(last) != len(data) + 1:
             raise ValueError("a byte has no token in this vocabulary")
@@ -134,27 +170,40 @@ class BytePairs:
             at -= self.length_of[last[at]]
         return tuple(reversed(out))
 
-    def piece(self, piece: str) -> tuple[int, ...]:
-        found = self._pieces.get(piece)
-        if found is None:
-            data = piece.encode("utf-8")
-            token = self.ranks.get(data)
-            found = (token,) if token is not None else self.read_back(self.last_tokens(data))
-            if len(self._pieces) >= MEMORY:
-                self._pieces.clear()
-            if len(data) <= 64:
-                self._pieces[piece] = found
-        return found
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        data = piece.encode("utf-8")
+        token = self.ranks.get(data)
+        if token is not None:
+            return (token,)
+        return self._short(data) if len(data) <= SHORT else self.read_back(self.last_tokens(data))
 
-    def encode(self, text: str | None) -> list[int]:
+    def _ids(self, text: str) -> bytes:
+        """The ids of a text, four bytes each."""
         out: list[int] = []
-        known, piece = self._pieces.get, self.piece
-        for p in self.pattern.findall(text or ""):
-            out += known(p) or piece(p)
-        return out
+        for p in self.pattern.findall(text):
+            out += self._piece(p)
+        return array("i", out).tobytes()
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as 32-bit numbers, little end first."""
+        if not text:
+            return b""
+        if not self.cuts_at_spaces or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n" or OTHER_SPACE.search(text):
+            return self._ids(text)
+        first, following, feed, out = self._first.__getitem__, self._next.__getitem__, self._first["\n"], []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            out.append(first(words[0]))
+            out += map(following, words[1:])
+            out.append(feed)
+        out.pop()
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), "<i4").tolist()
 
     def decode(self, ids) -> bytes:
-        return b"".join([self.bytes_of[i] for i in ids])
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
 class EditedText:
@@ -245,12 +294,14 @@ def encode(documents: DataFrame, shared: Broadcast, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [coder.encode(t) for t in part.column(1).to_pylist()]
-                columns = {"doc_id": part.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))}
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                packed = [coder.packed(t) for t in part.column(1).to_pylist()]
+                cuts = np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed]))).astype(np.int32)
+                ids = np.frombuffer(b"".join(packed), "<i4")
+                columns = {"doc_id": part.column(0), "ids": pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids))}
                 if decoded:
-                    columns["decoded"] = pa.array([coder.decode(x) for x in ids], pa.binary())
+                    columns["decoded"] = pa.array([coder.decode(ids[a:b].tolist()) for a, b in zip(cuts, cuts[1:])], pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
 
     kind = frame.schema["doc_id"].dataType.simpleString()
