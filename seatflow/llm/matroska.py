@@ -148,7 +148,14 @@ def frame_ranges(data: bytes, at: int, end: int, lacing: int) -> list[tuple[int,
 
 
 def parsed(data: bytes) -> Media:
-    """The file's tables; ValueError where it isn't well-formed."""
+    """The file's tables; ValueError where it isn't well-formed, cut off or lacks what a packet needs."""
+    try:
+        return _parsed(data)
+    except (struct.error, IndexError, KeyError, StopIteration, UnicodeDecodeError, OverflowError) as e:
+        raise ValueError(f"not well-formed: {type(e).__name__}: {e}") from e
+
+
+def _parsed(data: bytes) -> Media:
     tick, tracks, packets, cues, segment = 1_000_000, {}, [], [], None
 
     def unsigned(a: int, b: int) -> int:
@@ -156,6 +163,8 @@ def parsed(data: bytes) -> Media:
 
     def block(a: int, b: int, time: int, simple: bool) -> None:
         track, a = read_size(data, a)
+        if a + 3 > b:
+            raise ValueError(f"the block at byte {a} is shorter than its header")
         shift, flags = struct.unpack_from(">hB", data, a)
         frames = frame_ranges(data, a + 3, b, flags >> 1 & 3)
         each = durations.get(track, 0)

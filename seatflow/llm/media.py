@@ -33,7 +33,8 @@ def packet_tables(media: DataFrame, media_col: str = "media", keep: tuple[str, .
     """The kept columns and each file's tables: tracks, packets, cues, the payload, and ``error`` where it isn't well-formed.
 
     packets: array of (track, timestamp, begin, end, keyframe); cues: array of (timestamp, track,
-    cluster_at). A null or broken file has empty tables, no payload and its error.
+    cluster_at). A null or broken file has empty tables, no payload and its error. Repeated rows are
+    read alike, and an empty table gives an empty result.
     """
     schema = ", ".join([f"{k} {media.schema[k].dataType.simpleString()}" for k in keep]) + (
         ", tracks array<struct<track:long,codec:string,rate:double,channels:long,depth:long>>, packets array<struct<track:long,timestamp:long,begin:long,end:long,keyframe:boolean>>"
@@ -46,12 +47,14 @@ def packet_tables(media: DataFrame, media_col: str = "media", keep: tuple[str, .
                 rows = []
                 for raw in part[media_col].iloc[at : at + 256]:
                     try:
+                        if raw is None:
+                            raise ValueError("no file")
                         m = parsed(bytes(raw))
                         tracks = [dict(track=n, codec=t[0], rate=t[1], channels=t[2], depth=t[3]) for n, t in m.tracks.items()]
                         packets = [dict(track=p[0], timestamp=p[1], begin=p[2], end=p[3], keyframe=p[4]) for p in m.packets]
                         rows.append((tracks, packets, [dict(timestamp=a, track=b, cluster_at=c) for a, b, c in m.cues], samples(raw, m, next(iter(m.tracks), 1)), None))
-                    except (ValueError, IndexError, KeyError, StopIteration, TypeError) as e:
-                        rows.append(([], [], [], None, f"{type(e).__name__}: {e}"))
+                    except ValueError as e:
+                        rows.append(([], [], [], None, str(e)))
                 out = part[list(keep)].iloc[at : at + 256].reset_index(drop=True)
                 yield pd.concat([out, pd.DataFrame(rows, columns=["tracks", "packets", "cues", "payload", "error"])], axis=1)
 

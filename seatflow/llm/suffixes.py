@@ -11,11 +11,17 @@ ranks of all positions by their first 32 bytes come from doubling; positions in
 {0,1,3,8,12,18} mod 31 also get a rank by their first 170 bytes. Any two positions reach the cover
 at a common shift k below 31. So two strings with equal first and last 32 bytes, whose long tie only
 the cover can break, are equal if and only if the cover ranks at such a k are equal; the ties are
-sorted by (tie, cover rank at k), one k after the other. Memory is that of one block.
+sorted by (tie, cover rank at k), one k after the other.
+
+An anchor with more bytes of contexts than a block, such as one at the edge of a passage that a third
+of all documents share, isn't given to one task: its contexts are cut into their strings, of which those
+that a second sketch estimates to repeat are grouped by BLAKE2 digests (128 bits), wherever they are. So
+memory is that of one block, or of one context where that is longer.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import CODES, mixed, row_tag, run_hashes, sliding_min
+from seatflow.llm.common import CODES, mixed, row_tag, run_hashes, sliding_min, stored
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WIDTH, GRAM = 200, 32
@@ -119,7 +125,41 @@ def _intervals(marks: np.ndarray, width: int) -> list[list[int]]:
     return np.stack([marks[np.concatenate(([0], cut + 1))], marks[np.concatenate((cut, [len(marks) - 1]))] + width], axis=1).tolist()
 
 
-def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def _string_hashes(context: bytes, width: int) -> np.ndarray:
+    return mixed(run_hashes(CODES[np.frombuffer(context, np.uint8)], width))
+
+
+def repeated_strings(contexts: DataFrame, width: int) -> DataFrame:
+    """(anchor, m, spans) of contexts(anchor, m, context, count): strings that occur twice, grouped wherever they are."""
+
+    def hashes(part: pd.DataFrame) -> Iterator[np.ndarray]:
+        for context, count in zip(part["context"], part["count"]):
+            found = _string_hashes(context, width)
+            yield found if count == 1 else np.tile(found, 2)
+
+    total = contexts.agg(F.coalesce(F.sum(F.length("context")), F.lit(0))).first()[0]
+    if not total:
+        return contexts.sparkSession.createDataFrame([], "anchor long, m binary, spans array<array<long>>")
+    bits = repeated_bits(contexts.select("context", "count"), hashes, width_for(total))
+
+    def strings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for anchor, m, context, count in zip(part["anchor"], part["m"], part["context"], part["count"]):
+                at = np.flatnonzero(repeated(bits.value, _string_hashes(context, width)))
+                digests = [_digest(context[i : i + width]) for i in at.tolist()]
+                yield pd.DataFrame({"string": digests, "anchor": anchor, "m": m, "at": at, "count": count})
+
+    each = contexts.mapInPandas(strings, "string binary, anchor long, m binary, at long, count long")
+    twice = stored(each.groupBy("string").agg(F.sum("count").alias("n")).where("n > 1").select("string"))
+    marked = each.join(twice, "string").groupBy("anchor", "m").agg(F.collect_list("at").alias("at"))  # per context, so no longer than it
+    return marked.select("anchor", "m", F.transform("at", lambda x: F.array(x, x + width)).alias("spans"))
+
+
+def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, tag, spans array<array<long>>): per run of strings with one anchor, the covered bytes in the document.
 
     tag tells rows of one id apart by their text; rows that are equal in both are listed together.
@@ -133,6 +173,8 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_
 
     bits = repeated_bits(frame.select("text"), anchors, width_for(text_bytes(frame) / 80))
 
+    names = ["anchor", "m", "context", "doc_id", "tag"]
+
     def contexts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out: list[tuple] = []
@@ -140,59 +182,65 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_
                 data, anchor, first, last = _contexts(text, width)
                 raw = data.tobytes()
                 for i in np.flatnonzero(repeated(bits.value, anchor)):
-                    out.append((int(anchor[i].view(np.int64)), raw[first[i] : last[i] + width], doc_id, int(tag + first[i])))
+                    context = raw[first[i] : last[i] + width]
+                    out.append((int(anchor[i].view(np.int64)), _digest(context), context, doc_id, int(tag + first[i])))
                 if len(out) >= 20_000:
-                    yield pd.DataFrame(out, columns=["anchor", "context", "doc_id", "tag"])
+                    yield pd.DataFrame(out, columns=names)
                     out = []
-            yield pd.DataFrame(out, columns=["anchor", "context", "doc_id", "tag"])
+            yield pd.DataFrame(out, columns=names)
 
-    found = frame.withColumn("tag", row_tag(F.col("text"))).mapInPandas(contexts, f"anchor long, context binary, doc_id {kind}, tag long")
-    buckets = found.groupBy("anchor", "context").count().repartition("anchor").sortWithinPartitions("anchor")
+    found = frame.withColumn("tag", row_tag(F.col("text"))).mapInPandas(contexts, f"anchor long, m binary, context binary, doc_id {kind}, tag long")
+    found = stored(found)
+    buckets = stored(found.groupBy("anchor", "m").agg(F.first("context").alias("context"), F.count("*").alias("count")))
+    hot = stored(buckets.groupBy("anchor").agg(F.sum(F.length("context")).alias("n")).where(F.col("n") > block_bytes).select("anchor"))
+    plain = repeated_strings(buckets.join(hot, "anchor"), width)
+    buckets = buckets.join(hot, "anchor", "left_anti").select("anchor", "m", "context", "count").repartition("anchor").sortWithinPartitions("anchor")
 
     def blocks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[int, bytes, int]] = []
+        held: list[tuple[int, bytes, bytes, int]] = []
         size = 0
 
         def done() -> pd.DataFrame:
-            block = np.frombuffer(b"".join(c for _, c, _ in held), np.uint8)
-            lengths = np.array([len(c) for _, c, _ in held])
+            block = np.frombuffer(b"".join(c for _, _, c, _ in held), np.uint8)
+            lengths = np.array([len(c) for _, _, c, _ in held])
             offsets = np.cumsum(lengths) - lengths
             n = lengths - width + 1
             owner = np.repeat(np.arange(len(held)), n)
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             marked = repeated_in_block(block, offsets[owner] + inside, width)
-            marked |= np.array([c for _, _, c in held])[owner] > 1
+            marked |= np.array([c for *_, c in held])[owner] > 1
             at = np.flatnonzero(marked)
             own, inside = owner[at], inside[at]
             cuts = np.searchsorted(own, np.arange(len(held) + 1))
             out = [(held[i][0], held[i][1], _intervals(inside[cuts[i] : cuts[i + 1]], width)) for i in np.flatnonzero(np.diff(cuts))]
-            return pd.DataFrame(out, columns=["anchor", "context", "spans"])
+            return pd.DataFrame(out, columns=["anchor", "m", "spans"])
 
         for part in parts:
-            for anchor, context, count in zip(part["anchor"], part["context"], part["count"]):
-                if size >= BLOCK_BYTES and anchor != held[-1][0]:
+            for anchor, m, context, count in zip(part["anchor"], part["m"], part["context"], part["count"]):
+                if size >= block_bytes and anchor != held[-1][0]:
                     yield done()
                     held, size = [], 0
-                held.append((anchor, bytes(context), count))
+                held.append((anchor, m, bytes(context), count))
                 size += len(context)
         if held:
             yield done()
 
-    spans = buckets.mapInPandas(blocks, "anchor long, context binary, spans array<array<long>>")
-    spans = spans.select("anchor", F.md5("context").alias("m"), "spans")
-    return found.select("anchor", F.md5("context").alias("m"), "doc_id", "tag").join(spans, ["anchor", "m"]).select("doc_id", "tag", "spans")
+    spans = buckets.mapInPandas(blocks, "anchor long, m binary, spans array<array<long>>")
+    spans = stored(spans.unionByName(plain))
+    return found.select("anchor", "m", "doc_id", "tag").join(spans, ["anchor", "m"]).select("doc_id", "tag", "spans")
 
 
-def without_repeats(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Adds ``n_bytes``, ``spans`` (maximal removed runs, pairs of begin and end) and ``kept binary`` to all columns.
 
     Each byte of the UTF-8 text covered by a string of `width` bytes that also starts anywhere else
     goes, in every copy. Null texts count as empty; nothing shorter than `width` is touched. Strings
-    are judged on the input.
+    are judged on the input. Rows that repeat, or share an id, are texts of their own and repeat each
+    other. An empty table gives an empty result. block_bytes: the bytes of contexts to a block.
     """
     added = ("n_bytes", "spans", "kept")
     names = [x for x in documents.columns if x not in added]
-    spans = repeated_spans(documents, width, id_col, text_col)
+    spans = repeated_spans(documents, width, id_col, text_col, block_bytes)
     spans = spans.select("doc_id", F.expr("tag & ~1099511627775L").alias("mark"), F.expr("transform(spans, s -> transform(s, x -> x + (tag & 1099511627775L)))").alias("spans"))
     spans = spans.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.flatten(F.collect_list("spans")).alias("_spans"))
     rows = documents.withColumn("_row", F.struct(*names)).select("_row", F.col(id_col).alias("_own"), row_tag(F.col(text_col)).alias("_tag"))

@@ -167,6 +167,21 @@ def test_suffix_array_dedup(documents, texts, monkeypatch):
     assert sum(x[2] > 0 for x in got) > 10
 
 
+@pytest.mark.parametrize("block_bytes", [300, 1500])
+def test_suffix_dedup_of_anchors_larger_than_a_block(spark, documents, texts, block_bytes):
+    """Blocks so small that some anchors, or all with two contexts, are grouped string by string."""
+    import random
+
+    from tests.llm.conftest import prose
+
+    rng = random.Random(3)
+    passage = prose(rng, 60)
+    rows = texts + [(10_000 + i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_bytes"], len(r["spans"]), bytes(r["kept"])) for r in suffixes.without_repeats(frame, block_bytes=block_bytes).collect())
+    assert got == brute_suffix(rows)
+
+
 def test_suffix_edges(nothing, awkward):
     assert suffixes.without_repeats(nothing).collect() == []
     rows = suffixes.without_repeats(awkward).collect()
@@ -397,11 +412,33 @@ def test_matroska_lacing_unknown_sizes_and_groups():
             matroska.parsed(bad)
 
 
+def test_matroska_of_broken_files():
+    """Cut anywhere and with any byte changed, a file is read or refused with ValueError, and nothing else."""
+    good = matroska.written(bytes(range(256)) * 12)
+    rng, refused = np.random.default_rng(9), 0
+    broken = [good[:n] for n in range(0, len(good), 7)] + [good + b"\x1f"]
+    for _ in range(1500):
+        changed = bytearray(good)
+        for at in rng.integers(0, 200 if rng.random() < 0.7 else len(good), rng.integers(1, 4)):
+            changed[at] = rng.integers(0, 256)
+        broken.append(bytes(changed))
+    for data in broken:
+        try:
+            m = matroska.parsed(data)
+            matroska.samples(data, m)
+        except ValueError:
+            refused += 1
+    assert refused > 300
+    short = matroska.element(matroska.SIMPLE, b"\x81\0")
+    with pytest.raises(ValueError):
+        matroska.parsed(matroska.element(matroska.SEGMENT, matroska.element(matroska.CLUSTER, short)))
+
+
 def test_media_edges(nothing, awkward, spark):
     assert media.packet_tables(media.stored_media(nothing)).collect() == []
     assert len(media.packet_tables(media.stored_media(awkward)).collect()) == 8
-    (r,) = media.packet_tables(spark.createDataFrame([(1, b"junk")], "doc_id long, media binary")).collect()
-    assert r["error"] and r["payload"] is None
+    rows = media.packet_tables(spark.createDataFrame([(1, b"junk"), (2, None), (3, matroska.written(bytes(64))[:-30])], "doc_id long, media binary")).collect()
+    assert len(rows) == 3 and all(r["error"] and r["payload"] is None and r["packets"] == [] for r in rows)
 
 
 # --- 10 -----------------------------------------------------------------------------------
