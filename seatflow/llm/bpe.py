@@ -29,11 +29,9 @@ from pyspark.sql import functions as F
 from seatflow.llm.common import lean
 
 #: Words, pieces and pairs that a worker remembers at most, in two generations each.
-MEMORY = 400_000
+MEMORY = 800_000
 #: Bytes of a piece whose prefixes are remembered for others too; a longer one has a table of its own.
 SHORT = 64
-#: Bytes at its end by which a prefix's longest possible last token is known.
-TAIL = 5
 #: The pattern of the public tokenizers. It takes a space along with what follows, or by itself; and a line feed by itself.
 CUTS_AT_SPACES = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
 OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -68,16 +66,13 @@ class BytePairs:
         self.longest = max(map(len, ranks), default=0)
         self._fits = Remembered(self._fit)
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._reach: dict[bytes, int] = {}  # the longest token with these last TAIL bytes
+        self._tails = {token[k:] for token in ranks for k in range(len(token))}  # all that tokens end with
         self._prefixes = Remembered(self._prefix)
         self.length_of = {i: len(token) for token, i in ranks.items()}
         self._automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
             self._automaton.add_word(token.decode("latin-1"), i)
         self._automaton.make_automaton()
-        for token in ranks:
-            if len(token) >= TAIL:
-                self._reach[token[-TAIL:]] = max(len(token), self._reach.get(token[-TAIL:], TAIL))
         self._first, self._next = Remembered(self._ids), Remembered(lambda word: self._ids(" " + word))
 
     def merged(self, data: bytes, parts_left: int = 1) -> list[bytes]:
@@ -124,21 +119,32 @@ class BytePairs:
         """Whether the merges of a token's bytes lead to the token."""
         return len(self.bytes_of[token]) == 1 or self.halves(token) is not None
 
+    def ending(self, data: bytes, end: int) -> list[int]:
+        """The tokens that end at a place, the longest last."""
+        tails, ranks, out, start = self._tails, self.ranks, [], end
+        while start:
+            start -= 1
+            tail = data[start:end]
+            if tail in ranks:
+                out.append(ranks[tail])
+            elif tail not in tails:
+                break
+        return out
+
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
         """The token that ends the encoding of data[:end], given those of all shorter prefixes."""
-        ranks, fits = self.ranks.get, self.fits
-        for start in range(max(0, end - self._reach.get(data[max(0, end - TAIL) : end], TAIL - 1)), end):
-            token = ranks(data[start:end])
-            if token is not None and (fits(last[start], token) if start else self.whole(token)):
+        for token in reversed(self.ending(data, end)):
+            start = end - self.length_of[token]
+            if self.fits(last[start], token) if start else self.whole(token):
                 return token
         raise ValueError("a byte has no token in this vocabulary")
 
     def _prefix(self, data: bytes) -> int:
         """The token that ends the encoding of a prefix; pieces share their prefixes, and only those that a piece needs are filled."""
-        ranks, fits, prefixes, end = self.ranks.get, self._fits, self._prefixes, len(data)
-        for start in range(max(0, end - self._reach.get(data[-TAIL:], TAIL - 1)), end):
-            token = ranks(data[start:])
-            if token is not None and (fits[prefixes[data[:start]] << 32 | token] if start else self.whole(token)):
+        fits, prefixes, length, end = self._fits, self._prefixes, self.length_of, len(data)
+        for token in reversed(self.ending(data, end)):
+            start = end - length[token]
+            if fits[prefixes[data[:start]] << 32 | token] if start else self.whole(token):
                 return token
         raise ValueError("a byte has no token in this vocabulary")
 
