@@ -36,7 +36,7 @@ ORDER, LEAST_COUNT, DISCOUNT = 3, 2, 0.5
 #: Hashes in the place of words: of a text's start and end.
 START, END = np.uint64(0x53D1C0FFEE5EED01), np.uint64(0x2E0D0FAB1E0DDE77)
 #: Bytes of text to a block at least, and to a part of the keys.
-BLOCK_BYTES, PART_BYTES = 12_000_000, 16_000_000
+BLOCK_BYTES, PART_BYTES = 6_000_000, 8_000_000
 LEAST_PARTS = 12
 
 
