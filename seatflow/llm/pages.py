@@ -1,9 +1,12 @@
 """HTML extraction: flat text blocks, classified by a decision tree on word counts and link density of neighbours.
 
 Block tags cut a page into a flat list of text blocks; inline tags and line breaks don't. Each block
-has its number of words, the share of them inside links, and the same of the block before and after, and
-two hints of the markup around it: whether something that encloses it is of the article kind, or of the
-furniture kind (by tag, role, class or id). The tree learns from the small labelled table below.
+has its number of words, the share of them inside links, and the same of the block before and after. The
+tree learns from the small labelled table below and sees nothing else. Some kinds of blocks look alike by
+these numbers, such as paragraphs and readers' comments: the table has both, and their leaf is a tie.
+Ties go by the markup around the block, if it says anything: whether an element that encloses it is of
+the article kind, or of the furniture kind (by tag, role, class or id). Without such hints the leaf's
+majority decides.
 """
 
 from __future__ import annotations
@@ -40,8 +43,9 @@ FURNITURE = set(
 )
 ARTICLE = set("article articlebody content entry post story body main maincontent".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A quote opens a value only after an equals sign.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -53,37 +57,42 @@ class Block(NamedTuple):
     furniture: int
 
 
-#: The labelled table, by hand: words and link density of the block before, of the block, and of the block after;
-#: inside an article; inside furniture; 1 if it is of the main text.
-LABELLED = [
-    # articles: titles, paragraphs, lists, short and long, with links in them
-    (1, 1.0, 8, 0.0, 60, 0.0, 1, 0, 1), (9, 0.0, 12, 0.0, 80, 0.0, 1, 0, 1), (0, 0.0, 5, 0.0, 40, 0.0, 1, 0, 1), (12, 0.0, 70, 0.0, 45, 0.0, 1, 0, 1),
-    (60, 0.0, 120, 0.05, 90, 0.0, 1, 0, 1), (90, 0.0, 3, 0.0, 75, 0.0, 1, 0, 1), (30, 0.1, 1, 0.0, 20, 0.0, 1, 0, 1), (45, 0.0, 25, 0.0, 0, 0.0, 1, 0, 1),
-    (80, 0.0, 200, 0.02, 4, 0.0, 1, 0, 1), (50, 0.0, 35, 0.3, 60, 0.0, 1, 0, 1), (20, 0.0, 6, 0.5, 30, 0.0, 1, 0, 1), (15, 0.0, 9, 1.0, 40, 0.0, 1, 0, 1),
-    (25, 0.0, 2, 1.0, 2, 1.0, 1, 0, 1), (400, 0.0, 600, 0.0, 300, 0.0, 1, 0, 1), (5, 0.0, 2, 0.0, 7, 0.0, 1, 0, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 0, 1),
-    (50, 0.05, 2, 0.0, 2, 1.0, 1, 0, 1), (2, 0.0, 2, 0.0, 0, 0.0, 1, 0, 1), (0, 0.0, 2, 0.0, 2, 0.0, 1, 0, 1), (2, 0.0, 2, 1.0, 30, 0.0, 1, 0, 1), (30, 0.0, 3, 0.0, 4, 0.0, 1, 0, 1), (4, 0.0, 3, 0.0, 3, 0.0, 1, 0, 1),
-    (0, 0.0, 3, 0.0, 0, 0.0, 1, 0, 1), (6, 0.0, 5, 0.0, 5, 0.0, 1, 0, 1), (8, 0.0, 3, 0.0, 1, 1.0, 1, 0, 1), (1, 1.0, 3, 0.0, 0, 0.0, 1, 0, 1), (2, 1.0, 4, 0.0, 6, 0.0, 1, 0, 1), (0, 0.0, 2, 1.0, 0, 0.0, 1, 0, 1),
-    # furniture inside and outside articles, of any length and link density
-    (0, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0), (1, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0), (2, 1.0, 3, 1.0, 10, 0.0, 0, 1, 0), (1, 1.0, 8, 0.0, 8, 0.0, 0, 1, 0),
-    (40, 0.0, 9, 0.0, 0, 0.0, 0, 1, 0), (70, 0.0, 15, 0.2, 0, 0.0, 0, 1, 0), (50, 0.0, 60, 0.0, 45, 0.0, 0, 1, 0), (30, 0.0, 120, 0.0, 90, 0.0, 0, 1, 0),
-    (90, 0.0, 20, 0.0, 60, 0.0, 1, 1, 0), (60, 0.0, 4, 0.0, 80, 0.0, 1, 1, 0), (80, 0.0, 3, 1.0, 2, 1.0, 1, 1, 0), (2, 1.0, 2, 1.0, 50, 0.0, 1, 1, 0),
-    (100, 0.0, 75, 0.0, 5, 0.0, 1, 1, 0), (3, 0.0, 250, 0.0, 3, 0.0, 0, 1, 0), (6, 0.0, 35, 0.1, 40, 0.0, 0, 1, 0), (4, 0.5, 12, 0.0, 20, 0.0, 1, 1, 0),
-    # pages without hints: long blocks with few links are text, lists of links aren't, short ones go with their neighbours
-    (0, 0.0, 60, 0.0, 70, 0.0, 0, 0, 1), (50, 0.0, 35, 0.05, 60, 0.0, 0, 0, 1), (40, 0.0, 18, 0.0, 45, 0.0, 0, 0, 1), (2, 1.0, 90, 0.1, 50, 0.0, 0, 0, 1),
-    (70, 0.0, 25, 0.0, 2, 1.0, 0, 0, 1), (60, 0.0, 5, 0.0, 80, 0.0, 0, 0, 1), (30, 0.0, 8, 0.0, 40, 0.1, 0, 0, 1), (1, 1.0, 7, 0.0, 55, 0.0, 0, 0, 1),
-    (0, 0.0, 9, 0.0, 100, 0.0, 0, 0, 1), (90, 0.0, 150, 0.2, 0, 0.0, 0, 0, 1), (1, 1.0, 2, 1.0, 3, 1.0, 0, 0, 0), (0, 0.0, 3, 0.0, 1, 1.0, 0, 0, 0),
-    (60, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0), (1, 1.0, 4, 0.8, 40, 0.0, 0, 0, 0), (50, 0.0, 12, 0.9, 8, 1.0, 0, 0, 0), (3, 1.0, 20, 0.7, 2, 1.0, 0, 0, 0),
-    (2, 1.0, 6, 0.0, 1, 1.0, 0, 0, 0), (40, 0.0, 6, 0.0, 0, 0.0, 0, 0, 0), (5, 0.6, 7, 0.0, 4, 0.0, 0, 0, 0), (2, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0),
-    (70, 0.0, 30, 0.6, 25, 0.5, 0, 0, 0), (0, 0.0, 40, 0.9, 30, 0.8, 0, 0, 0), (10, 1.0, 5, 0.0, 6, 0.0, 0, 0, 0), (9, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0),
-    (0, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1), (0, 0.0, 25, 0.0, 0, 0.0, 0, 0, 1), (0, 0.0, 250, 0.0, 0, 0.0, 0, 0, 1), (40, 0.0, 60, 0.0, 2, 1.0, 0, 0, 1), (1, 1.0, 40, 0.0, 60, 0.0, 0, 0, 1),
-    (1, 1.0, 45, 0.0, 2, 1.0, 0, 0, 1), (2, 1.0, 120, 0.0, 0, 0.0, 0, 0, 1), (3, 0.0, 80, 0.0, 3, 0.0, 0, 0, 1), (1, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0),
-    (1, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0), (40, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0), (60, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0), (120, 0.0, 40, 0.1, 8, 0.0, 0, 0, 1), (0, 0.0, 1, 1.0, 50, 0.0, 0, 0, 0),
-]
+#: The labelled table, by hand: the blocks of some pages in order, each with its words and + if it is of the main text, - if not.
+#: L: all its words are links; a share of linked words stands after a stroke. learned() makes the tree's rows of it.
+LABELLED = """
+    1L 2L 1L 1L 9- 7+ 60+ 35+ 90+ 12-           1L 1L 1L 1L 1L 6- 12+ 80+ 5+ 30+ 14-        2L 1L 1L 11- 5+ 9+ 50+ 3+ 25+ 16-
+    1L 1L 1L 8- 9+ 25+ 8+ 40+ 2+ 13-            1L 2L 1L 13- 10+ 14+ 120+ 9-                1L 1L 4- 3+ 40+ 15+ 6+ 11-
+    1L 1L 1L 1L 10- 15+ 3+ 200+ 1+ 45+ 10-      1L 1L 7- 14+ 60+ 2+ 12-                     1L 1L 5- 9+ 22+ 4+ 4+ 15-
+    2L 1L 1L 12- 8+ 300+ 12+ 90+ 14-            1L 2L 1L 8+ 55+ 40+ 70+ 1L 2L 2L            1L 1L 6+ 80+ 25+ 2L 2L
+    1L 1L 1L 5+ 30+ 20+ 60+ 9-                  1L 1L 9+ 12+ 40+ 1L                         1L 1L 40+ 60+ 2L
+    2L 90/0.1+ 50+ 70+                          9+ 100+ 60+ 35+                             8+ 55+ 9+
+    12+ 40+                                     20+ 8+ 45+ 5+                               60+ 9+ 2+
+    60+         25+         250+         3+     12/0.1+                                     1L 1L 8- 9+ 60+ 45+ 2- 9L 12L 8L 10L 14-
+    1L 1L 9- 7+ 60+ 80+ 3- 35- 4- 25- 60- 10-   8+ 50+ 70+ 2- 9- 90- 30- 5-                 1L 1L 12- 6+ 45+ 120+ 2- 250- 60- 40- 13-
+    1L 1L 7+ 70+ 40+ 30- 1L 1L 1L 11-           5- 2L 2L 2L 30- 8+ 60+ 90+ 12-              1L 1L 7+ 40+ 1- 25- 1- 12-
+    7+ 40+ 2+ 2/1+ 9/1+ 30+                     6+ 60+ 35/0.3+ 6/0.5+ 30+                   25- 1L 1L 6+ 50+ 70+ 10-
+    9+ 30+ 2+ 3/1+                              8+ 1/1+                                     1L 1L 2L 3+
+"""
+#: A leaf with so small a share of main text is no tie. No leaf is that sure of main text: readers' comments may look like any paragraph.
+SURE = 0.05
+
+
+def labelled_rows() -> tuple[np.ndarray, np.ndarray]:
+    """The labelled table as features and labels."""
+    rows, labels = [], []
+    for page in re.split(r"\s{2,}", LABELLED.strip()):
+        found = []
+        for block in page.split():
+            words, share = re.match(r"(\d+)(?:/([\d.]+))?", block).groups()
+            linked = float(share or (block[-1] == "L"))
+            found.append(Block("", int(words), round(int(words) * linked), 0, 0))
+            labels.append(float(block[-1] == "+"))
+        rows.append(features(found))
+    return np.concatenate(rows), np.array(labels)
 
 
 def learned() -> Tree:
-    rows = np.array(LABELLED, dtype=float)
-    return classified(rows[:, :-1], rows[:, -1])
+    return classified(*labelled_rows(), depth=5, least=6.0)
 
 
 def _kind(tag: str, attributes: str, in_article: bool) -> int:
@@ -115,6 +124,8 @@ def blocks(page: str | None) -> list[Block]:
     pieces: list[str] = []
     link: list[str] = []
     counts = {1: 0, -1: 0, -2: 0, "a": 0}
+    opened: dict[str, list[int]] = {}  # where in the stack each tag stands
+    solid: list[int] = []  # where in the stack the block elements stand
 
     def close() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
@@ -132,6 +143,9 @@ def blocks(page: str | None) -> list[Block]:
 
     def pop() -> None:
         tag, kind = stack.pop()
+        opened[tag].pop()
+        if tag in BLOCKS:
+            solid.pop()
         if kind:
             counts[kind] -= 1
         if tag == "a":
@@ -155,9 +169,9 @@ def blocks(page: str | None) -> list[Block]:
                 close()
             elif tag == "a":
                 link.append(" ")
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = opened[tag][-1] if opened.get(tag) else None
             # an inline end tag doesn't reach past the block that it is in
-            if depth is not None and (tag in BLOCKS or not any(t in BLOCKS for t, _ in stack[depth + 1 :])):
+            if depth is not None and (tag in BLOCKS or not solid or solid[-1] < depth):
                 while len(stack) > depth:
                     pop()
             continue
@@ -166,11 +180,9 @@ def blocks(page: str | None) -> list[Block]:
             if tag in ("p", "li", "dd", "dt", "td", "th", "tr", "option") or (tag[0] == "h" and tag[1:].isdigit()):
                 # these end an open paragraph or a like element by themselves
                 ended = {"p"} | ({tag} if tag in ("li", "option", "tr") else {"dd", "dt"} if tag in ("dd", "dt") else {"td", "th"} if tag in ("td", "th") else set())
-                depth = len(stack)
-                while depth and stack[depth - 1][0] not in ended and stack[depth - 1][0] not in BLOCKS:
-                    depth -= 1
-                if depth and stack[depth - 1][0] in ended:
-                    while len(stack) >= depth:
+                if solid and stack[solid[-1]][0] in ended:
+                    depth = solid[-1]
+                    while len(stack) > depth:
                         pop()
         if tag == "br":
             say(" ")
@@ -181,6 +193,9 @@ def blocks(page: str | None) -> list[Block]:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        opened.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            solid.append(len(stack))
         stack.append((tag, kind))
         if kind:
             counts[kind] += 1
@@ -192,28 +207,38 @@ def blocks(page: str | None) -> list[Block]:
 
 def features(found: list[Block]) -> np.ndarray:
     """Per block the columns of the labelled table."""
-    density = [b.linked / b.words for b in found]
-    rows = []
-    for i, b in enumerate(found):
-        before = (found[i - 1].words, density[i - 1]) if i else (0, 0.0)
-        after = (found[i + 1].words, density[i + 1]) if i + 1 < len(found) else (0, 0.0)
-        rows.append((*before, b.words, density[i], *after, b.article, b.furniture))
-    return np.array(rows, dtype=float).reshape(-1, 8)
+    words = np.array([0, *[b.words for b in found], 0], dtype=float)
+    density = np.array([0, *[b.linked / b.words for b in found], 0], dtype=float)
+    return np.stack([words[:-2], density[:-2], words[1:-1], density[1:-1], words[2:], density[2:]], axis=1)
+
+
+def chosen(found: list[Block], tree: Tree) -> np.ndarray:
+    """Whether each block is of the main text: by its leaf, and in a tie by its hints."""
+    share = walk(tree, features(found))
+    out = share >= 0.5
+    tie = share > SURE
+    article, furniture = (np.array([getattr(b, k) for b in found], dtype=bool) for k in ("article", "furniture"))
+    if (article & ~furniture).any():  # the page marks its article, so what stands outside is hinted too
+        furniture |= ~article
+    out[tie & article & ~furniture] = True
+    out[tie & furniture] = False
+    return out
 
 
 def main_text(page: str | None, tree: Tree) -> str:
-    """The blocks that the tree takes, joined by line feeds; on a page that has an article, those outside it are out."""
+    """The blocks that are chosen, joined by line feeds."""
     found = blocks(page)
     if not found:
         return ""
-    chosen = walk(tree, features(found)) >= 0.5
-    if any(b.article and c for b, c in zip(found, chosen)):
-        chosen &= np.array([bool(b.article) for b in found])
-    return "\n".join(b.text for b, c in zip(found, chosen) if c)
+    return "\n".join(b.text for b, c in zip(found, chosen(found, tree)) if c)
 
 
 def extracted(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
-    """Adds the main text of each page; null and empty pages have the empty text. A column of that name is replaced."""
+    """Adds the main text of each page as `out`; a column of that name is replaced.
+
+    Null and empty pages, and pages without text, have the empty text. Repeated rows are read alike,
+    pages of any length whole, and an empty table gives an empty result.
+    """
     tree = learned()
 
     @F.pandas_udf("string")
@@ -221,5 +246,3 @@ def extracted(pages: DataFrame, html_col: str = "html", out: str = "text") -> Da
         return htmls.map(lambda h: main_text(h, tree))
 
     return lean(pages).withColumn(out, text(F.col(html_col)))
-
-
