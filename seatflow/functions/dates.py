@@ -30,12 +30,15 @@ def listed_date(text: Column) -> Column:
 
 
 def short_date(text: Column, today: Column) -> Column:
-    """HH:MM is today; MM-DD is its latest occurrence up to today; a full date is itself."""
+    """HH:MM is today; month and day (with - or ., of one or two digits) are their latest occurrence up to
+    today, in this year or the last; a full date is itself."""
     t = F.trim(text)
-    this_year = F.try_to_timestamp(F.concat(F.year(today).cast("string"), F.lit("-"), t), F.lit("yyyy-MM-dd")).cast("date")
-    last_year = F.try_to_timestamp(F.concat((F.year(today) - 1).cast("string"), F.lit("-"), t), F.lit("yyyy-MM-dd")).cast("date")
+    parts = F.split(F.translate(t, ".", "-"), "-")
+    month_day = (F.size(parts) == 2) & F.forall(parts, lambda x: x.rlike("^[0-9]{1,2}$"))
+    of = lambda year: F.try_to_timestamp(F.concat_ws("-", year.cast("string"), F.get(parts, F.lit(0)), F.get(parts, F.lit(1))), F.lit("yyyy-M-d")).cast("date")
+    this_year, last_year = of(F.year(today)), of(F.year(today) - 1)
     recent = F.when(this_year <= today, this_year).otherwise(last_year)
-    return F.when(t.rlike(r"^\d{1,2}:\d{2}$"), today).when(t.rlike(r"^\d{2}-\d{2}$"), recent).otherwise(listed_date(t))
+    return F.when(t.rlike(r"^\d{1,2}:\d{2}$"), today).when(month_day, recent).otherwise(listed_date(t))
 
 
 def _latest(days: Column) -> Column:
@@ -58,7 +61,11 @@ def deadline_in(text: Column, posted_on: Column) -> Column:
     r = lambda k: F.regexp_extract_all(text, F.lit(ranged), F.lit(k))
     tails = F.transform(F.arrays_zip(r(1).alias("y"), r(4).alias("m"), r(5).alias("d")), lambda x: day(x["y"], x["m"], x["d"]))
     stated = _latest(F.concat(separated, compact, tails))
-    short = r"(?<!\d)(\d{1,2})\s*월\s*(\d{1,2})\s*일"
-    s = lambda k: F.regexp_extract_all(text, F.lit(short), F.lit(k))
-    yearless = _latest(F.transform(F.arrays_zip(s(1).alias("m"), s(2).alias("d")), lambda x: day(F.year(posted_on).cast("string"), x["m"], x["d"])))
+    # a day of a month: the number that ends what stands before the word for month, and that before the word for day after it
+    pieces = F.split(text, "월")
+    month = lambda x: F.regexp_extract(F.rtrim(x), r"[0-9]+$", 0)
+    of_month = lambda x: F.rtrim(F.when(F.contains(x, F.lit("일")), F.substring_index(F.ltrim(x), "일", 1)))
+    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.slice(pieces, F.lit(2), F.size(pieces)), lambda x, y: F.struct(month(x).alias("m"), of_month(y).alias("d")))
+    told = F.filter(pairs, lambda x: x["m"].rlike("^[0-9]{1,2}$") & x["d"].rlike("^[0-9]{1,2}$"))
+    yearless = _latest(F.transform(told, lambda x: day(F.year(posted_on).cast("string"), x["m"], x["d"])))
     return F.coalesce(stated, F.when(yearless >= posted_on, yearless))

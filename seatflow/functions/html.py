@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 BREAKS = {"dl", "dt", "dd", "p", "div", "br", "tr", "td", "th", "li", "h1", "h2", "h3", "h4", "table"}
 KEPT = {"href", "src", "alt", "colspan", "rowspan"}
 DROPPED = {"script", "style", "noscript", "iframe"}
-DECORATIVE = {"span", "font", "b", "i", "u", "em", "strong"}
+DECORATIVE = {"span", "font", "b", "i", "u", "em", "strong", "small", "center", "o:p"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: What a start tag ends by itself, up to the element that it can't reach past.
 ENDS = {
@@ -42,13 +42,43 @@ class Node:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
     def walk(self):  # noqa: ANN201
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.walk()
+        """All elements below, in the order of the page; markup of any depth."""
+        rest = [iter(self.children)]
+        while rest:
+            for child in rest[-1]:
+                if isinstance(child, Node):
+                    yield child
+                    rest.append(iter(child.children))
+                    break
+            else:
+                rest.pop()
+
+    def visit(self, enter, leave):  # noqa: ANN001, ANN201
+        """Calls enter(child) on each string and element below, which tells whether to go into it; leave(element) on going out."""
+        rest = [(None, iter(self.children))]
+        while rest:
+            for child in rest[-1][1]:
+                if enter(child) and isinstance(child, Node):
+                    rest.append((child, iter(child.children)))
+                    break
+            else:
+                done, _ = rest.pop()
+                if done is not None:
+                    leave(done)
 
     def text(self) -> str:
-        return " ".join("".join(c if isinstance(c, str) else f" {c.text()} " if c.tag in BREAKS else c.text() for c in self.children if isinstance(c, str) or c.tag not in ("script", "style")).split())
+        """The text with one space for each run of white space; blocks stand apart."""
+        out: list[str] = []
+
+        def enter(child) -> bool:  # noqa: ANN001
+            if isinstance(child, str):
+                out.append(child)
+            elif child.tag in BREAKS:
+                out.append(" ")
+            return isinstance(child, Node) and child.tag not in ("script", "style")
+
+        self.visit(enter, lambda n: out.append(" ") if n.tag in BREAKS else None)
+        return " ".join("".join(out).split())
 
     def select(self, selector: str) -> list[Node]:
         """Elements by tag, .class, #id, [attr], [attr*=value], descendants by spaces, alternatives by commas."""
@@ -140,47 +170,50 @@ def text_of(node: Node) -> str:
     """Line feeds after block elements only; runs of spaces are one; at most one blank line together."""
     out: list[str] = []
 
-    def say(n: Node) -> None:
-        for c in n.children:
-            if isinstance(c, str):
-                out.append(c)
-            elif c.tag not in ("script", "style"):
-                shown = _unmasked(c)
-                out.append(shown) if shown else say(c)
-                if c.tag in BREAKS:
-                    out.append("\n")
-
-    say(node)
-    lines = [re.sub("[ \t ]+", " ", x).strip() for x in "".join(out).split("\n")]
+    def enter(c) -> bool:  # noqa: ANN001
+        if isinstance(c, str):
+            out.append(c)
+            return False
+        if c.tag in ("script", "style"):
+            return False
+        shown = _unmasked(c)
+        if shown is not None:
+            out.append(shown)
+            leave(c)
+        return shown is None
+
+    def leave(n: Node) -> None:
+        if n.tag in BREAKS:
+            out.append("\n")
+
+    node.visit(enter, leave)
+    lines = [re.sub("[ \t\u00a0]+", " ", x).strip() for x in "".join(out).split("\n")]
     return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
 
 
 def structure_of(node: Node) -> str:
     """Markup without comments, scripts and decoration, and with content attributes only; inline data is elided."""
     out: list[str] = []
-
-    def say(n: Node) -> None:
-        for c in n.children:
-            if isinstance(c, str):
-                out.append(_html.escape(c, quote=False))
-                continue
-            if c.tag in DROPPED:
-                continue
-            shown = _unmasked(c)
-            if shown:
-                out.append(_html.escape(shown, quote=False))
-                continue
-            attrs = {k: ELIDED if k == "src" and v.startswith("data:") else v for k, v in c.attrs.items() if k in KEPT}
-            bare = c.tag in ("html", "body") or c.tag in DECORATIVE and not attrs
-            if c.tag == "head":
-                continue
-            if not bare:
-                out.append(f"<{c.tag}" + "".join(f' {k}="{_html.escape(v)}"' for k, v in attrs.items()) + ("/>" if c.tag in VOID else ">"))
-            say(c)
-            if not bare and c.tag not in VOID:
-                out.append(f"</{c.tag}>")
-
-    say(node)
+    ends: list[str] = []
+
+    def enter(c) -> bool:  # noqa: ANN001
+        if isinstance(c, str):
+            out.append(_html.escape(c, quote=False))
+            return False
+        if c.tag in DROPPED or c.tag == "head":
+            return False
+        shown = _unmasked(c)
+        if shown is not None:
+            out.append(_html.escape(shown, quote=False))
+            return False
+        attrs = {k: ELIDED if k == "src" and v.startswith("data:") else v for k, v in c.attrs.items() if k in KEPT}
+        bare = c.tag in ("html", "body") or c.tag in DECORATIVE and not attrs
+        if not bare:
+            out.append(f"<{c.tag}" + "".join(f' {k}="{_html.escape(v)}"' for k, v in attrs.items()) + ("/>" if c.tag in VOID else ">"))
+        ends.append("" if bare or c.tag in VOID else f"</{c.tag}>")
+        return True
+
+    node.visit(enter, lambda n: out.append(ends.pop()))
     return "".join(out).strip()
 
 
@@ -196,40 +229,42 @@ def images_of(node: Node, base: str) -> list[str]:
     return [x for x in found if x is not None]
 
 
-def _clean(name: str) -> str:
+def _label(name: str) -> str:
+    """A name as shown: one space for white space, and without the size behind it."""
     return FILE_SIZE.sub("", " ".join(name.split())).strip()
 
 
 def file_name(text: str, title: str, href: str) -> str:
-    """The link's text, else its title if that looks like a file, else the address's path or a query value."""
-    if _clean(text):
-        return _clean(text)
-    if FILE_NAME.search(_clean(title)):
-        return _clean(title)
+    """What a linked file is called: the first of these that there is.
+
+    The link's text; its title, if it looks like a file's name; the end of the address's path, if it does and
+    isn't a program's; a value of the query that does; the end of the path as it is; "unknown".
+    """
     parts = urlsplit(href)
-    last = unquote(parts.path.rstrip("/").rsplit("/", 1)[-1])
-    if last.lower().endswith(SCRIPTS) or not FILE_NAME.search(last) and parts.query:
-        for values in parse_qs(parts.query).values():
-            if FILE_NAME.search(unquote(values[0])):
-                return unquote(values[0])
-    return last or "unknown"
+    tail = unquote(parts.path.rstrip("/").rpartition("/")[2])
+    program = tail.lower().endswith(SCRIPTS)
+    values = [unquote(v) for name in (parse_qs(parts.query) if parts.query else {}).values() for v in name[:1]]
+    candidates = [_label(text), *filter(FILE_NAME.search, [_label(title), "" if program else tail, *values]), tail]
+    return next(filter(None, candidates), "unknown")
+
+
+def _viewed(href: str) -> str:
+    """The image behind the address of an image viewer; any other address as it is."""
+    if "view_image.php" not in href.lower():
+        return href
+    query = {k: v[0] for k, v in parse_qs(urlsplit(href).query).items()}
+    name, board = query.get("fn", ""), query.get("bo_table", "")
+    if name.startswith("/"):
+        return name
+    return f"/data/file/{board}/{name}" if name and board else href
 
 
 def attachments_of(node: Node, base: str) -> list[tuple[str, str]]:
-    out = []
-    for a in node.select("a[href]"):
-        href = a.attrs["href"].strip()
-        if not href or href.startswith("#") or href.lower().startswith(NOT_FILES):
-            continue
-        target = href
-        if "view_image.php" in href.lower():  # an image viewer's link is unwrapped
-            query = parse_qs(urlsplit(href).query)
-            name, board = query.get("fn", [""])[0], query.get("bo_table", [""])[0]
-            target = name if name.startswith("/") else f"/data/file/{board}/{name}" if name and board else href
-        url = absolute(base, target)
-        if url is not None:
-            out.append((file_name(a.text(), a.attrs.get("title", ""), href), url))
-    return out
+    """(name, address) of each link that leads away from the page to something that can be fetched."""
+    anchors = [(a, a.attrs["href"].strip()) for a in node.select("a[href]")]
+    away = [(a, href) for a, href in anchors if href and href[0] != "#" and not href.lower().startswith(NOT_FILES) and absolute(base, href) is not None]
+    found = [(file_name(a.text(), a.attrs.get("title", ""), href), absolute(base, _viewed(href))) for a, href in away]
+    return [(name, url) for name, url in found if url is not None]
 
 
 def normalized_text(c: Column) -> Column:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What a form's value says when the value is elsewhere, and labels that say nothing.
-POINTERS = ["본문참조", "본문참고", "아래참조", "하단참조", "내용참조", "첨부참조", "별도문의", "-", "없음"]
-NOISE = ["views", "author", "display_no", "list_title", "list_date"]
+# What a form's value says when the value is elsewhere, and labels that aren't told to the model.
+POINTERS = ["-", "--", ".", "..", "0", "0명", "없음", "해당없음", "아래", "아래참조", "아래참고", "본문참조", "본문참고", "하단참조", "상기참조"]
+NOISE = ["views", "display_no", "has_attachment", "thumbnail", "list_title", "list_date", "board"]
 
 
 def parsed(payload: Column, required: dict[str, str]) -> Column:

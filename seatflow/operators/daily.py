@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from seatflow.functions import dates as D
 from seatflow.functions import text as T
-from seatflow.functions.udf import senior_pastor_of
+from seatflow.functions.names import senior_pastor_of
 from seatflow.operators import dedup, drafts, publish, store
 from seatflow.vocab import GATE, JOB_KIND, POSITION, REGION, canonical
 
+#: The form fields that tell a posting's status.
+STATUS_FIELDS = ["status", "category", "classification"]
 #: Answer fields that must stand in the source, and are emptied where they don't.
 CHECKED = ["church_name", "city", "address", "contact_email", "contact_phone", "raw_denomination"]
 
@@ -42,7 +44,7 @@ def built(raw: DataFrame, answers: DataFrame, reference: DataFrame, today: Colum
         "senior_pastor": senior_pastor_of(F.coalesce("raw_text", F.lit("")), F.try_element_at("raw_meta", F.lit("senior_pastor"))), "posted_at": F.col("posted_on"),
     })
     told = drafts.screened(shaped, reference)
-    closed = T.closed_by_board(F.col("title"), F.try_element_at("raw_meta", F.lit("status"))) | D.deadline_passed(F.col("deadline"), today)
+    closed = T.closed_by_board(F.col("title"), *[F.try_element_at("raw_meta", F.lit(k)) for k in STATUS_FIELDS]) | D.deadline_passed(F.col("deadline"), today)
     told = told.withColumns({"heresy_flag": F.col("screen").isin("conclusive", "review") & F.col("screen").isNotNull(), "reject_reason": drafts.reject_reason(F.col("screen"), closed)})
     seat = dedup.with_seat(told)
     ready = seat.withColumn("can_compare", F.col("church").isNotNull() & F.col("region").isNotNull() & F.col("role_key").isNotNull()).drop("church", "role_key")

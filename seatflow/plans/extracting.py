@@ -12,7 +12,7 @@ from seatflow.functions import dates as D
 from seatflow.functions import html as H
 from seatflow.functions import text as T
 from seatflow.functions import urls as U
-from seatflow.functions.udf import senior_pastor_of
+from seatflow.functions.names import senior_pastor_of
 from seatflow.operators import answers, drafts, media, store
 from seatflow.plans.registry import VIEWS, query, table
 from seatflow.vocab import DEPARTMENT, canonical

@@ -9,7 +9,7 @@ from seatflow.functions import dates as D
 from seatflow.functions import html as H
 from seatflow.functions import text as T
 from seatflow.functions import urls as U
-from seatflow.functions.udf import senior_pastor_of
+from seatflow.functions.names import senior_pastor_of
 
 
 def each(spark, pairs, expression, kind="string"):
@@ -26,7 +26,7 @@ def test_pay(spark):
     pairs = [
         ("월 250만원", (250, None)), ("90~120만원", (90, 120)), ("월 95-100만원", (95, 100)), ("연봉 3,600만원", (3600, None)), ("월 300만원 (연봉 3,600만원)", (300, None)),
         ("전도사 월 160, 강도사 월 170", (None, None)), ("사택 전세 5천만원", (None, None)), ("아파트(24평)", (None, None)), ("국민연금 50% 지원", (None, None)), ("2500000", (250, None)),
-        ("700만원", (None, None)), ("(1) 내규", (None, None)), ("건축헌금 1억", (None, None)), ("", (None, None)), (None, (None, None)), ("3천만원", (3000, None)), ("99999999999999999999만원", (None, None)),
+        ("700만원", (None, None)), ("(1) 내규", (None, None)), ("건축헌금 1억", (None, None)), ("", (None, None)), (None, (None, None)), ("3천만원", (3000, None)), ("99999999999999999999만원", (None, None)), ("90만원 ~ 120만원", (90, 120)), ("월 90만–120만", (90, 120)), ("90만원부터 120만원", (None, None)),
     ]
     assert [(x["low"], x["high"]) for x in each(spark, pairs, T.pay_of(F.col("v")))] == [w for _, w in pairs]
     check(spark, [("월 250만원", "MONTH"), ("연 250만원", "YEAR"), ("110", "MONTH"), ("3,500", "YEAR"), ("700", None), (None, None)], T.period_of(F.col("v")))
@@ -50,7 +50,7 @@ def test_titles_and_names(spark):
 def test_places(spark):
     check(spark, [("서울시 송파구", "송파구"), ("서울특별시", None), ("서울 중구", "중구"), ("서울숲", "서울숲"), (None, None)], T.city_without_region(F.col("v"), F.lit("SEOUL")))
     check(spark, [("부산진구", "부산진구"), ("부산 진구", "진구")], T.city_without_region(F.col("v"), F.lit("BUSAN")))
-    check(spark, [("인평1길 북삼교회", None), (" 대청로 8 교회 ", "대청로 8 교회"), ("안중읍 837-13", "안중읍 837-13"), ("휴가 10일", None), (None, None)], T.address_or_none(F.col("v")))
+    check(spark, [("인평1길 북삼교회", None), (" 대청로 8 교회 ", "대청로 8 교회"), ("안중읍 837-13", "안중읍 837-13"), ("휴가 10일", None), ("중앙 로 8", "중앙 로 8"), ("역삼동12", "역삼동12"), ("로 8", None), ("Teheran로12", "Teheran로12"), (None, None)], T.address_or_none(F.col("v")))
     check(spark, [("길41", True), ("길412", False), ("봉천길4", False), ("x길41호", True), ("", True)], T.fits(F.col("v"), F.lit("길41")))
 
 
@@ -59,10 +59,10 @@ def test_dates(spark):
     d = datetime.date
     check(spark, [
         ("2026. 8. 31. 까지", d(2026, 8, 31)), ("2026-08-01 ~ 9.15", d(2026, 9, 15)), ("20260831", d(2026, 8, 31)), ("2026년 2월 31일", None), ("9월 3일", d(2026, 9, 3)), ("3월 3일", None),
-        ("1차 2026.8.1, 2차 2026.8.20", d(2026, 8, 20)), ("채용시까지", None), ("1999.1.1", None), (None, None),
+        ("1차 2026.8.1, 2차 2026.8.20", d(2026, 8, 20)), ("채용시까지", None), ("1999.1.1", None), (None, None), ("9월3일 또는 10 월 4 일", d(2026, 10, 4)), ("9월 중", None), ("9월 3일 10월 2", d(2026, 9, 3)), ("129월 3일", None),
     ], D.deadline_in(F.col("v"), on))
     today = F.to_date(F.lit("2026-01-05"))
-    check(spark, [("12:30", d(2026, 1, 5)), ("01-05", d(2026, 1, 5)), ("12-31", d(2025, 12, 31)), ("2025.12.01", d(2025, 12, 1)), ("??", None)], D.short_date(F.col("v"), today))
+    check(spark, [("12:30", d(2026, 1, 5)), ("01-05", d(2026, 1, 5)), ("12-31", d(2025, 12, 31)), ("2025.12.01", d(2025, 12, 1)), ("08.27", d(2025, 8, 27)), ("1-5", d(2026, 1, 5)), ("02-29", None), ("13-01", None), ("??", None)], D.short_date(F.col("v"), today))
     check(spark, [("2026-08-31", d(2026, 5, 31)), ("2026-05-31", d(2026, 2, 28))], D.months_before(F.col("v").cast("date"), 3))
     check(spark, [("2026-01-05", False), ("2026-01-04", True), (None, False)], D.deadline_passed(F.col("v").cast("date"), today))
 
@@ -71,9 +71,12 @@ def test_pastor(spark):
     none = F.lit(None).cast("string")
     check(spark, [
         ("담임목사 : 홍길동", "홍길동"), ("담임목사: 위임목사 홍길동 목사", "홍길동"), ("(담임목사 홍길동)", "홍길동"), ("#담임목사 소개", None), ("2. 담임목사 처우", None), ("담임목사님과 함께", None),
-        ("담임목사 : 없음", None), ("담임목사 :\n김녕교회", None), ("담임목사 홍 길 동", "홍길동"), (None, None),
+        ("담임목사 : 없음", None), ("담임목사 :\n김녕교회", None), ("담임목사 홍 길 동", "홍길동"), (None, None), ("담임목사: 홍길동목사", "홍길동"), ("담임목회자 : 홍길동위임목사", "홍길동"), ("3. 담임 목회자명 – 홍길동", "홍길동"),
+        ("담임목사: 홍길동(위임)", "홍길동"), ("서울연회 어느교회 (담임목사: 홍길동)에서", "홍길동"), ("담임목회자: 담임목사 홍길동 / 원로목사 김철수", "홍길동"), ("후임담임목사님을 재 청빙합니다.", None), ("담임목사 청빙위원회", None),
+        ("담임목사 청빙 공고", None), ("샘물교회 담임목사 청빙공고", None), ("(담임목사님 이메일)", None), ("담임목사\n\n모집인원\n1명", None), ("홍길동 담임목사\n\n기타", None), ("담임목사 : 공석(안계심)", None), ("담임목사 : 홍길", "홍길"), ("담임목사 홍길", None),
+        ("담임목사 추천서 1부\n\n담임목사 : 홍길동", "홍길동"), ("담임목사님: 홍길동", "홍길동"), ("어느교회(어느지방) 담임목사 홍길동", "홍길동"), ("", None),
     ], senior_pastor_of(F.col("v"), none))
-    check(spark, [("홍길동 목사님", "홍길동"), ("홍길동, 김철수", None), ("본문 참조", "이몽룡"), (None, "이몽룡")], senior_pastor_of(F.lit("담임목사 : 이몽룡"), F.col("v")))
+    check(spark, [("홍길동 목사님", "홍길동"), ("홍길동, 김철수", None), ("홍길동(어디), 김철수(저기)", None), ("홍길동(임시당회장)", "홍길동"), ("홍길동담임목사님", "홍길동"), ("-", "이몽룡"), (" ", "이몽룡"), ("본문 참조", "이몽룡"), (None, "이몽룡")], senior_pastor_of(F.lit("담임목사 : 이몽룡"), F.col("v")))
 
 
 PAGE = """<html><body><div class=v><script>x</script><p>one <b>two</b></p><p>three<br>four</p><!-- no --><table><tr><th>a<td>b</table>
@@ -95,6 +98,15 @@ def test_html(spark):
     assert H.absolute("https://h", "http://[bad") is None
 
 
+def test_html_of_any_depth(spark):
+    deep = "<div>" * 20_000 + "far <b>down</b>" + "<o:p></o:p><small>low</small>"
+    root = H.tree(deep)
+    assert H.text_of(root).startswith("far downlow") and H.structure_of(root).count("<div>") == 20_000 and "o:p" not in H.structure_of(root) and "<small" not in H.structure_of(root)
+    assert H.images_of(root, "https://h/") == [] and root.text() == "far downlow" and len(root.select("b")) == 1
+    assert each(spark, [(deep,)], H.normalized_text(F.col("v"))) == ["far downlow"]
+    assert H.attachments_of(H.tree("<a href='http://[bad'>x</a><a href='/a.pdf'></a>"), "https://h/") == [("a.pdf", "https://h/a.pdf")]
+
+
 def test_urls(spark):
     check(spark, [("https://h/p?no=12&x=1", "12"), ("https://h/p", None), ("not a url", None), (None, None)], U.id_from_query(F.col("v"), "no"))
     check(spark, [("https://h/view/ab12.html", "ab12"), ("https://h/view/", None)], U.id_from_template(F.col("v"), "https://h/view/{id}.html"))
