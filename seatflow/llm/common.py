@@ -6,6 +6,7 @@ Words are maximal runs of bytes other than space and 0x09-0x0D in the UTF-8 text
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 
 import numpy as np
@@ -33,10 +34,16 @@ def lean(frame: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as spark.checkpoint.dir names it; without one nothing can be stored."""
+    """The folder that all executors share, as spark.checkpoint.dir names it.
+
+    Only in local mode, where one process does all, a folder of our own takes its place if it is unset.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="seatflow-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
