@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -9,10 +10,16 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's shared folder (one of our own where none is set, as in tests)."""
-    spark = frame.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seatflow-"))
+    """A reliable checkpoint in the cluster's shared folder, as spark.checkpoint.dir names it.
+
+    Only in local mode, where one process does all, a folder of our own takes its place if it is unset.
+    """
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="seatflow-"))
     return frame.checkpoint()
 
 
