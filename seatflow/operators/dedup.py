@@ -88,22 +88,38 @@ def dedup_key(slot: Column) -> Column:
 
 
 def mailbox_clash(members: DataFrame, group: list[str]) -> DataFrame:
-    """(group, clash): whether any two members with mailboxes share none, told by counts.
+    """(group, clash): whether any two members with mailboxes share none.
 
-    Distinct mailbox sets of a group are compared, not its rows.
+    Told by counts over a group's distinct sets. With an address that is in all of them there is no clash; two
+    sets of one address each clash. Only where neither is so are the pairs counted that meet in an address.
     """
-    sets = members.where(F.size("mailboxes") > 0).select(*group, F.array_sort("mailboxes").alias("box")).distinct()
-    kept = sets.groupBy(*group).agg(F.collect_set("box").alias("boxes"))
-    clash = F.exists("boxes", lambda a: F.exists("boxes", lambda b: ~F.arrays_overlap(a, b)))
-    return kept.select(*group, clash.alias("clash"))
+    sets = members.where(F.size("mailboxes") > 0).select(*group, F.array_sort(F.array_distinct("mailboxes")).alias("box")).distinct()
+    facts = sets.groupBy(*group).agg(F.count("*").alias("n"), F.count_if(F.size("box") == 1).alias("single"))
+    each = sets.select(*group, "box", F.explode("box").alias("address"))
+    common = each.groupBy(*group, "address").agg(F.count("*").alias("held")).groupBy(*group).agg(F.max("held").alias("held"))
+    facts = facts.join(common, group).withColumn("clash", F.when(F.col("held") == F.col("n"), False).when(F.col("single") > 1, True))
+    open_ = each.join(facts.where("clash is null").select(*group, "n"), group)
+    met = open_.alias("x").join(open_.select(*group, "address", F.col("box").alias("other")).alias("y"), [*group, "address"]).where("box < other")
+    met = met.select(*group, "n", "box", "other").distinct().groupBy(*group).agg((F.count("*") < F.first("n") * (F.first("n") - 1) / 2).alias("apart"))
+    # three or more sets without a common address that never meet have no row in met
+    return facts.join(met, group, "left").select(*group, F.coalesce("clash", "apart", F.lit(True)).alias("clash"))
 
 
 def same_place(members: DataFrame, group: list[str]) -> DataFrame:
-    """(group, same): null with fewer than two known places; else whether all places fit each other."""
+    """(group, same): null with fewer than two known places; else whether all places fit each other.
+
+    All must fit the longest city and the longest road of the group, which one pass tells. Only what holds
+    against these is compared value by value: it is then part of one text, so there are few of them.
+    """
     known = members.withColumns({"_city": T.place(F.col("city")), "_road": T.place(F.col("address"))}).where("_city <> '' and _road <> ''")
-    kept = known.groupBy(*group).agg(F.count("*").alias("n"), F.collect_set(F.struct("_city", "_road")).alias("places"))
-    fit = F.forall("places", lambda a: F.forall("places", lambda b: T.fits(a["_city"], b["_city"]) & T.fits(a["_road"], b["_road"])))
-    return kept.select(*group, F.when(F.col("n") >= 2, fit).alias("same"))
+    kept = known.groupBy(*group, "_city", "_road").agg(F.count("*").alias("n"))
+    longest = kept.groupBy(*group).agg(F.sum("n").alias("n"), F.max_by("_city", F.struct(F.length("_city"), "_city")).alias("_c"), F.max_by("_road", F.struct(F.length("_road"), "_road")).alias("_r"))
+    held = kept.drop("n").join(longest, group).withColumn("ok", T.fits(F.col("_city"), F.col("_c")) & T.fits(F.col("_road"), F.col("_r")))
+    first = held.groupBy(*group).agg(F.first("n").alias("n"), F.min("ok").alias("ok"))
+    near = held.join(first.where("ok").select(*group), group, "left_semi").groupBy(*group).agg(F.collect_set("_city").alias("cities"), F.collect_set("_road").alias("roads"))
+    fit = lambda values: F.forall(values, lambda a: F.forall(values, lambda b: T.fits(a, b)))
+    out = first.join(near, group, "left").withColumn("fit", F.coalesce(fit("cities") & fit("roads"), F.lit(False)))
+    return out.select(*group, F.when(F.col("n") >= 2, F.col("fit")).alias("same"))
 
 
 def role_variant(one: Column, other: Column) -> Column:
@@ -113,6 +129,30 @@ def role_variant(one: Column, other: Column) -> Column:
     return (one != other) & ~one.startswith("ROLE:") & ~other.startswith("ROLE:") & within
 
 
+#: Seats of one region and mailbox that are compared pair by pair; past it they meet by the parts of their names.
+CROWD = 64
+
+
+def _named_alike(boxes: DataFrame) -> DataFrame:
+    """(a, b): seats of a box whose names are equal, or hold one the other without their tails."""
+    seat = F.struct(*SEAT)
+    many = boxes.groupBy("box", "region").agg(F.count("*").alias("seats")).where("seats > 1")
+    boxes = boxes.join(many, ["box", "region"])
+    one, other = boxes.select("box", "region", "seats", seat.alias("a")), boxes.select("box", "region", seat.alias("b"))
+    names = (F.col("a.church") == F.col("b.church")) | T.name_variant(F.col("a.church"), F.col("b.church"))
+    few = one.where(F.col("seats") <= CROWD).join(other, ["box", "region"]).where((F.col("a") < F.col("b")) & names).select("a", "b")
+    # a crowd: an equality join of each name with all parts of names
+    bare = T.without_tail(F.col("church"))
+    key = F.when(bare == "", F.concat(F.lit("="), F.col("church"))).otherwise(bare)
+    at = F.sequence(F.lit(1), F.length(bare))
+    parts = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.length(bare) - i + 1), lambda n: F.substring(bare, i, n))))
+    crowd = boxes.where(F.col("seats") > CROWD)
+    short = crowd.select("box", "region", seat.alias("a"), key.alias("part"))
+    long = crowd.select("box", "region", seat.alias("b"), F.explode(F.when(bare == "", F.array(key)).otherwise(F.array_distinct(parts))).alias("part"))
+    met = short.join(long, ["box", "region", "part"]).where((F.col("a") != F.col("b")) & names)
+    return few.unionByName(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
 def variant_edges(members: DataFrame) -> DataFrame:
     """(a, b): pairs of seats whose names and roles agree or vary, that share a mailbox and whose places don't clash.
 
@@ -120,32 +160,33 @@ def variant_edges(members: DataFrame) -> DataFrame:
     """
     seat = F.struct(*SEAT)
     boxes = members.select(F.explode("mailboxes").alias("box"), *SEAT).distinct()
-    one = boxes.select("box", "region", seat.alias("a"))
-    other = boxes.select("box", "region", seat.alias("b"))
-    names = (F.col("a.church") == F.col("b.church")) | T.name_variant(F.col("a.church"), F.col("b.church"))
     roles = (F.col("a.role_key") == F.col("b.role_key")) | role_variant(F.col("a.role_key"), F.col("b.role_key"))
-    pairs = one.join(other, ["box", "region"]).where((F.col("a") < F.col("b")) & names & roles).select("a", "b").distinct()
-    places = members.groupBy(seat.alias("seat")).agg(F.collect_set(F.struct(T.place(F.col("city")).alias("c"), T.place(F.col("address")).alias("r"))).alias("p"))
-    places = places.select("seat", F.filter("p", lambda x: (x["c"] != "") & (x["r"] != "")).alias("p"))
-    met = pairs.join(places.select(F.col("seat").alias("a"), F.col("p").alias("pa")), "a").join(places.select(F.col("seat").alias("b"), F.col("p").alias("pb")), "b")
-    fit = lambda u, v: T.fits(u["c"], v["c"]) & T.fits(u["r"], v["r"])
-    both = F.array_union("pa", "pb")
-    clash = F.exists(both, lambda u: F.exists(both, lambda v: ~fit(u, v)))
-    return met.where(~clash).select("a", "b")
+    pairs = _named_alike(boxes).where(roles).distinct()
+    places = members.select(seat.alias("seat"), T.place(F.col("city")).alias("c"), T.place(F.col("address")).alias("r")).where("c <> '' and r <> ''").distinct()
+    # of a pair all places must fit each other: those of both seats are one group
+    spots = pairs.join(places, F.col("a") == F.col("seat")).select("a", "b", "c", "r").unionByName(pairs.join(places, F.col("b") == F.col("seat")).select("a", "b", "c", "r"))
+    fit = same_place(spots.select("a", "b", F.col("c").alias("city"), F.col("r").alias("address")), ["a", "b"])
+    return pairs.join(fit.where("not same").select("a", "b"), ["a", "b"], "left_anti")
 
 
 def merged_seats(members: DataFrame) -> DataFrame:
     """(seat, winner) for seats that merge: components of variant_edges, unless two seats of one disagree.
 
-    The most specific seat wins: most named positions, longest name, greatest.
+    All must agree with the component's longest name and widest role, which one pass tells; only the
+    distinct names and roles of components that hold so far are compared with each other. The most
+    specific seat wins: most named positions, longest name, greatest.
     """
     found = components(variant_edges(members))
-    pairs = found.alias("x").join(found.alias("y"), "root").where("x.node < y.node").select("root", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    names = (F.col("a.church") == F.col("b.church")) | T.name_variant(F.col("a.church"), F.col("b.church"))
-    roles = (F.col("a.role_key") == F.col("b.role_key")) | role_variant(F.col("a.role_key"), F.col("b.role_key"))
-    bridged = pairs.where(~(names & roles)).select("root").distinct()
-    whole = found.join(bridged, "root", "left_anti")
+    name, role = F.col("node.church"), F.col("node.role_key")
     named = F.size(F.array_remove(F.split("node.role_key", r"\+"), SILENT))
+    alike = lambda a, b: (a == b) | T.name_variant(a, b)
+    close = lambda a, b: (a == b) | role_variant(a, b)
+    widest = found.groupBy("root").agg(F.max_by(name, F.struct(F.length(name), name)).alias("_name"), F.max_by(role, F.struct(named, role)).alias("_role"))
+    told = found.join(widest, "root").withColumn("ok", alike(name, F.col("_name")) & close(role, F.col("_role")))
+    near = told.groupBy("root").agg(F.min("ok").alias("ok")).where("ok").select("root")
+    kept = told.join(near, "root", "left_semi").groupBy("root").agg(F.collect_set(name).alias("names"), F.collect_set(role).alias("roles"))
+    agree = F.forall("names", lambda a: F.forall("names", lambda b: alike(a, b))) & F.forall("roles", lambda a: F.forall("roles", lambda b: close(a, b)))
+    whole = found.join(kept.where(agree).select("root"), "root", "left_semi")
     rank = F.struct(F.when(F.col("node.role_key").startswith("ROLE:"), 0).otherwise(named), F.length("node.church"), F.col("node"))
     best = whole.groupBy("root").agg(F.max_by("node", rank).alias("winner"))
     return whole.join(best, "root").select(F.col("node").alias("seat"), "winner")

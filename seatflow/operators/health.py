@@ -13,28 +13,36 @@ def status(n_rows: Column, failed: Column) -> Column:
 
 
 def fold(observations: DataFrame) -> DataFrame:
-    """observations(source_key, run_at, status, n_rows, newest) to one row a board.
+    """observations(source_key, run_at, status, n_rows, new_count, cutoff, newest) to one row a board.
 
-    Failures in a row end at any success; empty runs end at OK and are held over failures. The last
-    known rows and newest posting carry on; last_success is the last OK. Runs of one time are ordered by status.
+    Failures in a row end at any success; empty runs end at OK and are held over failures. What the last
+    run that wasn't a failure saw (rows, new ones) carries on over failures, and so do the last known
+    cutoff and newest posting; last_success is the last OK. Runs of one time are ordered by status.
     """
     order = Window.partitionBy("source_key").orderBy("run_at", "status")
     obs = observations.withColumn("_n", F.row_number().over(order))
     fail, ok, empty = (F.col("status") == s for s in ("FAIL", "OK", "EMPTY"))
+    good = F.when(~fail, F.col("_n"))
     out = obs.groupBy("source_key").agg(
-        F.count("*").alias("runs"), F.max("_n").alias("_last"), F.max(F.when(~fail, F.col("_n"))).alias("_good"), F.max(F.when(ok, F.col("_n"))).alias("_ok"),
-        F.max_by("status", "_n").alias("status"), F.max_by("n_rows", F.when(~fail, F.col("_n"))).alias("n_rows"),
+        F.count("*").alias("runs"), F.max("_n").alias("_last"), F.max(good).alias("_good"), F.max(F.when(ok, F.col("_n"))).alias("_ok"),
+        F.max_by("status", "_n").alias("status"), F.max_by("n_rows", good).alias("n_rows"), F.max_by("new_count", good).alias("new_count"),
+        F.max_by("cutoff", F.when(F.col("cutoff").isNotNull(), good)).alias("cutoff"),
         F.max_by("newest", F.when(F.col("newest").isNotNull(), F.col("_n"))).alias("newest"), F.max(F.when(ok, F.col("run_at"))).alias("last_success"),
     )
     since = obs.join(out.select("source_key", F.coalesce("_ok", F.lit(0)).alias("_ok")), "source_key").where(F.col("_n") > F.col("_ok"))
     since = since.groupBy("source_key").agg(F.count_if(F.col("status") == "EMPTY").alias("empty_runs"))
     out = out.join(since, "source_key", "left")
-    return out.select("source_key", "runs", "status", "n_rows", "newest", "last_success", (F.col("_last") - F.coalesce("_good", F.lit(0))).cast("long").alias("failures"), F.coalesce("empty_runs", F.lit(0)).cast("long").alias("empty_runs"))
+    return out.select("source_key", "runs", "status", "n_rows", "new_count", "cutoff", "newest", "last_success", (F.col("_last") - F.coalesce("_good", F.lit(0))).cast("long").alias("failures"), F.coalesce("empty_runs", F.lit(0)).cast("long").alias("empty_runs"))
 
 
 def alerts(boards: DataFrame, today: Column) -> DataFrame:
-    """Adds ``alerts``: failing, empty, quiet (no posting for 60 days, or none known)."""
-    quiet = F.coalesce(F.datediff(today, F.col("newest")) >= QUIET_DAYS, F.lit(True))
+    """Adds ``alerts``: failing, empty, quiet.
+
+    Quiet is a board whose list was read but whose newest posting is 60 days old. Where no date is known it
+    is quiet only if a cutoff was applied, else the board gives no dates; with no rows read it never is.
+    """
+    aged = F.datediff(today, F.col("newest")) >= QUIET_DAYS
+    quiet = (F.coalesce("n_rows", F.lit(0)) > 0) & F.coalesce(aged, F.col("cutoff").isNotNull())
     said = F.array(F.when(F.col("failures") >= FAILURES, "failing"), F.when(F.col("empty_runs") >= EMPTIES, "empty"), F.when(quiet, "quiet"))
     return boards.withColumn("alerts", F.filter(said, lambda x: x.isNotNull()))
 

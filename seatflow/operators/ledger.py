@@ -15,8 +15,10 @@ KEY = ["source_key", "external_id"]
 
 
 def new_postings(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows whose key the ledger lacks, one for each key (insert if absent)."""
-    return rows.join(ledger.select(*KEY), KEY, "left_anti").dropDuplicates(KEY)
+    """Rows whose key the ledger lacks, one for each key (insert if absent): the first by time of reading, date, id and title."""
+    absent = rows.join(ledger.select(*KEY), KEY, "left_anti")
+    order = [F.col(c).asc_nulls_last() for c in ("fetched_at", "posted_on", "id", "title") if c in rows.columns] or [F.lit(0)]
+    return absent.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))).where("_n = 1").drop("_n")
 
 
 def first_seen(listing: DataFrame) -> DataFrame:
@@ -42,6 +44,23 @@ def stop_pages(planned: DataFrame) -> DataFrame:
     return out.withColumn("stop_page", F.coalesce("stop_page", "last_page"))
 
 
+def gone_stop_pages(listing: DataFrame, targets: DataFrame, since) -> DataFrame:  # noqa: ANN001
+    """(source_key, floor_page, stop_page): how far a list is read to see what is still there.
+
+    Reading ends with a page that has no new id, or none dated since that day (no date counts as since) once
+    the floor is reached: as many pages as the board's targets fill, at the first page's size. Else it ends with the last page.
+    """
+    first = F.row_number().over(Window.partitionBy(*KEY).orderBy("page", "pos")) == 1
+    inside = F.coalesce(F.col("posted_on") >= since, F.lit(True))
+    pages = listing.withColumn("_new", first).groupBy("source_key", "page").agg(F.count("*").alias("n"), F.count_if("_new").alias("new"), F.count_if(inside).alias("inside"))
+    boards = pages.groupBy("source_key").agg(F.max("page").alias("last_page"), F.min_by("n", "page").alias("size"))
+    boards = boards.join(targets.groupBy("source_key").agg(F.count("*").alias("targets")), "source_key", "left")
+    boards = boards.withColumn("floor_page", F.greatest(F.lit(1), F.ceil(F.coalesce("targets", F.lit(0)) / F.col("size"))).cast("long"))
+    ends = pages.join(boards, "source_key").where((F.col("new") == 0) | ((F.col("inside") == 0) & (F.col("page") >= F.col("floor_page"))))
+    out = boards.join(ends.groupBy("source_key").agg(F.min("page").alias("stop_page")), "source_key", "left")
+    return out.select("source_key", "floor_page", F.coalesce("stop_page", "last_page").alias("stop_page"))
+
+
 def tally(planned: DataFrame, limit: int) -> DataFrame:
     """Per board the counts of a run, and its guards: all rows stale, cut off at the page limit, conflicts."""
     n = lambda v: F.count_if(F.col("verdict") == v).cast("long")

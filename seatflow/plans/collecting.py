@@ -35,6 +35,18 @@ def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _planned(spark, sf_dir).select("source_key", "external_id", "page", "pos", "verdict")
 
 
+@query("""WITH seen AS (SELECT *, row_number() OVER (PARTITION BY source_key, external_id ORDER BY page, pos) = 1 AS new FROM {listing}),
+    p AS (SELECT source_key, page, count(*) AS n, count(*) FILTER (WHERE new) AS fresh, count(*) FILTER (WHERE posted_on IS NULL OR posted_on >= DATE '1997-06-01') AS inside FROM seen GROUP BY source_key, page),
+    t AS (SELECT source_key, count(*) AS targets FROM {raw} WHERE posted_on >= DATE '1997-06-01' GROUP BY source_key),
+    b AS (SELECT p.*, greatest(1, CAST(ceil(coalesce(targets, 0) / CAST(first.n AS DOUBLE)) AS BIGINT)) AS floor_page FROM p JOIN p first ON first.source_key = p.source_key AND first.page = 1 LEFT JOIN t ON t.source_key = p.source_key),
+    s AS (SELECT source_key, any_value(floor_page) AS floor_page, min(page) FILTER (WHERE fresh = 0 OR (inside = 0 AND page >= floor_page)) AS stop_page, max(page) AS last_page FROM b GROUP BY source_key)
+    SELECT source_key, floor_page, coalesce(stop_page, last_page) AS stop_page FROM s""")
+def gone_scan_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each board's list is read when looking for what has vanished."""
+    targets = table(spark, sf_dir, "raw").where("posted_on >= date '1997-06-01'").select("source_key")
+    return ledger.gone_stop_pages(table(spark, sf_dir, "listing"), targets, day("1997-06-01"))
+
+
 @query(f"""WITH {PLANNED}, pages AS (SELECT source_key, page, count(*) FILTER (WHERE verdict <> 'stale') AS live FROM planned GROUP BY source_key, page)
     SELECT source_key, coalesce(min(page) FILTER (WHERE live = 0), max(page)) AS stop_page, max(page) AS last_page FROM pages GROUP BY source_key""")
 def page_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,29 +89,31 @@ def daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FOLD = """
-    obs AS (SELECT source_key, run_at, CASE WHEN failed THEN 'FAIL' WHEN n_rows > 0 THEN 'OK' ELSE 'EMPTY' END AS status, n_rows, newest FROM {observation}),
+    obs AS (SELECT source_key, run_at, CASE WHEN failed THEN 'FAIL' WHEN n_rows > 0 THEN 'OK' ELSE 'EMPTY' END AS status, n_rows, new_count, cutoff, newest FROM {observation}),
     o AS (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY run_at, status) AS n FROM obs),
-    f AS (SELECT source_key, count(*) AS runs, arg_max(status, n) AS status, arg_max(n_rows, n) FILTER (WHERE status <> 'FAIL') AS n_rows, arg_max(newest, n) FILTER (WHERE newest IS NOT NULL) AS newest,
+    f AS (SELECT source_key, count(*) AS runs, arg_max(status, n) AS status, arg_max(n_rows, n) FILTER (WHERE status <> 'FAIL') AS n_rows, arg_max(new_count, n) FILTER (WHERE status <> 'FAIL') AS new_count,
+        arg_max(cutoff, n) FILTER (WHERE status <> 'FAIL' AND cutoff IS NOT NULL) AS cutoff, arg_max(newest, n) FILTER (WHERE newest IS NOT NULL) AS newest,
         max(run_at) FILTER (WHERE status = 'OK') AS last_success, CAST(max(n) - coalesce(max(n) FILTER (WHERE status <> 'FAIL'), 0) AS BIGINT) AS failures,
         coalesce(max(n) FILTER (WHERE status = 'OK'), 0) AS ok FROM o GROUP BY source_key),
-    folded AS (SELECT source_key, runs, status, n_rows, newest, last_success, failures,
+    folded AS (SELECT source_key, runs, status, n_rows, new_count, cutoff, newest, last_success, failures,
         (SELECT count(*) FROM o WHERE o.source_key = f.source_key AND o.n > f.ok AND o.status = 'EMPTY') AS empty_runs FROM f)"""
+QUIET = "(coalesce(n_rows, 0) > 0 AND CASE WHEN newest IS NULL THEN cutoff IS NOT NULL ELSE date_diff('day', newest, DATE '2024-03-24') >= 60 END)"
 
 
-def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = table(spark, sf_dir, "observation")
-    return health.fold(obs.select("source_key", "run_at", health.status(F.col("n_rows"), F.col("failed")).alias("status"), "n_rows", "newest"))
+    return health.fold(obs.select("source_key", "run_at", health.status(F.col("n_rows"), F.col("failed")).alias("status"), "n_rows", "new_count", "cutoff", "newest"))
 
 
 @query(f"WITH {FOLD} SELECT * FROM folded")
 def health_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _folded(spark, sf_dir)
+    return folded(spark, sf_dir)
 
 
 @query(f"""WITH {FOLD} SELECT source_key, concat_ws(',', CASE WHEN failures >= 2 THEN 'failing' END, CASE WHEN empty_runs >= 2 THEN 'empty' END,
-        CASE WHEN coalesce(date_diff('day', newest, DATE '2024-03-24') >= 60, true) THEN 'quiet' END) AS alerts FROM folded""")
+        CASE WHEN {QUIET} THEN 'quiet' END) AS alerts FROM folded""")
 def health_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.alerts(_folded(spark, sf_dir), day("2024-03-24")).select("source_key", F.array_join("alerts", ",").alias("alerts"))
+    return health.alerts(folded(spark, sf_dir), day("2024-03-24")).select("source_key", F.array_join("alerts", ",").alias("alerts"))
 
 
 @query("""SELECT (SELECT count(*) FROM {raw} WHERE structured_at IS NULL AND structure_attempts < 3) AS unstructured, (SELECT count(*) FROM {raw} WHERE structured_at IS NULL AND structure_attempts >= 3) AS given_up,

@@ -124,17 +124,17 @@ def denomination_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "phrase").select("id", drafts.confirmed(F.col("denomination"), lines, ALIASES, REQUIREMENT, OWN)["alias"].alias("alias"))
 
 
-@query(r"""WITH listed AS (SELECT c_custkey AS entry, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN n_name END AS region, CASE WHEN c_custkey % 3 = 0 THEN '홍길동' END AS pastor FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_custkey % 50 = 0),
-    asked AS (SELECT o_orderkey AS id, o_custkey, n_name AS region, CASE o_orderkey % 5 WHEN 0 THEN '홍길동' WHEN 1 THEN '김철수' END AS pastor FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey)
+@query(r"""WITH listed AS (SELECT c_custkey AS entry, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN n_name END AS region, CASE WHEN c_custkey % 3 = 0 THEN '홍길동' END AS pastor FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey),
+    asked AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END AS o_custkey, n_name AS region, CASE o_orderkey % 5 WHEN 0 THEN '홍길동' WHEN 1 THEN '김철수' END AS pastor FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey)
     SELECT id, entry, CASE WHEN entry IS NULL THEN NULL WHEN coalesce(a.pastor <> l.pastor, false) THEN 'cleared'
         WHEN CASE WHEN l.region IS NOT NULL THEN a.region = l.region ELSE true END THEN 'conclusive' ELSE 'review' END AS screen FROM asked a LEFT JOIN listed l ON o_custkey = entry""")
 def screen_reference_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    listed = people.where("c_custkey % 50 = 0").select(
+    listed = people.select(
         F.col("c_custkey").alias("entry"), F.col("c_name").alias("name"), F.array(F.concat(F.lit("("), "n_name", F.lit(") "), F.lower("c_name"))).alias("aliases"),
         F.when(F.col("c_custkey") % 2 == 0, F.col("n_name")).alias("region"), F.when(F.col("c_custkey") % 3 == 0, "홍길동").alias("pastor"))
     asked = table(spark, sf_dir, "orders").join(people, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("id"), F.concat("c_name", F.lit(" [x]")).alias("church_name"), F.lit(None).cast("string").alias("raw_denomination"), F.col("n_name").alias("region"),
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 4 != 0, F.concat("c_name", F.lit(" [x]"))).alias("church_name"), F.lit(None).cast("string").alias("raw_denomination"), F.col("n_name").alias("region"),
         F.when(F.col("o_orderkey") % 5 == 0, "홍길동").when(F.col("o_orderkey") % 5 == 1, "김철수").alias("senior_pastor"))
     return drafts.screened(asked, listed).select("id", F.col("match.entry").alias("entry"), "screen")
 
@@ -173,20 +173,21 @@ def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", F.array_join(drafts.violations(drafts.draft_rules()), ",").alias("violations"))
 
 
-# A turn is checked against the document of its conversation's number: its first eight characters are grounded if they stand there.
-CHECKED = """checked AS (SELECT conv_id, turn, role, substr(c.text, 1, 8) AS quote, turn % 3 = 1 AS media_sent,
-        coalesce(replace(replace(substr(c.text, 1, 8), ' ', ''), chr(10), '') <> '' AND contains(replace(replace(d.text, ' ', ''), chr(10), ''), replace(replace(substr(c.text, 1, 8), ' ', ''), chr(10), '')), false) AS grounded
-        FROM {conversations} c JOIN {documents} d ON doc_id = conv_id)"""
+# Every word of a turn is checked against the document of its conversation's number: it is grounded if it stands there.
+CHECKED = r"""said AS (SELECT conv_id, turn, role, string_split(c.text, ' ') AS words, d.text AS source FROM {conversations} c JOIN {documents} d ON doc_id = conv_id),
+    quoted AS (SELECT conv_id, turn, source, unnest(words) AS quote, CAST(unnest(range(len(words))) AS INTEGER) AS at FROM said),
+    checked AS (SELECT conv_id, turn, at, quote, turn % 3 = 1 AS media_sent, coalesce(regexp_replace(quote, '\s', '', 'g') <> ''
+        AND contains(regexp_replace(source, '\s', '', 'g'), regexp_replace(quote, '\s', '', 'g')), false) AS grounded FROM quoted)"""
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring("text", 1, 8).alias("quote"), (F.col("turn") % 3 == 1).alias("media_sent"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("at", "quote"), (F.col("turn") % 3 == 1).alias("media_sent"))
     return turns.join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), F.col("text").alias("source")), "conv_id")
 
 
-@query(f"WITH {CHECKED} SELECT conv_id, turn, quote, grounded FROM checked")
+@query(f"WITH {CHECKED} SELECT conv_id, turn, at, quote, grounded FROM checked")
 def text_squeeze_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(spark, sf_dir).select("conv_id", "turn", "quote", drafts.grounded(F.col("quote"), F.array("source")).alias("grounded"))
+    return _checked(spark, sf_dir).select("conv_id", "turn", "at", "quote", drafts.grounded(F.col("quote"), F.array("source")).alias("grounded"))
 
 
 @query(f"""WITH {CHECKED} SELECT 'quote' AS field, CASE WHEN media_sent THEN 'unchecked' ELSE 'scrubbed' END AS outcome, count(*) AS n FROM checked WHERE NOT grounded AND trim(quote) <> '' GROUP BY 2""")

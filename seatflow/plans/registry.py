@@ -57,7 +57,8 @@ VIEWS = {
     # runs of a board (a user) a day
     "observation": """
         SELECT user_id AS source_key, CAST(ts AS DATE) AS run_at, count(*) FILTER (WHERE event_type IN ('click', 'view')) AS n_rows, count(*) FILTER (WHERE event_type = 'error') > 0 AS failed,
-            max(CASE WHEN event_type IN ('click', 'view') THEN CAST(ts AS DATE) - 3 END) AS newest
+            count(*) FILTER (WHERE event_type = 'click') AS new_count, CASE WHEN user_id % 3 <> 0 THEN CAST(ts AS DATE) - 14 END AS cutoff,
+            max(CASE WHEN event_type IN ('click', 'view') AND user_id % 5 <> 0 THEN CAST(ts AS DATE) - 3 END) AS newest
         FROM {events} GROUP BY user_id, CAST(ts AS DATE)""",
 }
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.functions import text as T
-from seatflow.operators import dedup
+from seatflow.operators import dedup, publish
 from seatflow.plans.registry import day, query, table
 
 TODAY = "2001-06-01"
@@ -22,6 +22,17 @@ def drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open jobs that others published and that can be seen, as drafts that always win: owned, without a place or a deadline."""
+    own = drafts(spark, sf_dir)
+    jobs = table(spark, sf_dir, "job").withColumn("_of", F.col("job_id") - 1_000_000_000)
+    seen = publish.anchors(jobs, own.where("published_job_id is not null").select(F.col("published_job_id").alias("job_id")), day(TODAY))
+    none = {c: F.lit(None).cast(own.schema[c].dataType) for c in ("city", "address", "deadline", "reject_reason", "gone_at")}
+    out = seen.select("job_id", F.col("posted_at").alias("seen_on"), "_of").join(own, F.col("_of") == F.col("id"))
+    out = out.withColumns({**none, "id": F.col("job_id"), "posted_on": F.col("seen_on"), "posted_at": F.col("seen_on"), "is_owned": F.lit(True), "is_anchor": F.lit(True), "completeness": F.lit(0)})
+    return out.select(own.columns)
+
+
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.judged(dedup.with_seat(drafts(spark, sf_dir)))
 
@@ -126,16 +137,22 @@ def dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(dedup.variant_edges(members(spark, sf_dir)).select(_text("a").alias("a"), _text("b").alias("b")))
 
 
-@query(f"""WITH {SEATED}, c AS (SELECT *, max(CASE WHEN deadline < DATE '2001-06-01' THEN deadline END) OVER (PARTITION BY church, region, role_key) AS closed_on FROM member)
-    SELECT id, closed_on, closed_on IS NULL OR coalesce(deadline >= DATE '2001-06-01', false) OR (deadline IS NULL AND (posted_on > closed_on OR is_owned)) AS open FROM c""")
+@query(f"""WITH {SEATED}, ours AS (SELECT DISTINCT published_job_id AS job_id FROM {{draft}} WHERE published_job_id IS NOT NULL),
+    anchor AS (SELECT job_id AS id, church, region, role_key, posted_at FROM {{job}} JOIN (SELECT id AS of, church, region, role_key FROM seated) ON of = job_id - 1000000000
+        WHERE status = 'OPEN' AND CASE WHEN deadline IS NOT NULL THEN deadline >= DATE '2001-06-01' ELSE posted_at + 90 >= DATE '2001-06-01' END
+            AND job_id NOT IN (SELECT job_id FROM ours) AND church IS NOT NULL AND region IS NOT NULL),
+    both AS (SELECT id, church, region, role_key, posted_on, deadline, is_owned, false AS is_anchor FROM member UNION ALL SELECT id, church, region, role_key, posted_at, NULL, true, true FROM anchor),
+    c AS (SELECT *, max(CASE WHEN deadline < DATE '2001-06-01' THEN deadline END) OVER (PARTITION BY church, region, role_key) AS closed_on FROM both)
+    SELECT id, is_anchor, closed_on, closed_on IS NULL OR is_anchor OR coalesce(deadline >= DATE '2001-06-01', false) OR (deadline IS NULL AND (posted_on > closed_on OR is_owned)) AS open FROM c""")
 def dedup_still_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.still_open(members(spark, sf_dir), day(TODAY)).select("id", "closed_on", "open")
+    both = drafts(spark, sf_dir).unionByName(anchors(spark, sf_dir))
+    return dedup.still_open(dedup.judged(dedup.with_seat(both)), day(TODAY)).select("id", "is_anchor", "closed_on", "open")
 
 
 @query()
 def dedup_full_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules together; place splits hang on order, so tests hold it against permutation and repetition."""
-    return dedup.planned(drafts(spark, sf_dir), day(TODAY))
+    """All rules together, with the jobs of others as anchors; place splits hang on order, so tests hold it against permutation and repetition."""
+    return dedup.planned(drafts(spark, sf_dir).unionByName(anchors(spark, sf_dir)), day(TODAY))
 
 
 @query(f"""WITH {ROUNDS}, m AS (SELECT *, row_number() OVER (PARTITION BY church, region, role_key, round ORDER BY is_owned DESC, (confidence = 'high') DESC, completeness DESC, named DESC, posted_on DESC, id DESC) = 1 AS is_master,

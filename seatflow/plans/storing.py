@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.operators import drafts, health, ledger, media, runs, store
+from seatflow.plans.collecting import FOLD, QUIET, folded, pending_work
 from seatflow.plans.registry import day, query, table
 
 
@@ -53,16 +54,15 @@ def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.recent(rows, 10)
 
 
-@query("""WITH r AS (SELECT user_id, min(ts) AS started_at, CASE WHEN user_id % 3 <> 0 THEN max(ts) END AS finished_at FROM {events} GROUP BY user_id),
-    q AS (SELECT source_key, max(newest) AS newest FROM {observation} GROUP BY source_key)
-    SELECT (SELECT count(*) FROM r WHERE finished_at IS NULL AND started_at < TIMESTAMP '2024-01-01 12:00:00' - INTERVAL 3 HOUR) AS dead_runs,
-        (SELECT count(*) FROM q WHERE coalesce(date_diff('day', newest, DATE '2024-03-24') >= 60, true)) AS quiet_boards""")
+@query(f"""WITH r AS (SELECT user_id, min(ts) AS started_at, CASE WHEN user_id % 3 <> 0 THEN max(ts) END AS finished_at FROM {{events}} GROUP BY user_id), {FOLD},
+    counted AS (SELECT (SELECT count(*) FROM r WHERE finished_at IS NULL AND started_at < TIMESTAMP '2024-01-01 12:00:00' - INTERVAL 3 HOUR) AS dead_runs,
+        (SELECT count(*) FROM folded WHERE failures >= 2 OR empty_runs >= 2 OR {QUIET}) AS alerted_boards,
+        (SELECT count(*) FROM {{raw}} WHERE structured_at IS NULL AND structure_attempts >= 3) AS given_up, (SELECT count(*) FROM {{draft}} WHERE confidence = 'high' AND published_job_id IS NULL) AS unpublished)
+    SELECT *, dead_runs > 0 OR alerted_boards > 0 OR given_up > 0 OR unpublished > 0 AS needed FROM counted""")
 def needs_a_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("started_at"), F.max("ts").alias("last")).withColumn("finished_at", F.when(F.col("user_id") % 3 != 0, F.col("last")))
-    boards = table(spark, sf_dir, "observation").groupBy("source_key").agg(F.max("newest").alias("newest")).withColumns({"failures": F.lit(0), "empty_runs": F.lit(0)})
-    none = spark.range(1).select(F.lit(0).alias("given_up"), F.lit(0).alias("unpublished"))
-    out = runs.needs_a_person(rows, health.alerts(boards, day("2024-03-24")), none, F.lit("2024-01-01 12:00:00").cast("timestamp"))
-    return out.select("dead_runs", F.col("alerted_boards").alias("quiet_boards"))
+    boards = health.alerts(folded(spark, sf_dir), day("2024-03-24"))
+    return runs.needs_a_person(rows, boards, pending_work(spark, sf_dir), F.lit("2024-01-01 12:00:00").cast("timestamp"))
 
 
 @query("""SELECT id, source_key, posted_on FROM {raw} WHERE structured_at IS NULL AND structure_attempts < 3 ORDER BY posted_on, id LIMIT 50""")
@@ -84,9 +84,11 @@ def work_by_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.unstructured(table(spark, sf_dir, "raw")).groupBy("source_key").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT c.conv_id, c.turn, CASE WHEN contains(replace(replace(d.text, ' ', ''), chr(10), ''), replace(replace(substr(c.text, 1, 6), ' ', ''), chr(10), '')) AND trim(replace(substr(c.text, 1, 6), chr(10), ' ')) <> '' THEN 'first' ELSE '' END
-        || CASE WHEN d.text IS NOT NULL AND contains(replace(replace(d.text, ' ', ''), chr(10), ''), 'the') THEN '+the' ELSE '' END AS kept FROM {conversations} c JOIN {documents} d ON doc_id = conv_id""")
+@query(r"""WITH said AS (SELECT conv_id, turn, string_split(c.text, ' ') AS words, regexp_replace(d.text, '\s', '', 'g') AS bare FROM {conversations} c JOIN {documents} d ON doc_id = conv_id),
+    quoted AS (SELECT conv_id, turn, bare, regexp_replace(unnest(words), '\s', '', 'g') AS word, CAST(unnest(range(len(words))) AS INTEGER) AS at FROM said)
+    SELECT conv_id, turn, at, CASE WHEN word <> '' AND contains(bare, word) THEN 'word' ELSE '' END || CASE WHEN contains(bare, 'the') THEN '+the' ELSE '' END AS kept FROM quoted""")
 def grounded_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring("text", 1, 6).alias("quote")).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), "text"), "conv_id")
-    kept = drafts.choices_grounded(F.array(F.lit("first"), F.lit("the"), F.lit("no evidence")), F.array(F.col("quote"), F.lit("t h e")), F.array("text"))
-    return both.select("conv_id", "turn", F.concat(F.when(F.array_contains(kept, "first"), "first").otherwise(""), F.when(F.array_contains(kept, "the"), "+the").otherwise("")).alias("kept"))
+    """Each word of a turn, and a fixed one, as evidence for a choice."""
+    both = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("at", "quote")).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), "text"), "conv_id")
+    kept = drafts.choices_grounded(F.array(F.lit("word"), F.lit("the"), F.lit("no evidence")), F.array(F.col("quote"), F.lit("t h e")), F.array("text"))
+    return both.select("conv_id", "turn", "at", F.concat(F.when(F.array_contains(kept, "word"), "word").otherwise(""), F.when(F.array_contains(kept, "the"), "+the").otherwise("")).alias("kept"))

@@ -22,20 +22,28 @@ def new_postings(stream: DataFrame, seen_at: str = "fetched_at", lateness: str =
     return stream.withWatermark(seen_at, lateness).dropDuplicatesWithinWatermark(ledger.KEY)
 
 
+#: Parts of the ledger by the hash of the key.
+SHARDS = 64
+
+
 def start_ledger(stream: DataFrame, ledger_path: str, checkpoint: str, **options: str) -> StreamingQuery:
-    """Appends each batch's new keys to the ledger. A batch that is run again finds its own rows by their batch number and replaces them."""
+    """Appends each batch's new keys to the ledger, which lies in SHARDS parts by the hash of the key.
+
+    A batch reads only the parts that its keys fall in (at most SHARDS numbers come to the driver). A batch
+    that is run again finds its own rows by their batch number and replaces them.
+    """
+    shard = F.pmod(F.xxhash64(*ledger.KEY), F.lit(SHARDS)).cast("int")
 
     def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        try:
-            known = spark.read.parquet(ledger_path)
-            known = known.where(F.col("batch") != number)
-        except Exception as e:  # noqa: BLE001  the first batch finds no ledger
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            known = None
-        fresh = ledger.new_postings(batch, known) if known is not None else batch.dropDuplicates(ledger.KEY)
-        fresh.write.mode("overwrite").parquet(f"{ledger_path.rstrip('/')}/batch={number}")
+        batch = batch.withColumn("shard", shard)
+        path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
+        known = batch.select(*ledger.KEY).limit(0)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            met = [r["shard"] for r in batch.select("shard").distinct().collect()]
+            schema = batch.schema.add("batch", "long")
+            known = spark.read.schema(schema).parquet(ledger_path).where((F.col("batch") != number) & F.col("shard").isin(met))
+        ledger.new_postings(batch, known).write.mode("overwrite").partitionBy("shard").parquet(f"{ledger_path.rstrip('/')}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     for key, value in options.items():
@@ -48,24 +56,26 @@ def arrivals(stream: DataFrame, window: str = "1 day", lateness: str = "7 days")
     return stream.withWatermark("posted_at", lateness).groupBy("source_key", F.window("posted_at", window)).agg(F.count("*").alias("n")).select("source_key", F.col("window.start").alias("day"), "n")
 
 
-HEALTH = "source_key string, runs long, status string, n_rows long, newest date, last_success date, failures long, empty_runs long"
+SEEN = "runs long, status string, n_rows long, new_count long, cutoff date, newest date, last_success date, failures long, empty_runs long"
 
 
 def health(stream: DataFrame) -> DataFrame:
-    """The fold of operators.health over a stream of (source_key, run_at, status, n_rows, newest), one state a board."""
+    """The fold of operators.health over a stream of (source_key, run_at, status, n_rows, new_count, cutoff, newest), one state a board."""
 
     def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        runs, status, n_rows, newest, last, failures, empties = state.get if state.exists else (0, None, None, None, None, 0, 0)
+        runs, status, n_rows, fresh, cutoff, newest, last, failures, empties = state.get if state.exists else (0, None, None, None, None, None, None, 0, 0)
         rows = pd.concat(list(parts)).sort_values(["run_at", "status"])  # of one board in one batch
-        for at, status, n, new in rows[["run_at", "status", "n_rows", "newest"]].itertuples(index=False):
+        for at, status, n, many, since, new in rows[["run_at", "status", "n_rows", "new_count", "cutoff", "newest"]].itertuples(index=False):
             runs += 1
             failures = failures + 1 if status == "FAIL" else 0
             empties = 0 if status == "OK" else empties + (status == "EMPTY")
-            n_rows = int(n) if status != "FAIL" else n_rows
-            newest = new if new is not None and not pd.isna(new) else newest
+            if status != "FAIL":
+                n_rows, fresh = int(n), int(many)
+                cutoff = cutoff if pd.isna(since) else since
+            newest = newest if pd.isna(new) else new
             last = at if status == "OK" else last
-        state.update((runs, status, n_rows, newest, last, failures, empties))
-        yield pd.DataFrame([(key[0], runs, status, n_rows, newest, last, failures, empties)], columns=["source_key", "runs", "status", "n_rows", "newest", "last_success", "failures", "empty_runs"])
+        told = (runs, status, n_rows, fresh, cutoff, newest, last, failures, empties)
+        state.update(told)
+        yield pd.DataFrame([(key[0], *told)], columns=["source_key", *[x.split()[0] for x in SEEN.split(", ")]])
 
-    kinds = "runs long, status string, n_rows long, newest date, last_success date, failures long, empty_runs long"
-    return stream.groupBy("source_key").applyInPandasWithState(fold, HEALTH, kinds, "update", GroupStateTimeout.NoTimeout)
+    return stream.groupBy("source_key").applyInPandasWithState(fold, f"source_key string, {SEEN}", SEEN, "update", GroupStateTimeout.NoTimeout)

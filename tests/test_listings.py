@@ -115,17 +115,75 @@ def test_page_plan(spark):
 
 def test_health_fold_against_a_loop(spark):
     rng = random.Random(1)
-    rows = [(k, D(2026, 1, d), rng.choice(["OK", "EMPTY", "FAIL"]), rng.randint(0, 5), rng.choice([None, D(2025, 12, d)])) for k in "abc" for d in range(1, 15)]
-    got = {r["source_key"]: r for r in health.fold(spark.createDataFrame(rows, "source_key string, run_at date, status string, n_rows long, newest date")).collect()}
+    rows = [(k, D(2026, 1, d), rng.choice(["OK", "EMPTY", "FAIL"]), rng.randint(0, 5), rng.randint(0, 3), rng.choice([None, D(2025, 11, d)]), rng.choice([None, D(2025, 12, d)])) for k in "abc" for d in range(1, 15)]
+    got = {r["source_key"]: r for r in health.fold(spark.createDataFrame(rows, "source_key string, run_at date, status string, n_rows long, new_count long, cutoff date, newest date")).collect()}
     for k in "abc":
         failures = empties = 0
-        newest = last = n_rows = None
-        for _, at, s, n, new in [r for r in rows if r[0] == k]:
+        newest = last = n_rows = cutoff = fresh = None
+        for _, at, s, n, many, since, new in [r for r in rows if r[0] == k]:
             failures = failures + 1 if s == "FAIL" else 0
             empties = 0 if s == "OK" else empties + (s == "EMPTY")
             newest, last, n_rows = new or newest, at if s == "OK" else last, n if s != "FAIL" else n_rows
+            if s != "FAIL":
+                fresh, cutoff = many, since or cutoff
         r = got[k]
-        assert (r["failures"], r["empty_runs"], r["newest"], r["last_success"], r["n_rows"]) == (failures, empties, newest, last, n_rows)
+        assert (r["failures"], r["empty_runs"], r["newest"], r["last_success"], r["n_rows"], r["new_count"], r["cutoff"]) == (failures, empties, newest, last, n_rows, fresh, cutoff)
+
+
+def test_quiet_boards(spark):
+    rows = [("old", 5, None, D(2026, 3, 1)), ("young", 5, None, D(2026, 5, 1)), ("no dates", 5, None, None), ("none since", 5, D(2026, 4, 1), None), ("not read", 0, D(2026, 4, 1), D(2020, 1, 1))]
+    boards_ = spark.createDataFrame([(k, n, c, d, 0, 0) for k, n, c, d in rows], "source_key string, n_rows long, cutoff date, newest date, failures long, empty_runs long")
+    got = {r["source_key"]: r["alerts"] for r in health.alerts(boards_, F.lit(TODAY).cast("date")).collect()}
+    assert got == {"old": ["quiet"], "young": [], "no dates": [], "none since": ["quiet"], "not read": []}
+
+
+def test_gone_stop_pages(spark):
+    new, old = D(2026, 5, 1), D(2025, 1, 1)
+    listing = [("A", "1", new, 1, 0), ("A", "2", old, 1, 1), ("A", "3", old, 2, 0), ("A", "4", old, 3, 0), ("A", "5", new, 4, 0)]  # old pages count from the floor on
+    listing += [("B", "1", new, 1, 0), ("B", "2", new, 2, 0), ("B", "2", new, 3, 0), ("B", "3", new, 4, 0), ("C", "1", None, 1, 0)]
+    frame = spark.createDataFrame(listing, "source_key string, external_id string, posted_on date, page int, pos int")
+    targets = spark.createDataFrame([("A",)] * 5 + [("B",)], "source_key string")
+    got = {r["source_key"]: (r["floor_page"], r["stop_page"]) for r in ledger.gone_stop_pages(frame, targets, F.lit("2026-04-01").cast("date")).collect()}
+    assert got == {"A": (3, 3), "B": (1, 3), "C": (1, 1)}
+
+
+def test_new_postings_keep_the_first_read(spark):
+    rows = [("B", "1", f"t{i}", D(2026, 1, 9 - i)) for i in range(6)]
+    frame = spark.createDataFrame(rows, "source_key string, external_id string, title string, posted_on date").repartition(5)
+    (r,) = ledger.new_postings(frame, frame.limit(0)).collect()
+    assert r["title"] == "t5"
+
+
+def test_mailbox_clash_and_places_against_pairs(spark):
+    rng = random.Random(12)
+    sets = [["a"], ["b"], ["a", "b"], ["b", "c"], ["c", "a"], ["a", "b", "c"], ["d", "a"], []]
+    rows = [(g, rng.choice(sets), rng.choice(["길1", "길12", "길1호", "큰길1호", "", None]), "중구") for g in range(60) for _ in range(rng.randint(1, 4))]
+    frame = spark.createDataFrame(rows, "g int, mailboxes array<string>, address string, city string")
+    clash = {r["g"]: r["clash"] for r in dedup.mailbox_clash(frame, ["g"]).collect()}
+    same = {r["g"]: r["same"] for r in dedup.same_place(frame, ["g"]).collect()}
+
+    def fit(a, b):
+        short, long = sorted((a, b), key=len)
+        at = long.find(short)
+        return at >= 0 and not long[max(0, at - 1) : at].isdigit() and not long[at + len(short) : at + len(short) + 1].isdigit()
+
+    for g in range(60):
+        own = [set(m) for k, m, _, _ in rows if k == g and m]
+        assert clash.get(g) == (any(not a & b for a in own for b in own) if own else None)
+        roads = [a for k, _, a, _ in rows if k == g and a]
+        assert same.get(g) == (all(fit(a, b) for a in roads for b in roads) if len(roads) > 1 else None)
+
+
+def test_crowded_mailboxes_find_the_same_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    names = ["가교회", "가나교회", "가나다교회", "나다교회", "교회", "라교회", "큰라교회", "가 나"]
+    rows = [draft(i, D(2026, 1, 1), church_name=rng.choice(names), mailboxes=["a@b"], positions=rng.choice([["EVANGELIST"], ["ETC"], ["EVANGELIST", "YOUTH"]]), address=None) for i in range(60)]
+    members = dedup.judged(dedup.with_seat(spark.createDataFrame(rows, FIELDS)))
+    found = []
+    for crowd in (64, 1):
+        monkeypatch.setattr(dedup, "CROWD", crowd)
+        found.append({(tuple(r["a"]), tuple(r["b"])) for r in dedup.variant_edges(members).collect()})
+    assert found[0] == found[1] and len(found[0]) > 20
 
 
 def test_gone_guards(spark):

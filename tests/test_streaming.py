@@ -28,15 +28,15 @@ def test_ledger_stream(spark, tmp_path):
 
 
 def test_health_stream_is_the_batch_fold(spark, tmp_path):
-    schema = "source_key string, run_at date, status string, n_rows long, newest date"
+    schema = "source_key string, run_at date, status string, n_rows long, new_count long, cutoff date, newest date"
     d = datetime.date
-    rows = [(k, d(2026, 1, i), s, i, d(2025, 12, i) if i % 2 else None) for k in "ab" for i, s in enumerate(["OK", "FAIL", "FAIL", "EMPTY", "EMPTY", "OK", "EMPTY", "FAIL"], 1)]
+    rows = [(k, d(2026, 1, i), s, i, 2 * i, d(2025, 11, i) if i % 3 else None, d(2025, 12, i) if i % 2 else None) for k in "ab" for i, s in enumerate(["OK", "FAIL", "FAIL", "EMPTY", "EMPTY", "OK", "EMPTY", "FAIL"], 1)]
     stream = written(spark, tmp_path, [rows[:3], rows[3:8], rows[8:]], schema)
     q = streams.health(stream).writeStream.outputMode("update").format("memory").queryName("health_now").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(180)
     assert q.exception() is None
-    last = spark.table("health_now").groupBy("source_key").agg(F.max_by(F.struct("status", "n_rows", "newest", "last_success", "failures", "empty_runs"), "runs").alias("r")).collect()
-    want = {r["source_key"]: tuple(r[c] for c in ("status", "n_rows", "newest", "last_success", "failures", "empty_runs")) for r in health.fold(spark.createDataFrame(rows, schema)).collect()}
+    last = spark.table("health_now").groupBy("source_key").agg(F.max_by(F.struct("status", "n_rows", "new_count", "cutoff", "newest", "last_success", "failures", "empty_runs"), "runs").alias("r")).collect()
+    want = {r["source_key"]: tuple(r[c] for c in ("status", "n_rows", "new_count", "cutoff", "newest", "last_success", "failures", "empty_runs")) for r in health.fold(spark.createDataFrame(rows, schema)).collect()}
     assert {r["source_key"]: tuple(r["r"]) for r in last} == want
 
 
