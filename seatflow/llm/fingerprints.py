@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import lean
+from seatflow.llm.common import lean, stored
 from seatflow.llm.minhash import fingerprint, likeness
 
 LEAST_ID = -(1 << 63)
-#: Documents to a bucket of consecutive ids, and the most and least buckets.
-BUCKET_ROWS, MOST_BUCKETS, LEAST_BUCKETS = 2_000, 2_000, 48
+#: Bytes of text to a part of consecutive ids, and the least parts.
+PART_BYTES, LEAST_PARTS = 12_000_000, 12
 
 
 def with_fingerprint(documents: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
@@ -36,44 +36,50 @@ def edited(text: str, after: str) -> str:
 def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints each text and the text edited with the next document's, in descending order of id.
 
-    The last document's next is the first. Ids are cut into buckets at their quantiles; each bucket
-    also gets, as a guest, the one document that follows it, so the texts move once and no task
-    holds more than a bucket's share. Rows that share an id follow each other by text; a null id
-    comes last. One row is its own next; an empty table gives an empty result.
+    The last document's next is the first. Texts move once, into ranges of (id, text), as many as their
+    bytes need; within a range each row meets the one after it. The last row of a range then meets the first
+    row of the next range that has any, by a join on the ranges' numbers. Rows that share an id follow
+    each other by text; a null id comes last, and null texts are empty. One row is its own next; an empty
+    table gives an empty result.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID))
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), key.alias("place"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-
-    rows = documents.count()
-    wanted = max(LEAST_BUCKETS, min(MOST_BUCKETS, -(-rows // BUCKET_ROWS)))
-    quantiles = [(i + 1) / wanted for i in range(wanted)]
-    cuts = frame.agg(F.percentile_approx("place", quantiles, 100 * wanted).alias("q"), F.max("place").alias("m")).first()
-    uppers = sorted({*cuts["q"], cuts["m"]}) if rows else [0]  # each bucket's largest id; at most MOST_BUCKETS
-
-    # bucket b holds the ids in (uppers[b-1], uppers[b]]; what follows it is the document uppers[b-1]
-    bounds = F.array(*[F.lit(u) for u in uppers])
-    own = frame.withColumns({"bucket": F.size(F.filter(bounds, lambda u: u < F.col("place"))), "guest": F.lit(0)})
-    follows = F.create_map(*[x for b, u in enumerate(uppers) for x in (F.lit(u), F.lit((b + 1) % len(uppers)))])
-    guests = frame.where(F.col("place").isin(uppers)).withColumns({"bucket": follows[F.col("place")], "guest": F.lit(1)})
-    dealt = own.unionByName(guests).repartition(len(uppers), "bucket").sortWithinPartitions("bucket", "guest", F.desc("place"), "text")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # the row that waits for its next
-        for part in parts:
+    kind = frame.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+    size = frame.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(LEAST_PARTS, -(-size // PART_BYTES))
+    order = [F.desc("place"), F.col("text")]
+    ranged = frame.repartitionByRange(int(parts), *order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
+
+    def pair(doc_id, text: str, mark: str, after: str, after_mark: str) -> tuple:  # noqa: ANN001
+        changed = edited(text, after)
+        mark2 = mark if changed == text else fingerprint(changed)
+        sha = hashlib.sha256(changed.encode("utf-8")).hexdigest()
+        return doc_id, len(text), sha, mark, mark2, likeness(mark, mark2), likeness(mark, after_mark)
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
             out = []
-            for doc_id, text, bucket, guest in zip(part["doc_id"], part["text"], part["bucket"], part["guest"]):
-                if guest and (held is None or held[2] != bucket):
-                    continue  # a further guest of the bucket, or one without hosts
+            for doc_id, text, part in zip(batch["doc_id"], batch["text"], batch["part"]):
                 mark = fingerprint(text)
-                if held is not None:
-                    was_id, was, _, was_mark = held
-                    changed = edited(was, text)
-                    mark2 = was_mark if changed == was else fingerprint(changed)
-                    sha = hashlib.sha256(changed.encode("utf-8")).hexdigest()
-                    out.append((was_id, len(was), sha, was_mark, mark2, likeness(was_mark, mark2), likeness(was_mark, mark)))
-                held = None if guest else (doc_id, text, bucket, mark)
-            names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-            yield pd.DataFrame(out, columns=names)
-
-    return dealt.select("doc_id", "text", "bucket", "guest").mapInPandas(run, schema)
+                out.append((*pair(*held[:3], text, mark), None, part, None) if held else (doc_id, *[None] * 6, text, part, "first"))
+                held = (doc_id, text, mark, part)
+            yield pd.DataFrame(out, columns=[*names, "text", "part", "end"]).astype({"n_chars": "Int64"})
+        if held:
+            yield pd.DataFrame([(held[0], *[None] * 6, held[1], held[3], "last")], columns=[*names, "text", "part", "end"]).astype({"n_chars": "Int64"})
+
+    told = stored(ranged.mapInPandas(inside, f"{schema}, text string, part int, end string"))
+    first, last = (told.where(F.col("end") == end).select("doc_id", "text", "part") for end in ("first", "last"))
+    filled = sorted(r["part"] for r in first.select("part").collect())  # the ranges' numbers
+    follows = told.sparkSession.createDataFrame(list(zip(filled, filled[1:] + filled[:1])), "part int, next int")
+    ends = last.join(follows, "part").join(first.select(F.col("part").alias("next"), F.col("text").alias("after")), "next").select("doc_id", "text", "after")
+
+    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [pair(i, t, fingerprint(t), a, fingerprint(a)) for i, t, a in zip(batch["doc_id"], batch["text"], batch["after"])]
+            yield pd.DataFrame(rows, columns=names)
+
+    return told.where("end is null").select(*names).unionByName(ends.mapInPandas(across, schema))

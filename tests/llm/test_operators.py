@@ -27,7 +27,9 @@ def words(text):
 # --- 1 ------------------------------------------------------------------------------------
 
 
-def test_fingerprints_pair_each_text_with_the_next(documents, texts):
+@pytest.mark.parametrize("part_bytes", [12_000_000, 1500])
+def test_fingerprints_pair_each_text_with_the_next(documents, texts, monkeypatch, part_bytes):
+    monkeypatch.setattr(fingerprints, "PART_BYTES", part_bytes)
     got = {r["doc_id"]: r for r in fingerprints.with_next(documents).collect()}
     order = sorted(texts, key=lambda x: -x[0])
     assert len(got) == len(texts)
