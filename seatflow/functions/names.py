@@ -50,23 +50,38 @@ def as_name(value: Column) -> Column:
     return F.when(shaped & ~closed.isin(NOT_NAMES), closed)
 
 
-def _candidate(before: Column, after: Column) -> Column:
-    """The name that a label between these two parts of a line introduces, or null."""
-    after = _bare(after)
-    title = _first_of(after, TITLES)
-    after = _after(after, title)
-    after = _after(after, _first_of(after, ["명"]))
-    mark = _first_of(after, MARKS)
-    marked = mark != ""
-    after = _after(after, mark)
-    after = F.when(marked, _bare(F.regexp_replace(after, f"^{RANKED_TITLE}", ""))).otherwise(after)
-    value = after
-    for end in VALUE_ENDS:
-        value = F.substring_index(value, end, 1)
-    name = as_name(_bare(F.regexp_replace(value, f"{RANKED_TITLE}.*$", "")))
-    lead = _bare(before)
-    alone = (lead == "") | F.right(lead, F.lit(1)).isin(OPENERS)
-    return F.when(marked | ((F.length(name) >= SHORTEST_BARE) & (title != POLITE) & alone), name)
+def _with(rows: Column, *kept: str, **new) -> Column:  # noqa: ANN003
+    """Rows with some fields kept and others made of each row; every step's values are found once."""
+    return F.transform(rows, lambda x: F.struct(*[x[k].alias(k) for k in kept], *[make(x).alias(k) for k, make in new.items()]))
+
+
+def _introduced(line: Column) -> Column:
+    """The names that the labels of a line introduce, null where one introduces none."""
+    parts = F.split(line, LABEL)
+    places = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda k: k < F.size(parts))
+    rows = F.transform(places, lambda k: F.struct(
+        _bare(F.array_join(F.slice(parts, F.lit(1), k), LABEL)).alias("lead"), _bare(F.array_join(F.slice(parts, k + 1, F.size(parts)), LABEL)).alias("rest")))
+    rows = _with(rows, "lead", "rest", title=lambda x: _first_of(x["rest"], TITLES))
+    rows = _with(rows, "lead", "title", rest=lambda x: _after(x["rest"], x["title"]))
+    rows = _with(rows, "lead", "title", rest=lambda x: _after(x["rest"], _first_of(x["rest"], ["명"])))
+    rows = _with(rows, "lead", "title", "rest", mark=lambda x: _first_of(x["rest"], MARKS))
+    rows = _with(rows, "lead", "title", "mark", rest=lambda x: _after(x["rest"], x["mark"]))
+    rows = _with(rows, "lead", "title", "mark", rest=lambda x: F.when(x["mark"] != "", _bare(F.regexp_replace(x["rest"], f"^{RANKED_TITLE}", ""))).otherwise(x["rest"]))
+
+    def value(x: Column) -> Column:
+        out = x["rest"]
+        for end in VALUE_ENDS:
+            out = F.substring_index(out, end, 1)
+        return _bare(F.regexp_replace(out, f"{RANKED_TITLE}.*$", ""))
+
+    rows = _with(rows, "lead", "title", "mark", value=value)
+    rows = _with(rows, "lead", "title", "mark", name=lambda x: as_name(x["value"]))
+
+    def counts(x: Column) -> Column:
+        alone = (x["lead"] == "") | F.right(x["lead"], F.lit(1)).isin(OPENERS)
+        return (x["mark"] != "") | ((F.length(x["name"]) >= SHORTEST_BARE) & (x["title"] != POLITE) & alone)
+
+    return F.transform(rows, lambda x: F.when(counts(x), x["name"]))
 
 
 def named_in(text: Column) -> Column:
@@ -75,13 +90,8 @@ def named_in(text: Column) -> Column:
     With a mark after the label any name counts; without one it must begin its line or field, be longer
     than two syllables, and not follow the polite form.
     """
-
-    def of_line(line: Column) -> Column:
-        parts = F.split(line, LABEL)
-        places = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda k: k < F.size(parts))
-        return F.transform(places, lambda k: _candidate(F.array_join(F.slice(parts, F.lit(1), k), LABEL), F.array_join(F.slice(parts, k + 1, F.size(parts)), LABEL)))
-
-    names = F.flatten(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), of_line))
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.contains(line, F.lit(LABEL)))
+    names = F.flatten(F.transform(lines, _introduced))
     return F.get(F.filter(names, lambda n: n.isNotNull()), F.lit(0))
 
 

@@ -98,9 +98,16 @@ def dedup_place_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.same_place(dedup.with_rounds(members(spark, sf_dir)), dedup.ROUND)
 
 
-@query()
+@query(f"""WITH RECURSIVE {ROUNDS}, placed AS (SELECT id, church, region, role_key, round, regexp_replace(coalesce(city, ''), '[\\s,.()-]', '', 'g') AS c, regexp_replace(coalesce(address, ''), '[\\s,.()-]', '', 'g') AS r,
+        row_number() OVER (PARTITION BY church, region, role_key, round ORDER BY posted_on, id) AS n FROM rounds),
+    step AS (SELECT DISTINCT CAST(NULL AS BIGINT) AS id, church, region, role_key, round, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(c VARCHAR, r VARCHAR)[]) AS firsts, CAST(NULL AS INTEGER) AS cluster FROM placed
+        UNION ALL SELECT id, church, region, role_key, round, n, CASE WHEN c <> '' AND r <> '' AND spot IS NULL THEN list_append(firsts, {{'c': c, 'r': r}}) ELSE firsts END,
+            CASE WHEN c <> '' AND r <> '' THEN CAST(coalesce(spot, len(firsts) + 1) AS INTEGER) END
+        FROM (SELECT p.*, firsts, nullif(list_position(list_transform(firsts, lambda f: {_fits('f.c', 'p.c')} AND {_fits('f.r', 'p.r')}), true), 0) AS spot
+            FROM step s JOIN placed p ON s.church = p.church AND s.region = p.region AND s.role_key = p.role_key AND s.round = p.round AND p.n = s.n + 1))
+    SELECT id, church, region, role_key, round, cluster FROM step WHERE n > 0""")
 def dedup_place_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-fit clusters in order; not a SQL relation, so tests compare it with a plain loop."""
+    """First-fit clusters in order."""
     rows = dedup.with_rounds(members(spark, sf_dir)).select("id", *dedup.ROUND, "posted_on", "city", "address")
     return dedup.split_by_place(rows, dedup.ROUND).select("id", *dedup.ROUND, "cluster")
 
@@ -141,8 +148,8 @@ def dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     anchor AS (SELECT job_id AS id, church, region, role_key, posted_at FROM {{job}} JOIN (SELECT id AS of, church, region, role_key FROM seated) ON of = job_id - 1000000000
         WHERE status = 'OPEN' AND CASE WHEN deadline IS NOT NULL THEN deadline >= DATE '2001-06-01' ELSE posted_at + 90 >= DATE '2001-06-01' END
             AND job_id NOT IN (SELECT job_id FROM ours) AND church IS NOT NULL AND region IS NOT NULL),
-    both AS (SELECT id, church, region, role_key, posted_on, deadline, is_owned, false AS is_anchor FROM member UNION ALL SELECT id, church, region, role_key, posted_at, NULL, true, true FROM anchor),
-    c AS (SELECT *, max(CASE WHEN deadline < DATE '2001-06-01' THEN deadline END) OVER (PARTITION BY church, region, role_key) AS closed_on FROM both)
+    joint AS (SELECT id, church, region, role_key, posted_on, deadline, is_owned, false AS is_anchor FROM member UNION ALL SELECT id, church, region, role_key, posted_at, NULL, true, true FROM anchor),
+    c AS (SELECT *, max(CASE WHEN deadline < DATE '2001-06-01' THEN deadline END) OVER (PARTITION BY church, region, role_key) AS closed_on FROM joint)
     SELECT id, is_anchor, closed_on, closed_on IS NULL OR is_anchor OR coalesce(deadline >= DATE '2001-06-01', false) OR (deadline IS NULL AND (posted_on > closed_on OR is_owned)) AS open FROM c""")
 def dedup_still_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = drafts(spark, sf_dir).unionByName(anchors(spark, sf_dir))

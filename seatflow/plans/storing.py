@@ -85,10 +85,10 @@ def work_by_board(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""WITH said AS (SELECT conv_id, turn, string_split(c.text, ' ') AS words, regexp_replace(d.text, '\s', '', 'g') AS bare FROM {conversations} c JOIN {documents} d ON doc_id = conv_id),
-    quoted AS (SELECT conv_id, turn, bare, regexp_replace(unnest(words), '\s', '', 'g') AS word, CAST(unnest(range(len(words))) AS INTEGER) AS at FROM said)
-    SELECT conv_id, turn, at, CASE WHEN word <> '' AND contains(bare, word) THEN 'word' ELSE '' END || CASE WHEN contains(bare, 'the') THEN '+the' ELSE '' END AS kept FROM quoted""")
+    quoted AS (SELECT conv_id, turn, bare, regexp_replace(unnest(words), '\s', '', 'g') AS word, CAST(unnest(range(len(words))) AS INTEGER) AS nth FROM said)
+    SELECT conv_id, turn, nth, CASE WHEN word <> '' AND contains(bare, word) THEN 'word' ELSE '' END || CASE WHEN contains(bare, 'the') THEN '+the' ELSE '' END AS kept FROM quoted""")
 def grounded_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each word of a turn, and a fixed one, as evidence for a choice."""
-    both = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("at", "quote")).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), "text"), "conv_id")
+    both = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("nth", "quote")).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), "text"), "conv_id")
     kept = drafts.choices_grounded(F.array(F.lit("word"), F.lit("the"), F.lit("no evidence")), F.array(F.col("quote"), F.lit("t h e")), F.array("text"))
-    return both.select("conv_id", "turn", "at", F.concat(F.when(F.array_contains(kept, "word"), "word").otherwise(""), F.when(F.array_contains(kept, "the"), "+the").otherwise("")).alias("kept"))
+    return both.select("conv_id", "turn", "nth", F.concat(F.when(F.array_contains(kept, "word"), "word").otherwise(""), F.when(F.array_contains(kept, "the"), "+the").otherwise("")).alias("kept"))
