@@ -294,6 +294,8 @@ def encode(documents: DataFrame, shared: Broadcast, id_col: str = "doc_id", text
     """(doc_id, ids array<int>) for each row, in tasks that see only these two columns.
 
     decoded: also the bytes that the ids decode to, by the same worker; decode() does it for ids at hand.
+    Null and empty texts have no ids; repeated rows and ids are encoded row by row; texts of any length are
+    encoded whole; an empty table gives an empty result.
     """
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 

@@ -30,7 +30,8 @@ def targets(totals: DataFrame, most: float = 3.0) -> DataFrame:
     target exceeds `most` times its source's size, and what is over is shared again by weight until
     none exceeds. That ends at one level, target = min(most * size, level * weight): with sources in
     the order of most * size / weight, those before some place are full and the rest share what is
-    left. There is one row a source, so these windows are as small as the list of sources.
+    left. These windows hold one row a source in one task: the list of sources must be one that a task
+    can sort, not the documents.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     t = totals.withColumn("weight", ((F.row_number().over(order) - 1) % 3 + 1).cast("double"))

@@ -88,7 +88,12 @@ def learned(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Broadca
 
 
 def scored(documents: DataFrame, labels: DataFrame, remainder: int = 0, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row; held out are ids whose crc32 as text mod 5 is `remainder`."""
+    """(doc_id, held_out, score, predicted) for each row; held out are ids whose crc32 as text mod 5 is `remainder`.
+
+    Null and empty texts have statistics of zero and are scored like any other. Repeated rows, and rows that
+    share an id, are scored each by its own text. Texts are read whole, whatever their length. A null id is
+    never held out and has no label. An empty table gives an empty result.
+    """
     rows = statistics_table(documents, remainder, id_col, text_col)
     model = learned(rows, labels, sample)
 
@@ -100,7 +105,7 @@ def scored(documents: DataFrame, labels: DataFrame, remainder: int = 0, id_col:
 
 
 def accepted(documents: DataFrame, model: Broadcast, text_col: str = "text", least: float = ACCEPT) -> DataFrame:
-    """The rows whose text scores at least `least`, with all their columns."""
+    """The rows whose text scores at least `least`, with all their columns; null and empty texts are scored as empty ones."""
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

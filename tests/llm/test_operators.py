@@ -335,6 +335,24 @@ def test_quality(spark, documents, texts, nothing, awkward):
     assert {r["score"] for r in quality.scored(awkward, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_of_held_out_rows_of_the_table():
+    """Trees that learn from the other labelled rows rank held-out documents of the given table."""
+    import os
+
+    import duckdb
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.exists(folder):
+        pytest.skip("no tables")
+    rows = duckdb.sql(f"SELECT doc_id, text, quality FROM '{folder}/documents.parquet' JOIN '{folder}/labels.parquet' USING (doc_id) WHERE quality IS NOT NULL ORDER BY doc_id").fetchall()
+    x, y = np.array([quality.statistics(t) for _, t, _ in rows], dtype=float), np.array([q for *_, q in rows], dtype=float)
+    held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i, *_ in rows])
+    score = boosted(x[~held], y[~held]).score(x[held])
+    good, bad = score[y[held] == 1], score[y[held] == 0]
+    assert len(bad) >= 5 and (good[:, None] > bad[None]).mean() > 0.97
+    assert ((score >= quality.ACCEPT) == y[held]).mean() > 0.95
+
+
 # --- 8 ------------------------------------------------------------------------------------
 
 
