@@ -76,6 +76,16 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing will read again; what was made of them must be stored itself."""
+    for frame in tables:
+        spark = frame.sparkSession
+        for folder in {f.rpartition("/")[0] for f in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getName().startswith("seatflow-"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_tag(text: Column) -> Column:
     """24 bits of the text's hash, above 40 bits for a position. With the id it tells apart rows that share an id."""
     return F.shiftleft(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(0xFFFFFF), 40)

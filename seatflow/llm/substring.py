@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import WORD, mixed, row_tag, run_hashes, sliding_min, stored, word_hashes
+from seatflow.llm.common import WORD, dropped, mixed, row_tag, run_hashes, sliding_min, stored, word_hashes
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WINDOW, GRAM = 50, 16
@@ -92,6 +92,7 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
     firsts = stored(rows.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
     told = rows.join(firsts, "run", "left").withColumn("earlier", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
     told = stored(told.select("doc_id", "tag", "n", "earlier", F.when(~F.col("earlier"), F.col("windows")).alias("windows")))
+    dropped(rows, firsts)
     whole = told.where("earlier").select("doc_id", "tag", "n")
 
     each = told.where("not earlier").select("doc_id", "tag", F.posexplode(F.expr(f"transform(sequence(0, cast(n as int) - 1), i -> substring(windows, i * {DIGEST} + 1, {DIGEST}))")).alias("at", "window"))
