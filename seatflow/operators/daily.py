@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seatflow.functions import dates as D
 from seatflow.functions import text as T
 from seatflow.functions.names import senior_pastor_of
-from seatflow.operators import dedup, drafts, publish, store
+from seatflow.operators import checks, dedup, drafts, publish, store
 from seatflow.vocab import GATE, JOB_KIND, POSITION, REGION, canonical
 
 #: The form fields that tell a posting's status.
@@ -29,10 +29,14 @@ def built(raw: DataFrame, answers: DataFrame, reference: DataFrame, today: Colum
     put into form; the screen, the board's own closing and the deadline decide on rejection; what is
     lacking decides on confidence.
     """
-    both = raw.join(answers, "id").withColumn("gate", F.coalesce(F.when(F.upper("gate").isin(GATE), F.upper("gate")), F.lit("UNCERTAIN"))).where("gate <> 'NO'")
+    # an answer without its posting is an error, not a row to leave out
+    both = answers.join(raw.withColumn("_there", F.lit(True)), "id", "left").withColumn("id", F.when(F.col("_there"), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("no posting for answer "), F.col("id").cast("string"))))).drop("_there")
+    both = both.withColumn("gate", F.coalesce(F.when(F.upper("gate").isin(GATE), F.upper("gate")), F.lit("UNCERTAIN"))).where("gate <> 'NO'")
     none = F.array().cast("array<string>")
     sources = F.concat(F.array(F.coalesce("raw_text", F.lit("")), F.col("title")), F.coalesce(F.map_values("raw_meta"), none))
-    both = drafts.verified(both, CHECKED, sources, F.col("media_sent"))
+    whole = F.array_join(F.filter(sources, lambda x: x.isNotNull()), "|")
+    own = {"contact_phone": checks.phones_grounded(F.col("contact_phone"), whole), "contact_email": checks.address_grounded(F.col("contact_email"), whole)}
+    both = drafts.verified(both, CHECKED, sources, F.col("media_sent"), own)
     pay = T.pay_of(F.col("pay_amount"))
     both = both.withColumns({
         "region": F.when(F.upper("region").isin(REGION), F.upper("region")), "job_kind": F.when(F.upper("job_kind").isin(JOB_KIND), F.upper("job_kind")),

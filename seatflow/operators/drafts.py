@@ -59,13 +59,6 @@ def grounded(value: Column, sources: Column) -> Column:
     return F.coalesce((bare != "") & F.exists(sources, lambda s: F.contains(squeeze(s), bare)), F.lit(False))
 
 
-def digits_grounded(value: Column, sources: Column) -> Column:
-    """Each phone number of a value stands, by its digits, within one source."""
-    bare = lambda c: F.regexp_replace(c, "[^0-9]", "")
-    numbers = F.filter(F.transform(F.regexp_extract_all(value, F.lit(r"[0-9][0-9()\s.-]{5,}[0-9]"), F.lit(0)), bare), lambda n: n != "")
-    return (F.size(numbers) > 0) & F.forall(numbers, lambda n: F.exists(sources, lambda s: F.contains(bare(s), n)))
-
-
 def choices_grounded(chosen: Column, evidence: Column, sources: Column) -> Column:
     """The choices whose evidence, by position, stands in a source; a choice without evidence goes."""
     pairs = F.arrays_zip(chosen.alias("c"), evidence.alias("e"))
@@ -83,9 +76,12 @@ def supported(value: Column, evidence: Column, words: dict[str, list[str]], agai
     return out
 
 
-def verified(answers: DataFrame, fields: list[str], sources: Column, media_sent: Column) -> DataFrame:
-    """Ungrounded values are emptied and named in ``scrubbed``; where media were sent they stay and are named in ``unchecked``."""
-    bad = {f: _filled(F.col(f)) & ~grounded(F.col(f), sources) for f in fields}
+def verified(answers: DataFrame, fields: list[str], sources: Column, media_sent: Column, tests: dict[str, Column] | None = None) -> DataFrame:
+    """Ungrounded values are emptied and named in ``scrubbed``; where media were sent they stay and are named in ``unchecked``.
+
+    A field is grounded if it stands in a source, or as its own test in `tests` says.
+    """
+    bad = {f: _filled(F.col(f)) & ~(tests[f] if tests and f in tests else grounded(F.col(f), sources)) for f in fields}
     names = F.filter(F.array(*[F.when(b, F.lit(f)) for f, b in bad.items()]), lambda x: x.isNotNull())
     none = F.array().cast("array<string>")
     out = answers.withColumn("_bad", names).withColumns({"scrubbed": F.when(media_sent, none).otherwise(F.col("_bad")), "unchecked": F.when(media_sent, F.col("_bad")).otherwise(none)})

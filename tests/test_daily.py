@@ -14,7 +14,7 @@ def tables(spark):
     raw = spark.createDataFrame(
         [(1, "B", "1", "(끌어올림) 한빛교회 교육전도사", "한빛교회 서울 송파구 테헤란로 12 메일: a@b.org 월 90~120만원 2026.7.31 까지", {"status": "진행"}, D(2026, 5, 1)),
          (2, "B", "2", "한빛교회 청빙", "한빛교회 서울시 송파구 a@b.org", {}, D(2026, 5, 20)),
-         (3, "B", "3", "청빙완료 달빛교회", "달빛교회 중구 010-1", {}, D(2026, 5, 2)),
+         (3, "B", "3", "청빙완료 달빛교회", "달빛교회 중구 010-1234-오육칠8", {}, D(2026, 5, 2)),
          (4, "B", "4", "광고", "팝니다", {}, D(2026, 5, 3)),
          (5, "B", "5", "별빛교회", "별빛교회 부산 c@d.org", None, D(2026, 5, 4))],
         "id long, source_key string, external_id string, title string, raw_text string, raw_meta map<string,string>, posted_on date")
@@ -23,7 +23,7 @@ def tables(spark):
     rows = [
         {**base, "id": 1, "church_name": "한빛교회", "city": "서울 송파구", "address": "테헤란로 12", "contact_email": "메일: a@b.org", "pay_amount": "월 90~120만원", "deadline_text": "2026.7.31 까지"},
         {**base, "id": 2, "church_name": "한빛교회", "city": "서울시 송파구", "contact_email": "a@b.org", "address": "지어낸로 9"},
-        {**base, "id": 3, "church_name": "달빛교회", "contact_phone": "010-1"}, {**base, "id": 4, "gate": "no"}, {**base, "id": 5, "church_name": "별빛교회", "region": "busan", "contact_email": "c@d.org"},
+        {**base, "id": 3, "church_name": "달빛교회", "contact_phone": "010-1234-5678"}, {**base, "id": 4, "gate": "no"}, {**base, "id": 5, "church_name": "별빛교회", "region": "busan", "contact_email": "c@d.org"},
     ]
     kinds = ", ".join(["id long"] + [f"{f} {'array<string>' if f == 'positions' else 'string'}" for f in fields])
     answers = spark.createDataFrame([{k: r.get(k) for k in ("id", *fields)} for r in rows], kinds).withColumns({"media_sent": F.lit(False), "media_missed": F.lit(False)})
@@ -41,6 +41,7 @@ def test_a_day(spark):
     assert (one["title"], one["city"], one["contact_email"], one["pay_min"], one["pay_max"], one["pay_period"]) == ("한빛교회 교육전도사", "송파구", "a@b.org", 90, 120, "MONTH")
     assert one["deadline"] == D(2026, 7, 31) and one["positions"] == ["EVANGELIST"] and one["confidence"] == "high" and one["review_status"] == "APPROVED"
     assert got[2]["address"] is None and got[2]["scrubbed"] == ["address"]
+    assert got[3]["contact_phone"] == "010-1234-5678" and got[3]["scrubbed"] == []
     assert got[3]["reject_reason"] == "CLOSED" and got[5]["reject_reason"] == "HERESY" and got[5]["review_status"] == "REJECTED"
 
     rows = made.withColumns({
@@ -64,3 +65,11 @@ def test_a_day(spark):
     later = daily.published(linked, there)
     assert later["insert"].count() == 0 and [r["posted_at"] for r in later["bump"].collect()] == [D(2026, 5, 20)]
     assert [r["id"] for r in daily.published(linked, jobs)["release"].collect()] == [1]
+
+
+def test_an_answer_without_a_posting_is_an_error(spark):
+    import pytest
+
+    raw, answers, reference = tables(spark)
+    with pytest.raises(Exception, match="no posting for answer 1"):
+        daily.built(raw.where("id <> 1"), answers, reference, F.lit("2026-06-01").cast("date")).collect()

@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from seatflow.operators import drafts, ledger, media, runs, store
+from seatflow.operators import checks, drafts, ledger, media, runs, store
 
 T = datetime.datetime
 
@@ -17,7 +17,7 @@ def column(spark, values, expression, kind="string"):
 def test_grounds(spark):
     source = F.array(F.lit("전화 010-1234-5678 / 교 회 명: 한빛"), F.lit("월 250만원"))
     assert column(spark, ["교회명:한빛", "없는 말", " ", None], drafts.grounded(F.col("v"), source)) == [True, False, False, False]
-    assert column(spark, ["010.1234.5678", "010-1234-5679", "no number", None], drafts.digits_grounded(F.col("v"), source)) == [True, False, False, None]
+    assert column(spark, ["010.1234.5678", "010-1234-5679", "no number", None], checks.phones_grounded(F.col("v"), F.array_join(source, "|"))) == [True, False, False, False]
     kept = drafts.choices_grounded(F.array(F.lit("A"), F.lit("B")), F.array(F.col("v")), source)
     assert column(spark, ["한빛", "달빛", None], kept) == [["A"], [], []]
     said = drafts.supported(F.lit("FULL_TIME"), F.col("v"), {"FULL_TIME": ["전임", "풀타임"]}, {"FULL_TIME": ["반전임"]})
