@@ -69,3 +69,27 @@ def deadline_in(text: Column, posted_on: Column) -> Column:
     told = F.filter(pairs, lambda x: x["m"].rlike("^[0-9]{1,2}$") & x["d"].rlike("^[0-9]{1,2}$"))
     yearless = _latest(F.transform(told, lambda x: day(F.year(posted_on).cast("string"), x["m"], x["d"])))
     return F.coalesce(stated, F.when(yearless >= posted_on, yearless))
+
+
+def cutoff(today: Column, days: int | None = None, months: int | None = None, has_dates: Column | None = None) -> Column:
+    """The first day that is read: so many days or calendar months back, one of the two and at least one; none where a list gives no dates."""
+    if (days is None) == (months is None) or (days if months is None else months) < 1:
+        raise ValueError("either days or months, at least one")
+    first = F.date_sub(today, days) if days else months_before(today, months)
+    return first if has_dates is None else F.when(has_dates, first)
+
+
+#: The forms in which boards write a day, the longest first; two digits of a year are of this century.
+BOARD_FORMS = ["yyyy-MM-dd HH:mm:ss", "yyyy-M-d", "yyyyMMdd", "yy-M-d"]
+
+
+def board_date(text: Column) -> Column:
+    """A board's day in any of the forms, with -, . or / between; null if it is in none."""
+    plain = F.translate(F.rtrim(F.trim(text), F.lit(".")), "./", "--")
+    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(form)).cast("date") for form in BOARD_FORMS])
+
+
+def date_in_path(path: Column) -> Column:
+    """The day of upload that a file's name begins with (yyyymmdd); null without one that exists."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.try_to_timestamp(F.left(name, F.lit(8)), F.lit("yyyyMMdd")).cast("date")

@@ -83,6 +83,13 @@ def with_department(members: DataFrame) -> DataFrame:
     }).drop("_named", "_silent", "_only")
 
 
+def counts(drafts: DataFrame) -> DataFrame:
+    """One row: rows that are judged, that lack a part of their seat, and whose case is settled."""
+    seat = F.col("church").isNotNull() & F.col("region").isNotNull() & F.col("role_key").isNotNull()
+    settled = F.coalesce(F.col("reject_reason").isin(SETTLED), F.lit(False)) | F.col("gone_at").isNotNull()
+    return with_seat(drafts).agg(F.count_if(seat & ~settled).alias("judged"), F.count_if(~seat & ~settled).alias("unjudged"), F.count_if(settled).alias("settled"))
+
+
 def dedup_key(slot: Column) -> Column:
     return F.concat_ws(":", "church", "region", "role_key", slot, F.concat(F.lit("R"), F.col("round").cast("string")))
 

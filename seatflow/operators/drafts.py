@@ -98,6 +98,24 @@ def verdict(has_evidence: Column, waits: Column, error: Column, gate: Column) ->
     return F.when(~has_evidence, "EMPTY").when(waits, "DEFERRED").when(error.isNotNull(), "FAILED").when(gate == "NO", "EXCLUDED").otherwise("DRAFTED")
 
 
+def within_budget(rows: DataFrame, most: int) -> DataFrame:
+    """Rows whose verdict costs nothing (EMPTY, DEFERRED), and of the others the first `most` by date and id."""
+    free = F.col("verdict").isin("EMPTY", "DEFERRED")
+    return rows.where(free).unionByName(rows.where(~free).orderBy("posted_on", "id").limit(most))
+
+
+def review_queue(drafts: DataFrame) -> DataFrame:
+    """What waits for a person, the oldest first."""
+    return drafts.where("review_status = 'PENDING'").orderBy("posted_on", "id")
+
+
+def report(drafts: DataFrame) -> DataFrame:
+    """(what, value, n): how many drafts have each review status, confidence and reason of rejection."""
+    kinds = ["review_status", "confidence", "reject_reason"]
+    each = F.array(*[F.struct(F.lit(k).alias("what"), F.col(k).alias("value")) for k in kinds])
+    return drafts.select(F.explode(each).alias("x")).where("x.value is not null").groupBy("x.what", "x.value").agg(F.count("*").alias("n"))
+
+
 # --- screening and dictionaries ----------------------------------------------------------
 
 

@@ -47,6 +47,11 @@ def alerts(boards: DataFrame, today: Column) -> DataFrame:
     return boards.withColumn("alerts", F.filter(said, lambda x: x.isNotNull()))
 
 
+def still_crawled(boards: DataFrame, config: DataFrame) -> DataFrame:
+    """Boards without those that the configuration disables; a board that it doesn't know stays."""
+    return boards.join(config.where(~F.col("enabled")).select("source_key").distinct(), "source_key", "left_anti")
+
+
 def daily_window(runs: DataFrame, today: Column, most: int = 7) -> DataFrame:
     """One row: days to read back, from the last run that finished without a failure: elapsed + 1, from 1 to `most`."""
     good = runs.where("finished_at is not null and sources_failed = 0").agg(F.max("started_at").alias("last"))

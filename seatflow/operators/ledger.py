@@ -16,7 +16,8 @@ KEY = ["source_key", "external_id"]
 
 def new_postings(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows whose key the ledger lacks, one for each key (insert if absent): the first by time of reading, date, id and title."""
-    absent = rows.join(ledger.select(*KEY), KEY, "left_anti")
+    known = ledger.select(F.col("source_key").alias("_board"), F.trim("external_id").alias("_id"))
+    absent = rows.join(known, (F.col("source_key") == F.col("_board")) & (F.trim("external_id") == F.col("_id")), "left_anti")
     order = [F.col(c).asc_nulls_last() for c in ("fetched_at", "posted_on", "id", "title") if c in rows.columns] or [F.lit(0)]
     return absent.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))).where("_n = 1").drop("_n")
 
@@ -30,8 +31,8 @@ def first_seen(listing: DataFrame) -> DataFrame:
 def page_plan(listing: DataFrame, ledger: DataFrame, cutoff) -> DataFrame:  # noqa: ANN001
     """Adds ``verdict``: stale (before the cutoff, told first; no date is never stale), fresh (not in the
     ledger), conflict (title and date both differ from the ledger's), or seen."""
-    known = ledger.select(*KEY, F.col("title").alias("_title"), F.col("posted_on").alias("_on"), F.lit(True).alias("_known"))
-    out = listing.join(known, KEY, "left")
+    known = ledger.select("source_key", F.trim("external_id").alias("_id"), F.col("title").alias("_title"), F.col("posted_on").alias("_on"), F.lit(True).alias("_known"))
+    out = listing.withColumn("_id", F.trim("external_id")).join(known, ["source_key", "_id"], "left").drop("_id").select(*listing.columns, "_title", "_on", "_known")
     differs = (squeeze(F.col("title")) != squeeze(F.col("_title"))) & (F.col("posted_on") != F.col("_on"))
     verdict = F.when(F.col("posted_on") < cutoff, "stale").when(F.col("_known").isNull(), "fresh").when(F.coalesce(differs, F.lit(False)), "conflict").otherwise("seen")
     return out.withColumn("verdict", verdict).drop("_title", "_on", "_known")
@@ -61,6 +62,21 @@ def gone_stop_pages(listing: DataFrame, targets: DataFrame, since) -> DataFrame:
     return out.select("source_key", "floor_page", F.coalesce("stop_page", "last_page").alias("stop_page"))
 
 
+#: No list is read further than this.
+MOST_PAGES = 100
+
+
+def page_limit(option, board):  # noqa: ANN001, ANN201
+    """Pages to read of a board: the least of the run's option, the board's own limit, and MOST_PAGES; a null of these doesn't count."""
+    return F.least(option, board, F.lit(MOST_PAGES))
+
+
+def shifted(listing: DataFrame) -> DataFrame:
+    """(source_key, shifted): rows of a run's lists whose posting had stood on an earlier page already."""
+    first = F.row_number().over(Window.partitionBy(*KEY).orderBy("page", "pos")) == 1
+    return listing.withColumn("_first", first).groupBy("source_key").agg(F.count_if(~F.col("_first")).alias("shifted"))
+
+
 def tally(planned: DataFrame, limit: int) -> DataFrame:
     """Per board the counts of a run, and its guards: all rows stale, cut off at the page limit, conflicts."""
     n = lambda v: F.count_if(F.col("verdict") == v).cast("long")

@@ -29,6 +29,13 @@ def candidates(drafts: DataFrame) -> DataFrame:
     return ready.withColumn("lacks", lacks)
 
 
+def counts(drafts: DataFrame) -> DataFrame:
+    """One row: approved drafts without a link that go out, that lack something, and that the corpus pass hasn't judged yet."""
+    waiting = drafts.where("review_status = 'APPROVED' and published_job_id is null")
+    told = candidates(drafts).agg(F.count_if(F.size("lacks") == 0).alias("publishable"), F.count_if(F.size("lacks") > 0).alias("incomplete"))
+    return told.join(F.broadcast(waiting.agg(F.count_if(F.col("dedup_state").isNull()).alias("unjudged"))))  # one row each
+
+
 def newest_by_key(drafts: DataFrame) -> DataFrame:
     return drafts.where("dedup_key is not null").groupBy("dedup_key").agg(F.max("posted_on").alias("newest"))
 
@@ -52,6 +59,31 @@ def expired(jobs: DataFrame, ours: DataFrame, today: Column) -> DataFrame:
     return late.join(ours.select("job_id").distinct(), "job_id", "left_semi").select("job_id")
 
 
+def gone_targets(raw: DataFrame, drafts: DataFrame, since: Column) -> DataFrame:
+    """Postings to look for: dated since that day, whose draft isn't gone and is published or waits for review."""
+    open_ = drafts.where(F.col("gone_at").isNull() & (F.col("published_job_id").isNotNull() | (F.col("review_status") == "PENDING")))
+    return raw.where(F.col("posted_on") >= since).join(open_.select("id").distinct(), "id", "left_semi").select("id", "source_key", "external_id", "posted_on")
+
+
+def detail_alive(text: Column, images: Column, attachments: Column, error: Column) -> Column:
+    """Whether a posting's own page still shows anything: a text, an image or a file. A page that can't be read shows nothing."""
+    shown = F.coalesce(F.trim(text) != "", F.lit(False)) | (F.coalesce(F.size(images), F.lit(0)) > 0) | (F.coalesce(F.size(attachments), F.lit(0)) > 0)
+    return error.isNull() & shown
+
+
+# Codes with which an interface answers for one posting.
+PROBED = {"42004": "gone", "10000": "alive"}
+
+
+def probed(body: Column) -> Column:
+    """alive, gone, or unknown by the code of an interface's answer."""
+    code = F.get_json_object(body, "$.code")
+    out = F.when(F.lit(False), F.lit("unknown"))
+    for key, said in PROBED.items():
+        out = out.when(code == key, said)
+    return out.otherwise("unknown")
+
+
 def gone(targets: DataFrame, listing: DataFrame, details: DataFrame) -> DataFrame:
     """Per target a ``verdict``: listed, gone, or held where its board fails a guard.
 
