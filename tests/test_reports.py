@@ -37,3 +37,34 @@ def test_probes_targets_and_budget(spark):
     assert [r[0] for r in pages.select(publish.detail_alive(F.col("x"), F.col("i"), F.col("f"), F.col("e"))).collect()] == [True, True, True, False, False]
     rows = spark.createDataFrame([(i, D(2026, 1, 30 - i), "EMPTY" if i % 3 == 0 else "DRAFTED") for i in range(9)], "id long, posted_on date, verdict string")
     assert sorted(r["id"] for r in drafts.within_budget(rows, 2).collect()) == [0, 3, 6, 7, 8]
+
+
+def test_listed_records(spark, tmp_path):
+    import json
+
+    from pyspark.sql import types as t
+
+    from seatflow.sources import records
+
+    def read(name, value):
+        (tmp_path / name).write_text(value if isinstance(value, str) else json.dumps(value, ensure_ascii=False))
+        return {r["name"]: r["faults"] for r in records.restricted_list(spark, str(tmp_path / name)).collect()}
+
+    good = {"name": "가", "aliases": ["나"], "ruled_by": [], "region": "SEOUL"}
+    assert read("a.json", {"version": 2, "entries": [good, {"name": "다"}]}) == {"가": [], "다": []}
+    found = read("b.json", {"version": 2, "entries": [{**good, "note": 1}, {"aliases": []}, {"name": " "}, {"name": "라", "region": "MARS"}]})
+    assert found["가"] == ["unknown note"] and found[" "] == ["blank name"] and found["라"] == ["unknown region"] and found[None] == ["missing name", "blank name"]
+    assert read("c.json", {"version": 1, "entries": [good]})[None] == ["another version"] and read("d.json", {"version": 2, "entries": [], "x": 1})[None] == ["unknown field", "no records"]
+    assert read("e.json", "[")[None] == ["no JSON object", "no records", "another version"]
+    rows = records.restricted_list(spark, str(tmp_path / "b.json"))
+    with pytest.raises(Exception, match="faulty record"):
+        records.refused(rows).collect()
+    assert [r["name"] for r in records.refused(records.restricted_list(spark, str(tmp_path / "a.json"))).orderBy("name").collect()] == ["가", "다"]
+
+    flags = t.StructType([t.StructField("http_only", t.BooleanType()), t.StructField("www_required", t.BooleanType())])
+    boards = spark.createDataFrame([("A", "https://h/l", None), ("B", "http://h/l", (True, False)), ("C", "http://h/l", (False, False)), ("D", "https://www.h/l", (False, True)), ("E", "https://h/l", (False, True)), ("A", "https://h/l", None)],
+                                   t.StructType([t.StructField("key", t.StringType()), t.StructField("list_url", t.StringType()), t.StructField("flags", flags)]))
+    told = records.with_faults(boards.withColumn("faults", F.array().cast("array<string>")), records.flag_rules(), unique="key")
+    got = {r["key"]: r["faults"] for r in told.collect()}
+    assert got == {"A": ["not unique"], "B": [], "C": ["flags against scheme"], "D": [], "E": ["flags against host"]}
+    assert records.by_key(boards, " b ").count() == 1
