@@ -18,7 +18,6 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -28,8 +27,8 @@ from pyspark.sql import functions as F
 
 from seatflow.llm.common import lean
 
-#: Words, pieces and pairs that a worker remembers at most, in two generations each.
-MEMORY = 800_000
+#: What a worker remembers at most, in two generations: words after a space, words at a line's start, prefixes, pairs.
+WORDS, FIRST_WORDS, PREFIXES, PAIRS = 300_000, 50_000, 500_000, 300_000
 #: Bytes of a piece whose prefixes are remembered for others too; a longer one has a table of its own.
 SHORT = 64
 #: The pattern of the public tokenizers. It takes a space along with what follows, or by itself; and a line feed by itself.
@@ -41,12 +40,12 @@ _CODERS: dict[tuple, BytePairs] = {}
 class Remembered(dict):
     """Results by key; what wasn't asked for in the last half of the memory is forgotten."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):  # noqa: ANN001, ANN204
-        if 2 * len(self) >= MEMORY:
+        if 2 * len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         found = self.old.get(key)
@@ -64,16 +63,12 @@ class BytePairs:
         self.bytes_of = {i: token for token, i in ranks.items()}
         self.cuts_at_spaces = pattern in CUTS_AT_SPACES
         self.longest = max(map(len, ranks), default=0)
-        self._fits = Remembered(self._fit)
+        self._fits = Remembered(self._fit, PAIRS)
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._tails = {token[k:] for token in ranks for k in range(len(token))}  # all that tokens end with
-        self._prefixes = Remembered(self._prefix)
+        self._prefixes = Remembered(self._prefix, PREFIXES)
         self.length_of = {i: len(token) for token, i in ranks.items()}
-        self._automaton = ahocorasick.Automaton()
-        for token, i in ranks.items():
-            self._automaton.add_word(token.decode("latin-1"), i)
-        self._automaton.make_automaton()
-        self._first, self._next = Remembered(self._ids), Remembered(lambda word: self._ids(" " + word))
+        self._first, self._next = Remembered(self._ids, FIRST_WORDS), Remembered(lambda word: self._ids(" " + word), WORDS)
 
     def merged(self, data: bytes, parts_left: int = 1) -> list[bytes]:
         """Merges by lowest rank, leftmost first, down to so many parts; used on one token's bytes only."""
@@ -157,16 +152,10 @@ class BytePairs:
         return tuple(reversed(out))
 
     def last_tokens(self, data: bytes) -> list[int]:
-        """last[i] is the token that ends data[:i]; an automaton tells the tokens that end at each byte."""
-        last, fits, length = [-1], self._fits, self.length_of
-        for end, token in self._automaton.iter(data.decode("latin-1")):
-            if len(last) != end + 1:
-                continue  # this prefix has its token already
-            start = end + 1 - length[token]
-            if fits[last[start] << 32 | token] if start else self.whole(token):
-                last.append(token)
-        if len(last) != len(data) + 1:
-            raise ValueError("a byte has no token in this vocabulary")
+        """last[i] is the token that ends data[:i]."""
+        last = [-1]
+        for end in range(1, len(data) + 1):
+            last.append(self.last_token(data, end, last))
         return last
 
     def read_back(self, last: list[int]) -> tuple[int, ...]:
