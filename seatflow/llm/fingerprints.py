@@ -39,25 +39,26 @@ def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     The last document's next is the first. Texts move once, into ranges of (id, text), as many as their
     bytes need; within a range each row meets the one after it. The last row of a range then meets the first
     row of the next range that has any, by a join on the ranges' numbers. Rows that share an id follow
-    each other by text; a null id comes last, and null texts are empty. One row is its own next; an empty
-    table gives an empty result.
+    each other by the hash of their text, then by text; a null id comes last, and null texts are empty. One
+    row is its own next; an empty table gives an empty result.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID))
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), key.alias("place"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    digests = names[2:5]  # kept as bytes until the end
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
     size = frame.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(LEAST_PARTS, -(-size // PART_BYTES))
-    order = [F.desc("place"), F.col("text")]
-    ranged = frame.repartitionByRange(int(parts), *order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
+    order = [F.desc("place"), F.xxhash64("text")]  # no text: the ranges are found from a sample of these on the driver
+    ranged = frame.repartitionByRange(int(parts), *order).sortWithinPartitions(*order, "text").select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def pair(doc_id, text: str, mark: str, after: str, after_mark: str) -> tuple:  # noqa: ANN001
         changed = edited(text, after)
         mark2 = mark if changed == text else fingerprint(changed)
-        sha = hashlib.sha256(changed.encode("utf-8")).hexdigest()
-        return doc_id, len(text), sha, mark, mark2, likeness(mark, mark2), likeness(mark, after_mark)
+        sha = hashlib.sha256(changed.encode("utf-8")).digest()
+        return doc_id, len(text), sha, bytes.fromhex(mark), bytes.fromhex(mark2), likeness(mark, mark2), likeness(mark, after_mark)
 
     def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -82,4 +83,5 @@ def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             rows = [pair(i, t, fingerprint(t), a, fingerprint(a)) for i, t, a in zip(batch["doc_id"], batch["text"], batch["after"])]
             yield pd.DataFrame(rows, columns=names)
 
-    return told.where("end is null").select(*names).unionByName(ends.mapInPandas(across, schema))
+    out = told.where("end is null").select(*names).unionByName(ends.mapInPandas(across, schema))
+    return out.select(*[F.lower(F.hex(c)).alias(c) if c in digests else c for c in names])
