@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatflow.llm import bpe, fingerprints, language, media, mixing, pages, quality, simhash, substring, suffixes
+from seatflow.llm import bpe, fingerprints, language, lines, media, mixing, pages, quality, simhash, substring, suffixes
 from seatflow.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -72,6 +72,11 @@ def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", sha256("kept").alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +85,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_fingerprints, op2_substring_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_byte_bpe, op6_simhash_near_dedup,
-    op7_quality_classifier, op8_mixing, op9_matroska_media, op10_backoff_automaton, pipeline,
+    op7_quality_classifier, op8_mixing, op9_matroska_media, op10_backoff_automaton, op11_line_dedup, pipeline,
 )}
 
 ORACLE_SQL = {
@@ -127,4 +132,13 @@ ORACLE_SQL = {
         drawn AS (SELECT *, CAST(greatest(0, least(3, floor(place * each + shift) - floor((place - 1) * each + shift))) AS INTEGER) AS copies FROM mixed)
         SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, size * copies AS taken, copies FROM drawn
     """,
+    "op11_line_dedup": r"""
+        WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+        lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM split),
+        keyed AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+        held AS (SELECT key, count(DISTINCT doc_id) AS n, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key),
+        marked AS (SELECT keyed.doc_id, pos, line, coalesce(n >= 2 AND keyed.doc_id > first, false) AS gone FROM keyed LEFT JOIN held USING (key))
+        SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+            sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256 FROM marked GROUP BY doc_id
+    """,
 }
