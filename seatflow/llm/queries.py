@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatflow.llm import bpe, fingerprints, language, lines, media, mixing, pages, quality, simhash, substring, suffixes
+from seatflow.llm import bpe, fingerprints, language, lines, media, merkle, mixing, pages, quality, simhash, substring, suffixes
 from seatflow.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -77,6 +77,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", sha256("kept").alias("kept_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0) & F.col("text").isNotNull()
+    offered = F.when(tampered, merkle.leaf_of(*[F.translate("text", lines.UPPER, lines.LOWER) if c == "text" else F.col(c) for c in merkle.FIELDS]))
+    out = merkle.manifest(docs.withColumn("offered", offered), keep=["offered"])
+    out = out.withColumn("folded_root", merkle.folded(F.coalesce("offered", "leaf"), "siblings", "shape"))
+    proof = F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256)
+    return out.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,10 +95,51 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_fingerprints, op2_substring_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_byte_bpe, op6_simhash_near_dedup,
-    op7_quality_classifier, op8_mixing, op9_matroska_media, op10_backoff_automaton, op11_line_dedup, pipeline,
+    op7_quality_classifier, op8_mixing, op9_matroska_media, op10_backoff_automaton, op11_line_dedup, op13_merkle_manifest, pipeline,
 )}
 
+
+def _tree_sql(tree: str, levels: int) -> list[str]:
+    """Runs of 16 and what they become, level by level, from {tree}_0 (s, pos, d, n)."""
+    out = []
+    for i in range(levels):
+        out.append(f"""{tree}_runs_{i} AS (SELECT s, pos // 16 AS run, list(d ORDER BY pos) AS ds, max(n) AS n FROM {tree}_{i} GROUP BY s, pos // 16)""")
+        out.append(f"""{tree}_{i + 1} AS (SELECT s, run AS pos, CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d, (n + 15) // 16 AS n FROM {tree}_runs_{i})""")
+    return out
+
+
+def _path_sql(path: str, tree: str, levels: int) -> list[str]:
+    """From {path}_0 (place, s, pos, proof, leaf) up the tree: siblings are added to the proof, and the leaf is folded."""
+    out = []
+    for i in range(levels):
+        left, right = "array_to_string(ds[1 : pos % 16], '')", "array_to_string(ds[pos % 16 + 2 : 16], '')"
+        out.append(f"""{path}_{i + 1} AS (SELECT place, s, pos // 16 AS pos, CASE WHEN n = 1 THEN proof ELSE proof || {left} || {right} END AS proof,
+            CASE WHEN n = 1 THEN leaf ELSE sha256({left} || leaf || {right}) END AS leaf FROM {path}_{i} JOIN {tree}_runs_{i} USING (s) WHERE {tree}_runs_{i}.run = pos // 16)""")
+    return out
+
+
+#: Levels of 16 that the SQL below has: over documents of a source, and over sources.
+_DOCUMENT_LEVELS, _SOURCE_LEVELS = 5, 3
+_LEAF = "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+#: CRC-32 of an id's digits, bit by bit.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda c, x: CASE WHEN xor(c, x) % 2 = 1 THEN xor(xor(c, x) >> 1, 3988292384::BIGINT) ELSE xor(c, x) >> 1 END), 4294967295::BIGINT)"""
+_MERKLE = ",\n".join([
+    f"""WITH leaves AS (SELECT doc_id, coalesce('s' || source, '') AS s, {_LEAF.format(text="text")} AS leaf, {_CRC} % 5 = 0 AS tampered,
+        {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS other FROM documents)""",
+    "placed AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, row_number() OVER () AS place, count(*) OVER (PARTITION BY s) AS n FROM leaves)",
+    "doc_0 AS (SELECT s, pos, leaf AS d, n FROM placed)", *_tree_sql("doc", _DOCUMENT_LEVELS),
+    f"subroots AS (SELECT s AS name, d AS subroot FROM doc_{_DOCUMENT_LEVELS})",
+    "src_0 AS (SELECT '' AS s, row_number() OVER (ORDER BY name) - 1 AS pos, subroot AS d, count(*) OVER () AS n, name FROM subroots)", *_tree_sql("src", _SOURCE_LEVELS),
+    "up_0 AS (SELECT place, s, pos, '' AS proof, CASE WHEN coalesce(tampered, false) THEN other ELSE leaf END AS leaf FROM placed)", *_path_sql("up", "doc", _DOCUMENT_LEVELS),
+    f"on_0 AS (SELECT place, src_0.s, src_0.pos, proof, leaf FROM up_{_DOCUMENT_LEVELS} AS up JOIN src_0 ON src_0.name = up.s)", *_path_sql("on", "src", _SOURCE_LEVELS),
+]) + f"""
+    SELECT doc_id, placed.leaf AS leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, folded.leaf AS folded_root, folded.leaf = root.d AS verified
+    FROM placed JOIN on_{_SOURCE_LEVELS} AS folded USING (place) JOIN subroots ON subroots.name = placed.s CROSS JOIN src_{_SOURCE_LEVELS} AS root
+"""
+
 ORACLE_SQL = {
+    "op13_merkle_manifest": _MERKLE,
     "op2_substring_dedup": r"""
         WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
         starts AS (SELECT doc_id, words, unnest(range(len(words) - 49)) AS p FROM docs WHERE len(words) >= 50),
