@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatflow.llm import bpe, fingerprints, language, lines, media, merkle, mixing, pages, quality, simhash, substring, suffixes
+from seatflow.llm import bpe, collocations, fingerprints, language, lines, media, merkle, mixing, pages, quality, simhash, substring, suffixes
 from seatflow.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -77,6 +77,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", sha256("kept").alias("kept_sha256"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0) & F.col("text").isNotNull()
@@ -95,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_fingerprints, op2_substring_dedup, op3_html_extraction, op4_suffix_array_dedup, op5_byte_bpe, op6_simhash_near_dedup,
-    op7_quality_classifier, op8_mixing, op9_matroska_media, op10_backoff_automaton, op11_line_dedup, op13_merkle_manifest, pipeline,
+    op7_quality_classifier, op8_mixing, op9_matroska_media, op10_backoff_automaton, op11_line_dedup, op12_phrase_collocations, op13_merkle_manifest, pipeline,
 )}
 
 
@@ -192,4 +196,25 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
             sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256 FROM marked GROUP BY doc_id
     """,
+    "op12_phrase_collocations": r"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        lists AS (SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+        places AS (SELECT piece, lang, unnest(words) AS w, unnest(range(len(words))) AS p FROM lists),
+        next AS (SELECT lang, w, lead(w, 1) OVER (PARTITION BY piece ORDER BY p) AS v, lead(w, 2) OVER (PARTITION BY piece ORDER BY p) AS u FROM places),
+        grams AS (SELECT lang, w AS phrase, 1 AS k FROM next UNION ALL SELECT lang, w || ' ' || v, 2 FROM next UNION ALL SELECT lang, w || ' ' || v || ' ' || u, 3 FROM next),
+        counts AS (SELECT lang, phrase, k, count(*) AS f FROM grams WHERE phrase IS NOT NULL GROUP BY lang, phrase, k HAVING count(*) >= 10),
+        totals AS (SELECT lang, count(*) AS n FROM next GROUP BY lang),
+        candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+        cuts AS (SELECT lang, phrase, a, 1 AS cut, w[1] AS first, array_to_string(w[2:3], ' ') AS rest FROM candidates
+            UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE k = 3),
+        lefts AS (SELECT cuts.*, f AS l FROM cuts JOIN counts ON counts.lang = cuts.lang AND counts.phrase = first),
+        scores AS (SELECT lefts.*, f AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * f) AS score FROM lefts JOIN counts ON counts.lang = lefts.lang AND counts.phrase = rest),
+        least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM scores),
+        longer AS (SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a AS f FROM candidates WHERE k = 3),
+        longest AS (SELECT lang, phrase, max(f) AS f FROM longer GROUP BY lang, phrase),
+        kept AS (SELECT least.* FROM least LEFT JOIN longest ON least.lang = longest.lang AND least.phrase = longest.phrase
+            WHERE nth = 1 AND (longest.f IS NULL OR 100 * longest.f < 50 * a)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
