@@ -5,12 +5,13 @@ Words are maximal runs of bytes other than space and 0x09-0x0D in the UTF-8 text
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import re
 import tempfile
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,9 +87,9 @@ def dropped(*tables: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def row_tag(text: Column) -> Column:
-    """24 bits of the text's hash, above 40 bits for a position. With the id it tells apart rows that share an id."""
-    return F.shiftleft(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(0xFFFFFF), 40)
+def row_mark(text: Column) -> Column:
+    """128 bits of the text's SHA-256. With the id it tells apart rows that share an id; rows equal in both are alike."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
 def held_out(doc_id: Column, remainder: int) -> Column:
@@ -129,9 +130,9 @@ def byte_codes(seed: int) -> np.ndarray:
 
 
 CODES = byte_codes(1)
-#: The low bytes of eight that a part of a word fills, by its length.
+#: The low bytes of eight that a word fills, by its length.
 LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
-#: Words longer than this are hashed one by one.
+#: Words longer than this aren't remembered.
 LONG_WORD = 256
 
 
@@ -148,23 +149,30 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word in an array of bytes: eight bytes at a time are mixed in, after the word's length."""
+    """A 64-bit hash of each word in an array of bytes."""
     return span_word_hashes(data, *word_spans(data))
 
 
+def _long_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+_remembered_hash = functools.lru_cache(1 << 16)(_long_hash)
+
+
 def span_word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the words that lie between these starts and ends."""
+    """Hashes of the words that lie between these starts and ends.
+
+    Words of up to seven bytes never collide: their bytes and their length are one number, mixed by a
+    bijection. Longer ones are hashed by BLAKE2, so no one can choose words that do.
+    """
     lengths = ends - starts
-    out = mixed(lengths.astype(np.uint64) + np.uint64(_MULTIPLIER))
     eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
-    on, at = np.flatnonzero(lengths <= LONG_WORD), 0
-    while len(on):
-        part = eight[starts[on] + at] & LOW[np.minimum(lengths[on] - at, 8)]
-        out[on] = mixed((out[on] ^ part) * np.uint64(_MULTIPLIER))
-        at += 8
-        on = on[lengths[on] > at]
-    for i in np.flatnonzero(lengths > LONG_WORD):
-        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    out = mixed((eight[starts] & LOW[np.minimum(lengths, 8)]) | lengths.astype(np.uint64) << np.uint64(56))
+    long = np.flatnonzero(lengths > 7)
+    raw = data.tobytes()
+    spans = zip(starts[long].tolist(), ends[long].tolist())
+    out[long] = np.array([(_remembered_hash if b - a <= LONG_WORD else _long_hash)(raw[a:b]) for a, b in spans], np.uint64)
     return out
 
 

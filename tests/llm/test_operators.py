@@ -14,6 +14,7 @@ import tiktoken
 import xxhash
 
 from seatflow.llm import bpe, components, fingerprints, language, matroska, media, minhash, mixing, quality, simhash, substring, suffixes
+from seatflow.llm.common import word_hashes
 from seatflow.llm.queries import VOCABULARY
 from seatflow.llm.trees import boosted, classified, walk
 
@@ -549,3 +550,40 @@ def test_language_tells_texts_that_occur_twice_apart(spark):
     learned = collections.Counter(t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1)
     twice, once = [i for i, t in rows if learned[t] >= 2], [i for i in range(40, 300)]
     assert len(twice) > 60 and min(gain[i] for i in twice) > max(gain[i] for i in once)
+
+
+# --- chosen words and texts -----------------------------------------------------------------
+
+
+def test_words_chosen_to_collide_are_told_apart(spark):
+    """Pairs that a hash of eight bytes at a time, or of the bytes without the length, can't tell apart."""
+    one, other = "zxdmytanabcdefgh", "qncbnrmmph/w0s`^"
+    rows = [(i, one) for i in range(1, 10)] + [(100, other)]
+    got = {r["doc_id"]: r for r in language.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    learned = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = collections.Counter(w for t in learned for w in (t, None))
+    room = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    for i, text in rows:
+        assert got[i]["base_score"] == pytest.approx(sum(math.log10((counts[w] + 0.5) / room) for w in (text, None)))
+    assert round(got[1]["base_score"], 4) == -0.7390 and round(got[100]["base_score"], 4) == -1.3033
+    assert minhash.likeness(minhash.fingerprint(one), minhash.fingerprint(other)) < 0.1
+    hashes = word_hashes(np.frombuffer(" ".join(f"{'a' * n}\0" for n in range(300)).encode() + " ".join(f"{'a' * n}" for n in range(1, 300)).encode(), np.uint8))
+    assert len(set(hashes.tolist())) == len(hashes)
+
+
+@pytest.mark.parametrize("operator", ["op2", "op4"])
+def test_rows_of_one_id_are_told_apart_by_whole_texts(spark, operator):
+    """Texts with the same low 24 bits of a 64-bit hash: what one loses the other must not."""
+    seen, pair = {}, None
+    for k in range(100_000):
+        text = " ".join(f"{k}x{j}" for j in range(70))
+        low = xxhash.xxh64_intdigest(text.encode(), 42) & 0xFFFFFF
+        if low in seen:
+            pair = seen[low], text
+            break
+        seen[low] = text
+    a, b = pair
+    rows = spark.createDataFrame([(7, a), (7, b), (3, a)], "doc_id long, text string")
+    run = substring.without_repeats if operator == "op2" else suffixes.without_repeats
+    left = {(r["doc_id"], r["text"]): r["kept"] for r in run(rows).collect()}
+    assert len(left[7, a]) == 0 and left[7, b] in (b, b.encode())
