@@ -6,12 +6,14 @@ anchors, so the estimate is never below the number of documents that hold the wi
 document adds one key for about 18 windows. The second pass groups only windows whose anchor is
 estimated to repeat; none that repeats is lost.
 
-It groups in two steps. Windows of one anchor in a row are a run. Runs are grouped first, by the
-BLAKE2 digest (128 bits) of all their words: where an earlier document has the same run, all its
-windows repeat. The windows of each run's first document are then grouped one by one, by their own
-digests; the first document of a window is always the first of the run that holds it there, so none
-is missed. Copies and the inside of common passages so cost a row a run. Both groupings are stored
-before rows are joined to them, so that Spark can split the rows of a passage that many documents have.
+It groups in three steps, each by BLAKE2 digests (128 bits) of all words. Windows of one anchor in a row
+are a run. Runs are grouped first: where an earlier document has the same run, all its windows repeat. Other
+runs are cut into pieces, at windows whose first gram has a hash that five divides, so that texts which differ
+nearby are cut alike; pieces are grouped in the same way, and the windows of those left one by one. The first
+document of a window is always the first of the run and of the piece that holds it there, so none is
+missed. Copies and common passages so cost a row a run, and what stands beside an edit a row a piece. Each
+grouping is stored before rows are joined to it, so that Spark can split the rows of a passage that many
+documents have.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import WORD, dropped, mixed, row_tag, run_hashes, sliding_min, stored, word_hashes
+from seatflow.llm.common import WORD, dropped, mixed, row_mark, run_hashes, sliding_min, stored, word_hashes
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WINDOW, GRAM = 50, 16
+#: Windows to a piece, about.
+PIECE = 5
 #: Bytes of a digest.
 DIGEST = 16
 
@@ -37,23 +41,47 @@ def _words(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8"), np.uint8)
 
 
-def _anchors(words: np.ndarray, window: int) -> np.ndarray:
-    """The anchor of each window, from the words' hashes."""
-    gram = min(GRAM, window)
-    return sliding_min(mixed(run_hashes(words, gram)), window - gram + 1)
+def _grams(words: np.ndarray, window: int) -> np.ndarray:
+    """A hash of each gram, from the words' hashes."""
+    return mixed(run_hashes(words, min(GRAM, window)))
+
+
+def _anchors(grams: np.ndarray, window: int) -> np.ndarray:
+    """The anchor of each window."""
+    return sliding_min(grams, window - min(GRAM, window) + 1)
+
+
+def _split(anchor: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of windows begin, and where pieces do; each run begins a piece."""
+    if not len(anchor):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+    return np.flatnonzero(new), np.flatnonzero(new | (grams[: len(anchor)] % np.uint64(PIECE) == 0))
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Adds to rows of (digest, doc_id) whether an earlier document has that digest; stored."""
+    firsts = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
+    told = rows.join(firsts, "digest", "left").withColumn("earlier", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
+    out = stored(told.select("doc_id", "mark", "at", "n", "earlier", *[F.when(~F.col("earlier"), F.col(c)).alias(c) for c in ("starts", "pieces", "windows") if c in rows.columns]))
+    dropped(firsts)
+    return out
+
+
+def _digest(raw: memoryview) -> bytes:
+    return hashlib.blake2b(raw, digest_size=DIGEST).digest()
 
 
 def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tag, n): n windows in a row whose words also start in a document of a smaller id.
+    """(doc_id, mark, at, n): from window `at`, n windows in a row whose words also start in a document of a smaller id.
 
-    tag holds the first start in its low 40 bits and 24 bits of the text's hash above. Null ids neither
-    lose words nor count as smaller.
+    mark is 128 bits of the text's hash. Null ids neither lose words nor count as smaller.
     """
     frame = documents.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def anchors(part: pd.DataFrame) -> Iterator[np.ndarray]:
         for text in part["text"]:
-            found = _anchors(word_hashes(_words(text)), window)
+            found = _anchors(_grams(word_hashes(_words(text)), window), window)
             if len(found):
                 yield np.unique(found)
 
@@ -61,45 +89,52 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
     bits = repeated_bits(frame.select("text"), anchors, width_for(bytes_in / 100))  # about 18 words of 6 bytes a key
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blake = hashlib.blake2b
         for batch in batches:
-            texts, tags = batch.column(1).to_pylist(), batch.column(2).to_numpy()
-            owner, run, tag, n, windows = [], [], [], [], []
-            for i, text in enumerate(texts):
-                data = _words(text)
-                anchor = _anchors(word_hashes(data), window)
-                begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.empty(0, np.int64)
+            owner, out = [], {k: [] for k in ("digest", "at", "n", "starts", "pieces", "windows")}
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                grams = _grams(word_hashes(_words(text)), window)
+                anchor = _anchors(grams, window)
+                begins, pieces = _split(anchor, grams)
                 kept = repeated(bits.value, anchor[begins])
                 if not kept.any():
                     continue
-                lengths = np.diff(np.append(begins, len(anchor)))[kept].tolist()
-                begins = begins[kept].tolist()
                 words = text.encode("utf-8").split()
                 joined = memoryview(b" ".join(words))
-                at = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]  # where each word begins
-                for first, many in zip(begins, lengths):
-                    run.append(blake(joined[at[first] : at[first + many + window - 1] - 1], digest_size=DIGEST).digest())
-                    windows.append(b"".join([blake(joined[at[k] : at[k + window] - 1], digest_size=DIGEST).digest() for k in range(first, first + many)]))
-                owner += [i] * len(begins)
-                tag.append(tags[i] + np.array(begins))
-                n += lengths
+                place = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]  # where each word begins
+                ends = np.append(begins, len(anchor))[1:]
+                cuts = np.searchsorted(pieces, np.append(begins, len(anchor))).tolist()
+                for k in np.flatnonzero(kept).tolist():
+                    first, end, inside = int(begins[k]), int(ends[k]), [*pieces[cuts[k] : cuts[k + 1]].tolist(), int(ends[k])]
+                    out["digest"].append(_digest(joined[place[first] : place[end + window - 1] - 1]))
+                    out["at"].append(first)
+                    out["n"].append(end - first)
+                    out["starts"].append([x - first for x in inside])
+                    out["pieces"].append(b"".join([_digest(joined[place[a] : place[b + window - 1] - 1]) for a, b in zip(inside[:-1], inside[1:])]) if len(inside) > 2 else out["digest"][-1])
+                    out["windows"].append(b"".join([_digest(joined[place[a] : place[a + window] - 1]) for a in range(first, end)]))
+                owner += [i] * int(kept.sum())
             if owner:
-                columns = [pa.array(run, pa.binary()), batch.column(0).take(pa.array(owner)), pa.array(np.concatenate(tag).astype(np.int64)), pa.array(n, pa.int64()), pa.array(windows, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["run", "doc_id", "tag", "n", "windows"])
+                ids, marks = batch.column(0).take(pa.array(owner)), batch.column(2).take(pa.array(owner))
+                kinds = {"digest": pa.binary(), "at": pa.int64(), "n": pa.int64(), "starts": pa.list_(pa.int32()), "pieces": pa.binary(), "windows": pa.binary()}
+                yield pa.RecordBatch.from_arrays([ids, marks, *[pa.array(out[k], kind) for k, kind in kinds.items()]], ["doc_id", "mark", *kinds])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    rows = stored(frame.withColumn("tag", row_tag(F.col("text"))).mapInArrow(runs, f"run binary, doc_id {kind}, tag long, n long, windows binary"))
-    firsts = stored(rows.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
-    told = rows.join(firsts, "run", "left").withColumn("earlier", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
-    told = stored(told.select("doc_id", "tag", "n", "earlier", F.when(~F.col("earlier"), F.col("windows")).alias("windows")))
-    dropped(rows, firsts)
-    whole = told.where("earlier").select("doc_id", "tag", "n")
-
-    each = told.where("not earlier").select("doc_id", "tag", F.posexplode(F.expr(f"transform(sequence(0, cast(n as int) - 1), i -> substring(windows, i * {DIGEST} + 1, {DIGEST}))")).alias("at", "window"))
-    each = each.select("window", "doc_id", (F.col("tag") + F.col("at")).alias("tag"))
-    firsts = stored(each.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
-    single = each.join(firsts, "window").where("doc_id > first").select("doc_id", "tag", F.lit(1).cast("long").alias("n"))
-    return whole.unionAll(single)
+    schema = f"doc_id {kind}, mark binary, digest binary, at long, n long, starts array<int>, pieces binary, windows binary"
+    rows = stored(frame.withColumn("mark", row_mark(F.col("text"))).mapInArrow(runs, schema))
+    by_run = _judged(rows)
+    dropped(rows)
+
+    # pieces of the runs left, and windows of the pieces left
+    each = by_run.where("not earlier").select("*", F.explode(F.sequence(F.lit(1), F.size("starts") - 1)).alias("i"))
+    each = each.withColumns({"begin": F.expr("starts[i - 1]"), "many": F.expr("starts[i] - starts[i - 1]")})
+    each = each.select("doc_id", "mark", (F.col("at") + F.col("begin")).alias("at"), F.col("many").cast("long").alias("n"),
+        F.expr(f"substring(pieces, (i - 1) * {DIGEST} + 1, {DIGEST})").alias("digest"), F.expr(f"substring(windows, begin * {DIGEST} + 1, many * {DIGEST})").alias("windows"))
+    by_piece = _judged(each)
+    each = by_piece.where("not earlier").select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    each = each.select("doc_id", "mark", (F.col("at") + F.col("i")).alias("at"), F.lit(1).cast("long").alias("n"), F.expr(f"substring(windows, cast(i as int) * {DIGEST} + 1, {DIGEST})").alias("digest"))
+    firsts = stored(each.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
+    single = each.join(firsts, "digest").where("doc_id > first")
+    found = [x.select("doc_id", "mark", "at", "n") for x in (by_run.where("earlier"), by_piece.where("earlier"), single)]
+    return found[0].unionAll(found[1]).unionAll(found[2])
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,10 +146,10 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "d
     """
     names = documents.columns
     starts = repeated_windows(documents, window, id_col, text_col)
-    starts = starts.select("doc_id", F.expr("tag & ~1099511627775L").alias("mark"), F.struct(F.expr("tag & 1099511627775L").alias("at"), "n").alias("at"))
+    starts = starts.select("doc_id", "mark", F.struct("at", "n").alias("at"))
     # per document, so a list is never longer than a text
     starts = starts.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("at").alias("_at"))
-    rows = documents.withColumn("_row", F.struct(*names)).select("_row", F.col(id_col).alias("_own"), row_tag(F.col(text_col)).alias("_tag"))
+    rows = documents.withColumn("_row", F.struct(*names)).select("_row", F.col(id_col).alias("_own"), row_mark(F.col(text_col)).alias("_tag"))
     rows = rows.join(starts, (F.col("_own") == F.col("_id")) & (F.col("_tag") == F.col("_mark")), "left").select("_row", "_at")
 
     @F.pandas_udf("n_words long, n_removed long, kept string")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import CODES, mixed, row_tag, run_hashes, sliding_min, stored
+from seatflow.llm.common import CODES, mixed, row_mark, run_hashes, sliding_min, stored
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WIDTH, GRAM = 200, 32
@@ -160,9 +160,9 @@ def repeated_strings(contexts: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, tag, spans array<array<long>>): per run of strings with one anchor, the covered bytes in the document.
+    """(doc_id, mark, at, spans array<array<long>>): per run of strings with one anchor, the bytes covered, from byte `at` of the document on.
 
-    tag tells rows of one id apart by their text; rows that are equal in both are listed together.
+    mark (128 bits of the text's hash) tells rows of one id apart; rows that are equal in both are listed together.
     """
     kind = documents.schema[id_col].dataType.simpleString()
     frame = documents.where(F.octet_length(text_col) >= width).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -173,23 +173,23 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_
 
     bits = repeated_bits(frame.select("text"), anchors, width_for(text_bytes(frame) / 80))
 
-    names = ["anchor", "m", "context", "doc_id", "tag"]
+    names = ["anchor", "m", "context", "doc_id", "mark", "at"]
 
     def contexts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out: list[tuple] = []
-            for doc_id, text, tag in zip(part["doc_id"], part["text"], part["tag"]):
+            for doc_id, text, mark in zip(part["doc_id"], part["text"], part["mark"]):
                 data, anchor, first, last = _contexts(text, width)
                 raw = data.tobytes()
                 for i in np.flatnonzero(repeated(bits.value, anchor)):
                     context = raw[first[i] : last[i] + width]
-                    out.append((int(anchor[i].view(np.int64)), _digest(context), context, doc_id, int(tag + first[i])))
+                    out.append((int(anchor[i].view(np.int64)), _digest(context), context, doc_id, mark, int(first[i])))
                 if len(out) >= 20_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             yield pd.DataFrame(out, columns=names)
 
-    found = frame.withColumn("tag", row_tag(F.col("text"))).mapInPandas(contexts, f"anchor long, m binary, context binary, doc_id {kind}, tag long")
+    found = frame.withColumn("mark", row_mark(F.col("text"))).mapInPandas(contexts, f"anchor long, m binary, context binary, doc_id {kind}, mark binary, at long")
     found = stored(found)
     buckets = stored(found.groupBy("anchor", "m").agg(F.first("context").alias("context"), F.count("*").alias("count")))
     hot = stored(buckets.groupBy("anchor").agg(F.sum(F.length("context")).alias("n")).where(F.col("n") > block_bytes).select("anchor"))
@@ -227,7 +227,7 @@ def repeated_spans(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_
 
     spans = buckets.mapInPandas(blocks, "anchor long, m binary, spans array<array<long>>")
     spans = stored(spans.unionByName(plain))
-    return found.select("anchor", "m", "doc_id", "tag").join(spans, ["anchor", "m"]).select("doc_id", "tag", "spans")
+    return found.select("anchor", "m", "doc_id", "mark", "at").join(spans, ["anchor", "m"]).select("doc_id", "mark", "at", "spans")
 
 
 def without_repeats(documents: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -241,9 +241,9 @@ def without_repeats(documents: DataFrame, width: int = WIDTH, id_col: str = "doc
     added = ("n_bytes", "spans", "kept")
     names = [x for x in documents.columns if x not in added]
     spans = repeated_spans(documents, width, id_col, text_col, block_bytes)
-    spans = spans.select("doc_id", F.expr("tag & ~1099511627775L").alias("mark"), F.expr("transform(spans, s -> transform(s, x -> x + (tag & 1099511627775L)))").alias("spans"))
+    spans = spans.select("doc_id", "mark", F.expr("transform(spans, s -> transform(s, x -> x + at))").alias("spans"))
     spans = spans.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.flatten(F.collect_list("spans")).alias("_spans"))
-    rows = documents.withColumn("_row", F.struct(*names)).select("_row", F.col(id_col).alias("_own"), row_tag(F.col(text_col)).alias("_tag"))
+    rows = documents.withColumn("_row", F.struct(*names)).select("_row", F.col(id_col).alias("_own"), row_mark(F.col(text_col)).alias("_tag"))
     rows = rows.join(spans, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_mark")), "left").select("_row", "_spans")
 
     @F.pandas_udf("n_bytes long, spans array<array<long>>, kept binary")
