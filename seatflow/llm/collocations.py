@@ -277,5 +277,8 @@ def collocations(documents: DataFrame, least: int = LEAST_COUNT, most: int = MOS
     """
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     out = scored(frequent_phrases(documents, least, most, lang_col, text_col), share)
+    # the first of each of 64 shares of a language, so that the last sort holds 64 * top rows of one at most
+    share_of = Window.partitionBy("lang", "share").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    out = out.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(64))).withColumn("rank", F.row_number().over(share_of)).where(F.col("rank") <= top)
     out = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
