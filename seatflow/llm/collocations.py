@@ -31,7 +31,7 @@ from seatflow.llm.sketch import text_bytes
 
 LEAST_COUNT, MOST_WORDS, TOP, SHARE = 10, 3, 2000, 50
 #: Bytes of text to a block and to a part of the keys.
-BLOCK_BYTES, PART_BYTES = 4_000_000, 3_000_000
+BLOCK_BYTES, PART_BYTES = 2_000_000, 2_000_000
 LEAST_PARTS = 12
 #: Capacity of a summary, times mass / threshold.
 SPARE = 2
