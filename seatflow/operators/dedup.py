@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from seatflow.functions import text as T
 from seatflow.functions.dates import months_before
-from seatflow.operators.graph import components
+from seatflow.operators.graph import checkpointed, components
 
 SEAT = ["church", "region", "role_key"]
 ROUND = [*SEAT, "round"]
@@ -163,16 +163,18 @@ def _named_alike(boxes: DataFrame) -> DataFrame:
 def variant_edges(members: DataFrame) -> DataFrame:
     """(a, b): pairs of seats whose names and roles agree or vary, that share a mailbox and whose places don't clash.
 
-    Seats meet by equality on (region, mailbox), which a pair must share, so names are compared only there.
+    Seats meet by equality on (region, mailbox), which a pair must share, so names are compared only there. Seats and
+    pairs are checkpointed once, so that no later step plans or runs the joins under them again.
     """
     seat = F.struct(*SEAT)
-    boxes = members.select(F.explode("mailboxes").alias("box"), *SEAT).distinct()
+    boxes = checkpointed(members.select(F.explode("mailboxes").alias("box"), *SEAT).distinct())
     roles = (F.col("a.role_key") == F.col("b.role_key")) | role_variant(F.col("a.role_key"), F.col("b.role_key"))
-    pairs = _named_alike(boxes).where(roles).distinct()
+    pairs = checkpointed(_named_alike(boxes).where(roles).distinct())
     places = members.select(seat.alias("seat"), T.place(F.col("city")).alias("c"), T.place(F.col("address")).alias("r")).where("c <> '' and r <> ''").distinct()
     # of a pair all places must fit each other: those of both seats are one group
     spots = pairs.join(places, F.col("a") == F.col("seat")).select("a", "b", "c", "r").unionByName(pairs.join(places, F.col("b") == F.col("seat")).select("a", "b", "c", "r"))
-    fit = same_place(spots.select("a", "b", F.col("c").alias("city"), F.col("r").alias("address")), ["a", "b"])
+    spots = checkpointed(spots.select("a", "b", F.col("c").alias("city"), F.col("r").alias("address")))
+    fit = same_place(spots, ["a", "b"])
     return pairs.join(fit.where("not same").select("a", "b"), ["a", "b"], "left_anti")
 
 
@@ -248,12 +250,13 @@ def planned(drafts: DataFrame, today: Column) -> DataFrame:
     Rows that an operator owns get labels only, and anchors nothing. The pass neither depends on the
     order of rows nor, applied again to its own result, changes anything.
     """
-    members = with_merged_seats(judged(with_seat(drafts)))
+    members = with_merged_seats(checkpointed(judged(with_seat(drafts))))
     members = with_department(with_rounds(still_open(members, today).where("open")))
-    members = members.withColumn("slot", F.when(F.col("held"), "*").otherwise(F.col("slot")))  # a held round is held whole
+    members = checkpointed(members.withColumn("slot", F.when(F.col("held"), "*").otherwise(F.col("slot"))))  # a held round is held whole
     group = [*ROUND, "slot"]
     facts = mailbox_clash(members.where("not held"), group).where("clash").join(same_place(members, group), group, "left")
     members = members.join(facts, group, "left").withColumn("held", F.col("held") | (F.coalesce(F.col("clash"), F.lit(False)) & F.col("same").isNull()))
+    members = checkpointed(members)
     apart = F.coalesce(F.col("clash") & ~F.col("same") & ~F.col("held"), F.lit(False))
     split = split_by_place(members.where(apart).drop("clash", "same"), group)
     rest = members.where(~apart).drop("clash", "same").withColumn("cluster", F.lit(0))

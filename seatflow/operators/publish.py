@@ -5,7 +5,7 @@ Every step reads the same snapshot of drafts and jobs and returns frames of chan
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatflow.functions.dates import visible
@@ -13,6 +13,8 @@ from seatflow.functions.dates import visible
 REQUIRED = ["church_name", "title", "region"]
 CONTACTS = ["contact_email", "contact_phone", "contact_link", "contact_post"]
 BULK_SHARE, BULK_LEAST = 0.3, 3
+#: Listed postings that a sweep must find alive on each board.
+CONTROLS = 2
 
 
 def anchors(jobs: DataFrame, ours: DataFrame, today: Column) -> DataFrame:
@@ -84,23 +86,61 @@ def probed(body: Column) -> Column:
     return out.otherwise("unknown")
 
 
-def gone(targets: DataFrame, listing: DataFrame, details: DataFrame) -> DataFrame:
-    """Per target a ``verdict``: listed, gone, or held where its board fails a guard.
+def missing(targets: DataFrame, listing: DataFrame, boards: DataFrame) -> DataFrame:
+    """Per target whether it is ``listed``, and the ``guard`` that its board fails, if any.
 
-    A target that isn't listed is gone, unless its board listed nothing, more than 30 % and more than
-    three of the board's targets would go, or a listed row's detail is dead (so the check itself is broken).
+    boards: (source_key, check), check being `page` or `interface`: how one posting can be asked after, null if it can't.
+    A target that isn't listed is a candidate and no more. Guards in this order: no second check, bulk (more than 30 %
+    and more than three of the board's targets are missing), nothing listed.
     """
     key = ["source_key", "external_id"]
     listed = listing.select(*key).distinct().withColumn("_listed", F.lit(True))
-    out = targets.join(listed, key, "left").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
-    boards = out.groupBy("source_key").agg(F.count("*").alias("n"), F.count_if(~F.col("_listed")).alias("missing"))
-    shown = listing.groupBy("source_key").agg(F.count("*").alias("n_listed"))
-    dead = details.where(~F.col("alive")).join(listed.select(*key), key, "left_semi").groupBy("source_key").agg(F.count("*").alias("n_dead"))
-    boards = boards.join(shown, "source_key", "left").join(dead, "source_key", "left")
-    bulk = (F.col("missing") > BULK_LEAST) & (F.col("missing") > BULK_SHARE * F.col("n"))
-    boards = boards.withColumn("guard", F.when(F.col("n_listed").isNull(), "nothing listed").when(F.col("n_dead") > 0, "listed rows are dead").when(bulk, "bulk"))
-    out = out.join(boards.select("source_key", "guard"), "source_key", "left")
-    return out.withColumn("verdict", F.when(F.col("_listed"), "listed").when(F.col("guard").isNull(), "gone").otherwise("held")).drop("_listed")
+    out = targets.join(listed, key, "left").withColumn("listed", F.coalesce("_listed", F.lit(False))).drop("_listed")
+    sums = out.groupBy("source_key").agg(F.count("*").alias("n"), F.count_if(~F.col("listed")).alias("lost"))
+    sums = sums.join(boards.select("source_key", "check"), "source_key", "left").join(listing.groupBy("source_key").agg(F.count("*").alias("shown")), "source_key", "left")
+    bulk = (F.col("lost") > BULK_LEAST) & (F.col("lost") > BULK_SHARE * F.col("n"))
+    guard = F.when(F.col("check").isNull(), "no second check").when(bulk, "bulk").when(F.col("shown").isNull(), "nothing listed")
+    return out.join(sums.select("source_key", "check", guard.alias("guard")), "source_key")
+
+
+def page_verdict(check: Column, answer: Column) -> Column:
+    """alive, gone or unknown of one posting by its own page or its interface's code; what was never asked after is unknown.
+
+    answer: a struct of text, images, attachments, error and body, null if there is none. A page that can't be read is gone, which
+    holds only where pages known to be there can be read (see gone_sweep); an interface that can't be read tells nothing.
+    """
+    shown = detail_alive(answer["text"], answer["images"], answer["attachments"], answer["error"])
+    by_page = F.when(shown, "alive").otherwise("gone")
+    by_code = F.when(answer["error"].isNull(), probed(answer["body"])).otherwise("unknown")
+    return F.when(answer.isNull(), "unknown").when(check == "page", by_page).when(check == "interface", by_code).otherwise("unknown")
+
+
+def controls(listing: DataFrame) -> DataFrame:
+    """The first rows of each board's first page, by position: postings that were just seen to be there."""
+    order = Window.partitionBy("source_key").orderBy("pos", "external_id")
+    first = listing.where("page = 1").select("source_key", "external_id", F.row_number().over(order).alias("nth"))
+    return first.where(F.col("nth") <= CONTROLS).select("source_key", "external_id").distinct()
+
+
+def gone_sweep(targets: DataFrame, listing: DataFrame, boards: DataFrame, pages: DataFrame) -> DataFrame:
+    """Per target a ``verdict`` and the ``guard`` that held its board: listed, alive, gone, unknown, or held.
+
+    pages: (source_key, external_id, text, images, attachments, error, body) as read for this sweep, one row a posting. Of a
+    candidate its own page or interface decides, once the board's first two listed postings are asked in the same way and are
+    alive: they are there by definition, so if they seem gone, the board has changed and no candidate of it is judged.
+    Boards that fail a guard are held whole but for what is listed; a posting that is gone is found another day.
+    """
+    key = ["source_key", "external_id"]
+    answers = pages.select(*key, F.struct("text", "images", "attachments", "error", "body").alias("answer")).dropDuplicates(key)
+    out = missing(targets, listing, boards)
+    seen = controls(listing).join(boards.select("source_key", "check"), "source_key").join(answers, key, "left")
+    seen = seen.groupBy("source_key").agg(F.count_if(page_verdict(F.col("check"), F.col("answer")) != "alive").alias("dead"))
+    out = out.join(seen, "source_key", "left").join(answers, key, "left")
+    control = F.when(F.col("dead").isNull(), "no control").when(F.col("dead") > 0, "a control isn't alive")
+    lost = out.groupBy("source_key").agg(F.count_if(~F.col("listed")).alias("lost"))  # a board without candidates asks no one
+    out = out.join(lost, "source_key").withColumn("guard", F.when(F.col("lost") > 0, F.coalesce("guard", control)).otherwise(F.when(F.col("guard") == "no second check", F.col("guard"))))
+    verdict = F.when(F.col("listed"), "listed").when(F.col("guard").isNotNull(), "held").otherwise(page_verdict(F.col("check"), F.col("answer")))
+    return out.select(*targets.columns, verdict.alias("verdict"), "guard")
 
 
 def marked_gone(drafts: DataFrame, found: DataFrame, at: Column) -> DataFrame:

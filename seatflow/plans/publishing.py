@@ -55,16 +55,44 @@ def expired_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.expired(table(spark, sf_dir, "job"), _ours(spark, sf_dir), day(TODAY))
 
 
-@query("""WITH targets AS (SELECT id, source_key, external_id FROM {raw} WHERE posted_on >= DATE '1998-01-01'),
-    listed AS (SELECT DISTINCT source_key, external_id FROM {listing} WHERE id % 25 <> 0 AND NOT (source_key LIKE 'LOW%' AND id % 2 = 0) AND source_key NOT LIKE '%_7'),
+# targets of a sweep, what its list pages show, boards by how a posting can be asked after, and the answers of postings' own pages
+_SWEEP = """targets AS (SELECT id, source_key, external_id FROM {raw} WHERE posted_on >= DATE '1998-01-01'),
+    shown AS (SELECT source_key, external_id, page, pos FROM {listing} WHERE id % 25 <> 0 AND NOT (source_key LIKE 'LOW%' AND id % 2 = 0) AND source_key NOT LIKE '%_7'),
+    listed AS (SELECT DISTINCT source_key, external_id FROM shown),
+    boards AS (SELECT DISTINCT source_key, CASE WHEN source_key LIKE '%_13' THEN NULL WHEN source_key LIKE '%5' THEN 'interface' ELSE 'page' END AS check_by FROM {raw}),
     t AS (SELECT targets.*, l.source_key IS NOT NULL AS listed FROM targets LEFT JOIN listed l ON targets.source_key = l.source_key AND targets.external_id = l.external_id),
-    b AS (SELECT source_key, count(*) AS n, count(*) FILTER (WHERE NOT listed) AS missing FROM t GROUP BY source_key),
-    g AS (SELECT b.source_key, CASE WHEN b.source_key NOT IN (SELECT source_key FROM listed) THEN 'nothing listed'
-        WHEN b.source_key IN (SELECT l.source_key FROM listed l JOIN {raw} r ON l.source_key = r.source_key AND l.external_id = r.external_id WHERE r.id % 4001 = 1) THEN 'listed rows are dead'
-        WHEN missing > 3 AND missing > 0.3 * n THEN 'bulk' END AS guard FROM b)
-    SELECT id, guard, CASE WHEN listed THEN 'listed' WHEN guard IS NULL THEN 'gone' ELSE 'held' END AS verdict FROM t JOIN g USING (source_key)""")
-def gone_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b AS (SELECT source_key, count(*) AS n, count(*) FILTER (WHERE NOT listed) AS lost FROM t GROUP BY source_key),
+    guards AS (SELECT b.source_key, check_by, lost, CASE WHEN check_by IS NULL THEN 'no second check' WHEN lost > 3 AND lost > 0.3 * n THEN 'bulk'
+        WHEN b.source_key NOT IN (SELECT source_key FROM listed) THEN 'nothing listed' END AS guard FROM b JOIN boards ON b.source_key = boards.source_key)"""
+_ANSWERS = """SELECT source_key, external_id, CASE WHEN id % 50 < 25 THEN '' WHEN id % 4 = 0 THEN ' ' ELSE title END AS text,
+    CASE WHEN id % 100 = 25 OR id % 50 <> 0 AND id % 3 > 0 THEN array('a.png') ELSE array() END AS images, CASE WHEN id % 200 = 50 THEN array('a.pdf') END AS attachments,
+    CASE WHEN id % 250 = 75 THEN 'timeout' END AS error, CASE WHEN id % 100 = 75 THEN concat(chr(123), '"code": 42004', chr(125)) WHEN id % 400 = 0 THEN 'not json' ELSE concat(chr(123), '"code": "10000"', chr(125)) END AS body FROM {raw} WHERE id % 1000 <> 500"""
+
+
+def _sweep(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     raw = table(spark, sf_dir, "raw")
     listing = table(spark, sf_dir, "listing").where("id % 25 <> 0 and not (source_key like 'LOW%' and id % 2 = 0) and source_key not like '%_7'")
-    details = raw.select("source_key", "external_id", (F.col("id") % 4001 != 1).alias("alive"))
-    return publish.gone(raw.where("posted_on >= date '1998-01-01'").select("id", "source_key", "external_id"), listing, details).select("id", "guard", "verdict")
+    check = F.when(F.col("source_key").like("%_13"), None).when(F.col("source_key").like("%5"), "interface").otherwise("page")
+    return raw.where("posted_on >= date '1998-01-01'").select("id", "source_key", "external_id"), listing, raw.select("source_key").distinct().withColumn("check", check)
+
+
+@query(f"""WITH {_SWEEP} SELECT id, listed, guard FROM t JOIN guards ON t.source_key = guards.source_key""")
+def gone_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.missing(*_sweep(spark, sf_dir)).select("id", "listed", "guard")
+
+
+@query(f"""WITH {_SWEEP}, answers AS (SELECT source_key, external_id, text, len(images) AS images, coalesce(len(attachments), 0) AS attachments, error, body FROM
+        ({_ANSWERS.replace("array('a.png')", "['a.png']").replace("array('a.pdf')", "['a.pdf']").replace("array()", "[]")}) a),
+    told AS (SELECT answers.source_key, external_id, CASE WHEN check_by = 'page' THEN CASE WHEN error IS NULL AND (trim(text) <> '' OR images > 0 OR attachments > 0) THEN 'alive' ELSE 'gone' END
+        WHEN error IS NOT NULL THEN 'unknown' WHEN body LIKE '%42004%' THEN 'gone' WHEN body LIKE '%10000%' THEN 'alive' ELSE 'unknown' END AS said FROM answers JOIN boards ON answers.source_key = boards.source_key),
+    nth AS (SELECT source_key, external_id, row_number() OVER (PARTITION BY source_key ORDER BY pos, external_id) AS n FROM shown WHERE page = 1),
+    seen AS (SELECT nth.source_key, count(*) FILTER (WHERE coalesce(said, 'unknown') <> 'alive') AS dead FROM (SELECT DISTINCT source_key, external_id FROM nth WHERE n <= 2) nth
+        LEFT JOIN told ON nth.source_key = told.source_key AND nth.external_id = told.external_id GROUP BY nth.source_key),
+    held AS (SELECT guards.source_key, CASE WHEN guard = 'no second check' THEN guard WHEN lost = 0 THEN NULL WHEN guard IS NOT NULL THEN guard WHEN dead IS NULL THEN 'no control' WHEN dead > 0 THEN 'a control isn''t alive' END AS guard
+        FROM guards LEFT JOIN seen ON guards.source_key = seen.source_key)
+    SELECT id, guard, CASE WHEN listed THEN 'listed' WHEN guard IS NOT NULL THEN 'held' ELSE coalesce(said, 'unknown') END AS verdict
+    FROM t JOIN held ON t.source_key = held.source_key LEFT JOIN told ON t.source_key = told.source_key AND t.external_id = told.external_id""")
+def gone_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets, listing, boards = _sweep(spark, sf_dir)
+    pages = spark.sql(_ANSWERS, raw=table(spark, sf_dir, "raw"))
+    return publish.gone_sweep(targets, listing, boards, pages).select("id", "guard", "verdict")

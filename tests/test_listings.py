@@ -186,18 +186,58 @@ def test_crowded_mailboxes_find_the_same_pairs(spark, monkeypatch):
     assert found[0] == found[1] and len(found[0]) > 20
 
 
+PAGE = "source_key string, external_id string, text string, images array<string>, attachments array<string>, error string, body string"
+
+
+def swept(spark, targets, listing, boards, pages):
+    frames = [
+        spark.createDataFrame([(i, b, str(i)) for i, b in targets], "id long, source_key string, external_id string"),
+        spark.createDataFrame([(b, str(i), page, pos) for b, i, page, pos in listing], "source_key string, external_id string, page int, pos int"),
+        spark.createDataFrame(boards, "source_key string, check string"),
+        spark.createDataFrame([(b, str(i), *answer) for b, i, *answer in pages], PAGE),
+    ]
+    return publish.gone_sweep(*frames)
+
+
+ALIVE, EMPTY, TIMEOUT = ("text", None, None, None, None), ("  ", [], None, None, None), (None, None, None, "timeout", None)
+
+
+def test_gone_by_the_postings_own_page(spark):
+    """Ten of twelve are listed; of the two candidates one lives on its own page, whatever the list says."""
+    listing = [("A", i, 1, i) for i in range(10)]
+    controls = [("A", 0, *ALIVE), ("A", 1, None, ["poster.png"], None, None, None)]
+    for answer, want in ((ALIVE, "alive"), (EMPTY, "gone"), (TIMEOUT, "gone"), ((None, None, ["a.hwp"], None, None), "alive"), (("", ["x"], None, None, None), "alive")):
+        got = {r["id"]: (r["verdict"], r["guard"]) for r in swept(spark, [(i, "A") for i in range(12)], listing, [("A", "page")], [*controls, ("A", 10, *answer)]).collect()}
+        assert got == {**{i: ("listed", None) for i in range(10)}, 10: (want, None), 11: ("unknown", None)}
+
+
+def test_gone_by_an_interface(spark):
+    coded = lambda code, error=None: (None, None, None, error, f'{{"code": "{code}"}}')
+    listing = [("A", i, 1, i) for i in range(10)]
+    pages = [("A", 0, *coded(10000)), ("A", 1, *coded(10000)), ("A", 10, *coded(42004)), ("A", 11, *coded(10000)), ("A", 12, *coded(42004, "timeout"))]
+    got = {r["id"]: r["verdict"] for r in swept(spark, [(i, "A") for i in range(13)], listing, [("A", "interface")], pages).collect()}
+    assert [got[i] for i in (9, 10, 11, 12)] == ["listed", "gone", "alive", "unknown"]
+
+
 def test_gone_guards(spark):
-    targets = spark.createDataFrame([(i, "A" if i < 20 else "B", str(i)) for i in range(24)] + [(99, "C", "1")], "id long, source_key string, external_id string")
-    listing = spark.createDataFrame([("A", str(i)) for i in range(18)] + [("B", "77")], "source_key string, external_id string")
-    details = spark.createDataFrame([("A", "0", True)], "source_key string, external_id string, alive boolean")
-    got = {r["id"]: (r["verdict"], r["guard"]) for r in publish.gone(targets, listing, details).collect()}
-    assert got[3] == ("listed", None) and got[18] == ("gone", None) and got[21] == ("held", "bulk") and got[99] == ("held", "nothing listed")
-    dead = spark.createDataFrame([("A", "0", False)], "source_key string, external_id string, alive boolean")
-    found = publish.gone(targets, listing, dead)
-    assert found.where("id = 18").first()["guard"] == "listed rows are dead"
-    rows = spark.createDataFrame([(18, None), (19, D(2026, 1, 1))], "id long, gone_at date")
-    marked = publish.marked_gone(rows, publish.gone(targets, listing, details), F.lit(TODAY).cast("date"))
-    assert {r["id"]: r["gone_at"] for r in marked.collect()} == {18: D(2026, 6, 1), 19: D(2026, 1, 1)}
+    """A is judged; B loses too many, C lists nothing, D's control is dead, E can't ask, F has nothing to look for."""
+    ids = {"A": range(20), "B": range(30, 44), "C": [50], "D": range(60, 70), "E": range(80, 90), "F": range(90, 93)}
+    kept = {"A": 18, "B": 9, "C": 0, "D": 9, "E": 9, "F": 3}
+    listing = [(b, i, 1, n) for b, x in ids.items() for n, i in enumerate(list(x)[: kept[b]])]
+    boards = [(b, None if b == "E" else "page") for b in ids]
+    pages = [(b, i, *(EMPTY if (b, i) in (("D", 61), ("A", 18), ("A", 19), ("F", 90)) else ALIVE)) for b, x in ids.items() for i in x]
+    found = swept(spark, [(i, b) for b, x in ids.items() for i in x], listing, boards, pages)
+    got = {r["id"]: (r["verdict"], r["guard"]) for r in found.collect()}
+    assert got[3] == ("listed", None) and got[18] == got[19] == ("gone", None)
+    assert got[43] == ("held", "bulk") and got[50] == ("held", "nothing listed") and got[69] == ("held", "a control isn't alive") and got[89] == ("held", "no second check")
+    assert got[90] == ("listed", None)  # no candidate, so no control is asked
+    # a control beyond the first two, or on a later page, decides nothing
+    later = [(b, i, 2 if i == 61 else p, n) for b, i, p, n in listing]
+    got = {r["id"]: r["verdict"] for r in swept(spark, [(i, b) for b, x in ids.items() for i in x], later, boards, pages).collect()}
+    assert got[69] == "alive"
+    rows = spark.createDataFrame([(18, None), (19, D(2026, 1, 1)), (3, None), (50, None)], "id long, gone_at date")
+    marked = publish.marked_gone(rows, found, F.lit(TODAY).cast("date"))
+    assert {r["id"]: r["gone_at"] for r in marked.collect()} == {18: D(2026, 6, 1), 19: D(2026, 1, 1), 3: None, 50: None}
 
 
 def test_store(spark, tmp_path):
