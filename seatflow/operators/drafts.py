@@ -141,32 +141,6 @@ def screened(drafts: DataFrame, reference: DataFrame) -> DataFrame:
     return out.withColumn("screen", F.when(F.col("match").isNotNull(), F.when(cleared, "cleared").when(conclusive, "conclusive").otherwise("review")))
 
 
-def alias_matches(text: Column, aliases: list[tuple[str, str]]) -> Column:
-    """array<struct<alias, key>>: dictionary words in a text, but for those within another that matched.
-
-    Latin words are matched between non-letters, others anywhere, both in lower case without white space.
-    """
-    bare = F.lower(squeeze(text))
-    table = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(k).alias("key"), F.lit(a.isascii()).alias("latin")) for a, k in aliases])
-    latin = lambda a: F.regexp_like(bare, F.concat(F.lit("(?<![a-z])"), a, F.lit("(?![a-z])")))
-    found = F.filter(table, lambda x: F.when(x["latin"], latin(x["alias"])).otherwise(F.contains(bare, x["alias"])))
-    alone = F.filter(found, lambda x: ~F.exists(found, lambda y: (x["alias"] != y["alias"]) & F.contains(y["alias"], x["alias"])))
-    return F.transform(alone, lambda x: F.struct(x["alias"].alias("alias"), x["key"].alias("key")))
-
-
-def confirmed(stated: Column, lines: Column, aliases: list[tuple[str, str]], requirement: list[str], own: str) -> Column:
-    """struct<key, alias>: the one key that a stated value means, if a source line bears it out.
-
-    A sentence, no match, or several keys give null; so does a word that stands only in lines of
-    requirements, unless such a line speaks of the writer's own. Without any source line it is taken as stated.
-    """
-    found = F.when(~squeeze(stated).rlike(r"니다|\."), alias_matches(stated, aliases))
-    one = F.size(F.array_distinct(F.transform(found, lambda x: x["key"]))) == 1
-    asks = lambda s: s.rlike("|".join(requirement)) & ~s.rlike(own)
-    borne = F.filter(found, lambda x: F.exists(lines, lambda s: F.contains(F.lower(squeeze(s)), x["alias"]) & ~asks(squeeze(s))))
-    return F.when(one, F.when(F.size(borne) > 0, F.get(borne, F.lit(0))).when(F.size(lines) == 0, F.element_at(found, -1)))
-
-
 def screen_evidence(entry: Column, ruled_by: Column, field: Column, region: Column) -> Column:
     """What is told to the reviewer, in four parts."""
     return F.concat_ws(" · ", entry, ruled_by, field, F.coalesce(region, F.lit("지역 미상")))

@@ -13,11 +13,23 @@ from seatflow.functions import html as H
 from seatflow.functions import text as T
 from seatflow.functions import urls as U
 from seatflow.functions.names import senior_pastor_of
-from seatflow.operators import answers, drafts, media, store
+from seatflow.operators import answers, denominations, drafts, media, store
 from seatflow.plans.registry import VIEWS, query, table
 from seatflow.vocab import DEPARTMENT, canonical
 
+_WORDS = [w for listed in denominations.WORDS.values() for w in listed]
+_WORD = lambda n: f"CASE {n} % {len(_WORDS)} " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(_WORDS)) + " END"
+
 VIEWS |= {
+    "stated_word": f"""
+        SELECT o_orderkey AS id, {_WORD("o_orderkey")} AS one, {_WORD("(o_orderkey * 7 + o_custkey)")} AS two, o_custkey AS c FROM {{orders}}""",
+    # values of a board's denomination field, texts and other fields of the posting
+    "stated": """
+        SELECT id, CASE c % 7 WHEN 0 THEN one WHEN 1 THEN concat('대한예수교 장로회 (', one, ')') WHEN 2 THEN concat(one, ' ', two) WHEN 3 THEN concat(one, ' 교단입니다') WHEN 4 THEN concat('x', upper(one), ' ', one)
+                WHEN 5 THEN concat('Kx', one, 'x') END AS stated,
+            CASE id % 9 WHEN 0 THEN ' ' WHEN 1 THEN concat('소속 ', upper(one), chr(10), 'x') WHEN 2 THEN concat(one, ' 신대원 졸업') WHEN 3 THEN concat('본 교단(', one, ') 신대원 졸업') WHEN 4 THEN concat('PCKWORLD a', one, 'b')
+                WHEN 5 THEN concat(two, ' 신학대학원', chr(10), one) WHEN 6 THEN concat(one, ' 자격', chr(10), two, chr(10), '학력') WHEN 7 THEN NULL ELSE '없음' END AS text,
+            CASE c % 4 WHEN 0 THEN two WHEN 1 THEN concat(one, ' 인준') WHEN 2 THEN '기타' END AS field FROM {stated_word}""",
     "phrase": """
         SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS posted_on,
             CASE o_orderkey % 12 WHEN 0 THEN concat('월 ', CAST(o_orderkey % 280 + 5 AS STRING), '만원') WHEN 1 THEN concat('연봉 ', CAST(3000 + o_orderkey % 1500 AS STRING), '만원')
@@ -128,8 +140,26 @@ def senior_pastor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "phrase").select("id", senior_pastor_of(F.col("body"), F.lit(None).cast("string")).alias("pastor"))
 
 
-ALIASES = [("합동신학", "HAPSIN"), ("백석대신", "BAEKSEOK"), ("백석", "BAEKSEOK"), ("예장합동", "HAPDONG"), ("합동", "HAPDONG"), ("통합", "TONGHAP"), ("고신", "GOSIN"), ("독립", "ETC"), ("대신", "ETC"), ("gapck", "HAPDONG"), ("pck", "TONGHAP")]
-REQUIREMENT, OWN = ["신대원", "신학대학원", "졸업", "재학", "자격", "학력", "인준"], "본교단"
+
+
+_KEYS = ", ".join(f"('{w}', '{k}', {_WORDS.index(w)})" for k, listed in denominations.WORDS.items() for w in listed)
+_HAS = lambda text, w: f"CASE WHEN regexp_matches({w}, '^[a-z]+$') THEN regexp_matches({text}, '(^|[^a-z])' || {w} || '([^a-z]|$)') ELSE contains({text}, {w}) END"
+
+
+@query(f"""WITH words(word, key, place) AS (SELECT * FROM (VALUES {_KEYS}) v), bare AS (SELECT id, lower(replace(coalesce(stated, ''), ' ', '')) AS s, text, field FROM {{stated}}),
+    met AS (SELECT id, word, key, place FROM bare, words WHERE NOT regexp_matches(s, '니다|[.]') AND {_HAS("s", "word")}),
+    alone AS (SELECT * FROM met x WHERE NOT EXISTS (SELECT 1 FROM met y WHERE y.id = x.id AND y.word <> x.word AND contains(y.word, x.word))),
+    single AS (SELECT id FROM alone GROUP BY id HAVING count(DISTINCT key) = 1),
+    lines AS (SELECT id, lower(replace(unnest(string_split(text, chr(10))), ' ', '')) AS line FROM bare WHERE text IS NOT NULL UNION ALL SELECT id, lower(replace(field, ' ', '')) FROM bare WHERE field IS NOT NULL),
+    borne AS (SELECT DISTINCT alone.id, word FROM alone JOIN lines ON alone.id = lines.id WHERE {_HAS("line", "word")} AND (NOT regexp_matches(line, '신대원|신학대학원|졸업|재학|자격|학력|인준') OR contains(line, '본교단'))),
+    told AS (SELECT alone.id, max(key) AS key, arg_min(alone.word, place) FILTER (WHERE borne.word IS NOT NULL) AS first, arg_max(alone.word, place) AS last
+        FROM alone JOIN single ON alone.id = single.id LEFT JOIN borne ON borne.id = alone.id AND borne.word = alone.word GROUP BY alone.id),
+    best AS (SELECT bare.id, key, CASE WHEN first IS NOT NULL THEN first WHEN trim(coalesce(text, '')) = '' THEN last END AS word FROM bare LEFT JOIN told ON bare.id = told.id)
+    SELECT id, CASE WHEN word IS NULL THEN 'UNKNOWN' ELSE key END AS key, CASE WHEN word IS NULL THEN 'unknown' ELSE 'stated' END AS source, word FROM best""")
+def denomination_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the dictionary, alone, beside and within each other, against texts, requirements and fields."""
+    fields = F.when(F.col("field").isNotNull(), F.array("field"))
+    return table(spark, sf_dir, "stated").select("id", denominations.confirmed(F.col("stated"), F.col("text"), fields).alias("d")).select("id", "d.*")
 
 
 @query("""WITH w AS (SELECT id, lower(replace(coalesce(source_line, ''), ' ', '')) AS line, source_line, CASE denomination WHEN '예장합동' THEN '예장합동' WHEN '대한예수교장로회 (백석대신)' THEN '백석대신' WHEN 'PCK' THEN 'pck' END AS alias, denomination FROM {phrase}),
@@ -138,8 +168,8 @@ REQUIREMENT, OWN = ["신대원", "신학대학원", "졸업", "재학", "자격"
     asks AS (SELECT *, line <> '' AND alias <> '?' AND contains(line, alias) AND NOT (regexp_matches(line, '신대원|졸업') AND NOT contains(line, '본교단')) AS borne FROM m)
     SELECT id, CASE WHEN max(alias) = '?' THEN NULL WHEN bool_or(borne) THEN arg_min(alias, o) FILTER (WHERE borne) WHEN max(source_line) IS NULL THEN arg_max(alias, o) END AS alias FROM asks GROUP BY id""")
 def denomination_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = F.when(F.col("source_line").isNotNull(), F.array("source_line")).otherwise(F.array().cast("array<string>"))
-    return table(spark, sf_dir, "phrase").select("id", drafts.confirmed(F.col("denomination"), lines, ALIASES, REQUIREMENT, OWN)["alias"].alias("alias"))
+    said = denominations.confirmed(F.col("denomination"), F.col("source_line"), F.lit(None).cast("array<string>"))
+    return table(spark, sf_dir, "phrase").select("id", said["word"].alias("alias"))
 
 
 @query(r"""WITH listed AS (SELECT c_custkey AS entry, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN n_name END AS region, CASE WHEN c_custkey % 3 = 0 THEN '홍길동' END AS pastor FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey),
