@@ -44,6 +44,6 @@ def nfkc(text: Column) -> Column:
     one, several = tables()
     plain = F.translate(text, "".join(one), "".join(one.values()))
     # one entry is looked up at a time: its place in a string of all of them is its place in the list
-    names, forms = "".join(several), F.array(*map(F.lit, several.values()))
+    names, forms = "".join(several), F.split(F.lit("\n".join(several.values())), "\n")
     each = F.transform(F.split(plain, ""), lambda c: F.when(c.rlike(_classed()), F.get(forms, F.instr(F.lit(names), c) - 1)).otherwise(c))
     return F.when(plain.rlike(_classed()), F.array_join(each, "")).otherwise(plain)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatflow.operators import checks, schema
+from seatflow.operators import checks, schema, verify
 from seatflow.plans.registry import VIEWS, query, table
 
 #: The values of an answer's keys where they aren't null, as SQL for the text of a JSON value.
@@ -74,3 +74,38 @@ def verify_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at % len(names) + 1).cast("int"))
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), pick(_VALUES, F.col("o_orderkey")).alias("value"), pick(_EVIDENCE, F.col("o_custkey")).alias("e"), pick(_TITLES, F.col("o_custkey")).alias("t"))
     return rows.select("id", "value", checks.supports(F.col("value"), F.col("e"), F.col("t")).alias("supported"))
+
+
+VIEWS["held_answer"] = """
+    SELECT o_orderkey AS id, concat('church ', CAST(o_custkey AS STRING), ' road ', CAST(o_orderkey % 50 AS STRING), ' 청년부 전도사 모집 010-1234-', lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0'),
+            CASE WHEN o_orderkey % 4 = 0 THEN ' 사택' ELSE '' END, ' pay ', CAST(o_orderkey % 300 AS STRING)) AS text, '공고' AS title, o_orderkey % 10 = 0 AS media,
+        concat('church', CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS STRING)) AS church_name,
+        concat('010 1234 ', lpad(CAST(CASE WHEN o_orderkey % 5 = 0 THEN (o_orderkey + 1) % 10000 ELSE o_orderkey % 10000 END AS STRING), 4, '0'), ' (김영수)') AS contact_tel,
+        CASE o_orderkey % 3 WHEN 0 THEN 'YOUNG_ADULT' WHEN 1 THEN 'CHILDREN' END AS department, CASE WHEN o_orderkey % 2 = 0 THEN '청년 부' ELSE '아동부' END AS department_evidence,
+        CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 6 = 1 THEN '강도사' ELSE '전도사 모집' END AS item,
+        concat('pay ', CAST(CASE WHEN o_orderkey % 11 = 0 THEN 301 ELSE o_orderkey % 300 END AS STRING)) AS pay_amount, CAST(o_orderkey % 300 AS INT) AS pay_min,
+        o_orderkey % 8 < 5 AS housing_provided, CASE WHEN o_orderkey % 9 = 0 THEN '청년부' ELSE 'clerk' END AS role
+    FROM {orders}"""
+
+
+@query("""WITH bare AS (SELECT *, replace(text, ' ', '') AS b FROM {held_answer}),
+    told AS (SELECT *, contains(b, church_name) AS name_ok, contains(regexp_replace(translate(text, '공영일이삼사오육칠팔구', '00123456789'), '[^0-9]', '', 'g'), regexp_replace(contact_tel, '[^0-9]', '', 'g')) AS tel_ok,
+        department IS NULL OR department = 'YOUNG_ADULT' AND department_evidence = '청년 부' AS department_ok, coalesce(item = '전도사 모집', false) AS first_ok, contains(b, replace(pay_amount, ' ', '')) AS pay_ok,
+        NOT housing_provided OR contains(b, '사택') AS housing_ok FROM bare),
+    said AS (SELECT *, concat_ws(',', CASE WHEN NOT name_ok THEN 'church_name' END, CASE WHEN NOT tel_ok THEN 'contact_tel' END, CASE WHEN NOT first_ok THEN 'position' END, 'position', CASE WHEN NOT department_ok THEN 'department' END,
+        CASE WHEN NOT pay_ok THEN 'pay_amount' END, CASE WHEN NOT housing_ok THEN 'housing_provided' END) AS fields FROM told)
+    SELECT id, CASE WHEN name_ok OR media THEN church_name END AS church_name, CASE WHEN tel_ok OR media THEN contact_tel END AS contact_tel, CASE WHEN department_ok OR media THEN department END AS department,
+        CASE WHEN media THEN 'EVANGELIST+LICENSED_MINISTER' WHEN first_ok THEN 'EVANGELIST' ELSE '' END AS positions, CASE WHEN pay_ok OR media THEN pay_min END AS pay_min, pay_amount,
+        CASE WHEN housing_ok OR media THEN housing_provided END AS housing, CASE WHEN housing_ok OR media THEN 'note' END AS housing_note, CASE WHEN media THEN '' ELSE fields END AS dropped,
+        CASE WHEN media THEN len(string_split(fields, ',')) ELSE 0 END AS unverifiable, CASE WHEN role = 'clerk' THEN 1 END AS role_unchecked, CASE WHEN housing_ok OR media THEN 1 END AS note_unchecked FROM said""")
+def verify_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole answers against their postings: some values are right, some wrong, some of postings whose media were sent."""
+    rows = table(spark, sf_dir, "held_answer")
+    given = {"position": F.array(F.lit("EVANGELIST"), F.lit("LICENSED_MINISTER")), "position_items": F.array("item", F.lit("강도사")), "housing_note": F.lit("note")}
+    named = [f for f, _ in verify.TESTS] + [f"{f}_evidence" for f, test in verify.TESTS if test == "evidence"] + [x for along in verify.ALONG.values() for x in along] + verify.COUNTED
+    absent = {f: F.lit(None).cast("string") for f in named if f not in rows.columns and f not in given} | {f: F.lit(None).cast("array<string>") for f in verify.COUNTED_ITEMS}
+    none = F.lit(None)
+    parts = checks.haystack(F.col("text"), F.col("title"), none.cast("map<string,string>"), {"dept": "부서"}, none.cast("array<string>"))
+    out = verify.verified(rows.withColumns(given | absent), parts, F.col("title"), F.col("media"))
+    return out.select("id", "church_name", "contact_tel", "department", F.array_join("position", "+").alias("positions"), "pay_min", "pay_amount", F.col("housing_provided").alias("housing"), "housing_note",
+        F.array_join("dropped.field", ",").alias("dropped"), "unverifiable", F.col("unchecked")["role"].alias("role_unchecked"), F.col("unchecked")["housing_note"].alias("note_unchecked"))
