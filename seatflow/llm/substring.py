@@ -6,12 +6,12 @@ anchors, so the estimate is never below the number of documents that hold the wi
 document adds one key for about 18 windows. The second pass groups only windows whose anchor is
 estimated to repeat; none that repeats is lost.
 
-It groups in three steps, each by BLAKE2 digests (128 bits) of all words. Windows of one anchor in a row
-are a run. Runs are grouped first: where an earlier document has the same run, all its windows repeat. Other
-runs are cut into pieces, at windows whose first gram has a hash that five divides, so that texts which differ
-nearby are cut alike; pieces are grouped in the same way, and the windows of those left one by one. The first
-document of a window is always the first of the run and of the piece that holds it there, so none is
-missed. Copies and common passages so cost a row a run, and what stands beside an edit a row a piece. Each
+It groups by BLAKE2 digests (128 bits) of the windows' words. Windows of one anchor in a row are a run; its digest
+is that of its windows' digests. Runs are grouped first: where an earlier document has the same run, all its
+windows repeat. Other runs are cut into pieces, at windows whose own digest says so, thus alike in texts that differ
+nearby; pieces are grouped in the same way, those left cut finer, and the windows of those left one by one. The
+first document of a window is always the first of the run and of the pieces that hold it there, so none
+is missed. Copies and common passages so cost a row a run, and what stands beside an edit a row a piece. Each
 grouping is stored before rows are joined to it, so that Spark can split the rows of a passage that many
 documents have.
 """
@@ -31,8 +31,8 @@ from seatflow.llm.common import WORD, dropped, mixed, row_mark, run_hashes, slid
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WINDOW, GRAM = 50, 16
-#: Windows to a piece, about.
-PIECE = 5
+#: Windows to a piece, about, in one cut after the other; each divides the one before, so that cuts stay cuts.
+PIECES = (6, 2)
 #: Bytes of a digest.
 DIGEST = 16
 
@@ -51,25 +51,34 @@ def _anchors(grams: np.ndarray, window: int) -> np.ndarray:
     return sliding_min(grams, window - min(GRAM, window) + 1)
 
 
-def _split(anchor: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of windows begin, and where pieces do; each run begins a piece."""
-    if not len(anchor):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
-    return np.flatnonzero(new), np.flatnonzero(new | (grams[: len(anchor)] % np.uint64(PIECE) == 0))
+def _digest(raw: bytes | memoryview) -> bytes:
+    return hashlib.blake2b(raw, digest_size=DIGEST).digest()
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """(digest, first): digests of several documents, and the smallest id of these; stored."""
+    return stored(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
 
 
 def _judged(rows: DataFrame) -> DataFrame:
-    """Adds to rows of (digest, doc_id) whether an earlier document has that digest; stored."""
-    firsts = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
+    """Adds to rows of (digest, doc_id) whether an earlier document has that digest; stored. What is judged needs its windows no more."""
+    firsts = _firsts(rows)
     told = rows.join(firsts, "digest", "left").withColumn("earlier", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
-    out = stored(told.select("doc_id", "mark", "at", "n", "earlier", *[F.when(~F.col("earlier"), F.col(c)).alias(c) for c in ("starts", "pieces", "windows") if c in rows.columns]))
+    out = stored(told.select("doc_id", "mark", "at", "n", "earlier", F.when(~F.col("earlier"), F.col("windows")).alias("windows")))
     dropped(firsts)
     return out
 
 
-def _digest(raw: memoryview) -> bytes:
-    return hashlib.blake2b(raw, digest_size=DIGEST).digest()
+def _pieces(rows: DataFrame, every: int) -> DataFrame:
+    """Rows of windows cut into pieces: a window whose digest's first byte `every` divides begins one."""
+    byte = lambda i: F.conv(F.hex(F.substring("windows", i * DIGEST + 1, F.lit(1))), 16, 10).cast("int")
+    begins = F.filter(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda i: (i == 0) | (byte(i) % every == 0))
+    rows = rows.withColumn("begins", begins).withColumn("ends", F.concat(F.slice("begins", 2, F.size("begins")), F.array(F.col("n").cast("int"))))
+    each = rows.select("doc_id", "mark", "at", "windows", F.explode(F.arrays_zip("begins", "ends")).alias("cut"))
+    many = F.col("cut.ends") - F.col("cut.begins")
+    windows = F.substring("windows", F.col("cut.begins") * DIGEST + 1, many * DIGEST)
+    out = each.select("doc_id", "mark", (F.col("at") + F.col("cut.begins")).alias("at"), many.cast("long").alias("n"), windows.alias("windows"))
+    return out.withColumn("digest", F.when(F.col("n") == 1, F.col("windows")).otherwise(F.substring(F.unhex(F.sha2("windows", 256)), 1, DIGEST)))
 
 
 def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,11 +99,10 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, out = [], {k: [] for k in ("digest", "at", "n", "starts", "pieces", "windows")}
+            owner, out = [], {k: [] for k in ("digest", "at", "n", "windows")}
             for i, text in enumerate(batch.column(1).to_pylist()):
-                grams = _grams(word_hashes(_words(text)), window)
-                anchor = _anchors(grams, window)
-                begins, pieces = _split(anchor, grams)
+                anchor = _anchors(_grams(word_hashes(_words(text)), window), window)
+                begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.empty(0, np.int64)
                 kept = repeated(bits.value, anchor[begins])
                 if not kept.any():
                     continue
@@ -102,39 +110,29 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
                 joined = memoryview(b" ".join(words))
                 place = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]  # where each word begins
                 ends = np.append(begins, len(anchor))[1:]
-                cuts = np.searchsorted(pieces, np.append(begins, len(anchor))).tolist()
-                for k in np.flatnonzero(kept).tolist():
-                    first, end, inside = int(begins[k]), int(ends[k]), [*pieces[cuts[k] : cuts[k + 1]].tolist(), int(ends[k])]
-                    out["digest"].append(_digest(joined[place[first] : place[end + window - 1] - 1]))
+                for first, end in zip(begins[kept].tolist(), ends[kept].tolist()):
+                    out["windows"].append(b"".join([_digest(joined[place[a] : place[a + window] - 1]) for a in range(first, end)]))
+                    out["digest"].append(_digest(out["windows"][-1]))
                     out["at"].append(first)
                     out["n"].append(end - first)
-                    out["starts"].append([x - first for x in inside])
-                    out["pieces"].append(b"".join([_digest(joined[place[a] : place[b + window - 1] - 1]) for a, b in zip(inside[:-1], inside[1:])]) if len(inside) > 2 else out["digest"][-1])
-                    out["windows"].append(b"".join([_digest(joined[place[a] : place[a + window] - 1]) for a in range(first, end)]))
                 owner += [i] * int(kept.sum())
             if owner:
                 ids, marks = batch.column(0).take(pa.array(owner)), batch.column(2).take(pa.array(owner))
-                kinds = {"digest": pa.binary(), "at": pa.int64(), "n": pa.int64(), "starts": pa.list_(pa.int32()), "pieces": pa.binary(), "windows": pa.binary()}
+                kinds = {"digest": pa.binary(), "at": pa.int64(), "n": pa.int64(), "windows": pa.binary()}
                 yield pa.RecordBatch.from_arrays([ids, marks, *[pa.array(out[k], kind) for k, kind in kinds.items()]], ["doc_id", "mark", *kinds])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, mark binary, digest binary, at long, n long, starts array<int>, pieces binary, windows binary"
-    rows = stored(frame.withColumn("mark", row_mark(F.col("text"))).mapInArrow(runs, schema))
-    by_run = _judged(rows)
+    rows = stored(frame.withColumn("mark", row_mark(F.col("text"))).mapInArrow(runs, f"doc_id {kind}, mark binary, digest binary, at long, n long, windows binary"))
+    told = [_judged(rows)]
     dropped(rows)
-
-    # pieces of the runs left, and windows of the pieces left
-    each = by_run.where("not earlier").select("*", F.explode(F.sequence(F.lit(1), F.size("starts") - 1)).alias("i"))
-    each = each.withColumns({"begin": F.expr("starts[i - 1]"), "many": F.expr("starts[i] - starts[i - 1]")})
-    each = each.select("doc_id", "mark", (F.col("at") + F.col("begin")).alias("at"), F.col("many").cast("long").alias("n"),
-        F.expr(f"substring(pieces, (i - 1) * {DIGEST} + 1, {DIGEST})").alias("digest"), F.expr(f"substring(windows, begin * {DIGEST} + 1, many * {DIGEST})").alias("windows"))
-    by_piece = _judged(each)
-    each = by_piece.where("not earlier").select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    each = each.select("doc_id", "mark", (F.col("at") + F.col("i")).alias("at"), F.lit(1).cast("long").alias("n"), F.expr(f"substring(windows, cast(i as int) * {DIGEST} + 1, {DIGEST})").alias("digest"))
-    firsts = stored(each.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last"))
-    single = each.join(firsts, "digest").where("doc_id > first")
-    found = [x.select("doc_id", "mark", "at", "n") for x in (by_run.where("earlier"), by_piece.where("earlier"), single)]
-    return found[0].unionAll(found[1]).unionAll(found[2])
+    for every in PIECES:
+        told.append(_judged(_pieces(told[-1].where("not earlier"), every)))
+    each = _pieces(told[-1].where("not earlier"), 1)
+    found = [x.where("earlier") for x in told] + [each.join(_firsts(each), "digest").where("doc_id > first")]
+    out = found[0].select("doc_id", "mark", "at", "n")
+    for x in found[1:]:
+        out = out.unionAll(x.select("doc_id", "mark", "at", "n"))
+    return out
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
