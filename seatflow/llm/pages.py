@@ -1,12 +1,11 @@
 """HTML extraction: flat text blocks, classified by a decision tree on word counts and link density of neighbours.
 
 Block tags cut a page into a flat list of text blocks; inline tags and line breaks don't. Each block
-has its number of words, the share of them inside links, and the same of the block before and after. The
-tree learns from the small labelled table below and sees nothing else. Some kinds of blocks look alike by
-these numbers, such as paragraphs and readers' comments: the table has both, and their leaf is a tie.
-Ties go by the markup around the block, if it says anything: whether an element that encloses it is of
-the article kind, or of the furniture kind (by tag, role, class or id). Without such hints the leaf's
-majority decides.
+has its number of words, the share of them inside links, and the same of the block before and after. Paragraphs
+and readers' comments look alike by these numbers, so two more tell what the markup around the block
+says, if anything: whether an element that encloses it is of the article kind, or of the furniture kind (by
+tag, role, class or id). A tree learned from the small labelled table below decides on all blocks, by all
+of these; nothing overrules it.
 """
 
 from __future__ import annotations
@@ -73,26 +72,30 @@ LABELLED = """
     7+ 40+ 2+ 2/1+ 9/1+ 30+                     6+ 60+ 35/0.3+ 6/0.5+ 30+                   25- 1L 1L 6+ 50+ 70+ 10-
     9+ 30+ 2+ 3/1+                              8+ 1/1+                                     1L 1L 2L 3+
 """
-#: A leaf with so small a share of main text is no tie. No leaf is that sure of main text: readers' comments may look like any paragraph.
-SURE = 0.05
 
 
 def labelled_rows() -> tuple[np.ndarray, np.ndarray]:
-    """The labelled table as features and labels."""
+    """The labelled table as features and labels, in three markups: one that says nothing, furniture, and an article.
+
+    What stands in furniture isn't main text, whatever it looks like. What stands in an article is, but for lists of links.
+    """
     rows, labels = [], []
     for page in re.split(r"\s{2,}", LABELLED.strip()):
-        found = []
+        found, said = [], []
         for block in page.split():
             words, share = re.match(r"(\d+)(?:/([\d.]+))?", block).groups()
             linked = float(share or (block[-1] == "L"))
             found.append(Block("", int(words), round(int(words) * linked), 0, 0))
-            labels.append(float(block[-1] == "+"))
-        rows.append(features(found))
-    return np.concatenate(rows), np.array(labels)
+            said.append(block[-1])
+        text, links = np.array([x == "+" for x in said]), np.array([x == "L" for x in said])
+        for article, furniture, label in ((0, 0, text), (0, 1, np.zeros(len(said), bool)), (1, 1, np.zeros(len(said), bool)), (1, 0, ~links)):
+            rows.append(features([b._replace(article=article, furniture=furniture) for b in found]))
+            labels.append(label.astype(float))
+    return np.concatenate(rows), np.concatenate(labels)
 
 
 def learned() -> Tree:
-    return classified(*labelled_rows(), depth=5, least=6.0)
+    return classified(*labelled_rows(), depth=7, least=6.0)
 
 
 def _kind(tag: str, attributes: str, in_article: bool) -> int:
@@ -206,23 +209,18 @@ def blocks(page: str | None) -> list[Block]:
 
 
 def features(found: list[Block]) -> np.ndarray:
-    """Per block the columns of the labelled table."""
+    """Per block the columns of the labelled table: words and link density of the block before, its own and the next one's, and its markup's two hints."""
     words = np.array([0, *[b.words for b in found], 0], dtype=float)
     density = np.array([0, *[b.linked / b.words for b in found], 0], dtype=float)
-    return np.stack([words[:-2], density[:-2], words[1:-1], density[1:-1], words[2:], density[2:]], axis=1)
+    article, furniture = (np.array([getattr(b, k) for b in found], dtype=bool) for k in ("article", "furniture"))
+    if (article & ~furniture).any():  # the page marks its article, so what stands outside is hinted too
+        furniture = furniture | ~article
+    return np.stack([words[:-2], density[:-2], words[1:-1], density[1:-1], words[2:], density[2:], article.astype(float), furniture.astype(float)], axis=1)
 
 
 def chosen(found: list[Block], tree: Tree) -> np.ndarray:
-    """Whether each block is of the main text: by its leaf, and in a tie by its hints."""
-    share = walk(tree, features(found))
-    out = share >= 0.5
-    tie = share > SURE
-    article, furniture = (np.array([getattr(b, k) for b in found], dtype=bool) for k in ("article", "furniture"))
-    if (article & ~furniture).any():  # the page marks its article, so what stands outside is hinted too
-        furniture |= ~article
-    out[tie & article & ~furniture] = True
-    out[tie & furniture] = False
-    return out
+    """Whether each block is of the main text."""
+    return walk(tree, features(found)) >= 0.5
 
 
 def main_text(page: str | None, tree: Tree) -> str:

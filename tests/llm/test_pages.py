@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from seatflow.llm import pages
+from seatflow.llm.trees import classified
 
 
 @pytest.fixture(scope="module")
@@ -85,12 +86,32 @@ def test_pages_without_hints(tree):
     assert 2 * hit / (2 * hit + wrong + missed) >= 0.95
 
 
-def test_sure_leaves_stand_against_hints(tree):
+def test_link_lists_are_no_text_in_an_article(tree):
     """A list of links isn't text, whatever its class says."""
     menu = "".join(f"<li><a href=/{i}>x{i}</a></li>" for i in range(9))
     assert pages.main_text(f"<ul class=article>{menu}</ul><div class=article><p>{P1}</p><p>{P3}</p></div>", tree) == f"{P1}\n{P3}"
 
 
+def test_the_tree_decides(tree):
+    """A tree of one leaf, all or nothing, has another outcome on every page that has furniture, or text."""
+    import pyarrow.parquet as pq
+
+    blocks = differ_all = differ_none = 0
+    for page in pq.read_table(all_pages("sf0.01"), columns=["html"]).column("html").to_pylist():
+        found = pages.blocks(page)
+        chosen = pages.chosen(found, tree)
+        blocks += len(found)
+        for share, n in ((1.0, "all"), (0.0, "none")):
+            leaf = classified(np.zeros((4, 8)), np.full(4, share), depth=1, least=1.0)
+            other = pages.chosen(found, leaf)
+            assert other.all() if n == "all" else not other.any()
+            if n == "all":
+                differ_all += int((other != chosen).sum())
+            else:
+                differ_none += int((other != chosen).sum())
+    assert differ_all + differ_none == blocks and min(differ_all, differ_none) > blocks / 10
+
+
 @pytest.mark.parametrize("page", ["<div>" * 100_000, "<div>" * 50_000 + "</p>" * 50_000, "<b>" * 50_000 + "<td></td>" * 50_000, "<a href='x" * 30_000, '<p title="x ' * 30_000, "<i>" * 50_000 + "</b>" * 50_000])
 def test_odd_markup_takes_linear_time(tree, page):
     began = time.process_time()
