@@ -6,6 +6,7 @@ markup and are Arrow-batched; null markup has no text and empty lists.
 
 from __future__ import annotations
 
+import bisect
 import html as _html
 import re
 from html.parser import HTMLParser
@@ -113,33 +114,40 @@ def _matches(node: Node, chain: list) -> bool:
 
 
 class _Builder(HTMLParser):
+    """Keeps the open elements in a stack, and where in it each tag stands, so that no tag is looked for twice."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
+        self.open: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+
+    def _close(self, depth: int) -> None:
+        """Ends all elements from that place of the stack on."""
+        while len(self.open) > depth:
+            self.places[self.open.pop().tag].pop()
+        self.at = self.open[-1] if self.open else self.root
 
     def handle_starttag(self, tag, attrs):  # noqa: ANN001, ANN201
         ends, within = ENDS.get(tag, (set(), set()))
-        up, last = self.at, None
-        while up is not None and up.tag not in within:
-            if up.tag in ends:
-                last = up
-            up = up.parent
-        if last is not None:
-            self.at = last.parent
+        if ends:
+            floor = max((self.places[w][-1] for w in within if self.places.get(w)), default=-1)
+            depths = [at[bisect.bisect_right(at, floor)] for e in ends if (at := self.places.get(e)) and at[-1] > floor]
+            if depths:
+                self._close(min(depths))
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
+            self.open.append(node)
             self.at = node
 
     def handle_startendtag(self, tag, attrs):  # noqa: ANN001, ANN201
         self.at.children.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag):  # noqa: ANN001, ANN201
-        up = self.at
-        while up is not None and up.tag != tag:
-            up = up.parent
-        if up is not None and up.parent is not None:
-            self.at = up.parent
+        if self.places.get(tag):
+            self._close(self.places[tag][-1])
 
     def handle_data(self, data):  # noqa: ANN001, ANN201
         self.at.children.append(data)

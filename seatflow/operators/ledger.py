@@ -15,11 +15,13 @@ KEY = ["source_key", "external_id"]
 
 
 def new_postings(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows whose key the ledger lacks, one for each key (insert if absent): the first by time of reading, date, id and title."""
+    """Rows whose key the ledger lacks, one for each key (insert if absent): the first by time of reading, date, id and title.
+
+    Blanks around an id are no part of the key."""
     known = ledger.select(F.col("source_key").alias("_board"), F.trim("external_id").alias("_id"))
     absent = rows.join(known, (F.col("source_key") == F.col("_board")) & (F.trim("external_id") == F.col("_id")), "left_anti")
     order = [F.col(c).asc_nulls_last() for c in ("fetched_at", "posted_on", "id", "title") if c in rows.columns] or [F.lit(0)]
-    return absent.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))).where("_n = 1").drop("_n")
+    return absent.withColumn("_n", F.row_number().over(Window.partitionBy("source_key", F.trim("external_id")).orderBy(*order))).where("_n = 1").drop("_n")
 
 
 def first_seen(listing: DataFrame) -> DataFrame:

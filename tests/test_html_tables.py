@@ -3,6 +3,7 @@
 import html
 import os
 import re
+import time
 from urllib.parse import urljoin
 
 import pyarrow.parquet as pq
@@ -70,3 +71,19 @@ def test_links_of_all_pages(spark, pages):
         links = re.findall(r'<a href="([^"]+)">([^<]*)</a>', bare)
         assert [(x["name"], x["url"]) for x in got[i]["attachments"]] == [(" ".join(html.unescape(t).split()), urljoin(r["url"], html.unescape(h))) for h, t in links]
         assert got[i]["images"] == [urljoin(r["url"], html.unescape(s)) for s in re.findall(r'<img[^>]*src="([^"]+)"', bare)]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000 + "</p>" * 50_000, "<div>" * 100_000, "<p>x" * 100_000, "<span>" * 50_000 + "<p>y" * 50_000, "<ul>" * 30_000 + "<li>z" * 60_000, "<i>" * 50_000 + "</b>" * 50_000])
+def test_odd_markup_takes_linear_time(page):
+    began = time.process_time()
+    H.tree(page)
+    assert time.process_time() - began < 4
+
+
+def test_what_a_start_tag_ends():
+    """The outermost like element goes, up to the one that it can't reach past."""
+    shape = lambda n: [n.tag, *[shape(c) if isinstance(c, H.Node) else c for c in n.children]]
+    assert shape(H.tree("<ul><li>a<b>x<li>b<ul><li>c</ul>d</ul>")) == ["", ["ul", ["li", "a", ["b", "x"]], ["li", "b", ["ul", ["li", "c"]], "d"]]]
+    assert shape(H.tree("<table><tr><td>1<td>2<tr><th>3<table><tr><td>4</table></table>")) == ["", ["table", ["tr", ["td", "1"], ["td", "2"]], ["tr", ["th", "3", ["table", ["tr", ["td", "4"]]]]]]]
+    assert shape(H.tree("<p>a<div>b<p>c<p>d</div>e")) == ["", ["p", "a", ["div", "b", ["p", "c"], ["p", "d"]], "e"]]
+    assert shape(H.tree("<div>a</p></x>b</div></div>c")) == ["", ["div", "a", "b"], "c"]

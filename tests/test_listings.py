@@ -310,3 +310,9 @@ def test_records(spark, tmp_path):
 
 def test_every_query_has_a_name_of_its_own():
     assert set(ORACLE_SQL) <= set(QUERIES) and len(QUERIES) > 50
+
+
+def test_blanks_are_no_part_of_a_key(spark):
+    rows = spark.createDataFrame([("A", " 7", 1), ("A", "7", 2), ("B", "7 ", 3)], "source_key string, external_id string, id long")
+    none = rows.where("false").select("source_key", "external_id")
+    assert sorted(r["id"] for r in ledger.new_postings(rows, none).collect()) == [1, 3]
