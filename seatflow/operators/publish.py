@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatflow.functions.dates import visible
+from seatflow.operators.store import linked
 
 REQUIRED = ["church_name", "title", "region"]
 CONTACTS = ["contact_email", "contact_phone", "contact_link", "contact_post"]
@@ -44,15 +45,15 @@ def newest_by_key(drafts: DataFrame) -> DataFrame:
 
 def bumps(drafts: DataFrame, jobs: DataFrame) -> DataFrame:
     """(job_id, posted_at): masters' unclaimed jobs whose group has a newer posting."""
-    linked = drafts.where("published_job_id is not null and dedup_state = 'MASTER'").select(F.col("published_job_id").alias("job_id"), "dedup_key")
-    out = linked.join(newest_by_key(drafts), "dedup_key").join(jobs.where("church_id is null").select("job_id", "posted_at"), "job_id")
+    masters = drafts.where("published_job_id is not null and dedup_state = 'MASTER'").select(F.col("published_job_id").alias("job_id"), "dedup_key")
+    out = masters.join(newest_by_key(drafts), "dedup_key").join(jobs.where("church_id is null").select("job_id", "posted_at"), "job_id")
     return out.where("newest > posted_at").select("job_id", F.col("newest").alias("posted_at"))
 
 
 def releases(drafts: DataFrame, jobs: DataFrame) -> DataFrame:
     """Drafts whose linked job is no more: the link is taken back if it is still the one that was read."""
-    linked = drafts.where("published_job_id is not null")
-    return linked.join(jobs.select(F.col("job_id").alias("published_job_id")), "published_job_id", "left_anti").select("id", "published_job_id")
+    ours = drafts.where("published_job_id is not null")
+    return ours.join(jobs.select(F.col("job_id").alias("published_job_id")), "published_job_id", "left_anti").select("id", "published_job_id")
 
 
 def expired(jobs: DataFrame, ours: DataFrame, today: Column) -> DataFrame:
@@ -147,3 +148,29 @@ def marked_gone(drafts: DataFrame, found: DataFrame, at: Column) -> DataFrame:
     """gone_at is set once; a later sweep changes nothing."""
     now = found.where("verdict = 'gone'").select(F.col("id").alias("_id")).distinct()
     return drafts.join(now, drafts["id"] == now["_id"], "left").withColumn("gone_at", F.coalesce("gone_at", F.when(F.col("_id").isNotNull(), at))).drop("_id")
+
+
+def closes(drafts: DataFrame, jobs: DataFrame, today: Column) -> DataFrame:
+    """(job_id): our open, unclaimed jobs whose deadline has passed, or whose posting is gone."""
+    ours = drafts.where("published_job_id is not null").select(F.col("published_job_id").alias("job_id"), "gone_at")
+    open_ = jobs.where("status = 'OPEN' and church_id is null")
+    over = open_.join(ours.groupBy("job_id").agg(F.max("gone_at").alias("gone_at")), "job_id")
+    return over.where((F.col("deadline") < today) | F.col("gone_at").isNotNull()).select("job_id")
+
+
+def applied(drafts: DataFrame, jobs: DataFrame, today: Column, job_id: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(drafts, jobs) after one pass of publication: releases, bumps, closes and inserts, all told from the same two snapshots.
+
+    A job that is closed is also bumped if it is due; a link that is taken back in this pass isn't made anew before the next one.
+    job_id: of a new job, from its draft.
+    """
+    ready = candidates(drafts).where(F.size("lacks") == 0)
+    new = ready.select((F.xxhash64("id") if job_id is None else job_id).alias("job_id"), "id", "posted_at", "deadline", F.lit("OPEN").alias("status"), *[c for c in ("church_name", "region", "title") if c in jobs.columns])
+    new = new.join(jobs.select("job_id"), "job_id", "left_anti")
+    later = bumps(drafts, jobs).groupBy("job_id").agg(F.max("posted_at").alias("_newest"))
+    over = closes(drafts, jobs, today).withColumn("_over", F.lit(True))
+    kept = jobs.join(later, "job_id", "left").join(over, "job_id", "left").withColumns({
+        "posted_at": F.coalesce("_newest", "posted_at"), "status": F.when(F.col("_over"), "CLOSED").otherwise(F.col("status")),
+    }).select(*jobs.columns)
+    back = releases(drafts, jobs).select("id", F.col("published_job_id").alias("job_id"))
+    return linked(drafts, new.select("id", "job_id"), back), kept.unionByName(new.drop("id"), allowMissingColumns=True).select(*jobs.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Reasons under which a rejected draft may still be replaced.
 REPLACEABLE = ["DUPLICATE", "HERESY", "CLOSED"]
@@ -105,3 +106,54 @@ class Snapshots:
         frame.write.parquet(f"{self.path}/v={v}")
         self.spark.range(1).select(F.lit(v).cast("long").alias("v")).coalesce(1).write.mode("append").json(f"{self.path}/CURRENT")
         return v
+
+
+class Release:
+    """Several tables that change together: PATH/<name>/v=N, and one manifest, PATH/RELEASES, whose last row names the version of each.
+
+    A pass checks all schemas, writes all new versions, and then adds one row to the manifest. Readers go by the manifest, so until
+    that row is there they see the old tables, all of them; whatever stops a pass before leaves versions that nobody reads.
+    Writers are one at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schemas: dict[str, str]):
+        self.spark, self.path, self.schemas = spark, path.rstrip("/"), schemas
+
+    def _exists(self, path: str) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
+    def versions(self) -> dict[str, int]:
+        """Of the last release; empty before the first."""
+        if not self._exists(f"{self.path}/RELEASES"):
+            return {}
+        rows = self.spark.read.schema("release long, tables map<string,long>").json(f"{self.path}/RELEASES")
+        last = rows.agg(F.max_by(F.struct("release", "tables"), "release").alias("last")).first()["last"]
+        return {} if last is None else {**last["tables"], "": last["release"]}
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.path}/{name}/v={self.versions()[name]}")
+
+    def faults(self, tables: dict[str, DataFrame]) -> list[str]:
+        """What keeps these tables from going out: unknown names, and columns that are missing, unknown or of another type."""
+        out = [f"{name} is no table of this release" for name in tables if name not in self.schemas]
+        for name in set(tables) & set(self.schemas):
+            wanted = {f.name: f.dataType for f in StructType.fromDDL(self.schemas[name]).fields}
+            given = {f.name: f.dataType for f in tables[name].schema.fields}
+            out += [f"{name}.{c} is missing" for c in wanted.keys() - given.keys()] + [f"{name}.{c} is unknown" for c in given.keys() - wanted.keys()]
+            out += [f"{name}.{c} is {given[c].simpleString()}, not {wanted[c].simpleString()}" for c in wanted.keys() & given.keys() if wanted[c] != given[c]]
+        return sorted(out)
+
+    def write(self, tables: dict[str, DataFrame]) -> int:
+        """All of these tables or none; tables that aren't named stay at their version. Returns the release's number."""
+        if faults := self.faults(tables):
+            raise ValueError("; ".join(faults))
+        held = self.versions()
+        release = held.pop("", -1) + 1
+        for name, frame in tables.items():
+            # a folder that a stopped pass left is written anew
+            frame.select(*[f.name for f in StructType.fromDDL(self.schemas[name]).fields]).write.mode("overwrite").parquet(f"{self.path}/{name}/v={release}")
+            held[name] = release
+        row = self.spark.range(1).select(F.lit(release).cast("long").alias("release"), F.create_map(*[x for k, v in held.items() for x in (F.lit(k), F.lit(v).cast("long"))]).alias("tables"))
+        row.coalesce(1).write.mode("append").json(f"{self.path}/RELEASES")
+        return release

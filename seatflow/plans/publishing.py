@@ -55,6 +55,37 @@ def expired_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.expired(table(spark, sf_dir, "job"), _ours(spark, sf_dir), day(TODAY))
 
 
+_NEXT = """linked AS (SELECT *, concat_ws(':', church_name, region) AS dedup_key FROM {draft}), newest AS (SELECT dedup_key, max(posted_on) AS newest FROM linked GROUP BY dedup_key),
+    ready AS (SELECT id, id + 3000000000 AS job_id, posted_on AS posted_at, deadline FROM {draft} WHERE confidence = 'high' AND published_job_id IS NULL AND id % 5 <> 2 AND region IS NOT NULL AND coalesce(mailbox, address) IS NOT NULL),
+    ours AS (SELECT published_job_id AS job_id, max(gone_at) AS gone_at FROM {draft} WHERE published_job_id IS NOT NULL GROUP BY published_job_id),
+    later AS (SELECT j.job_id, max(n.newest) AS newest FROM linked l JOIN newest n USING (dedup_key) JOIN {job} j ON j.job_id = l.published_job_id WHERE l.id % 3 <> 0 AND j.church_id IS NULL AND n.newest > j.posted_at GROUP BY j.job_id)"""
+
+
+def _published(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    none = F.lit(None).cast("string")
+    rows = _linked(spark, sf_dir).withColumns({
+        "review_status": F.when(F.col("confidence") == "high", "APPROVED").otherwise("PENDING"), "dedup_state": F.when(F.col("id") % 5 != 2, F.col("dedup_state")), "title": F.col("church_name"), "posted_at": F.col("posted_on"),
+        "contact_email": F.col("mailbox"), "contact_phone": none, "contact_link": none, "contact_post": F.col("address"),
+    })
+    # of published drafts the pass judged all
+    rows = rows.withColumn("dedup_state", F.when(F.col("published_job_id").isNotNull(), F.when(F.col("id") % 3 == 0, "ALONE").otherwise("MASTER")).otherwise(F.col("dedup_state")))
+    return publish.applied(rows, table(spark, sf_dir, "job"), day("1996-01-01"), F.col("id") + 3_000_000_000)
+
+
+@query(f"""WITH {_NEXT} SELECT j.job_id, coalesce(newest, j.posted_at) AS posted_at, j.deadline, church_id, CASE WHEN j.status = 'OPEN' AND church_id IS NULL AND ours.job_id IS NOT NULL AND (ours.gone_at IS NOT NULL OR j.deadline < DATE '1996-01-01')
+        THEN 'CLOSED' ELSE j.status END AS status FROM {{job}} j LEFT JOIN later ON later.job_id = j.job_id LEFT JOIN ours ON ours.job_id = j.job_id
+    UNION ALL SELECT job_id, posted_at, deadline, NULL, 'OPEN' FROM ready""")
+def publication_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs after a pass: bumped, closed and new ones together."""
+    return _published(spark, sf_dir)[1].select("job_id", "posted_at", "deadline", "church_id", "status")
+
+
+@query(f"""WITH {_NEXT} SELECT d.id, CASE WHEN d.published_job_id IS NULL THEN ready.job_id WHEN d.published_job_id IN (SELECT job_id FROM {{job}}) THEN d.published_job_id END AS published_job_id FROM {{draft}} d LEFT JOIN ready ON ready.id = d.id""")
+def publication_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All drafts' links after the same pass: made and taken back."""
+    return _published(spark, sf_dir)[0].select("id", "published_job_id")
+
+
 # targets of a sweep, what its list pages show, boards by how a posting can be asked after, and the answers of postings' own pages
 _SWEEP = """targets AS (SELECT id, source_key, external_id FROM {raw} WHERE posted_on >= DATE '1998-01-01'),
     shown AS (SELECT source_key, external_id, page, pos FROM {listing} WHERE id % 25 <> 0 AND NOT (source_key LIKE 'LOW%' AND id % 2 = 0) AND source_key NOT LIKE '%_7'),

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from seatflow.operators import checks, drafts, ledger, media, runs, store
@@ -69,3 +70,42 @@ def test_queue_and_budget(spark):
     files = spark.createDataFrame([(1, 1, 10), (1, 2, 10), (1, 3, 1), (2, 1, 99)], "id long, pos int, n_bytes long")
     assert sorted(tuple(r) for r in media.within_budget(files, 20).collect()) == [(1, 1, 10), (1, 2, 10)]
     assert store.preview(rows, ["id"]).columns == ["posted_on", "source_key", "structure_attempts", "structured_at"]
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_a_release_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    kinds = {"drafts": "id long, published_job_id long", "jobs": "job_id long, status string"}
+    release = store.Release(spark, str(tmp_path / "r"), kinds)
+    frames = lambda link, status: {"drafts": spark.createDataFrame([(1, link)], kinds["drafts"]), "jobs": spark.createDataFrame([(7, status)], kinds["jobs"])}
+    state = lambda: (release.read("drafts").collect()[0][1], release.read("jobs").collect()[0][1])
+    assert release.versions() == {} and release.write(frames(None, "OPEN")) == 0 and state() == (None, "OPEN")
+
+    # stopped after the first table, and before the manifest's row
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    for step in ("parquet", "json"):
+        done, whole = [], getattr(DataFrameWriter, step)
+
+        def stop(self, path, *args, whole=whole, done=done, step=step, **options):
+            if step == "json" or done:
+                raise Stopped(path)
+            done.append(path)
+            return whole(self, path, *args, **options)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(DataFrameWriter, step, stop)
+            with pytest.raises(Stopped):
+                release.write(frames(7, "CLOSED"))
+        assert state() == (None, "OPEN")
+    assert release.write(frames(7, "CLOSED")) == 1 and state() == (7, "CLOSED")
+    # a table that isn't named stays; a release with a fault writes nothing
+    assert release.write({"jobs": frames(0, "OPEN")["jobs"]}) == 2 and state() == (7, "OPEN")
+    bad = spark.createDataFrame([(7, 1, "x")], "job_id long, status int, note string")
+    with pytest.raises(ValueError, match="jobs.note is unknown; jobs.status is int, not string"):
+        release.write({"drafts": frames(9, "x")["drafts"], "jobs": bad})
+    with pytest.raises(ValueError, match="drafts.published_job_id is missing; other is no table"):
+        release.write({"drafts": bad.selectExpr("job_id as id"), "other": bad})
+    assert state() == (7, "OPEN") and store.Release(spark, str(tmp_path / "r"), kinds).versions() == {"drafts": 1, "jobs": 2, "": 2}
