@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from seatflow.operators import checks, schema, verify
 from seatflow.plans.registry import VIEWS, query, table
+from seatflow.sources import decode
+from seatflow.sources.decode import Field
 
 #: The values of an answer's keys where they aren't null, as SQL for the text of a JSON value.
 _SAID = {
@@ -109,3 +111,26 @@ def verify_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = verify.verified(rows.withColumns(given | absent), parts, F.col("title"), F.col("media"))
     return out.select("id", "church_name", "contact_tel", "department", F.array_join("position", "+").alias("positions"), "pay_min", "pay_amount", F.col("housing_provided").alias("housing"), "housing_note",
         F.array_join("dropped.field", ",").alias("dropped"), "unverifiable", F.col("unchecked")["role"].alias("role_unchecked"), F.col("unchecked")["housing_note"].alias("note_unchecked"))
+
+
+# rows as they come over a wire: in 14 of 20 some value isn't what it should be
+VIEWS["wire_row"] = """
+    SELECT event_id AS n, CAST(ts AS DATE) AS d, user_id, concat(CASE WHEN event_id % 20 = 0 THEN '[' ELSE '' END, chr(123), '"id": ', CASE event_id % 20 WHEN 1 THEN 'true' WHEN 2 THEN concat('"', CAST(event_id AS STRING), '"') WHEN 3 THEN '1.5' ELSE CAST(event_id AS STRING) END,
+        CASE event_id % 20 WHEN 4 THEN '' WHEN 5 THEN ', "title": null' WHEN 6 THEN ', "title": 5' ELSE concat(', "title": "t', CAST(user_id AS STRING), '"') END,
+        ', "open": ', CASE event_id % 20 WHEN 7 THEN '1' WHEN 8 THEN 'null' ELSE 'true' END, ', "posted_on": "', CAST(CAST(ts AS DATE) AS STRING), CASE WHEN event_id % 20 = 9 THEN ' 10:00' ELSE '' END,
+        '", "fetched_at": "', CAST(CAST(ts AS DATE) AS STRING), CASE event_id % 20 WHEN 10 THEN 'T10:00:00' WHEN 11 THEN 'T25:00:00Z' WHEN 12 THEN 'T01:00:00Z' ELSE 'T10:00:00+09:00' END,
+        '", "files": ', CASE event_id % 20 WHEN 13 THEN '"a"' WHEN 14 THEN '["a", null]' WHEN 15 THEN '[]' ELSE '["a", "b"]' END, CASE WHEN event_id % 20 = 16 THEN ', "extra": 1' ELSE '' END, chr(125)) AS payload FROM {events}"""
+WIRE = {"id": Field("whole"), "title": Field("text"), "open": Field("truth", False), "posted_on": Field("day"), "fetched_at": Field("time"), "files": Field("texts", False)}
+_WIRE_FAULTS = {
+    0: "no JSON object", 1: "id is no whole number", 2: "id is no whole number", 3: "id is no whole number", 4: "title is missing", 5: "title is null", 6: "title is no text", 7: "open is no truth value", 9: "posted_on is no day",
+    10: "fetched_at is no time with an offset", 11: "fetched_at is no time with an offset", 13: "files is no list of texts", 14: "files is no list of texts", 16: "extra is unknown",
+}
+
+
+@query(f"""WITH told AS (SELECT n, d, user_id, CASE n % 20 {' '.join(f"WHEN {k} THEN '{v}'" for k, v in _WIRE_FAULTS.items())} END AS fault FROM {{wire_row}})
+    SELECT n, fault, CASE WHEN fault IS NULL THEN n END AS id, CASE WHEN fault IS NULL THEN concat('t', user_id) END AS title, CASE WHEN fault IS NULL AND n % 20 <> 8 THEN true END AS open, CASE WHEN fault IS NULL THEN d END AS posted_on,
+        CASE WHEN fault IS NULL THEN CAST(date_diff('day', DATE '1970-01-01', d) AS BIGINT) * 86400 + 3600 END AS fetched, CASE WHEN fault IS NULL THEN CASE WHEN n % 20 = 15 THEN '' ELSE 'a|b' END END AS files FROM told""")
+def decode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of JSON by the kinds of their values, each fault once."""
+    out = decode.decoded(table(spark, sf_dir, "wire_row").select("n", "payload"), "payload", WIRE)
+    return out.select("n", "fault", "id", "title", "open", "posted_on", F.unix_timestamp("fetched_at").alias("fetched"), F.array_join("files", "|").alias("files"))
