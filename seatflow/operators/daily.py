@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seatflow.functions import dates as D
 from seatflow.functions import text as T
 from seatflow.functions.names import senior_pastor_of
-from seatflow.operators import checks, dedup, drafts, publish, store
+from seatflow.operators import checks, dedup, denominations, drafts, publish, schema, store, verify
 from seatflow.vocab import GATE, JOB_KIND, POSITION, REGION, canonical
 
 #: The form fields that tell a posting's status.
@@ -21,6 +21,33 @@ STATUS_FIELDS = ["status", "category", "classification"]
 CHECKED = ["church_name", "city", "address", "contact_email", "contact_phone", "raw_denomination"]
 
 
+#: What an answer's keys are called in a draft.
+NAMES = {"is_church_recruitment": "gate", "contact_tel": "contact_phone", "position": "positions", "deadline": "deadline_text", "unchecked": "counted"}
+
+
+def answered(raw: DataFrame, payloads: DataFrame, labels: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(answers as built takes them, failed ones with their ``fault``) of a model's payloads(id, payload, media_sent, media_missed).
+
+    An answer is whole or fails. Each field is held against the posting by the table of tests; what is dropped, what couldn't be looked up
+    and what was only counted go along (``dropped``, ``unverifiable``, ``counted``), and so does the denomination that the posting bears out. labels: of
+    the form's fields, as the model saw them. A payload without its posting fails.
+    """
+    told = payloads.select("id", "media_sent", "media_missed", *[c.alias(k) for k, c in schema.parsed(F.col("payload")).items()])
+    source = raw.select("id", F.lit(True).alias("_there"), F.col("title").alias("_title"), F.col("raw_text").alias("_text"), F.col("raw_meta").alias("_meta"),
+        (F.col("attachments") if "attachments" in raw.columns else F.lit(None)).cast("array<string>").alias("_files"))
+    told = told.join(source, "id", "left").withColumn("fault", F.coalesce("fault", F.when(F.col("_there").isNull(), "no posting")))
+    good = told.where("fault is null").drop("fault", "_there").withColumnRenamed("deadline", "deadline_text")
+    derived = {c: F.lit(None).cast("string") for along in verify.ALONG.values() for c in along if c not in good.columns}
+    parts = checks.haystack(F.col("_text"), F.col("_title"), F.col("_meta"), labels, F.col("_files"))
+    held = verify.verified(good.withColumns(derived), parts, F.col("_title"), F.col("media_sent"))
+    gone = F.transform("dropped", lambda d: d["field"])
+    held = held.withColumns({c: F.when(~F.array_contains(gone, c), F.col(c)) for c in ("pay_amount", "deadline_text")})
+    said = denominations.confirmed(F.col("raw_denomination"), F.col("_text"), F.map_values("_meta"))
+    held = held.withColumns({"denomination": said["key"], "denomination_source": said["source"], "denomination_word": said["word"]})
+    names = {c: NAMES.get(c, c) for c in held.columns if c not in derived and not c.startswith("_")}
+    return held.select(*[F.col(c).alias(n) for c, n in names.items()]), told.where("fault is not null").select("id", "fault")
+
+
 def built(raw: DataFrame, answers: DataFrame, reference: DataFrame, today: Column) -> DataFrame:
     """raw(id, source_key, external_id, title, raw_text, raw_meta, posted_on) with a model's
     answers(id, gate, job_kind, positions, …, pay_amount, deadline_text, media_sent, media_missed) to drafts.

@@ -1,10 +1,11 @@
 """A day: answers to drafts, verdicts, publication; a second pass changes nothing."""
 
 import datetime
+import json
 
 from pyspark.sql import functions as F
 
-from seatflow.operators import daily
+from seatflow.operators import daily, schema
 from seatflow.operators.graph import checkpointed
 
 D = datetime.date
@@ -73,3 +74,28 @@ def test_an_answer_without_a_posting_is_an_error(spark):
     raw, answers, reference = tables(spark)
     with pytest.raises(Exception, match="no posting for answer 1"):
         daily.built(raw.where("id <> 1"), answers, reference, F.lit("2026-06-01").cast("date")).collect()
+
+
+def test_a_day_from_what_the_model_said(spark):
+    """Whole payloads to drafts: what the posting doesn't bear out is dropped with its reason, a bad payload fails alone."""
+    today = F.lit("2026-06-01").cast("date")
+    raw, _, reference = tables(spark)
+    empty = dict.fromkeys(schema.KEYS) | {"is_church_recruitment": "YES", "job_kind": "MINISTRY", "position": [], "requirements": [], "preferred": [], "required_docs": [], "optional_docs": [], "process_steps": []}
+    said = {
+        1: empty | {"church_name": "한빛교회", "region": "SEOUL", "region_evidence": "서울", "city": "서울 송파구", "address": "테헤란로 12", "contact_email": "a@b.org", "pay_amount": "월 90~120만원", "deadline": "2026.7.31 까지",
+                    "position": [{"value": "EVANGELIST", "evidence": "교육전도사"}, {"value": "SENIOR_PASTOR", "evidence": "담임"}], "description": "d", "role": "교육 담당", "raw_denomination": "합동"},
+        2: empty | {"church_name": "한빛교회", "region": "BUSAN", "region_evidence": "부산", "pay_amount": "연 3200만원", "deadline": "8월 말", "contact_tel": "010-9999-9999"},
+        3: {k: v for k, v in empty.items() if k != "city"}, 4: empty | {"is_church_recruitment": "NO"}, 77: empty,
+    }
+    payloads = spark.createDataFrame([(i, json.dumps(p, ensure_ascii=False), False, False) for i, p in said.items()], "id long, payload string, media_sent boolean, media_missed boolean")
+    answers, failed = daily.answered(raw, payloads, {"status": "상태"})
+    assert {tuple(r) for r in failed.collect()} == {(3, "city is missing"), (77, "no posting")}
+    answers = checkpointed(answers)
+    told = {r["id"]: [tuple(d) for d in r["dropped"]] for r in answers.collect()}
+    assert told == {1: [("raw_denomination", "합동", None), ("position", "SENIOR_PASTOR", "담임")], 2: [("contact_tel", "010-9999-9999", None), ("region", "BUSAN", "부산"), ("pay_amount", "연 3200만원", None), ("deadline_text", "8월 말", None)], 4: []}
+    got = {r["id"]: r for r in daily.built(raw, answers, reference, today).collect()}
+    assert set(got) == {1, 2}
+    one, two = got[1], got[2]
+    assert (one["pay_min"], one["pay_max"], one["deadline"], one["positions"], one["city"], one["contact_email"], one["region"]) == (90, 120, D(2026, 7, 31), ["EVANGELIST"], "송파구", "a@b.org", "SEOUL")
+    assert (one["denomination"], one["denomination_source"], one["counted"]) == ("UNKNOWN", "unknown", {"role": 1})
+    assert (two["pay_min"], two["deadline"], two["region"], two["contact_phone"]) == (None, None, None, None)
