@@ -246,7 +246,7 @@ def _slice(first: Column | int, size: Column | int) -> Column:
 
 
 def scored(frequent: DataFrame, share: int = SHARE) -> DataFrame:
-    """(lang, phrase, a, l, r, n, score) of the phrases of two words or more that no longer one stands for.
+    """(lang, phrase, a, l, r, score) of the phrases of two words or more that no longer one stands for.
 
     Of the cuts into a first part and a rest the one of the lowest score counts, the first of equal
     ones. A phrase goes if one that holds it comes in `share` percent of its places or more.
@@ -263,9 +263,8 @@ def scored(frequent: DataFrame, share: int = SHARE) -> DataFrame:
     inner = candidates.where("words > 2").withColumn("size", F.explode(F.sequence(F.lit(2), F.col("words") - 1)))
     inner = inner.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)))
     longer = inner.groupBy("lang", _slice(F.col("at"), F.col("size")).alias("phrase")).agg(F.max("f").alias("longer"))
-    totals = frequent.where("words = 0").select("lang", F.col("f").alias("n"))
     out = least.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < share * F.col("least.a"), F.lit(True)))
-    return out.join(totals, "lang").select("lang", "phrase", "least.a", "least.l", "least.r", "n", "least.score")
+    return out.select("lang", "phrase", "least.a", "least.l", "least.r", "least.score")
 
 
 def collocations(documents: DataFrame, least: int = LEAST_COUNT, most: int = MOST_WORDS, top: int = TOP, share: int = SHARE, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -276,9 +275,11 @@ def collocations(documents: DataFrame, least: int = LEAST_COUNT, most: int = MOS
     table gives an empty result. Other columns are ignored.
     """
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    out = scored(frequent_phrases(documents, least, most, lang_col, text_col), share)
+    frequent = frequent_phrases(documents, least, most, lang_col, text_col)
+    totals = frequent.where("words = 0").select("lang", F.col("f").alias("n"))
+    out = scored(frequent, share)
     # the first of each of 64 shares of a language, so that the last sort holds 64 * top rows of one at most
     share_of = Window.partitionBy("lang", "share").orderBy(F.desc("score"), F.desc("a"), "phrase")
     out = out.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(64))).withColumn("rank", F.row_number().over(share_of)).where(F.col("rank") <= top)
-    out = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    out = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).join(totals, "lang")
     return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
