@@ -6,7 +6,7 @@ by board and page or by key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatflow.functions.text import squeeze
@@ -89,6 +89,43 @@ def tally(planned: DataFrame, limit: int) -> DataFrame:
     return out.withColumns({"nothing_live": F.col("stale") == F.col("n_rows"), "short_of_cutoff": (F.col("pages") >= limit) & (F.col("stale") == 0)})
 
 
+#: Rows of a report that stand for all of their kind.
+SAMPLES = 3
+
+
+def first_of_board(rows: DataFrame, told: Column, name: str) -> DataFrame:
+    """(source_key, name array): what is told of each board's first rows by page and position."""
+    order = Window.partitionBy("source_key").orderBy("page", "pos", "external_id")
+    few = rows.select("source_key", told.alias("told"), F.row_number().over(order).alias("nth")).where(F.col("nth") <= SAMPLES)
+    return few.groupBy("source_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "told"))), lambda x: x["told"]).alias(name))
+
+
+def accounts(planned: DataFrame, details: DataFrame, has_cutoff: Column) -> DataFrame:
+    """A run's report for each board: rows by verdict, details read, rows saved, saved without content, failed, the first samples, and ``fault``.
+
+    planned: a listing with its verdicts, each posting once; details(source_key, external_id, inserted, text, images, attachments, error) of the fresh
+    ones that were read. A board fails as a whole, by the first of these: a conflict, a page without any date where a cutoff is asked
+    for, details that all failed, and saved rows that are all empty. One failed or empty row is told and no more.
+    """
+    n = lambda v: F.count_if(F.col("verdict") == v)
+    live = F.col("verdict").isin("fresh", "seen")
+    out = planned.groupBy("source_key").agg(
+        F.countDistinct("page").alias("pages"), n("fresh").alias("fresh"), n("seen").alias("seen"), n("stale").alias("stale"), n("conflict").alias("conflicts"),
+        F.min(F.when(live, F.col("posted_on"))).alias("oldest"), F.max(F.when(live, F.col("posted_on"))).alias("newest"),
+    )
+    pages = planned.groupBy("source_key", "page").agg(F.count("posted_on").alias("dated")).groupBy("source_key").agg(F.count_if(F.col("dated") == 0).alias("undated_pages"))
+    read = planned.where("verdict = 'fresh'").select("source_key", "external_id", "page", "pos").join(details, ["source_key", "external_id"])
+    filled = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    content = F.coalesce(F.trim("text") != "", F.lit(False)) | filled("images") | filled("attachments")
+    good, saved = F.col("error").isNull(), F.coalesce(F.col("inserted"), F.lit(False)) & F.col("error").isNull()
+    sums = read.groupBy("source_key").agg(F.count_if(good).alias("details"), F.count_if(saved).alias("saved"), F.count_if(saved & ~content).alias("empty"), F.count_if(~good).alias("failed"))
+    out = out.join(pages, "source_key").join(sums, "source_key", "left").fillna(0, ["details", "saved", "empty", "failed"])
+    out = out.join(first_of_board(planned.where("verdict = 'fresh'"), F.col("title"), "samples"), "source_key", "left")
+    out = out.join(first_of_board(read.where(~good), F.concat_ws(": ", "external_id", "error"), "failures"), "source_key", "left")
+    fault = F.when(F.col("conflicts") > 0, "conflicts").when(has_cutoff & (F.col("undated_pages") > 0), "no dates for the cutoff").when((F.col("failed") > 0) & (F.col("saved") == 0), "nothing was saved")
+    return out.withColumn("fault", fault.when((F.col("saved") > 0) & (F.col("empty") == F.col("saved")), "all that was saved is empty")).drop("undated_pages")
+
+
 def requeue(rows: DataFrame, drafts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a verdict go back to be judged again, unless their draft is protected; returns (rows, drafts left)."""
     protected = drafts.where("protected").select("source_data_id").distinct()

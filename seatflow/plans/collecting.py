@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.operators import health, ledger
-from seatflow.plans.registry import day, query, table
+from seatflow.plans.registry import VIEWS, day, query, table
 
 CUTOFF = "2000-06-01"
 
@@ -24,7 +24,7 @@ def _planned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PLANNED = """
     seen_first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_key, external_id ORDER BY page, pos) AS n FROM {listing}) WHERE n = 1),
-    planned AS (SELECT f.source_key, f.external_id, f.page, f.pos, f.posted_on,
+    planned AS (SELECT f.source_key, f.external_id, f.title, f.page, f.pos, f.posted_on,
         CASE WHEN f.posted_on < DATE '2000-06-01' THEN 'stale' WHEN l.source_key IS NULL THEN 'fresh'
             WHEN replace(f.title, ' ', '') <> replace(l.title, ' ', '') AND f.posted_on <> l.posted_on THEN 'conflict' ELSE 'seen' END AS verdict
         FROM seen_first f LEFT JOIN {ledger} l ON f.source_key = l.source_key AND f.external_id = l.external_id)"""
@@ -133,3 +133,29 @@ def requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "requeued", "structured_at", "structure_attempts")
 
 
+
+
+# what was read of each fresh posting: some boards fail whole, some details fail or are empty
+VIEWS["detail"] = """
+    SELECT source_key, external_id, id % 6 <> 1 AS inserted, CASE WHEN source_key LIKE '%_11' OR id % 8 = 3 THEN ' ' ELSE title END AS text, CASE WHEN id % 16 = 3 AND source_key NOT LIKE '%_11' THEN 1 ELSE 0 END AS n_images,
+        CASE WHEN source_key LIKE '%_12' OR id % 9 = 4 THEN concat('timeout ', CAST(id % 5 AS STRING)) END AS error FROM {raw}"""
+
+
+@query(f"""WITH {PLANNED}, p AS (SELECT * FROM planned),
+    t AS (SELECT source_key, count(DISTINCT page) AS pages, count(*) FILTER (WHERE verdict = 'fresh') AS fresh, count(*) FILTER (WHERE verdict = 'seen') AS seen, count(*) FILTER (WHERE verdict = 'stale') AS stale,
+        count(*) FILTER (WHERE verdict = 'conflict') AS conflicts, min(posted_on) FILTER (WHERE verdict IN ('fresh', 'seen')) AS oldest, max(posted_on) FILTER (WHERE verdict IN ('fresh', 'seen')) AS newest FROM p GROUP BY source_key),
+    blank AS (SELECT DISTINCT source_key FROM (SELECT source_key, page FROM p GROUP BY source_key, page HAVING count(posted_on) = 0) x),
+    r AS (SELECT p.source_key, p.external_id, page, pos, inserted, error, trim(text) = '' AND n_images = 0 AS hollow FROM p JOIN {{detail}} d ON p.source_key = d.source_key AND p.external_id = d.external_id WHERE verdict = 'fresh'),
+    s AS (SELECT source_key, count(*) FILTER (WHERE error IS NULL) AS details, count(*) FILTER (WHERE error IS NULL AND inserted) AS saved, count(*) FILTER (WHERE error IS NULL AND inserted AND hollow) AS empty, count(*) FILTER (WHERE error IS NOT NULL) AS failed
+        FROM r GROUP BY source_key),
+    a AS (SELECT source_key, string_agg(title, '|' ORDER BY page, pos, external_id) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY page, pos, external_id) AS k FROM p WHERE verdict = 'fresh') x WHERE k <= 3 GROUP BY source_key),
+    f AS (SELECT source_key, string_agg(external_id || ': ' || error, '|' ORDER BY page, pos, external_id) AS failures FROM (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY page, pos, external_id) AS k FROM r WHERE error IS NOT NULL) x
+        WHERE k <= 3 GROUP BY source_key)
+    SELECT t.*, coalesce(details, 0) AS details, coalesce(saved, 0) AS saved, coalesce(empty, 0) AS empty, coalesce(failed, 0) AS failed, samples, failures,
+        CASE WHEN conflicts > 0 THEN 'conflicts' WHEN blank.source_key IS NOT NULL THEN 'no dates for the cutoff' WHEN failed > 0 AND saved = 0 THEN 'nothing was saved' WHEN saved > 0 AND empty = saved THEN 'all that was saved is empty' END AS fault
+    FROM t LEFT JOIN blank ON blank.source_key = t.source_key LEFT JOIN s ON s.source_key = t.source_key LEFT JOIN a ON a.source_key = t.source_key LEFT JOIN f ON f.source_key = t.source_key""")
+def collect_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each board's report of a run, with what fails it."""
+    detail = table(spark, sf_dir, "detail").withColumns({"images": F.when(F.col("n_images") > 0, F.array(F.lit("a.png"))), "attachments": F.lit(None).cast("array<string>")})
+    out = ledger.accounts(_planned(spark, sf_dir), detail, F.lit(True))
+    return out.withColumns({"samples": F.array_join("samples", "|"), "failures": F.array_join("failures", "|")})

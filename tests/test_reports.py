@@ -68,3 +68,21 @@ def test_listed_records(spark, tmp_path):
     got = {r["key"]: r["faults"] for r in told.collect()}
     assert got == {"A": ["not unique"], "B": [], "C": ["flags against scheme"], "D": [], "E": ["flags against host"]}
     assert records.by_key(boards, " b ").count() == 1
+
+
+def test_accounts_of_a_run(spark):
+    """Board A reads well, B's details all fail, C saves only empty rows, D has a conflict, E has no dates, F reads nothing new."""
+    day = datetime.date(2026, 5, 1)
+    planned = [("A", str(i), f"a{i}", day if i else None, 1 + i // 4, i % 4, "fresh" if i < 5 else "seen") for i in range(6)] + [("A", "9", "old", datetime.date(2020, 1, 1), 2, 3, "stale")]
+    planned += [(b, str(i), f"{b}{i}", None if b == "E" else day, 1, i, v) for b, v in (("B", "fresh"), ("C", "fresh"), ("D", "fresh"), ("E", "fresh"), ("F", "seen")) for i in range(2)] + [("D", "7", "d", day, 1, 7, "conflict")]
+    read = [("A", "0", True, "x", None, None, None), ("A", "1", True, " ", [], None, None), ("A", "2", False, "x", None, None, None), ("A", "3", None, None, None, None, "timeout"), ("A", "4", True, None, ["p.png"], None, None)]
+    read += [("B", str(i), None, None, None, None, f"refused {i}") for i in range(2)] + [("C", str(i), True, "", None, [], None) for i in range(2)] + [(b, "0", True, "x", None, None, None) for b in "DE"]
+    kinds = "source_key string, external_id string, title string, posted_on date, page int, pos int, verdict string", "source_key string, external_id string, inserted boolean, text string, images array<string>, attachments array<string>, error string"
+    frames = spark.createDataFrame(planned, kinds[0]).repartition(3), spark.createDataFrame(read, kinds[1])
+    got = {r["source_key"]: r for r in ledger.accounts(*frames, F.lit(True)).collect()}
+    a = got["A"]
+    assert (a["pages"], a["fresh"], a["seen"], a["stale"], a["details"], a["saved"], a["empty"], a["failed"]) == (2, 5, 1, 1, 4, 3, 1, 1)
+    assert (a["oldest"], a["newest"], a["samples"], a["failures"]) == (day, day, ["a0", "a1", "a2"], ["3: timeout"])
+    assert {b: r["fault"] for b, r in got.items()} == {"A": None, "B": "nothing was saved", "C": "all that was saved is empty", "D": "conflicts", "E": "no dates for the cutoff", "F": None}
+    assert got["B"]["failures"] == ["0: refused 0", "1: refused 1"] and got["F"]["samples"] is None and got["F"]["saved"] == 0
+    assert {r["source_key"]: r["fault"] for r in ledger.accounts(*frames, F.lit(False)).collect()}["E"] is None
