@@ -1,7 +1,7 @@
 """From raw documents to token ids in five stages; each is one of the text operators.
 
 1. quality classifier: documents that score below 0.3 go
-2. near-dedup: documents whose five-word shingles agree to 0.8 or more are linked; of each group the smallest id stays
+2. SimHash near-dedup: documents whose five-word shingles agree to 0.8 or more are linked; of each group the smallest id stays
 3. substring dedup: words in windows of 50 that an earlier document holds go
 4. mixing: documents are repeated or left out so that sources come near their target weights
 5. byte-level BPE: each text as token ids, with the digest of the bytes they decode to
@@ -60,13 +60,13 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality classifier", keep_quality),
-    ("near-dedup", drop_near_duplicates),
+    ("simhash near-dedup", drop_near_duplicates),
     ("substring dedup", cut_repeated_passages),
     ("mixing", mix_sources),
     ("byte-level bpe", encode_tokens),
 ]
 
-#: The classifier, MinHash and BPE can't be stated in SQL.
+#: The classifier, SimHash and BPE can't be stated in SQL.
 ORACLE_SQL = None
 
 

@@ -1,9 +1,11 @@
-"""Near-duplicates by shingle similarity: MinHash bands propose pairs, exact similarity decides.
+"""Near-duplicates by SimHash: bands of fingerprint bits propose pairs, their distance selects, exact similarity decides.
 
-Two texts are linked if their sets of five-word shingles share at least 0.8 of their union. 32 bands
-of 4 MinHash bins propose a pair of similarity 0.8 but for about 5 in 100 million. (SimHash bits
-can't: at 0.8 two 64-bit fingerprints differ by about 10 bits, and segments short enough to agree are
-shared by a fixed part of all pairs.) Texts of one shingle set are one class and enter once.
+Two texts are linked if their sets of five-word shingles share at least 0.8 of their union. A set's
+fingerprint has BITS bits, each 1 if it is set in over half of the shingles' hashes; at 0.8 about 15 % of them
+differ. Texts meet where all bits of a band agree. A band has a bit or two more than it takes to number the
+texts, so that unlike texts meet rarely at any size, and there are as many bands as it takes to miss a
+pair at 0.8 about once in 10,000, and more similar ones far less often. What meets is kept if CHECKED further
+bits are near enough. Texts of one shingle set are one class and enter once.
 
 Each member of a bucket is first compared with the bucket's centre: the one that shares the most buckets
 with others. Where that leaves members out, the centre's group is looked at around its consensus, the set of
@@ -21,6 +23,7 @@ share isn't a change, so it makes no pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -30,12 +33,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import checkpoint, lean, mixed, run_hashes, stored, word_hashes
+from seatflow.llm.common import dropped, lean, mixed, run_hashes, stored, word_hashes
 from seatflow.llm.components import connected_components
-from seatflow.llm.minhash import densified
 
 SHINGLE, LEAST_LIKENESS = 5, 0.8
-BANDS, BAND = 32, 4
+#: Bits of a fingerprint, and those of them that are compared where two texts meet.
+BITS, CHECKED = 2048, 128
+#: Share of the pairs at the least likeness that no band may find.
+LOST = 1e-4
+#: Least bits of a band.
+BAND = 16
+#: Bands that are looked at together, which bounds what lies on disk at a time.
+ROUND = 64
+#: Sets of so few shingles differ in more bits at the same likeness, and get MORE times as many bands.
+FEW, MORE = 5, 3
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -46,17 +57,92 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed(run_hashes(words, min(shingle, len(words))) + np.uint64(min(shingle, len(words)))))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key for each band of a set that isn't empty."""
-    bins = (shingles >> np.uint64(64 - (BANDS * BAND - 1).bit_length())).astype(np.int64)
-    first = np.concatenate(([True], bins[1:] != bins[:-1]))
-    values, filled = np.zeros(BANDS * BAND, np.uint64), np.zeros(BANDS * BAND, bool)
-    values[bins[first]], filled[bins[first]] = shingles[first], True
-    rows = densified(values, filled).reshape(BANDS, BAND)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for i in range(BAND):
-        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
-    return keys
+_SEEDS = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def simhash(shingles: np.ndarray) -> np.ndarray:
+    """The bits of a set, eight to a byte: each is 1 if it is set in over half of the shingles' hashes."""
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(shingles), 255):  # so many counts fit in a byte
+        hashes = mixed(shingles[at : at + 255, None] ^ _SEEDS)
+        ones += np.add.reduce(np.unpackbits(hashes.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(shingles))
+
+
+def agreement(least: float) -> float:
+    """The chance that a bit is the same in two sets of that likeness: by the angle between them, which is widest for sets of one size."""
+    return 1 - math.acos(2 * least / (1 + least)) / math.pi
+
+
+def band_sizes(classes: int, least: float) -> tuple[int, int]:
+    """Bits of a band and number of bands for so many sets."""
+    width = min(32, max(BAND, math.ceil(math.log2(max(1, classes))) + 1))
+    return width, math.ceil(math.log(LOST) / math.log1p(-(agreement(least) ** width)))
+
+
+def band_bits(width: int, bands: int) -> np.ndarray:
+    """The bits of each band (bands, width): all bits in one random order after the other, cut into bands."""
+    rng, each = np.random.default_rng(42), BITS // width
+    return np.concatenate([rng.permutation(BITS)[: each * width].reshape(each, width) for _ in range(-(-bands // each))])[:bands]
+
+
+def entries(classes: DataFrame, bits: np.ndarray, first: int) -> DataFrame:
+    """(key, fp, degree, s0, s1) for each class and band: bits are the bands', first is the number of the first; s0 and s1 are the checked bits."""
+    bands, width = bits.shape
+    at = np.full((bands, 32), BITS)  # bits past the width are the one after the last, which is 0
+    at[:, :width] = bits
+    high = np.arange(first, first + bands, dtype=np.int64) << 32
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            raw = np.frombuffer(b"".join(part["sim"]), np.uint8).reshape(len(part), BITS // 8)
+            spread = np.zeros((len(part), BITS + 1), np.uint8)
+            spread[:, :BITS] = np.unpackbits(raw, axis=1)
+            keys = np.packbits(np.take(spread, at.ravel(), axis=1), axis=1).view(">u4").astype(np.int64) | high
+            checked = np.ascontiguousarray(raw[:, : CHECKED // 8]).view(np.int64)
+            yield pd.DataFrame({"keys": list(keys), "fp": part["fp"], "degree": part["degree"], "s0": checked[:, 0], "s1": checked[:, 1]})
+
+    found = classes.select("fp", "degree", "sim").mapInPandas(run, "keys array<long>, fp long, degree long, s0 long, s1 long")
+    return found.select(F.explode("keys").alias("key"), "fp", "degree", "s0", "s1")
+
+
+def _beside_centres(rows: DataFrame, most: int) -> DataFrame:
+    """Rows of a bucket, but for its centre, with the centre and whether `most` checked bits at most differ from its; stored."""
+    centre = F.max_by(F.struct("fp", "s0", "s1"), F.struct("degree", "fp")).over(Window.partitionBy("key"))
+    met = rows.withColumn("c", centre).where("fp <> c.fp")
+    return stored(met.select("key", "fp", "degree", "s0", "s1", F.col("c.fp").alias("centre"), F.expr(f"bit_count(s0 ^ c.s0) + bit_count(s1 ^ c.s1) <= {most}").alias("near")))
+
+
+def near_pairs(classes: DataFrame, least: float) -> DataFrame:
+    """(centre, fp), distinct: the members of each bucket beside its centre; stored. classes: (fp, size, sim).
+
+    Only what may be alike is kept by the checked bits. Those of a bucket that are far from its centre have one of their own, and
+    those far from that too, which are few, meet each other.
+    """
+    width, many = band_sizes(classes.count(), least)
+    p = agreement(least)
+    most = math.ceil(CHECKED * (1 - p) + 6 * math.sqrt(CHECKED * p * (1 - p)))
+    bits = band_bits(width, MORE * many)
+    # the centre is the one that meets most others, by the first bands
+    company = entries(classes.withColumn("degree", F.lit(0).cast("long")), bits[: ROUND // 2], 0).select("key", "fp")
+    company = company.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
+    degrees = company.groupBy("fp").agg(F.sum("n").alias("degree"))
+    classes = stored(classes.join(degrees, "fp", "left").withColumn("degree", F.coalesce("degree", F.lit(0).cast("long"))))
+    rounds = [(classes, at, min(at + ROUND, many)) for at in range(0, many, ROUND)] + [(classes.where(F.col("size") <= FEW), many, len(bits))]
+    found = []
+    for some, at, end in rounds:
+        one = _beside_centres(entries(some, bits[at:end], at), most)
+        two = _beside_centres(one.where("not near").drop("centre", "near"), most)
+        rest = two.where("not near").select("key", "fp", "s0", "s1")
+        other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("fp", "s0", "s1")])
+        each = rest.join(other, "key").where(f"fp < fp_b and bit_count(s0 ^ s0_b) + bit_count(s1 ^ s1_b) <= {most}")
+        pairs = one.where("near").select("centre", "fp").unionAll(two.where("near").select("centre", "fp")).unionAll(each.select("fp", "fp_b"))
+        found.append(stored(pairs.distinct()))
+        dropped(one, two)
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionAll(x)
+    return stored(out.distinct())
 
 
 def similarity(one: np.ndarray, other: np.ndarray) -> float:
@@ -155,27 +241,25 @@ def near_duplicates(documents: DataFrame, least: float = LEAST_LIKENESS, id_col:
     table gives an empty result.
     """
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    alone = math.ceil(Fraction(least).limit_denominator(10**6) / (1 - Fraction(least).limit_denominator(10**6))) if least < 1 else math.inf  # smaller sets are like themselves only
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            fps, keys = [], []
+            fps, sizes, sims = [], [], []
             for text in part["text"]:
                 shingles = shingle_set(text)
                 fps.append(xxhash.xxh3_64_intdigest(shingles.tobytes()) if len(shingles) else 0)
-                keys.append(band_keys(shingles).view(np.int64) if len(shingles) else np.empty(0, np.int64))
-            yield pd.DataFrame({"doc_id": part["doc_id"], "fp": np.array(fps, np.uint64).view(np.int64), "keys": keys})
-
-    rows = stored(frame.mapInPandas(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, fp long, keys array<long>"))
-    classes = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    entries = rows.select("fp", F.explode("keys").alias("key")).distinct()
-    company = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    entries = stored(entries.join(company, "key"))  # those that have company
-    degrees = entries.groupBy("fp").agg(F.sum("n").alias("degree"))
-    centres = entries.join(degrees, "fp").groupBy("key").agg(F.max_by("fp", F.struct("degree", "fp")).alias("centre"))
-    beside = stored(entries.join(centres, "key").where("fp <> centre").select("centre", "fp").distinct())
+                sizes.append(len(shingles))
+                sims.append(simhash(shingles).tobytes() if len(shingles) >= alone else None)
+            yield pd.DataFrame({"doc_id": part["doc_id"], "fp": np.array(fps, np.uint64).view(np.int64), "size": np.array(sizes, np.int64), "sim": sims})
+
+    rows = stored(frame.mapInPandas(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, fp long, size long, sim binary"))
+    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("sim").alias("sim")))
+    beside = near_pairs(classes.where("sim is not null").select("fp", "size", "sim"), least)
+    classes = classes.select("fp", "first")
 
     # one text of each class that has company
-    wanted = entries.select("fp").distinct()
+    wanted = beside.select("fp").union(beside.select("centre")).distinct()
 
     def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:

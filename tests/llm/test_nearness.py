@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from seatflow.llm import nearness
-from seatflow.llm.common import stored
+from seatflow.llm.common import mixed, stored
 
 
 def copies(seed, n, words=130, most=0.12):
@@ -75,3 +76,26 @@ def test_members_that_share_what_the_centre_lacks_are_not_compared(spark):
     far = {r["fp"]: r["far"] for r in apart.collect()}
     assert all((min(a["a"], a["b"]), max(a["a"], a["b"])) in alike for a in near)
     assert {p for p in alike if far[p[0]] + far[p[1]] > 0} <= pairs and len(pairs) < 4000
+
+
+def test_fingerprints_are_majorities_of_the_shingles_bits():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 254, 255, 256, 700):
+        shingles = rng.integers(0, 2**63, n).astype(np.uint64)
+        hashes = [[int(x) for x in mixed(shingles ^ seed)] for seed in nearness._SEEDS]
+        want = [2 * sum(h >> bit & 1 for h in column) > n for column in hashes for byte in range(8) for bit in range(8 * byte + 7, 8 * byte - 1, -1)]
+        assert np.unpackbits(nearness.simhash(shingles)).tolist() == [int(x) for x in want]
+
+
+@pytest.mark.parametrize(("own", "both"), [(0, 4), (1, 16), (6, 48), (33, 264)])
+def test_simhash_bands_propose_pairs_at_the_least_likeness(spark, own, both):
+    """Pairs that are barely alike meet in a band; of unlike sets hardly any do."""
+    rng = np.random.default_rng(both)
+    rows = []
+    for n in range(150):
+        shared, one, other = (rng.integers(0, 2**63, k).astype(np.uint64) for k in (both, own or 1, own))
+        for k, x in enumerate((np.append(shared, one), np.append(shared, other))):
+            rows.append((2 * n + k, len(x), bytearray(nearness.simhash(x).tobytes())))
+    found = {tuple(sorted(r)) for r in nearness.near_pairs(spark.createDataFrame(rows, "fp long, size long, sim binary"), 0.8).collect()}
+    want = {(2 * n, 2 * n + 1) for n in range(150)}
+    assert want <= found and len(found - want) < 60  # of 44,700
