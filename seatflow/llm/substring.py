@@ -123,15 +123,20 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
 
     kind = frame.schema["doc_id"].dataType.simpleString()
     rows = stored(frame.withColumn("mark", row_mark(F.col("text"))).mapInArrow(runs, f"doc_id {kind}, mark binary, digest binary, at long, n long, windows binary"))
-    told = [_judged(rows)]
+    told, found = _judged(rows), []
     dropped(rows)
     for every in PIECES:
-        told.append(_judged(_pieces(told[-1].where("not earlier"), every)))
-    each = _pieces(told[-1].where("not earlier"), 1)
-    found = [x.where("earlier") for x in told] + [each.join(_firsts(each), "digest").where("doc_id > first")]
-    out = found[0].select("doc_id", "mark", "at", "n")
+        finer = _judged(_pieces(told.where("not earlier"), every))
+        found.append(stored(told.where("earlier").select("doc_id", "mark", "at", "n")))
+        dropped(told)  # with the windows of what is cut finer now
+        told = finer
+    each = _pieces(told.where("not earlier"), 1).drop("windows")
+    firsts = _firsts(each)
+    found += [stored(told.where("earlier").select("doc_id", "mark", "at", "n")), stored(each.join(firsts, "digest").where("doc_id > first").select("doc_id", "mark", "at", "n"))]
+    dropped(told, firsts)
+    out = found[0]
     for x in found[1:]:
-        out = out.unionAll(x.select("doc_id", "mark", "at", "n"))
+        out = out.unionAll(x)
     return out
 
 
