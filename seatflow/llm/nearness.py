@@ -87,7 +87,7 @@ def band_bits(width: int, bands: int) -> np.ndarray:
 
 
 def entries(classes: DataFrame, bits: np.ndarray, first: int) -> DataFrame:
-    """(key, fp, degree, s0, s1) for each class and band: bits are the bands', first is the number of the first; s0 and s1 are the checked bits."""
+    """(key, fp, degree, home, s0, s1) for each class and band: bits are the bands', first is the number of the first; s0 and s1 are the checked bits."""
     bands, width = bits.shape
     at = np.full((bands, 32), BITS)  # bits past the width are the one after the last, which is 0
     at[:, :width] = bits
@@ -100,39 +100,49 @@ def entries(classes: DataFrame, bits: np.ndarray, first: int) -> DataFrame:
             spread[:, :BITS] = np.unpackbits(raw, axis=1)
             keys = np.packbits(np.take(spread, at.ravel(), axis=1), axis=1).view(">u4").astype(np.int64) | high
             checked = np.ascontiguousarray(raw[:, : CHECKED // 8]).view(np.int64)
-            yield pd.DataFrame({"keys": list(keys), "fp": part["fp"], "degree": part["degree"], "s0": checked[:, 0], "s1": checked[:, 1]})
+            yield pd.DataFrame({"keys": list(keys), "fp": part["fp"], "degree": part["degree"], "home": part["home"], "s0": checked[:, 0], "s1": checked[:, 1]})
 
-    found = classes.select("fp", "degree", "sim").mapInPandas(run, "keys array<long>, fp long, degree long, s0 long, s1 long")
-    return found.select(F.explode("keys").alias("key"), "fp", "degree", "s0", "s1")
+    found = classes.select("fp", "degree", "home", "sim").mapInPandas(run, "keys array<long>, fp long, degree long, home long, s0 long, s1 long")
+    return found.select(F.explode("keys").alias("key"), "fp", "degree", "home", "s0", "s1")
 
 
 def _beside_centres(rows: DataFrame, most: int) -> DataFrame:
-    """Rows of a bucket, but for its centre, with the centre and whether `most` checked bits at most differ from its; stored."""
-    centre = F.max_by(F.struct("fp", "s0", "s1"), F.struct("degree", "fp")).over(Window.partitionBy("key"))
-    met = rows.withColumn("c", centre).where("fp <> c.fp")
-    return stored(met.select("key", "fp", "degree", "s0", "s1", F.col("c.fp").alias("centre"), F.expr(f"bit_count(s0 ^ c.s0) + bit_count(s1 ^ c.s1) <= {most}").alias("near")))
+    """Rows with their bucket's centre, which is the home of highest degree, its degree, and whether `most` checked bits at most differ
+    from the one at home there."""
+    centre = F.max_by(F.struct("home", "degree", "s0", "s1"), F.struct("degree", "home", "fp")).over(Window.partitionBy("key"))
+    near = F.expr(f"bit_count(s0 ^ c.s0) + bit_count(s1 ^ c.s1) <= {most}").alias("near")
+    met = rows.withColumn("c", centre).select("key", "fp", "degree", "home", "s0", "s1", F.col("c.home").alias("centre"), F.col("c.degree").alias("most"), near)
+    return met.where("fp <> centre")
 
 
 def near_pairs(classes: DataFrame, least: float) -> DataFrame:
-    """(centre, fp), distinct: the members of each bucket beside its centre; stored. classes: (fp, size, sim).
+    """(centre, fp), distinct: the members of each bucket with a centre that all of them have; stored. classes: (fp, size, sim).
 
-    Only what may be alike is kept by the checked bits. Those of a bucket that are far from its centre have one of their own, and
-    those far from that too, which are few, meet each other.
+    The centre is the home of one of them: what meets most others among those that it meets in the first bands, and among
+    those that this one meets. Buckets of a large group are many and small, but its homes are few, and so are the pairs.
+    Only what may be alike is kept by the checked bits. Those of a bucket that are far from the one at home have a centre of their
+    own, and those far from that too, which are few, meet each other.
     """
     width, many = band_sizes(classes.count(), least)
     p = agreement(least)
     most = math.ceil(CHECKED * (1 - p) + 6 * math.sqrt(CHECKED * p * (1 - p)))
     bits = band_bits(width, MORE * many)
-    # the centre is the one that meets most others, by the first bands
-    company = entries(classes.withColumn("degree", F.lit(0).cast("long")), bits[: ROUND // 2], 0).select("key", "fp")
+    first = bits[: ROUND // 2]
+    company = entries(classes.withColumns({"degree": F.lit(0).cast("long"), "home": F.col("fp")}), first, 0).select("key", "fp")
     company = company.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
     degrees = company.groupBy("fp").agg(F.sum("n").alias("degree"))
-    classes = stored(classes.join(degrees, "fp", "left").withColumn("degree", F.coalesce("degree", F.lit(0).cast("long"))))
+    ranked = stored(classes.join(degrees, "fp", "left").withColumns({"degree": F.coalesce("degree", F.lit(0).cast("long")), "home": F.col("fp")}))
+    met = _beside_centres(entries(ranked, first, 0), most).where("near")
+    homes = stored(met.groupBy("fp").agg(F.max(F.struct(F.col("most").alias("degree"), F.col("centre").alias("home"))).alias("top")))
+    far = homes.select(F.col("fp").alias("_home"), F.col("top").alias("far"))  # the home of the home
+    homes = homes.join(far, F.col("top.home") == F.col("_home"), "left").select("fp", F.coalesce("far", "top").alias("top"))
+    ranked = ranked.drop("home").join(homes, "fp", "left")
+    classes = stored(ranked.select("fp", "size", "sim", F.coalesce("top.degree", "degree").alias("degree"), F.coalesce("top.home", "fp").alias("home")))
     rounds = [(classes, at, min(at + ROUND, many)) for at in range(0, many, ROUND)] + [(classes.where(F.col("size") <= FEW), many, len(bits))]
     found = []
     for some, at, end in rounds:
-        one = _beside_centres(entries(some, bits[at:end], at), most)
-        two = _beside_centres(one.where("not near").drop("centre", "near"), most)
+        one = stored(_beside_centres(entries(some, bits[at:end], at), most))
+        two = stored(_beside_centres(one.where("not near").drop("centre", "most", "near"), most))
         rest = two.where("not near").select("key", "fp", "s0", "s1")
         other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("fp", "s0", "s1")])
         each = rest.join(other, "key").where(f"fp < fp_b and bit_count(s0 ^ s0_b) + bit_count(s1 ^ s1_b) <= {most}")
