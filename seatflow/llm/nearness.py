@@ -1,7 +1,10 @@
 """Near-duplicates by SimHash: bands of fingerprint bits propose pairs, their distance selects, exact similarity decides.
 
-Two texts are linked if their sets of five-word shingles share at least 0.8 of their union. A set's
-fingerprint has BITS bits, each 1 if it is set in over half of the shingles' hashes; at 0.8 about 15 % of them
+Two texts are linked if their sets of five-word shingles share at least 0.8 of their union. So each has 0.8 or
+more of its shingles in common with another text. A sketch counts a sample of the shingles, which their hashes
+choose, once for each set, and never too low. A set of whose sampled shingles so few repeat that a linked one would have
+as few less than once in a million goes no further; where few are sampled, none is left out. The others get a
+fingerprint. It has BITS bits, each 1 if it is set in over half of the shingles' hashes; at 0.8 about 15 % of them
 differ. Texts meet where all bits of a band agree. A band has a bit or two more than it takes to number the
 texts, so that unlike texts meet rarely at any size, and there are as many bands as it takes to miss a
 pair at 0.8 about once in 10,000, and more similar ones far less often. What meets is kept if CHECKED further
@@ -23,6 +26,7 @@ share isn't a change, so it makes no pairs.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from fractions import Fraction
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 
 from seatflow.llm.common import dropped, lean, mixed, run_hashes, stored, word_hashes
 from seatflow.llm.components import connected_components
+from seatflow.llm.sketch import repeated, repeated_bits, width_for
 
 SHINGLE, LEAST_LIKENESS = 5, 0.8
 #: Bits of a fingerprint, and those of them that are compared where two texts meet.
@@ -44,7 +49,9 @@ LOST = 1e-4
 #: Least bits of a band.
 BAND = 16
 #: Bands that are looked at together, which bounds what lies on disk at a time.
-ROUND = 64
+ROUND = 32
+#: One in 2**SAMPLED shingles is counted, and the share of linked sets that the counts may leave out.
+SAMPLED, UNSEEN = 4, 1e-6
 #: Sets of so few shingles differ in more bits at the same likeness, and get MORE times as many bands.
 FEW, MORE = 5, 3
 
@@ -57,6 +64,24 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed(run_hashes(words, min(shingle, len(words))) + np.uint64(min(shingle, len(words)))))
 
 
+def sampled(shingles: np.ndarray) -> np.ndarray:
+    """The sketch's keys for those of a set's sorted shingles that are sampled."""
+    return mixed(shingles[: np.searchsorted(shingles, np.uint64(1 << (64 - SAMPLED)))])
+
+
+@functools.lru_cache(1 << 12)
+def least_repeated(n: int, least: float) -> int:
+    """Of n sampled shingles of a set that has a share of `least` or more in common with another one, so many at least are
+    common but for a chance of UNSEEN: the sampled are drawn from all without regard to whether they are common."""
+    below, k = 0.0, 0
+    while k < n:
+        below += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(least) + (n - k) * math.log(1 - least))
+        if below > UNSEEN:
+            break
+        k += 1
+    return k
+
+
 _SEEDS = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -127,18 +152,19 @@ def near_pairs(classes: DataFrame, least: float) -> DataFrame:
     p = agreement(least)
     most = math.ceil(CHECKED * (1 - p) + 6 * math.sqrt(CHECKED * p * (1 - p)))
     bits = band_bits(width, MORE * many)
-    first = bits[: ROUND // 2]
+    first = bits[:ROUND]
     company = entries(classes.withColumns({"degree": F.lit(0).cast("long"), "home": F.col("fp")}), first, 0).select("key", "fp")
     company = company.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
     degrees = company.groupBy("fp").agg(F.sum("n").alias("degree"))
-    ranked = stored(classes.join(degrees, "fp", "left").withColumns({"degree": F.coalesce("degree", F.lit(0).cast("long")), "home": F.col("fp")}))
+    ranked = plain = stored(classes.join(degrees, "fp", "left").withColumns({"degree": F.coalesce("degree", F.lit(0).cast("long")), "home": F.col("fp")}))
     met = _beside_centres(entries(ranked, first, 0), most).where("near")
-    homes = stored(met.groupBy("fp").agg(F.max(F.struct(F.col("most").alias("degree"), F.col("centre").alias("home"))).alias("top")))
+    homes = near_by = stored(met.groupBy("fp").agg(F.max(F.struct(F.col("most").alias("degree"), F.col("centre").alias("home"))).alias("top")))
     far = homes.select(F.col("fp").alias("_home"), F.col("top").alias("far"))  # the home of the home
     homes = homes.join(far, F.col("top.home") == F.col("_home"), "left").select("fp", F.coalesce("far", "top").alias("top"))
     ranked = ranked.drop("home").join(homes, "fp", "left")
-    classes = stored(ranked.select("fp", "size", "sim", F.coalesce("top.degree", "degree").alias("degree"), F.coalesce("top.home", "fp").alias("home")))
-    rounds = [(classes, at, min(at + ROUND, many)) for at in range(0, many, ROUND)] + [(classes.where(F.col("size") <= FEW), many, len(bits))]
+    centred = stored(ranked.select("fp", "size", "sim", F.coalesce("top.degree", "degree").alias("degree"), F.coalesce("top.home", "fp").alias("home")))
+    dropped(plain, near_by)
+    rounds = [(centred, at, min(at + ROUND, many)) for at in range(0, many, ROUND)] + [(centred.where(F.col("size") <= FEW), many, len(bits))]
     found = []
     for some, at, end in rounds:
         one = stored(_beside_centres(entries(some, bits[at:end], at), most))
@@ -152,7 +178,9 @@ def near_pairs(classes: DataFrame, least: float) -> DataFrame:
     out = found[0]
     for x in found[1:]:
         out = out.unionAll(x)
-    return stored(out.distinct())
+    out = stored(out.distinct())
+    dropped(centred, *found)
+    return out
 
 
 def similarity(one: np.ndarray, other: np.ndarray) -> float:
@@ -199,7 +227,7 @@ def around_consensus(told: DataFrame, sets: DataFrame, least: float) -> tuple[Da
     p, q = _share(least)
     open_ = told.where("not alike").select("centre").distinct()
     own = sets.join(open_, F.col("fp") == F.col("centre")).select("centre", "fp", F.expr("length(shingles) div 8").alias("size"), F.lit(None).cast("array<long>").alias("changed"))
-    members = stored(told.join(open_, "centre", "left_semi").select("centre", "fp", "size", "changed").unionByName(own))
+    members = plain = stored(told.join(open_, "centre", "left_semi").select("centre", "fp", "size", "changed").unionByName(own))
     members = members.withColumn("changed", F.coalesce("changed", F.array().cast("array<long>")))
     counts = members.select("centre", F.explode("changed").alias("change")).groupBy("centre", "change").agg(F.count("*").alias("n"))
     held = counts.join(members.groupBy("centre").agg(F.count("*").alias("all")), "centre").withColumn("common", F.expr("2 * n > all"))
@@ -209,7 +237,9 @@ def around_consensus(told: DataFrame, sets: DataFrame, least: float) -> tuple[Da
     apart = members.join(common, "centre", "left").withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
     apart = apart.select("centre", "fp", "size", F.array_union(F.array_except("changed", "common"), F.array_except("common", "changed")).alias("diff"))
     apart = apart.withColumn("far", q * F.size("diff") - p * F.col("size"))
-    return stored(apart.select("centre", "fp", "diff", "far")), held.drop("common")
+    apart = stored(apart.select("centre", "fp", "diff", "far"))
+    dropped(plain)
+    return apart, held.drop("common")
 
 
 def _share(least: float) -> tuple[int, int]:
@@ -226,7 +256,7 @@ def nearest_links(apart: DataFrame) -> DataFrame:
 
 
 def changed_alike(apart: DataFrame, held: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """(a, b): members of a centre's group that no link joins yet and that may be alike by their changes against the consensus.
+    """(a, b): members of a centre's group that no link joins yet and that may be alike by their changes against the consensus; stored.
 
     Changes go by how many members have them, the rarest first. Two members with k changes in common have one in common that
     stands in both lists with k - 1 or more to its end (room of k or more, itself included).
@@ -241,7 +271,38 @@ def changed_alike(apart: DataFrame, held: DataFrame, roots: DataFrame, least: fl
     other = each.select("centre", "change", *[F.col(c).alias(f"{c}_b") for c in ("fp", "root", "far", "room")])
     near = F.expr("root_a <> root_b and (far_a < far_b or far_a = far_b and fp_a < fp_b) and far_a + far_b between 1 and least(room_a, room_b)")
     met = one.join(other, (one["centre"] == other["centre"]) & (one["change"] == other["change"]) & near)
-    return met.select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct()
+    found = stored(met.select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct())
+    dropped(each)
+    return found
+
+
+def _names(sets: list[np.ndarray]) -> np.ndarray:
+    """A hash of each set, 0 of the empty one."""
+    return np.array([xxhash.xxh3_64_intdigest(x.tobytes()) if len(x) else 0 for x in sets], np.uint64).view(np.int64)
+
+
+def likely_sets(texts: DataFrame, rows: DataFrame, least: float) -> DataFrame:
+    """(fp, size, sim, shingles) of the distinct sets that may be linked to another one, by their sampled shingles; stored.
+    rows: (fp, sampled) for each text."""
+    part, rest = Fraction(least).limit_denominator(10**6), 1 - Fraction(least).limit_denominator(10**6)
+    alone = math.ceil(part / rest) if rest else math.inf  # smaller sets are like themselves only
+    once = stored(rows.groupBy("fp").agg(F.first("sampled").alias("sampled")).select("sampled"))
+    keys = once.agg(F.coalesce(F.sum(F.expr("length(sampled) div 8")), F.lit(0))).first()[0]
+    bits = repeated_bits(once, lambda part: (np.frombuffer(x, np.uint64) for x in part["sampled"]), width_for(keys))
+    dropped(once)
+
+    def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            kept = []
+            for text in part["text"]:
+                shingles = shingle_set(text)
+                own = sampled(shingles)
+                if len(shingles) >= alone and np.count_nonzero(repeated(bits.value, own)) >= least_repeated(len(own), least):
+                    kept.append(shingles)
+            yield pd.DataFrame({"fp": _names(kept), "size": np.array([len(x) for x in kept], np.int64), "sim": [simhash(x).tobytes() for x in kept], "shingles": [x.tobytes() for x in kept]})
+
+    found = texts.mapInPandas(made, "fp long, size long, sim binary, shingles binary")
+    return stored(found.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("size", "sim", "shingles")]))
 
 
 def near_duplicates(documents: DataFrame, least: float = LEAST_LIKENESS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,44 +312,30 @@ def near_duplicates(documents: DataFrame, least: float = LEAST_LIKENESS, id_col:
     table gives an empty result.
     """
     frame = lean(documents).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    alone = math.ceil(Fraction(least).limit_denominator(10**6) / (1 - Fraction(least).limit_denominator(10**6))) if least < 1 else math.inf  # smaller sets are like themselves only
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            fps, sizes, sims = [], [], []
-            for text in part["text"]:
-                shingles = shingle_set(text)
-                fps.append(xxhash.xxh3_64_intdigest(shingles.tobytes()) if len(shingles) else 0)
-                sizes.append(len(shingles))
-                sims.append(simhash(shingles).tobytes() if len(shingles) >= alone else None)
-            yield pd.DataFrame({"doc_id": part["doc_id"], "fp": np.array(fps, np.uint64).view(np.int64), "size": np.array(sizes, np.int64), "sim": sims})
-
-    rows = stored(frame.mapInPandas(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, fp long, size long, sim binary"))
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("sim").alias("sim")))
-    beside = near_pairs(classes.where("sim is not null").select("fp", "size", "sim"), least)
-    classes = classes.select("fp", "first")
-
-    # one text of each class that has company
-    wanted = beside.select("fp").union(beside.select("centre")).distinct()
-
-    def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            sets = [shingle_set(t).tobytes() for t in part["text"]]
-            yield pd.DataFrame({"fp": np.array([xxhash.xxh3_64_intdigest(s) if s else 0 for s in sets], np.uint64).view(np.int64), "shingles": sets})
+            sets = [shingle_set(text) for text in part["text"]]
+            yield pd.DataFrame({"doc_id": part["doc_id"], "fp": _names(sets), "sampled": [sampled(x).tobytes() for x in sets]})
 
-    sets = frame.select("text").mapInPandas(made, "fp long, shingles binary").join(wanted, "fp", "left_semi")
-    sets = stored(sets.groupBy("fp").agg(F.first("shingles").alias("shingles")))
+    rows = stored(frame.mapInPandas(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, fp long, sampled binary"))
+    sets = likely_sets(frame.select("text"), rows.select("fp", "sampled"), least)
+    beside = near_pairs(sets.select("fp", "size", "sim"), least)
+    sets = sets.select("fp", "shingles")
 
     told = stored(changes(beside, sets, least))
     stars = stored(told.where("alike").select(F.col("centre").alias("a"), F.col("fp").alias("b")))
     apart, held = around_consensus(told, sets, least)
     sure = stored(stars.unionByName(nearest_links(apart)))
-    rest = changed_alike(apart, held, stored(connected_components(sure)), least)
+    joined = stored(connected_components(sure))
+    rest = changed_alike(apart, held, joined, least)
     done = beside.select(F.least("centre", "fp").alias("a"), F.greatest("centre", "fp").alias("b"))
     links = sure.unionByName(verified(rest.join(done, ["a", "b"], "left_anti"), sets, least))
 
     roots = connected_components(links).select(F.col("node").alias("fp"), "root")
-    classes = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     reached = classes.join(smallest, "root").select("fp", "component_id")
-    return rows.select("doc_id", "fp").join(reached, "fp").select("doc_id", "component_id")
+    out = stored(rows.select("doc_id", "fp").join(reached, "fp").select("doc_id", "component_id"))
+    dropped(rows, sets, beside, told, stars, apart, held, sure, joined, rest)
+    return out

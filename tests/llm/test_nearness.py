@@ -99,3 +99,33 @@ def test_simhash_bands_propose_pairs_at_the_least_likeness(spark, own, both):
     found = {tuple(sorted(r)) for r in nearness.near_pairs(spark.createDataFrame(rows, "fp long, size long, sim binary"), 0.8).collect()}
     want = {(2 * n, 2 * n + 1) for n in range(150)}
     assert want <= found and len(found - want) < 60  # of 44,700
+
+
+def test_texts_that_share_little_go_no_further(spark):
+    """Of long unlike texts none gets bands; both of a pair at the least likeness do."""
+    rng = random.Random(11)
+    texts = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(600)) for _ in range(60)]
+    half = [x.split() for x in texts[:20]]
+    texts += [" ".join(w + [f"z{k}-{n}" for n in range(140)]) for k, w in enumerate(half)]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [nearness.shingle_set(t) for t in texts]
+    names = nearness._names(sets).tolist()
+    given = spark.createDataFrame([(n, bytearray(nearness.sampled(s).tobytes())) for n, s in zip(names, sets)], "fp long, sampled binary")
+    found = {r["fp"] for r in nearness.likely_sets(frame.select("text"), given, 0.8).collect()}
+    assert found == {names[k] for k in (*range(20), *range(60, 80))}
+    got = {r["doc_id"]: r["component_id"] for r in nearness.near_duplicates(frame).collect()}
+    assert got == exact(rows)[0] and len(set(got.values())) == 60
+
+
+def test_near_duplicates_leave_no_tables_but_the_result(spark, documents):
+    from pathlib import Path
+
+    from seatflow.llm.common import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file://").removeprefix("file:"))
+    size = lambda: sum(p.stat().st_size for d in folder.glob("seatflow-*") for p in d.rglob("*.parquet"))
+    before = size()
+    out = nearness.near_duplicates(documents)
+    held = sum(Path(f.removeprefix("file://").removeprefix("file:")).stat().st_size for f in out.inputFiles())
+    assert 0 < held and size() - before == held
