@@ -3,7 +3,8 @@
 A window is a number of consecutive words of one document. The sketch counts, once per document,
 the least hash among the 16-word grams inside each window (its anchor). Equal windows have equal
 anchors, so the estimate is never below the number of documents that hold the window, and a
-document adds one key for about 18 windows. The second pass groups only windows whose anchor is
+document adds one key for about 18 windows. Anchors are made once and stored beside the texts until the second pass
+has read them. It groups only windows whose anchor is
 estimated to repeat; none that repeats is lost.
 
 It groups by BLAKE2 digests (128 bits) of the windows' words. Windows of one anchor in a row are a run; its digest
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatflow.llm.common import WORD, dropped, mixed, row_mark, run_hashes, sliding_min, stored, word_hashes
+from seatflow.llm.common import WORD, dropped, lean, mixed, row_mark, run_hashes, sliding_min, stored, word_hashes
 from seatflow.llm.sketch import repeated, repeated_bits, text_bytes, width_for
 
 WINDOW, GRAM = 50, 16
@@ -86,30 +87,43 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
 
     mark is 128 bits of the text's hash. Null ids neither lose words nor count as smaller.
     """
-    frame = documents.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    frame = lean(documents).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def anchors(part: pd.DataFrame) -> Iterator[np.ndarray]:
-        for text in part["text"]:
-            found = _anchors(_grams(word_hashes(_words(text)), window), window)
-            if len(found):
-                yield np.unique(found)
+    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, edges, keys = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                anchor = _anchors(_grams(word_hashes(_words(text)), window), window)
+                if len(anchor):
+                    begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+                    rows.append(i)
+                    edges.append(np.append(begins, len(anchor)).tobytes())
+                    keys.append(anchor[begins].tobytes())
+            batch = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edges, pa.binary()), pa.array(keys, pa.binary())], names=["doc_id", "text", "mark", "edges", "anchors"])
 
     bytes_in = text_bytes(frame)
-    bits = repeated_bits(frame.select("text"), anchors, width_for(bytes_in / 100))  # about 18 words of 6 bytes a key
+    kind = frame.schema["doc_id"].dataType.simpleString()
+    # anchors are made once: the texts that have windows lie beside theirs until the runs are made
+    texts = stored(frame.withColumn("mark", row_mark(F.col("text"))).mapInArrow(anchored, f"doc_id {kind}, text string, mark binary, edges binary, anchors binary"))
+
+    def anchors(part: pd.DataFrame) -> Iterator[np.ndarray]:
+        return (np.unique(np.frombuffer(found, np.uint64)) for found in part["anchors"])
+
+    bits = repeated_bits(texts.select("anchors"), anchors, width_for(bytes_in / 100))  # about 18 words of 6 bytes a key
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, out = [], {k: [] for k in ("digest", "at", "n", "windows")}
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                anchor = _anchors(_grams(word_hashes(_words(text)), window), window)
-                begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.empty(0, np.int64)
-                kept = repeated(bits.value, anchor[begins])
+            for i, (text, edges, keys) in enumerate(zip(*(batch.column(c) for c in ("text", "edges", "anchors")))):
+                kept = repeated(bits.value, np.frombuffer(keys.as_buffer(), np.uint64))
                 if not kept.any():
                     continue
-                words = text.encode("utf-8").split()
+                edges = np.frombuffer(edges.as_buffer(), np.int64)
+                begins, ends = edges[:-1], edges[1:]
+                words = text.as_buffer().to_pybytes().split()
                 joined = memoryview(b" ".join(words))
                 place = [0, *np.cumsum([len(w) + 1 for w in words]).tolist()]  # where each word begins
-                ends = np.append(begins, len(anchor))[1:]
                 for first, end in zip(begins[kept].tolist(), ends[kept].tolist()):
                     out["windows"].append(b"".join([_digest(joined[place[a] : place[a + window] - 1]) for a in range(first, end)]))
                     out["digest"].append(_digest(out["windows"][-1]))
@@ -117,12 +131,12 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, id_col: str = "
                     out["n"].append(end - first)
                 owner += [i] * int(kept.sum())
             if owner:
-                ids, marks = batch.column(0).take(pa.array(owner)), batch.column(2).take(pa.array(owner))
+                ids, marks = (batch.column(c).take(pa.array(owner)) for c in ("doc_id", "mark"))
                 kinds = {"digest": pa.binary(), "at": pa.int64(), "n": pa.int64(), "windows": pa.binary()}
                 yield pa.RecordBatch.from_arrays([ids, marks, *[pa.array(out[k], kind) for k, kind in kinds.items()]], ["doc_id", "mark", *kinds])
 
-    kind = frame.schema["doc_id"].dataType.simpleString()
-    rows = stored(frame.withColumn("mark", row_mark(F.col("text"))).mapInArrow(runs, f"doc_id {kind}, mark binary, digest binary, at long, n long, windows binary"))
+    rows = stored(texts.mapInArrow(runs, f"doc_id {kind}, mark binary, digest binary, at long, n long, windows binary"))
+    dropped(texts)
     told, found = _judged(rows), []
     dropped(rows)
     for every in PIECES:

@@ -131,6 +131,14 @@ def test_substring_leaves_no_windows_on_disk(spark, documents, texts):
     assert {r["doc_id"] for r in found.collect()} == {i for i, (_, n, _) in brute_substring(texts).items() if n}
 
 
+def test_substring_makes_anchors_once(spark, documents, monkeypatch):
+    """The sketch counts stored anchors; it reads no texts again."""
+    seen, count = [], substring.repeated_bits
+    monkeypatch.setattr(substring, "repeated_bits", lambda frame, *rest: seen.append(frame.columns) or count(frame, *rest))
+    substring.repeated_windows(documents)
+    assert seen == [["anchors"]]
+
+
 def test_substring_edges(nothing, awkward):
     assert substring.without_repeats(nothing).collect() == []
     got = {(r["doc_id"], r["text"]): r["n_removed"] for r in substring.without_repeats(awkward).collect()}
