@@ -32,7 +32,7 @@ def answered(raw: DataFrame, payloads: DataFrame, labels: dict[str, str]) -> tup
     and what was only counted go along (``dropped``, ``unverifiable``, ``counted``), and so does the denomination that the posting bears out. labels: of
     the form's fields, as the model saw them. A payload without its posting fails.
     """
-    told = payloads.select("id", "media_sent", "media_missed", *[c.alias(k) for k, c in schema.parsed(F.col("payload")).items()])
+    told = schema.answered(payloads.select("id", "media_sent", "media_missed", "payload"), "payload")
     source = raw.select("id", F.lit(True).alias("_there"), F.col("title").alias("_title"), F.col("raw_text").alias("_text"), F.col("raw_meta").alias("_meta"),
         (F.col("attachments") if "attachments" in raw.columns else F.lit(None)).cast("array<string>").alias("_files"))
     told = told.join(source, "id", "left").withColumn("fault", F.coalesce("fault", F.when(F.col("_there").isNull(), "no posting")))

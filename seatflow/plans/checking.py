@@ -38,10 +38,7 @@ _FAULTS = {
         CASE WHEN fault IS NULL THEN CASE WHEN id % 12 = 6 THEN '' ELSE concat('EVANGELIST=e', user_id) END END AS positions, CASE WHEN fault IS NULL AND user_id % 2 = 0 THEN true END AS housing,
         CASE WHEN fault IS NULL THEN concat('r', user_id, '|last') END AS requirements, CASE WHEN fault IS NULL THEN concat('city ', id) END AS city FROM told""")
 def answer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "whole_answer")
-    said = schema.parsed(F.col("payload"))
-    wanted = ("fault", "is_church_recruitment", "job_kind", "region", "position", "position_items", "housing_provided", "requirements", "city")
-    out = rows.select("id", *[said[k].alias(k) for k in wanted])
+    out = schema.answered(table(spark, sf_dir, "whole_answer").select("id", "payload"), "payload")
     pairs = F.array_join(F.zip_with("position", "position_items", lambda a, b: F.concat(a, F.lit("="), b)), "|")
     return out.select("id", "fault", F.col("is_church_recruitment").alias("gate"), "job_kind", "region", pairs.alias("positions"), F.col("housing_provided").alias("housing"), F.array_join("requirements", "|").alias("requirements"), "city")
 

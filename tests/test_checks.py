@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from seatflow.operators import checks, schema
+from seatflow.plans import checking
 
 N = None
 
@@ -34,6 +35,19 @@ def test_whole_answers(spark):
     assert got[1]["is_church_recruitment"] == "UNCERTAIN" and len(got[3]["description"]) == 5000 and len(schema.KEYS) == 35
 
 
+def test_answers_of_a_table_are_parsed_once(spark):
+    """A payload is parsed in one place of the plan, whatever is selected; columns are those of parsed, one by one."""
+    gone = answer()
+    gone.pop("city")
+    said = [answer(region="seoul"), answer(role=7), gone, answer(requirements=["a", None]), answer(position=["ETC"]), answer(position=[{"value": "etc", "evidence": N}]), answer(CITY="x"), [], N]
+    frame = spark.createDataFrame([(i, "old", json.dumps(a)) for i, a in enumerate(said)] + [(90, "old", "{"), (91, "old", N)], "i int, city string, payload string")
+    told = schema.answered(frame, "payload")
+    one = frame.select("i", *[c.alias(k) for k, c in schema.parsed(F.col("payload")).items()])
+    assert told.columns == one.columns and {r["i"]: r for r in told.collect()} == {r["i"]: r for r in one.collect()}
+    for some in (told, told.where("fault is null").select("i", "city", "requirements"), told.select(F.zip_with("position", "position_items", lambda a, b: F.concat(a, b))), checking.answer_schema(spark, "/root/testdata/sf0.001")):
+        assert some._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
 def test_numbers_and_hosts(spark):
     cases = [
         ("010-2720-9692", "연락 010-2720-구육구이", True), ("010-2285-1151 (김준수 목사)", "문의 010.2285.1151", True), ("010-1234-5678, 02-333-4444", "010 1234 5678 / 02)333-4444", True), ("010-1234-5678", "010-1234-5679", False),
